@@ -40,3 +40,114 @@ def agg_crosstab_topk(spark, sf_dir):
     """Outcome mix (order priority) for the 10 customer nations with most orders."""
     base = orders_by_nation(Tables(spark, sf_dir))
     return ct.crosstab_topk(base, "n_name", "outcome", OUTCOME_DOMAIN, 10, weight="n")
+
+
+# --------------------------------------------------------------------------
+# Fixed values (display names of the five outcome codes, as reported).
+# --------------------------------------------------------------------------
+OUTCOME_NAMES = {0: "Same Day", 1: "First Week", 2: "First Month", 3: "2nd-3rd Month",
+                 4: "No Adoption"}
+STATUS_NAMES = {"F": "Fulfilled", "O": "Open"}   # two-way "type" stand-in
+
+
+def _case_sql(col: str, mapping: dict, default: str = "Unknown") -> str:
+    whens = " ".join(f"WHEN {col} = {ct._lit_sql(k)} THEN {ct._lit_sql(v)}" for k, v in mapping.items())
+    return f"coalesce(CASE {whens} END, {ct._lit_sql(default)})"
+
+
+@query("agg_crosstab_full", "A19", oracle=_crosstab_sql(
+    f"SELECT {_case_sql('o_orderstatus', STATUS_NAMES)} AS status_name, {OUTCOME_SQL} AS outcome "
+    "FROM orders", ["status_name"]))
+def agg_crosstab_full(spark, sf_dir):
+    """Type (order status, unknown codes → 'Unknown') × outcome, row %, 0 fill."""
+    from quarry.functions.scalar import code_labels
+    o = Tables(spark, sf_dir).orders
+    base = o.select(code_labels("o_orderstatus", STATUS_NAMES).alias("status_name"), outcome())
+    return ct.crosstab_full(base, "status_name", "outcome", OUTCOME_DOMAIN)
+
+
+@query("agg_crosstab_rowpct", "A18", oracle=f"""
+WITH base AS (SELECT o_orderstatus, {OUTCOME_SQL} AS outcome FROM orders),
+cells AS (SELECT o_orderstatus, outcome, count(*) AS cnt FROM base
+          WHERE o_orderstatus IS NOT NULL AND outcome IS NOT NULL GROUP BY ALL),
+tot AS (SELECT o_orderstatus, sum(cnt) AS label_count FROM cells GROUP BY ALL)
+SELECT c.o_orderstatus, c.outcome, c.cnt, round(c.cnt / t.label_count, 4) AS pct,
+       CAST(t.label_count AS BIGINT) AS label_count
+FROM cells c JOIN tot t USING (o_orderstatus)""")
+def agg_crosstab_rowpct(spark, sf_dir):
+    o = Tables(spark, sf_dir).orders
+    return ct.crosstab_rowpct(o.select("o_orderstatus", outcome()), "o_orderstatus", "outcome")
+
+
+_TYPE_NATION_SQL = f"""
+  SELECT o.o_orderstatus, coalesce(n.n_name, 'Unknown') AS n_name, {OUTCOME_SQL} AS outcome
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+  LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+  WHERE o.o_orderstatus IN ('F', 'O')"""
+
+
+@query("agg_crosstab_topk_by_type", "A20", oracle=_crosstab_sql(
+    _TYPE_NATION_SQL, ["o_orderstatus", "n_name"],
+    top="SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY o_orderstatus "
+        "ORDER BY label_count DESC, n_name) AS label_rank FROM w) WHERE label_rank <= 15"))
+def agg_crosstab_topk_by_type(spark, sf_dir):
+    """Top-15 customer nations inside each order type, outcome row %."""
+    t = Tables(spark, sf_dir)
+    per_cust = (t.orders.where(F.col("o_orderstatus").isin("F", "O"))
+                .select("o_orderstatus", "o_custkey", outcome())
+                .groupBy("o_orderstatus", "o_custkey", "outcome").agg(F.count(F.lit(1)).alias("n")))
+    cust = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    nation = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    base = (per_cust.join(cust, "o_custkey").join(nation, "c_nationkey", "left")
+            .select("o_orderstatus", F.coalesce("n_name", F.lit("Unknown")).alias("n_name"),
+                    "outcome", "n"))
+    return ct.crosstab_topk_by_type(base, "o_orderstatus", "n_name", "outcome", OUTCOME_DOMAIN, 15,
+                                    weight="n")
+
+
+
+
+@query("agg_crosstab_other", "A22", oracle=f"""
+WITH q AS (SELECT l_orderkey AS o_orderkey, CAST(count(*) AS INTEGER) AS qty FROM lineitem GROUP BY ALL),
+base0 AS (SELECT q.qty, {OUTCOME_SQL} AS outcome FROM orders o JOIN q USING (o_orderkey)),
+topq AS (SELECT qty FROM (SELECT qty, count(*) AS c FROM base0 GROUP BY qty ORDER BY c DESC, qty LIMIT 3)),
+ranked AS (SELECT qty, CAST(rank() OVER (ORDER BY qty) - 1 AS INTEGER) AS pos FROM topq),
+base AS (SELECT CASE WHEN r.qty IS NOT NULL THEN CAST(b.qty AS VARCHAR) ELSE 'Other' END AS qty_group,
+                coalesce(r.pos, 3) AS pos, b.outcome
+         FROM base0 b LEFT JOIN ranked r ON b.qty = r.qty),
+w AS (SELECT qty_group, pos, count(*) AS label_count, count(outcome) AS n_outcome FROM base GROUP BY ALL),
+cells AS (SELECT qty_group, outcome, count(*) AS c FROM base GROUP BY ALL)
+SELECT w.qty_group, w.pos, d.outcome, CAST(coalesce(c.c, 0) AS BIGINT) AS cnt,
+       coalesce(round(coalesce(c.c, 0) / w.n_outcome, 4), 0.0) AS pct,
+       CAST(w.label_count AS BIGINT) AS label_count
+FROM w CROSS JOIN {_DOMAIN_SQL} d LEFT JOIN cells c ON c.qty_group = w.qty_group AND c.outcome = d.outcome""")
+def agg_crosstab_other(spark, sf_dir):
+    """Line count per order: top-3 values kept (numeric order), the rest 'Other'."""
+    t = Tables(spark, sf_dir)
+    q = (t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey"))
+         .agg(F.count(F.lit(1)).cast("int").alias("qty")))
+    base = t.orders.select("o_orderkey", outcome()).join(q, "o_orderkey")
+    grouped = ct.collapse_rare(base, "qty", 3, "qty_group", order_col="pos")
+    return ct.crosstab_full(grouped, ["qty_group", "pos"], "outcome", OUTCOME_DOMAIN)
+
+
+SEGMENT_ORDER = ["AUTOMOBILE", "BUILDING", "FURNITURE", "MACHINERY", "HOUSEHOLD"]
+
+
+@query("agg_crosstab_by_type", "A23", oracle=_crosstab_sql(
+    f"""SELECT o.o_orderstatus, c.c_mktsegment, {OUTCOME_SQL} AS outcome,
+       CASE c.c_mktsegment {' '.join(f"WHEN '{s}' THEN {i}" for i, s in enumerate(SEGMENT_ORDER))} END AS pos
+       FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+       WHERE o.o_orderstatus IN ('F', 'O')""",
+    ["o_orderstatus", "pos", "c_mktsegment"]))
+def agg_crosstab_by_type(spark, sf_dir):
+    """One crosstab per order type over market segments in a fixed order."""
+    t = Tables(spark, sf_dir)
+    per_cust = (t.orders.where(F.col("o_orderstatus").isin("F", "O"))
+                .select("o_orderstatus", "o_custkey", outcome())
+                .groupBy("o_orderstatus", "o_custkey", "outcome").agg(F.count(F.lit(1)).alias("n")))
+    base = per_cust.join(t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment"),
+                         "o_custkey")
+    base = ct.ordered_domain(base, "c_mktsegment", SEGMENT_ORDER)
+    return ct.crosstab_full(base, ["o_orderstatus", "pos", "c_mktsegment"], "outcome",
+                            OUTCOME_DOMAIN, weight="n")
