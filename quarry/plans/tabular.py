@@ -23,7 +23,7 @@ w AS (SELECT {lab}, count(*) AS label_count, count(outcome) AS n_outcome
       FROM base WHERE {labels[-1]} IS NOT NULL {filt} GROUP BY {lab}),
 t AS ({top or 'SELECT * FROM w'}),
 cells AS (SELECT {lab}, outcome, count(*) AS c FROM base GROUP BY ALL)
-SELECT {", ".join('t.' + x for x in labels)}{', t.label_rank' if top else ''}, d.outcome,
+SELECT {", ".join('t.' + x for x in labels)}{', CAST(t.label_rank AS INTEGER) AS label_rank' if top else ''}, d.outcome,
        CAST(coalesce(c.c, 0) AS BIGINT) AS cnt,
        coalesce(round(coalesce(c.c, 0) / t.n_outcome, 4), 0.0) AS pct,
        CAST(t.label_count AS BIGINT) AS label_count
@@ -151,3 +151,128 @@ def agg_crosstab_by_type(spark, sf_dir):
     base = ct.ordered_domain(base, "c_mktsegment", SEGMENT_ORDER)
     return ct.crosstab_full(base, ["o_orderstatus", "pos", "c_mktsegment"], "outcome",
                             OUTCOME_DOMAIN, weight="n")
+
+
+# --------------------------------------------------------------------------
+# Profiles, overviews, value counts
+# --------------------------------------------------------------------------
+from quarry.operators import profile as prof  # noqa: E402
+
+_PART_PROFILE_COLS = [("p_partkey", "bigint", "p_partkey"), ("p_name", "string", "p_name"),
+                      ("p_brand", "string", "nullif(p_brand, 'Brand#11')"),
+                      ("p_type", "string", "p_type"),
+                      ("p_size", "int", "CASE WHEN p_size > 45 THEN NULL ELSE p_size END"),
+                      ("p_retailprice", "double", "p_retailprice")]
+
+
+def _part_for_profile(t: Tables):
+    p = t.part
+    return p.select("p_partkey", "p_name",
+                    F.expr("nullif(p_brand, 'Brand#11')").alias("p_brand"), "p_type",
+                    F.when(F.col("p_size") > 45, F.lit(None)).otherwise(F.col("p_size")).alias("p_size"),
+                    "p_retailprice")
+
+
+def _profile_sql(table_sql: str, cols, target: str | None, blank: bool) -> str:
+    num = {"bigint", "int", "double"}
+    parts = []
+    for i, (name, dtype, _) in enumerate(cols):
+        miss = f"{name} IS NULL" + (f" OR trim({name}) = ''" if blank and dtype == "string" else "")
+        kind = "Target" if name == target else ("Numerical" if dtype in num else "Categorical")
+        parts.append(
+            f"SELECT '{name}' AS \"column\", {i} AS position, '{dtype}' AS dtype, '{kind}' AS feature_kind, "
+            f"CAST(count(*) - count_if({miss}) AS BIGINT) AS non_null, "
+            f"CAST(count_if({miss}) AS BIGINT) AS missing, "
+            f"coalesce(round(count_if({miss}) * 100.0 / count(*), 2), 0.0) AS missing_pct FROM t")
+    return f"WITH t AS ({table_sql}) " + " UNION ALL ".join(parts)
+
+
+@query("agg_column_profile", "A1 P13 P20", oracle=_profile_sql(
+    "SELECT " + ", ".join(f"{e} AS {n}" for n, _, e in _PART_PROFILE_COLS) + " FROM part",
+    _PART_PROFILE_COLS, "p_retailprice", False))
+def agg_column_profile(spark, sf_dir):
+    """Per-column dtype, non-null, missing, missing % and feature kind of ``part``."""
+    return prof.column_profile(_part_for_profile(Tables(spark, sf_dir)), target="p_retailprice")
+
+
+_DOC_BLANK_COLS = [("doc_id", "bigint", "doc_id"), ("text", "string", "text"),
+                   ("lang", "string", "lang"),
+                   ("source", "string", "CASE WHEN source = 'src3' THEN '   ' ELSE source END")]
+
+
+@query("agg_blank_profile", "A2", oracle=_profile_sql(
+    "SELECT " + ", ".join(f"{e} AS {n}" for n, _, e in _DOC_BLANK_COLS) + " FROM documents",
+    _DOC_BLANK_COLS, None, True))
+def agg_blank_profile(spark, sf_dir):
+    """Missing = null or blank after trim, for ``documents`` (one source blanked)."""
+    d = Tables(spark, sf_dir).documents
+    d = d.select("doc_id", "text", "lang",
+                 F.when(F.col("source") == "src3", F.lit("   ")).otherwise(F.col("source")).alias("source"))
+    return prof.column_profile(d, blank_is_missing=True)
+
+
+@query("agg_dataset_overview", "A3", oracle="""
+SELECT count(*) AS "rows", 6 AS "columns", count(DISTINCT o_orderpriority) AS classes,
+       min(o_orderdate) AS date_min, max(o_orderdate) AS date_max,
+       CAST(count_if(o_orderstatus = 'F') AS BIGINT) AS fulfilled,
+       CAST(count_if(o_orderstatus = 'O') AS BIGINT) AS open
+FROM orders""")
+def agg_dataset_overview(spark, sf_dir):
+    o = Tables(spark, sf_dir).orders
+    return prof.dataset_overview(o, "o_orderpriority", "o_orderdate",
+                                 {"fulfilled": F.col("o_orderstatus") == "F",
+                                  "open": F.col("o_orderstatus") == "O"})
+
+
+@query("agg_value_counts", "A4 P5", oracle=f"""
+SELECT {_case_sql(OUTCOME_SQL, OUTCOME_NAMES)} AS outcome_name, count(*) AS cnt
+FROM orders GROUP BY ALL""")
+def agg_value_counts(spark, sf_dir):
+    """Frequency of the outcome display names (codes mapped, unknown → 'Unknown')."""
+    from quarry.functions.scalar import code_labels
+    o = Tables(spark, sf_dir).orders.select(outcome())
+    named = o.select(code_labels("outcome", OUTCOME_NAMES).alias("outcome_name"))
+    return prof.value_counts(named, "outcome_name")
+
+
+@query("agg_value_counts_by_key", "A5 P4", oracle="""
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS cnt FROM orders GROUP BY ALL""")
+def agg_value_counts_by_key(spark, sf_dir):
+    o = Tables(spark, sf_dir).orders.select(F.year("o_orderdate").alias("year"))
+    return prof.value_counts(o, "year", by_key=True)
+
+
+@query("agg_category_shares", "A6 K3", oracle="""
+WITH c AS (SELECT source, count(*) AS cnt FROM documents GROUP BY ALL),
+tot AS (SELECT count(*) AS total FROM documents),
+h AS (SELECT 'top' AS part, CAST(row_number() OVER (ORDER BY cnt DESC, source) AS INTEGER) AS rank, source, cnt FROM c
+      ORDER BY cnt DESC, source LIMIT 10),
+b AS (SELECT 'bottom' AS part, CAST(row_number() OVER (ORDER BY cnt, source DESC) AS INTEGER) AS rank, source, cnt FROM c
+      ORDER BY cnt, source DESC LIMIT 5)
+SELECT part, rank, source, cnt, round(cnt * 100.0 / total, 2) AS share_pct
+FROM (SELECT * FROM h UNION ALL SELECT * FROM b) CROSS JOIN tot""")
+def agg_category_shares(spark, sf_dir):
+    """Top-10 document sources with % share, and the 5 smallest."""
+    return prof.category_shares(Tables(spark, sf_dir).documents, "source")
+
+
+@query("agg_imbalance", "A7", oracle="""
+WITH c AS (SELECT lang, count(*) AS cnt FROM documents GROUP BY ALL)
+SELECT max(cnt) AS max_count, min(cnt) AS min_count,
+       round(CASE WHEN min(cnt) = 0 THEN NULL ELSE max(cnt) / min(cnt) END, 2) AS imbalance_ratio FROM c""")
+def agg_imbalance(spark, sf_dir):
+    return prof.imbalance(Tables(spark, sf_dir).documents, "lang")
+
+
+@query("agg_duplicates", "A26", oracle="""
+SELECT 'lang+source' AS subset, CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicates
+FROM (SELECT count(*) AS n FROM documents GROUP BY lang, source)
+UNION ALL
+SELECT 'text', CAST(coalesce(sum(n - 1), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM documents GROUP BY text)
+UNION ALL
+SELECT 'url', CAST(coalesce(sum(n - 1), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM pages GROUP BY url)""")
+def agg_duplicates(spark, sf_dir):
+    """Extra copies of documents on (lang, source), on text, and of page URLs."""
+    t = Tables(spark, sf_dir)
+    docs = prof.duplicates(t.documents, {"lang+source": ["lang", "source"], "text": ["text"]})
+    return docs.unionByName(prof.duplicates(t.pages, {"url": ["url"]}))

@@ -67,6 +67,23 @@ def compare(spark_rows: list[dict], duck_rows: list[dict], tol=1e-6):
     return None
 
 
+_TYPE_MAP = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+             "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE", "date": "DATE",
+             "float": "FLOAT", "boolean": "BOOLEAN", "smallint": "SMALLINT", "tinyint": "TINYINT"}
+
+
+def type_diff(spark_schema, description) -> str | None:
+    duck_types = {d[0]: str(d[1]).upper() for d in description}
+    diffs = []
+    for f in spark_schema.fields:
+        st = f.dataType.simpleString()
+        want = _TYPE_MAP.get(st, st.upper())
+        got = duck_types.get(f.name)
+        if got is not None and got != want:
+            diffs.append(f"{f.name}: spark {st} vs duck {got}")
+    return "; ".join(diffs) or None
+
+
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 and argv[1].startswith("/") else "/root/testdata/sf0.01"
     prefixes = [a for a in argv[1:] if not a.startswith("/")]
@@ -100,6 +117,9 @@ def main(argv):
             bad += 1
             continue
         err = compare(srows, drows)
+        tdiff = type_diff(df.schema, cur.description)
+        if tdiff and not err:
+            err = "types " + tdiff
         if err:
             bad += 1
             print(f"FAIL {name}: {err}")
