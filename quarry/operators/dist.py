@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators.quantiles import exact_quantiles
-from quarry.operators.rank import _cols, top_k
+from quarry.operators.rank import _cols, attach, top_k
 
 
 def group_summary(df: DataFrame, group: str, means: Mapping[str, str], median_col: str,
@@ -36,7 +36,7 @@ def five_number(df: DataFrame, group, value: str, digits: int = 4) -> DataFrame:
     groups = _cols(group)
     q = exact_quantiles(df, groups, value, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     means = df.groupBy(*groups).agg(F.avg(value).alias("mean"))
-    out = q.join(means, groups)
+    out = attach(q, means, groups)
     return out.select(*groups, "n", *[F.round(c, digits).alias(c) for c in ("mean", "q1", "median", "q3")])
 
 
@@ -55,13 +55,13 @@ def box_stats(df: DataFrame, group, value: str, whisker: float = 1.5, digits: in
                       (F.col("q3") + whisker * iqr).alias("upper_fence"))
     v = F.col(value).cast("double")
     rows = df.select(*groups, v.alias("_v")).where(F.col("_v").isNotNull())
-    joined = rows.join(fences.select(*groups, "lower_fence", "upper_fence"), groups)
+    joined = attach(rows, fences.select(*groups, "lower_fence", "upper_fence"), groups)
     inside = (F.col("_v") >= F.col("lower_fence")) & (F.col("_v") <= F.col("upper_fence"))
     ends = joined.groupBy(*groups).agg(
         F.min(F.when(inside, F.col("_v"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("_v"))).alias("whisker_high"),
         F.count_if(~inside).alias("outliers"))
-    out = fences.join(ends, groups)
+    out = attach(fences, ends, groups)
     r = [F.round(c, digits).alias(c) for c in
          ("q1", "median", "q3", "lower_fence", "upper_fence", "whisker_low", "whisker_high")]
     return out.select(*groups, "n", *r, F.col("outliers").cast("long").alias("outliers"))
@@ -143,7 +143,7 @@ def histogram_equal(df: DataFrame, value: str, bins: int, group=None, digits: in
     width = (F.col("_hi") - F.col("_lo")) / bins
     idx = F.when(F.col("_hi") == F.col("_lo"), F.lit(0)).otherwise(
         F.least(F.floor((F.col("_v") - F.col("_lo")) / width), F.lit(bins - 1))).cast("int")
-    counts = (base.join(rng, groups).select(*groups, idx.alias("bin"))
+    counts = (attach(base, rng, groups).select(*groups, idx.alias("bin"))
               .groupBy(*groups, "bin").agg(F.count(F.lit(1)).alias("cnt")))
     grid = rng.select(*groups, "_lo", "_hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     w = (F.col("_hi") - F.col("_lo")) / bins
@@ -236,7 +236,7 @@ def kde(df: DataFrame, value: str, grid: int = 200, cut: float = 3.0, group=None
            .where(F.col("_h") > 0)
     st = st.withColumn("_lo", F.col("_min") - cut * F.col("_h")) \
            .withColumn("_step", (F.col("_max") - F.col("_min") + 2 * cut * F.col("_h")) / (grid - 1))
-    pts = base.join(st, groups).select(*groups, "_v", "_n", "_h", "_lo", "_step",
+    pts = attach(base, st, groups).select(*groups, "_v", "_n", "_h", "_lo", "_step",
                                        F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("point"))
     x = F.col("_lo") + F.col("point") * F.col("_step")
     z = (x - F.col("_v")) / F.col("_h")

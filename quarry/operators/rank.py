@@ -107,3 +107,12 @@ def feature_subsets(groups: DataFrame, name_col: str, max_size: int) -> DataFram
         out = out.unionByName(level)
     return out.select("subset", F.size("subset").alias("size"),
                       F.concat_ws("+", "subset").alias("subset_name"))
+
+
+def attach(df: DataFrame, stats: DataFrame, keys) -> DataFrame:
+    """Join per-group statistics back to rows on ``keys``; with no keys the
+    statistics are a single aggregate row, attached by a broadcast."""
+    keys = _cols(keys)
+    if keys:
+        return df.join(stats, keys)
+    return df.crossJoin(F.broadcast(stats))  # one-row scalar
