@@ -92,14 +92,48 @@ def char_ngrams(col, n_min: int = 3, n_max: int = 5) -> Column:
     """Character n-grams inside word boundaries; each word is padded
     with one blank on both sides (words shorter than n give the padded word
     once, as the reference vectoriser does)."""
-    words = F.split(F.lower(F.trim(F.coalesce(_c(col), F.lit("")))), r"\s+")
+    words = F.split(F.lower(F.trim(F.coalesce(_c(col), F.lit("")))), r"(?U)\s+")
     words = F.filter(words, lambda w: F.length(w) > 0)
 
     def grams(w):
         p = F.concat(F.lit(" "), w, F.lit(" "))
         ln = F.length(p)
-        per_n = [F.when(ln < n, F.array(p)).otherwise(
-            F.transform(F.sequence(F.lit(1), ln - n + 1), lambda i: F.substring(p, i, n)))
-            for n in range(n_min, n_max + 1)]
+        # Sliding windows while the padded word is longer than n; the whole
+        # padded word once for the first n that reaches its length.
+        def windows(n):
+            return F.transform(F.sequence(F.lit(1), ln - n + 1), lambda i: F.substring(p, i, F.lit(n)))
+        per_n = [F.when(ln > n, windows(n))
+                 .when((ln == n) | ((ln < n) & F.lit(n == n_min)), F.array(p))
+                 .otherwise(F.array().cast("array<string>"))
+                 for n in range(n_min, n_max + 1)]
         return F.flatten(F.array(*per_n))
     return F.flatten(F.transform(words, grams))
+
+
+def english_stopwords() -> list[str]:
+    """Spark ML's bundled English stop-word list (``StopWordsRemover``
+    default), read from the installed MLlib jar so the query and its SQL
+    oracle use the identical list without a JVM round trip."""
+    global _ENGLISH
+    if _ENGLISH is None:
+        import glob
+        import os
+        import zipfile
+
+        import pyspark
+        jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
+        if jars:
+            with zipfile.ZipFile(jars[0]) as z:
+                _ENGLISH = z.read("org/apache/spark/ml/feature/stopwords/english.txt").decode().split()
+        else:  # pragma: no cover - cluster images always ship MLlib
+            from pyspark.ml.feature import StopWordsRemover
+            _ENGLISH = list(StopWordsRemover.loadDefaultStopWords("english"))
+    return _ENGLISH
+
+
+_ENGLISH = None
+
+
+def without_english_stopwords(tokens: Column) -> Column:
+    stops = F.array(*[F.lit(w) for w in english_stopwords()])
+    return F.filter(tokens, lambda t: ~F.array_contains(stops, t))
