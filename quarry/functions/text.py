@@ -137,3 +137,9 @@ _ENGLISH = None
 def without_english_stopwords(tokens: Column) -> Column:
     stops = F.array(*[F.lit(w) for w in english_stopwords()])
     return F.filter(tokens, lambda t: ~F.array_contains(stops, t))
+
+
+def strip(col) -> Column:
+    """Remove leading/trailing whitespace of any kind (Python ``str.strip``);
+    ``trim`` only removes spaces."""
+    return F.regexp_replace(_c(col), r"^\s+|\s+$", "")
