@@ -276,3 +276,300 @@ def agg_duplicates(spark, sf_dir):
     t = Tables(spark, sf_dir)
     docs = prof.duplicates(t.documents, {"lang+source": ["lang", "source"], "text": ["text"]})
     return docs.unionByName(prof.duplicates(t.pages, {"url": ["url"]}))
+
+
+# --------------------------------------------------------------------------
+# Joins (J1-J7), projections (P1-P10, P17), scalar functions, K1, U3, U4
+# --------------------------------------------------------------------------
+from quarry.functions import scalar as fsc  # noqa: E402
+from quarry.functions.text import strip  # noqa: E402
+from quarry.operators import joins as jn  # noqa: E402
+from quarry.operators.rank import feature_subsets, top_k, topk_per_group  # noqa: E402
+
+
+@query("join_lookup_default", "J1", oracle="""
+WITH c AS (SELECT o_custkey, count(*) AS n FROM orders GROUP BY ALL),
+s AS (SELECT coalesce(nn.n_name, 'Unknown') AS state_name, sum(c.n) AS cnt
+      FROM c JOIN customer cu ON c.o_custkey = cu.c_custkey
+      LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 0) nn ON cu.c_nationkey = nn.n_nationkey GROUP BY ALL)
+SELECT state_name, CAST(cnt AS BIGINT) AS cnt, CAST(row_number() OVER (ORDER BY cnt DESC, state_name) AS INTEGER) AS rank
+FROM s ORDER BY cnt DESC, state_name LIMIT 15""")
+def join_lookup_default(spark, sf_dir):
+    """Orders per customer nation ('Unknown' when the lookup lacks it), top 15."""
+    t = Tables(spark, sf_dir)
+    per_cust = t.orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
+    cust = per_cust.join(t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey")
+    named = jn.lookup_default(cust, t.nation.where(F.col("n_regionkey") != 0), "c_nationkey", "n_nationkey",
+                              "n_name", "state_name")
+    counts = named.groupBy("state_name").agg(F.sum("n").cast("long").alias("cnt"))
+    return top_k(counts, [F.col("cnt").desc(), F.col("state_name").asc()], 15)
+
+
+@query("join_inner_features", "J2", oracle="""
+SELECT l.l_orderkey, l.l_linenumber, p.p_type, l.l_extendedprice
+FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey""")
+def join_inner_features(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    p = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_type")
+    return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice") \
+        .join(p, "l_partkey").drop("l_partkey")
+
+
+@query("join_left_measure", "J3", oracle="""
+SELECT d.doc_id, d.lang, l.quality, l.toxic FROM documents d LEFT JOIN labels l USING (doc_id)""")
+def join_left_measure(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return t.documents.select("doc_id", "lang").join(t.labels, "doc_id", "left")
+
+
+# Stand-in for annotation → listing → breed lookups: a line item is an
+# annotation, its supplier the listing (missing when the balance is not
+# positive), nation ids the breed ids (ids ≥ 20 absent from the lookup).
+_ANN_SQL = """
+SELECT l.l_orderkey, l.l_linenumber, s.s_suppkey IS NOT NULL AS matched,
+       s.s_nationkey AS breed1,
+       CASE WHEN s.s_nationkey > 15 THEN s.s_nationkey - 10 ELSE 0 END AS breed2,
+       CASE WHEN s.s_suppkey IS NULL THEN 'Unknown' WHEN s.s_acctbal >= 5000 THEN 'Dog' ELSE 'Cat' END AS pet_type
+FROM lineitem l LEFT JOIN (SELECT * FROM supplier WHERE s_acctbal > 0) s ON l.l_suppkey = s.s_suppkey"""
+_BREEDS_SQL = "(SELECT n_nationkey, n_name FROM nation WHERE n_nationkey < 20)"
+
+
+def _annotations(t: Tables):
+    sup = t.supplier.where(F.col("s_acctbal") > 0).select(
+        F.col("s_suppkey").alias("l_suppkey"), "s_nationkey", "s_acctbal", F.lit(True).alias("_found"))
+    a = t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey").join(sup, "l_suppkey", "left")
+    matched = F.col("_found").isNotNull()
+    a = a.select("l_orderkey", "l_linenumber", matched.alias("matched"),
+                 F.col("s_nationkey").alias("breed1"),
+                 F.when(F.col("s_nationkey") > 15, F.col("s_nationkey") - 10).otherwise(
+                     F.when(matched, F.lit(0))).alias("breed2"),
+                 F.when(~matched, F.lit("Unknown")).when(F.col("s_acctbal") >= 5000, F.lit("Dog"))
+                 .otherwise(F.lit("Cat")).alias("pet_type"))
+    breeds = t.nation.where(F.col("n_nationkey") < 20)
+    a = jn.lookup_unknown_id(a, breeds, "breed1", "n_nationkey", "n_name", "breed1_name", F.col("matched"))
+    a = jn.lookup_unknown_id(a, breeds, "breed2", "n_nationkey", "n_name", "breed2_name", F.col("matched"))
+    return a
+
+
+@query("join_annotation_enrich", "J4", oracle=f"""
+WITH a AS ({_ANN_SQL})
+SELECT a.l_orderkey, a.l_linenumber, a.matched, a.breed1, CASE WHEN a.matched THEN a.breed2 END AS breed2, a.pet_type,
+       CASE WHEN NOT a.matched THEN 'Unknown' ELSE coalesce(b1.n_name, 'Unknown(' || a.breed1 || ')') END AS breed1_name,
+       CASE WHEN NOT a.matched THEN 'Unknown' ELSE coalesce(b2.n_name, 'Unknown(' || a.breed2 || ')') END AS breed2_name
+FROM a LEFT JOIN {_BREEDS_SQL} b1 ON a.breed1 = b1.n_nationkey
+LEFT JOIN {_BREEDS_SQL} b2 ON CASE WHEN a.matched THEN a.breed2 END = b2.n_nationkey""")
+def join_annotation_enrich(spark, sf_dir):
+    return _annotations(Tables(spark, sf_dir))
+
+
+@query("join_unmatched_counts", "J5", oracle=f"""
+WITH a AS ({_ANN_SQL})
+SELECT CAST(count_if(matched) AS BIGINT) AS matched, CAST(count_if(NOT matched) AS BIGINT) AS unmatched FROM a""")
+def join_unmatched_counts(spark, sf_dir):
+    return jn.unmatched_counts(_annotations(Tables(spark, sf_dir)), F.col("matched"))
+
+
+@query("set_distinct_breeds", "U3", oracle=f"""
+WITH a AS ({_ANN_SQL}),
+n AS (SELECT a.breed1 AS id, coalesce(b1.n_name, 'Unknown(' || a.breed1 || ')') AS name
+      FROM a LEFT JOIN {_BREEDS_SQL} b1 ON a.breed1 = b1.n_nationkey WHERE a.matched
+      UNION
+      SELECT a.breed2, coalesce(b2.n_name, 'Unknown(' || a.breed2 || ')')
+      FROM a LEFT JOIN {_BREEDS_SQL} b2 ON a.breed2 = b2.n_nationkey WHERE a.matched AND a.breed2 <> 0)
+SELECT CAST(id AS INTEGER) AS id, name FROM n""")
+def set_distinct_breeds(spark, sf_dir):
+    """Distinct (id, name) breeds used by matched annotations, secondary id 0 excluded."""
+    a = _annotations(Tables(spark, sf_dir)).where(F.col("matched"))
+    b1 = a.select(F.col("breed1").alias("id"), F.col("breed1_name").alias("name"))
+    b2 = a.where(F.col("breed2") != 0).select(F.col("breed2").alias("id"), F.col("breed2_name").alias("name"))
+    return b1.union(b2).distinct().orderBy("id")
+
+
+@query("join_first_match", "J6", oracle="""
+SELECT l_orderkey, l_linenumber, l_returnflag AS top_label FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey
+                               ORDER BY l_linenumber, l_partkey, l_suppkey, l_returnflag) AS r
+  FROM lineitem) WHERE r = 1""")
+def join_first_match(spark, sf_dir):
+    """First annotation (line) per file (order), with its label."""
+    li = Tables(spark, sf_dir).lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                                               F.col("l_returnflag").alias("top_label"))
+    first = jn.first_match(li, "l_orderkey", [F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey"),
+                                              F.col("top_label")])
+    return first.drop("l_partkey", "l_suppkey")
+
+
+@query("join_exists_file", "J7", oracle="""
+SELECT o_orderkey, o_orderstatus FROM orders o
+WHERE EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey AND l.l_returnflag = 'R')""")
+def join_exists_file(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    files = t.lineitem.where(F.col("l_returnflag") == "R").select(F.col("l_orderkey").alias("o_orderkey"))
+    return jn.exists_in(t.orders.select("o_orderkey", "o_orderstatus"), files, "o_orderkey")
+
+
+@query("proj_fill_defaults", "P1", oracle="""
+SELECT doc_id, coalesce(nullif(source, 'src3'), 'Unknown') AS author,
+       coalesce(nullif(lang, 'de'), 'N/A') AS category,
+       coalesce(CASE WHEN n_chars < 500 THEN NULL ELSE lang END, '') AS short_text FROM documents""")
+def proj_fill_defaults(spark, sf_dir):
+    d = Tables(spark, sf_dir).documents
+    d = d.select("doc_id", F.expr("nullif(source, 'src3')").alias("author"),
+                 F.expr("nullif(lang, 'de')").alias("category"),
+                 F.when(F.col("n_chars") < 500, F.lit(None)).otherwise(F.col("lang")).alias("short_text"))
+    return fsc.fill_defaults(d, {"author": "Unknown", "category": "N/A", "short_text": ""})
+
+
+@query("proj_parse_date", "P2", oracle="""
+SELECT event_id, CAST(try_strptime(CASE WHEN value > 50 THEN 'n/a' ELSE strftime(ts, '%Y-%m-%d') END, '%Y-%m-%d')
+                      AS DATE) AS day FROM events""")
+def proj_parse_date(spark, sf_dir):
+    """Lenient parse of a date text column; unparsable values become null."""
+    e = Tables(spark, sf_dir).events
+    txt = F.when(F.col("value") > 50, F.lit("n/a")).otherwise(F.date_format("ts", "yyyy-MM-dd"))
+    return e.select("event_id", F.to_date(fsc.parse_date(txt, "yyyy-MM-dd")).alias("day"))
+
+
+@query("proj_combined_text", "P3", oracle=r"""
+SELECT doc_id, regexp_replace(regexp_replace(split_part(text, chr(10), 1), '^\s+|\s+$', '', 'g') || ' ' ||
+       regexp_replace(source, '^\s+|\s+$', '', 'g'), '^\s+|\s+$', '', 'g') AS combined_text FROM documents""")
+def proj_combined_text(spark, sf_dir):
+    """First line (headline) + source, each stripped, joined by a space, stripped."""
+    d = Tables(spark, sf_dir).documents
+    head = F.substring_index("text", "\n", 1)
+    return d.select("doc_id", strip(F.concat_ws(" ", strip(head), strip("source"))).alias("combined_text"))
+
+
+@query("proj_binary_flags", "P6", oracle="""
+SELECT CASE WHEN nullif(source, 'src3') IS NULL THEN 'No Name' ELSE 'Has Name' END AS has_name,
+       CASE WHEN lang = 'en' THEN 'Pure Breed' ELSE 'Not Pure Breed' END AS pure_breed, count(*) AS cnt
+FROM documents GROUP BY ALL""")
+def proj_binary_flags(spark, sf_dir):
+    d = Tables(spark, sf_dir).documents
+    f = d.select(fsc.flag(F.expr("nullif(source, 'src3')").isNull(), "No Name", "Has Name").alias("has_name"),
+                 fsc.flag(F.col("lang") == "en", "Pure Breed", "Not Pure Breed").alias("pure_breed"))
+    return f.groupBy("has_name", "pure_breed").agg(F.count(F.lit(1)).alias("cnt"))
+
+
+@query("proj_key_from_filename", "P7", oracle="""
+SELECT doc_id, regexp_extract(source || '-' || doc_id || '-' || lang || '.jpg', '^(.*)-[^-]*$', 1) AS pet_id
+FROM documents""")
+def proj_key_from_filename(spark, sf_dir):
+    d = Tables(spark, sf_dir).documents
+    fname = F.concat_ws("-", "source", F.col("doc_id").cast("string"), F.concat("lang", F.lit(".jpg")))
+    return d.select("doc_id", fsc.key_from_filename(fname).alias("pet_id"))
+
+
+@query("flt_isin_top", "P8", oracle="""
+SELECT doc_id, source FROM documents
+WHERE source IN (SELECT source FROM documents GROUP BY source ORDER BY count(*) DESC, source LIMIT 3)""")
+def flt_isin_top(spark, sf_dir):
+    d = Tables(spark, sf_dir).documents.select("doc_id", "source")
+    counts = d.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    top = top_k(counts, [F.col("n").desc(), F.col("source").asc()], 3, rank_col=None).select("source")
+    return d.join(F.broadcast(top), "source", "left_semi")  # at most 3 rows
+
+
+@query("flt_nonblank", "P9", oracle=r"""
+SELECT doc_id, lang FROM documents WHERE regexp_replace(coalesce(text, ''), '^\s+|\s+$', '', 'g') <> ''""")
+def flt_nonblank(spark, sf_dir):
+    d = Tables(spark, sf_dir).documents
+    return d.where(strip(F.coalesce("text", F.lit(""))) != "").select("doc_id", "lang")
+
+
+@query("flt_min_class_size", "P10", oracle="""
+WITH c AS (SELECT lang || '/' || source AS cls, doc_id FROM documents)
+SELECT doc_id, cls FROM c WHERE cls IN (SELECT cls FROM c GROUP BY cls HAVING count(*) >= 12)""")
+def flt_min_class_size(spark, sf_dir):
+    """Keep (lang, source) classes with at least 12 documents.
+
+    Class sizes are an aggregate joined back (not a window), so a huge class
+    is counted by many tasks."""
+    d = Tables(spark, sf_dir).documents.select("doc_id", F.concat_ws("/", "lang", "source").alias("cls"))
+    big = d.groupBy("cls").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= 12).select("cls")
+    return d.join(big, "cls", "left_semi")
+
+
+@query("proj_sample_rows", "P17 F6", oracle=f"""
+SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS order_date,
+       {_case_sql(OUTCOME_SQL, OUTCOME_NAMES)} AS outcome_name,
+       {_case_sql('o_orderstatus', STATUS_NAMES)} AS status_name, o_totalprice
+FROM orders ORDER BY o_orderkey LIMIT 10""")
+def proj_sample_rows(spark, sf_dir):
+    """First 10 display rows by key, codes replaced by labels."""
+    o = Tables(spark, sf_dir).orders
+    rows = o.orderBy("o_orderkey").limit(10)
+    return rows.select("o_orderkey", fsc.date_text("o_orderdate").alias("order_date"),
+                       fsc.code_labels(outcome(), OUTCOME_NAMES).alias("outcome_name"),
+                       fsc.code_labels("o_orderstatus", STATUS_NAMES).alias("status_name"), "o_totalprice")
+
+
+@query("top_n_largest_smallest", "K1", oracle="""
+(SELECT 'best' AS side, CAST(row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS INTEGER) AS rank,
+        o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 8)
+UNION ALL
+(SELECT 'worst', CAST(row_number() OVER (ORDER BY o_totalprice, o_orderkey) AS INTEGER),
+        o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice, o_orderkey LIMIT 8)""")
+def top_n_largest_smallest(spark, sf_dir):
+    o = Tables(spark, sf_dir).orders.select("o_orderkey", "o_totalprice")
+    best = top_k(o, [F.col("o_totalprice").desc(), F.col("o_orderkey")], 8).withColumn("side", F.lit("best"))
+    worst = top_k(o, [F.col("o_totalprice"), F.col("o_orderkey")], 8).withColumn("side", F.lit("worst"))
+    return best.unionByName(worst).select("side", "rank", "o_orderkey", "o_totalprice")
+
+
+@query("set_feature_subsets", "U4", oracle="""
+WITH g AS (SELECT DISTINCT c_mktsegment AS g FROM customer),
+s1 AS (SELECT [g] AS subset, g AS last FROM g),
+s2 AS (SELECT list_append(s1.subset, g.g) AS subset, g.g AS last FROM s1 JOIN g ON g.g > s1.last),
+s3 AS (SELECT list_append(s2.subset, g.g) AS subset, g.g AS last FROM s2 JOIN g ON g.g > s2.last),
+a AS (SELECT subset FROM s1 UNION ALL SELECT subset FROM s2 UNION ALL SELECT subset FROM s3)
+SELECT array_to_string(subset, '+') AS subset_name, CAST(len(subset) AS INTEGER) AS size FROM a""")
+def set_feature_subsets(spark, sf_dir):
+    """Every non-empty subset (size ≤ 3) of the feature groups (market segments)."""
+    groups = Tables(spark, sf_dir).customer.select(F.col("c_mktsegment").alias("g")).distinct()
+    return feature_subsets(groups, "g", 3).select("subset_name", "size")
+
+
+@query("fn_trim_lower_strip", "F4", oracle="""
+SELECT c_custkey, lower(trim(replace(c_name, '"', ''))) AS name_key FROM customer""")
+def fn_trim_lower_strip(spark, sf_dir):
+    c = Tables(spark, sf_dir).customer
+    return c.select("c_custkey", fsc.trim_lower_strip("c_name").alias("name_key"))
+
+
+@query("fn_json_path", "F9 S4", oracle="""
+SELECT event_id, coalesce(TRY_CAST(json_extract_string(props, '$.k') AS INTEGER), -1) AS k,
+       coalesce(json_extract_string(props, '$.missing.deep'), 'none') AS deep FROM events""")
+def fn_json_path(spark, sf_dir):
+    """Optional nested JSON access with defaults on ``events.props``."""
+    e = Tables(spark, sf_dir).events
+    return e.select("event_id", fsc.json_path("props", "$.k", -1, "int").alias("k"),
+                    fsc.json_path("props", "$.missing.deep", "none").alias("deep"))
+
+
+@query("fn_label_ids", "F12 E9", oracle="""
+SELECT lang, CAST(row_number() OVER (ORDER BY lang) - 1 AS INTEGER) AS label_id FROM (SELECT DISTINCT lang FROM documents)""")
+def fn_label_ids(spark, sf_dir):
+    """Sorted label → id (distinct labels are aggregated first; the ranking
+    runs over the small label set, not over the rows)."""
+    from pyspark.sql import Window
+    labels = Tables(spark, sf_dir).documents.select("lang").distinct()
+    return labels.select("lang", (F.row_number().over(Window.orderBy("lang")) - 1).alias("label_id"))
+
+
+@query("fn_concat_label", "F13", oracle="""
+SELECT doc_id, concat_ws('__', lang, source, 'tf.idf') AS run_id,
+       translate(concat_ws('__', lang, source, 'tf.idf'), '/-. ', '____') AS safe_id FROM documents""")
+def fn_concat_label(spark, sf_dir):
+    d = Tables(spark, sf_dir).documents
+    rid = fsc.concat_label(F.col("lang"), F.col("source"), F.lit("tf.idf"))
+    return d.select("doc_id", rid.alias("run_id"), fsc.safe_id(rid).alias("safe_id"))
+
+
+@query("fn_clip", "F11", oracle="""
+SELECT vec_id, least(greatest(CAST(embedding[1] AS DOUBLE) * 3, -1.0), 1.0) AS clipped,
+       greatest(abs(CAST(embedding[2] AS DOUBLE)), 1e-9) AS floored FROM embeddings""")
+def fn_clip(spark, sf_dir):
+    e = Tables(spark, sf_dir).embeddings
+    return e.select("vec_id", fsc.clip(F.col("embedding")[0].cast("double") * 3, -1.0, 1.0).alias("clipped"),
+                    fsc.floor_at(F.abs(F.col("embedding")[1].cast("double")), 1e-9).alias("floored"))
