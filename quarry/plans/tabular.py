@@ -284,7 +284,7 @@ def agg_duplicates(spark, sf_dir):
 from quarry.functions import scalar as fsc  # noqa: E402
 from quarry.functions.text import strip  # noqa: E402
 from quarry.operators import joins as jn  # noqa: E402
-from quarry.operators.rank import feature_subsets, top_k, topk_per_group  # noqa: E402
+from quarry.operators.rank import attach, feature_subsets, top_k, topk_per_group  # noqa: E402
 
 
 @query("join_lookup_default", "J1", oracle="""
@@ -573,3 +573,33 @@ def fn_clip(spark, sf_dir):
     e = Tables(spark, sf_dir).embeddings
     return e.select("vec_id", fsc.clip(F.col("embedding")[0].cast("double") * 3, -1.0, 1.0).alias("clipped"),
                     fsc.floor_at(F.abs(F.col("embedding")[1].cast("double")), 1e-9).alias("floored"))
+
+
+@query("agg_pivot_year_category", "A24", oracle="""
+WITH b AS (SELECT CAST(year(o.o_orderdate) AS INTEGER) AS year, n.n_name
+           FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey),
+top AS (SELECT n_name FROM b GROUP BY n_name ORDER BY count(*) DESC, n_name LIMIT 6),
+y AS (SELECT DISTINCT year FROM b WHERE n_name IN (SELECT n_name FROM top)),
+c AS (SELECT year, n_name, count(*) AS cnt FROM b WHERE n_name IN (SELECT n_name FROM top) GROUP BY ALL)
+SELECT y.year, t.n_name, CAST(coalesce(c.cnt, 0) AS BIGINT) AS cnt
+FROM y CROSS JOIN top t LEFT JOIN c ON c.year = y.year AND c.n_name = t.n_name""")
+def agg_pivot_year_category(spark, sf_dir):
+    """Year × top-6 customer nations order counts, zero-filled (long form).
+
+    Each year's counts are gathered into a map of at most 6 entries and read
+    back through the (bounded) top-6 list, so zero cells need no join."""
+    t = Tables(spark, sf_dir)
+    per_cust = (t.orders.select("o_custkey", F.year("o_orderdate").alias("year"))
+                .groupBy("o_custkey", "year").agg(F.count(F.lit(1)).alias("n")))
+    cust = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    nation = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    b = per_cust.join(cust, "o_custkey").join(nation, "c_nationkey")
+    tot = b.groupBy("n_name").agg(F.sum("n").alias("_t"))
+    top = top_k(tot, [F.col("_t").desc(), F.col("n_name")], 6, rank_col=None).select("n_name")
+    top_list = top.agg(F.collect_list("n_name").alias("_top"))          # 6 names
+    cells = (b.join(F.broadcast(top), "n_name", "left_semi")             # ≤ 6 rows
+             .groupBy("year", "n_name").agg(F.sum("n").alias("cnt")))
+    per_year = cells.groupBy("year").agg(F.map_from_entries(F.collect_list(F.struct("n_name", "cnt"))).alias("_m"))
+    grid = attach(per_year, top_list, [])
+    return grid.select("year", F.explode("_top").alias("n_name"), "_m") \
+        .select("year", "n_name", F.coalesce(F.col("_m")[F.col("n_name")], F.lit(0)).cast("long").alias("cnt"))
