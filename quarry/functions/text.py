@@ -55,12 +55,11 @@ def tokenize(col, remove_stopwords: bool = False, min_len: int = 3) -> Column:
     """lower-case ``[a-z']+`` tokens of at least ``min_len`` characters,
     not starting with an apostrophe, optionally without stop words."""
     toks = F.regexp_extract_all(F.lower(F.coalesce(_c(col), F.lit(""))), F.lit(LETTER_TOKEN), 0)
-    stops = stopword_array()
 
     def keep(t):
         cond = (F.length(t) >= min_len) & ~t.startswith("'")
         if remove_stopwords:
-            cond = cond & ~F.array_contains(stops, t)
+            cond = cond & ~t.isin(STOPWORDS)  # becomes a hash-set lookup (InSet)
         return cond
     return F.filter(toks, keep)
 
@@ -135,8 +134,8 @@ _ENGLISH = None
 
 
 def without_english_stopwords(tokens: Column) -> Column:
-    stops = F.array(*[F.lit(w) for w in english_stopwords()])
-    return F.filter(tokens, lambda t: ~F.array_contains(stops, t))
+    stops = english_stopwords()
+    return F.filter(tokens, lambda t: ~t.isin(stops))
 
 
 def strip(col) -> Column:

@@ -175,27 +175,27 @@ def heatmap_binned(df: DataFrame, x: str, x_edges, x_labels, y: str, y_edges, y_
 
 
 def length_summary(df: DataFrame, cols: Mapping[str, Column], digits: int = 2) -> DataFrame:
-    """Per named length expression, mean (2 dp) and int-truncated median."""
-    out = None
-    for name, expr in cols.items():
-        vals = df.select(expr.alias("_len"))
-        q = exact_quantiles(vals, [], "_len", {"median": 0.5}, count_col=None)
-        m = vals.agg(F.round(F.avg("_len"), digits).alias("mean"))
-        row = m.crossJoin(q).select(F.lit(name).alias("measure"), "mean",  # one-row scalars
-                                    F.col("median").cast("int").alias("median_int"))
-        out = row if out is None else out.unionByName(row)
-    return out
+    """Per named length expression, mean (2 dp) and int-truncated median.
+
+    The measures are unpivoted into one long column so a single quantile
+    pass serves all of them."""
+    names = list(cols)
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(n).alias("measure"), cols[n].cast("double").alias("_len"))
+                                          for n in names])).alias("_m")).select("_m.*")
+    q = exact_quantiles(long, "measure", "_len", {"median": 0.5}, count_col=None)
+    m = long.groupBy("measure").agg(F.round(F.avg("_len"), digits).alias("mean"))
+    return m.join(q, "measure").select("measure", "mean", F.col("median").cast("int").alias("median_int"))
 
 
 def metric_medians(df: DataFrame, group: str, metrics: Sequence[str], domain: Sequence | None = None,
                    digits: int = 4) -> DataFrame:
-    """Median of several metrics per group, long form; with a
-    domain, groups without rows get 0."""
-    out = None
-    for m in metrics:
-        q = exact_quantiles(df, group, m, {"median": 0.5}, count_col=None)
-        q = q.select(group, F.lit(m).alias("metric"), F.round("median", digits).alias("median"))
-        out = q if out is None else out.unionByName(q)
+    """Median of several metrics per group, long form (one quantile
+    pass over the unpivoted metrics); with a domain, absent groups get 0."""
+    long = df.select(group, F.explode(F.array(*[F.struct(F.lit(m).alias("metric"),
+                                                         F.col(m).cast("double").alias("_v"))
+                                                for m in metrics])).alias("_m")).select(group, "_m.*")
+    out = exact_quantiles(long, [group, "metric"], "_v", {"median": 0.5}, count_col=None) \
+        .select(group, "metric", F.round("median", digits).alias("median"))
     if domain is not None:
         spark = df.sparkSession
         dom = spark.createDataFrame([(d, m) for d in domain for m in metrics],

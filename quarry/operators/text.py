@@ -34,8 +34,7 @@ def term_counts(df: DataFrame, tokens: Column, k: int | None = None, group=None,
 def stopword_counts(df: DataFrame, text: Column, k: int = 20, digits: int = 2) -> DataFrame:
     """Top-k stop words (tokens of any length), their total, and the share
     of all stop-word tokens covered by the top k."""
-    stops = F.array(*[F.lit(w) for w in STOPWORDS])
-    toks = F.filter(tokenize(text, min_len=1), lambda t: F.array_contains(stops, t))
+    toks = F.filter(tokenize(text, min_len=1), lambda t: t.isin(STOPWORDS))
     counts = term_counts(df, toks, term="word")
     top = top_k(counts, [F.col("cnt").desc(), F.col("word").asc()], k)
     total = counts.agg(F.sum("cnt").alias("total_stopword_tokens"))
