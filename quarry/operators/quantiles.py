@@ -2,15 +2,17 @@
 
 ``percentile``/``median`` keep one value→count map per group inside a single
 aggregation buffer, so a group holding a third of a 100 TB table lands in
-one task.  The rank-based form below keeps every step distributed:
+one task.  The form below keeps every step distributed and deterministic
+(a pure function of the data, so recomputation after an executor loss
+yields the same answer):
 
 1. distinct (group, value) pairs with multiplicities (map-side combined);
-2. a range shuffle on (group, value), which splits a hot group over many
-   partitions; cumulative counts inside each partition, plus the offsets of
-   the earlier partitions (a table of at most partitions + groups rows);
-3. each distinct value knows the 0-based positions it covers, so the values
-   at the two positions around ``p·(n-1)`` are picked by a grouped ``max``
-   (again map-side combined) and interpolated like numpy/DuckDB
+2. per group min / max / count, and counts per equal-width value bucket
+   (``buckets`` per group) — the bucket table is small and its running
+   totals give each bucket's first and last position;
+3. only the buckets that contain a wanted position (two per probability)
+   are ranked, inside (group, bucket) windows, and the values at the two
+   positions around ``p·(n-1)`` are interpolated like numpy / DuckDB
    ``quantile_cont``.
 """
 
@@ -22,49 +24,51 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.operators.rank import _cols
+from quarry.operators.rank import _cols, attach
 
 
 def exact_quantiles(df: DataFrame, group_cols, value_col: str,
-                    probs: Mapping[str, float], count_col: str | None = "n") -> DataFrame:
+                    probs: Mapping[str, float], count_col: str | None = "n",
+                    buckets: int = 4096) -> DataFrame:
     """One row per group: ``count_col`` (non-null values) and one column per
     named probability.  Groups with no non-null value are absent."""
     groups = _cols(group_cols)
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     v = F.col(value_col).cast("double")
     vc = (df.select(*groups, v.alias("_v")).where(F.col("_v").isNotNull())
           .groupBy(*groups, "_v").agg(F.count(F.lit(1)).alias("_c")))
-    ranged = (vc.repartitionByRange(parts, *[F.col(g) for g in groups], F.col("_v"))
-              .withColumn("_pid", F.spark_partition_id()))
-    # Cumulative count inside each partition slice of a group.
-    local = ranged.withColumn("_lcum", F.sum("_c").over(
-        Window.partitionBy(*groups, "_pid").orderBy("_v")
-        .rowsBetween(Window.unboundedPreceding, 0)))
-    # Offsets of earlier partitions for the same group: small table.
-    slices = ranged.groupBy(*groups, "_pid").agg(F.sum("_c").alias("_psum"))
+    rng = vc.groupBy(*groups).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"),
+                                  F.sum("_c").alias("_n"))
+    span = F.col("_hi") - F.col("_lo")
+    bucket = F.when(span > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / span * buckets),
+                                      F.lit(buckets - 1))).otherwise(F.lit(0)).cast("int")
+    vb = attach(vc, rng, groups).withColumn("_b", bucket).drop("_lo", "_hi")
+    bc = vb.groupBy(*groups, "_b", "_n").agg(F.sum("_c").alias("_bc"))
     gw = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))
-    slices = (slices
-              .withColumn("_off", F.coalesce(F.sum("_psum").over(
-                  gw.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-              .withColumn("_n", F.sum("_psum").over(gw))
-              .drop("_psum"))
-    keyed = local.join(slices, [*groups, "_pid"])
-    end = F.col("_off") + F.col("_lcum")           # exclusive end position
-    start = end - F.col("_c")                      # first position covered
+    bc = bc.withColumn("_bend", F.sum("_bc").over(gw.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)))
+    bc = bc.withColumn("_bstart", F.col("_bend") - F.col("_bc"))
+    wanted = F.lit(False)
+    for p in probs.values():
+        pos = F.lit(float(p)) * (F.col("_n") - 1)
+        for k in (F.floor(pos), F.ceil(pos)):
+            wanted = wanted | ((F.col("_bstart") <= k) & (k < F.col("_bend")))
+    need = bc.where(wanted).select(*groups, "_b", "_bstart")
+    sel = vb.join(need, [*groups, "_b"])
+    sel = sel.withColumn("_cum", F.sum("_c").over(
+        Window.partitionBy(*groups, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)))
+    end = F.col("_bstart") + F.col("_cum")          # exclusive end position
+    start = end - F.col("_c")                       # first position covered
     aggs = [F.first("_n").alias("_n")]
-    for i, (name, p) in enumerate(probs.items()):
+    for i, p in enumerate(probs.values()):
         pos = F.lit(float(p)) * (F.col("_n") - 1)
-        lo = F.floor(pos)
-        hi = F.ceil(pos)
+        lo, hi = F.floor(pos), F.ceil(pos)
         aggs.append(F.max(F.when((start <= lo) & (lo < end), F.col("_v"))).alias(f"_lo{i}"))
         aggs.append(F.max(F.when((start <= hi) & (hi < end), F.col("_v"))).alias(f"_hi{i}"))
-    picked = keyed.groupBy(*groups).agg(*aggs)
+    picked = sel.groupBy(*groups).agg(*aggs)
     out = [F.col(g) for g in groups]
     if count_col:
         out.append(F.col("_n").cast("long").alias(count_col))
-    for i, (name, p) in enumerate(probs.items()):
-        pos = F.lit(float(p)) * (F.col("_n") - 1)
+    for i, name in enumerate(probs):
+        pos = F.lit(float(probs[name])) * (F.col("_n") - 1)
         frac = pos - F.floor(pos)
         lo_v, hi_v = F.col(f"_lo{i}"), F.col(f"_hi{i}")
         out.append((lo_v + frac * (hi_v - lo_v)).alias(name))

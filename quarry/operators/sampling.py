@@ -29,28 +29,26 @@ def sample_cap_per_group(df: DataFrame, group: str, id_col: str, cap: int, seed:
                           slice_cols=[id_col]).drop("_h", "_r")
 
 
-def _class_positions(df: DataFrame, label: str, id_col: str, seed: int) -> DataFrame:
+def _class_positions(df: DataFrame, label: str, id_col: str, seed: int, buckets_hex: int = 4) -> DataFrame:
     """Rank of each row inside its class in hash order, plus the class size.
 
-    The rank is a global sort (range-partitioned on (class, hash) so a large
-    class is split across tasks) followed by per-partition row numbers and
-    prefix offsets — no task holds a whole class.
+    The md5 key is uniform, so its first hex digits split every class into
+    16^``buckets_hex`` equally sized, ordered slices: rows are ranked inside
+    (class, slice) windows and the slice offsets come from a small running
+    total — a huge class is spread over many tasks, and every step is a
+    pure function of the data (stable under task retries).
     """
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    h = df.withColumn("_h", hash_key(id_col, seed))
-    r = (h.repartitionByRange(parts, F.col(label), F.col("_h"), F.col(id_col))
-         .withColumn("_pid", F.spark_partition_id()))
-    local = r.withColumn("_lr", F.row_number().over(
-        Window.partitionBy(label, "_pid").orderBy("_h", id_col)))
-    sizes = r.groupBy(label, "_pid").agg(F.count(F.lit(1)).alias("_ps"))
+    h = df.withColumn("_h", hash_key(id_col, seed)) \
+          .withColumn("_s", F.conv(F.substring("_h", 1, buckets_hex), 16, 10).cast("int"))
+    local = h.withColumn("_lr", F.row_number().over(Window.partitionBy(label, "_s").orderBy("_h", id_col)))
+    sizes = h.groupBy(label, "_s").agg(F.count(F.lit(1)).alias("_ss"))
     w = Window.partitionBy(label)
-    sizes = (sizes.withColumn("_off", F.coalesce(F.sum("_ps").over(
-        w.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-        .withColumn("class_n", F.sum("_ps").over(w)).drop("_ps"))
-    return (local.join(sizes, [label, "_pid"])
+    sizes = (sizes.withColumn("_off", F.coalesce(F.sum("_ss").over(
+        w.orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+        .withColumn("class_n", F.sum("_ss").over(w)).drop("_ss"))
+    return (local.join(sizes, [label, "_s"])
             .withColumn("class_pos", (F.col("_off") + F.col("_lr")).cast("long"))
-            .drop("_pid", "_lr", "_off", "_h"))
+            .drop("_s", "_lr", "_off", "_h"))
 
 
 def split_train_test(df: DataFrame, id_col: str, train_frac: float = 0.8, seed: int = 42) -> DataFrame:
