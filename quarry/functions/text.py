@@ -87,26 +87,31 @@ def distinct_count(tokens: Column) -> Column:
     return F.size(F.array_distinct(tokens))
 
 
-def char_ngrams(col, n_min: int = 3, n_max: int = 5) -> Column:
-    """Character n-grams inside word boundaries; each word is padded
-    with one blank on both sides (words shorter than n give the padded word
-    once, as the reference vectoriser does)."""
+def text_words(col) -> Column:
+    """Lower-cased whitespace-separated words (empty strings dropped)."""
     words = F.split(F.lower(F.trim(F.coalesce(_c(col), F.lit("")))), r"(?U)\s+")
-    words = F.filter(words, lambda w: F.length(w) > 0)
-
-    def grams(w):
-        p = F.concat(F.lit(" "), w, F.lit(" "))
-        ln = F.length(p)
-        # Sliding windows while the padded word is longer than n; the whole
-        # padded word once for the first n that reaches its length.
-        def windows(n):
-            return F.transform(F.sequence(F.lit(1), ln - n + 1), lambda i: F.substring(p, i, F.lit(n)))
-        per_n = [F.when(ln > n, windows(n))
-                 .when((ln == n) | ((ln < n) & F.lit(n == n_min)), F.array(p))
-                 .otherwise(F.array().cast("array<string>"))
-                 for n in range(n_min, n_max + 1)]
-        return F.flatten(F.array(*per_n))
-    return F.flatten(F.transform(words, grams))
+    return F.filter(words, lambda w: F.length(w) > 0)
+
+
+def word_char_ngrams(word: Column, n_min: int = 3, n_max: int = 5) -> Column:
+    """E12 for one word: the word padded with one blank on both sides;
+    sliding n-grams while the padded word is longer than n, and the whole
+    padded word once for the first n that reaches its length."""
+    p = F.concat(F.lit(" "), word, F.lit(" "))
+    ln = F.length(p)
+
+    def windows(n):
+        return F.transform(F.sequence(F.lit(1), ln - n + 1), lambda i: F.substring(p, i, F.lit(n)))
+    per_n = [F.when(ln > n, windows(n))
+             .when((ln == n) | ((ln < n) & F.lit(n == n_min)), F.array(p))
+             .otherwise(F.array().cast("array<string>"))
+             for n in range(n_min, n_max + 1)]
+    return F.flatten(F.array(*per_n))
+
+
+def char_ngrams(col, n_min: int = 3, n_max: int = 5) -> Column:
+    """Character n-grams inside word boundaries for a whole text."""
+    return F.flatten(F.transform(text_words(col), lambda w: word_char_ngrams(w, n_min, n_max)))
 
 
 def english_stopwords() -> list[str]:

@@ -118,9 +118,11 @@ def histogram_edges(df: DataFrame, value: str, edges: Sequence[float], group=Non
     """
     groups = _cols(group)
     binned = df.select(*groups, _edge_bin(F.col(value), edges, right=False).alias("bin"))
-    counts = (binned.where(F.col("bin").isNotNull())
-              .groupBy(*groups).agg(*[F.count_if(F.col("bin") == i).alias(f"_b{i}")
-                                      for i in range(len(edges) - 1)]))
+    # No filter on the derived bin: a pushed-down predicate would inline
+    # (and so re-evaluate) the value expression; out-of-range bins are null
+    # and match no counter anyway.
+    counts = binned.groupBy(*groups).agg(*[F.count_if(F.col("bin") == i).alias(f"_b{i}")
+                                           for i in range(len(edges) - 1)])
     n = len(edges) - 1
     body = ", ".join(f"{i}, '{_fmt_edge(edges[i])}-{_fmt_edge(edges[i + 1] - 1)}', "
                      f"CAST({edges[i]} AS DOUBLE), CAST({edges[i + 1]} AS DOUBLE), _b{i}"

@@ -100,32 +100,73 @@ class SklearnTfidfModel(Model, HasInputCol, HasOutputCol):
 
 
 class TruncatedSVD(Estimator, HasInputCol, HasOutputCol):
-    """Truncated SVD (LSA).  k is capped at n_features - 1; with at
-    most one feature the input passes through unchanged (as a dense vector).
+    """Truncated SVD (LSA) by randomized range finding (Halko et al.,
+    the algorithm behind the reference's default solver).  k is capped at
+    n_features - 1; with at most one feature the input passes through.
 
-    The fit is MLlib's distributed ``RowMatrix.computeSVD``; projecting a
-    row is x·V, computed per Arrow batch against the broadcast V (n × k)."""
+    Each pass over the rows computes ``Xᵀ(X·M)`` and ``(X·M)ᵀ(X·M)`` for the
+    current d × l test matrix M (l = k + oversampling) with per-partition
+    numpy partials merged by ``treeAggregate``: the data is read
+    ``n_iter + 1`` times, and only d × l / l × l matrices (bounded by the
+    vocabulary size and k) ever reach the driver."""
 
     k = Param(Params._dummy(), "k", "components", TypeConverters.toInt)
+    n_iter = Param(Params._dummy(), "n_iter", "power iterations", TypeConverters.toInt)
 
     @keyword_only
-    def __init__(self, inputCol="features", outputCol="svd", k=300):
+    def __init__(self, inputCol="features", outputCol="svd", k=300, n_iter=2, oversample=10, seed=42):
         super().__init__()
-        self._setDefault(k=300)
-        self._set(**self._input_kwargs)
+        self._setDefault(k=300, n_iter=2)
+        kw = dict(self._input_kwargs)
+        self.oversample = kw.pop("oversample", 10)
+        self.seed = kw.pop("seed", 42)
+        self._set(**kw)
 
     def _fit(self, df: DataFrame):
-        from pyspark.mllib.linalg import Vectors as OldVectors
-        from pyspark.mllib.linalg.distributed import RowMatrix
         first = df.select(self.getInputCol()).first()
         n_features = first[0].size if first is not None else 0
         k = min(self.getOrDefault(self.k), n_features - 1)
         if k < 1:
             return TruncatedSVDModel(self.getInputCol(), self.getOutputCol(), None)
-        rows = df.select(self.getInputCol()).rdd.map(lambda r: OldVectors.fromML(r[0]))
-        svd = RowMatrix(rows).computeSVD(k, computeU=False)
-        v = svd.V.toArray()  # n_features × k model parameter
-        return TruncatedSVDModel(self.getInputCol(), self.getOutputCol(), v)
+        ell = min(k + self.oversample, n_features)
+        sc = df.sparkSession.sparkContext
+        rows = df.select(self.getInputCol()).rdd.map(lambda r: r[0])
+        m = np.random.RandomState(self.seed).standard_normal((n_features, ell))
+
+        def one_pass(mat):
+            mb = sc.broadcast(mat)
+
+            def partial(it):
+                mm = mb.value
+                a = np.zeros_like(mm)
+                g = np.zeros((mm.shape[1], mm.shape[1]))
+                for vec in it:
+                    idx = np.asarray(vec.indices) if hasattr(vec, "indices") else np.nonzero(vec.toArray())[0]
+                    val = np.asarray(vec.values) if hasattr(vec, "indices") else vec.toArray()[idx]
+                    if len(idx) == 0:
+                        continue
+                    y = val @ mm[idx]
+                    a[idx] += np.outer(val, y)
+                    g += np.outer(y, y)
+                yield a, g
+
+            def merge(x, y):
+                return x[0] + y[0], x[1] + y[1]
+            res = rows.mapPartitions(partial).treeReduce(merge, depth=2)
+            mb.unpersist()
+            return res
+
+        for _ in range(self.getOrDefault(self.n_iter)):
+            a, _g = one_pass(m)
+            m, _ = np.linalg.qr(a)
+        a, g = one_pass(m)
+        lam, w = np.linalg.eigh(g)
+        keep = lam > lam.max() * 1e-12
+        z = a @ (w[:, keep] / np.sqrt(lam[keep]))     # = Xᵀ Q, Q orthonormal basis of X·M
+        u, svals, _ = np.linalg.svd(z, full_matrices=False)
+        model = TruncatedSVDModel(self.getInputCol(), self.getOutputCol(), u[:, :k])
+        model.singular_values = svals[:k]
+        return model
 
 
 class TruncatedSVDModel(Model, HasInputCol, HasOutputCol):

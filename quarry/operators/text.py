@@ -47,8 +47,10 @@ def stopword_counts(df: DataFrame, text: Column, k: int = 20, digits: int = 2) -
 
 def bigram_counts(df: DataFrame, text: Column, k: int = 20) -> DataFrame:
     """Top-k adjacent pairs after stop-word removal, inside documents."""
-    pairs = adjacent_pairs(tokenize(text, remove_stopwords=True))
-    return term_counts(df, pairs, k, term="bigram")
+    # Tokens are projected once; building the pairs from the column keeps
+    # the tokeniser from being copied into each of its three references.
+    toks = df.select(tokenize(text, remove_stopwords=True).alias("_tok"))
+    return term_counts(toks, adjacent_pairs(F.col("_tok")), k, term="bigram")
 
 
 def vocabulary_richness(df: DataFrame, text: Column, digits: int = 4) -> DataFrame:
@@ -77,13 +79,30 @@ def vocabulary_richness(df: DataFrame, text: Column, digits: int = 4) -> DataFra
 # ---------------------------------------------------------------------------
 # Long-form term/document matrices
 # ---------------------------------------------------------------------------
-def term_frequencies(df: DataFrame, doc_col: str, terms: Column, keys=()) -> DataFrame:
-    """(keys..., doc, term, tf) from an array-of-terms expression."""
+def term_frequencies(df: DataFrame, doc_col: str, terms: Column, keys=(), bigrams: bool = False) -> DataFrame:
+    """(keys..., doc, term, tf) from an array-of-terms expression; with
+    ``bigrams`` the adjacent pairs are appended (built from the projected
+    token column, so the tokeniser runs once per document)."""
     keys = list(keys)
-    return (df.select(*keys, doc_col, F.explode(terms).alias("term"))
+    base = df.select(*keys, doc_col, terms.alias("_tok"))
+    grams = F.concat(F.col("_tok"), adjacent_pairs(F.col("_tok"))) if bigrams else F.col("_tok")
+    return (base.select(*keys, doc_col, F.explode(grams).alias("term"))
             .groupBy(*keys, doc_col, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
+def char_ngram_frequencies(df: DataFrame, doc_col: str, text: Column, keys=()) -> DataFrame:
+    """(keys..., doc, term, tf) of char_wb 3-5-grams.
+
+    Words are counted per document first (map-side combined), so the
+    n-grams of a word repeated k times are generated once with weight k."""
+    from quarry.functions.text import text_words, word_char_ngrams
+    keys = list(keys)
+    words = (df.select(*keys, doc_col, F.explode(text_words(text)).alias("_w"))
+             .groupBy(*keys, doc_col, "_w").agg(F.count(F.lit(1)).alias("_wc")))
+    grams = words.select(*keys, doc_col, "_wc", F.explode(word_char_ngrams(F.col("_w"))).alias("term"))
+    return grams.groupBy(*keys, doc_col, "term").agg(F.sum("_wc").alias("tf"))
+
+
 def select_vocabulary(tf: DataFrame, doc_counts: DataFrame, keys=(), min_df: float = 1,
                       max_df: float = 1.0, max_features: int | None = None) -> DataFrame:
     """Vocabulary (keys..., term, df, cnt) after document-frequency limits and

@@ -24,7 +24,15 @@ def query(name: str, tag: str, oracle: str | None = None):
     def deco(fn):
         if name in REGISTRY:
             raise ValueError(f"duplicate query {name}")
-        REGISTRY[name] = Query(name, fn, oracle, tag)
+
+        def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+            from quarry.session import checkpoint_dir, ship_package
+            checkpoint_dir(spark)
+            ship_package(spark)
+            return fn(spark, sf_dir)
+        build.__name__ = getattr(fn, "__name__", name)
+        build.__doc__ = fn.__doc__
+        REGISTRY[name] = Query(name, build, oracle, tag)
         return fn
     return deco
 

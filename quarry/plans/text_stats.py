@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.functions.text import (STOPWORDS, english_stopwords, tokenize, without_english_stopwords,
-                                   word_count, word_tokens, with_bigrams, char_ngrams)
+                                   word_count, word_tokens)
 from quarry.operators import text as tx
 from quarry.operators import profile as prof
 from quarry.operators.rank import top_k
@@ -170,8 +170,7 @@ SELECT term, df, CAST(cnt AS BIGINT) AS cnt, n.n_docs FROM f, n ORDER BY cnt DES
 
 def _bow(t):
     d = t.documents
-    grams = with_bigrams(without_english_stopwords(word_tokens("text")))
-    tf = tx.term_frequencies(d, "doc_id", grams)
+    tf = tx.term_frequencies(d, "doc_id", without_english_stopwords(word_tokens("text")), bigrams=True)
     nd = tx.doc_counts(d)
     return d, tf, nd
 
@@ -219,7 +218,7 @@ def _char_grams_sql() -> str:
 def feat_char_ngrams(spark, sf_dir):
     """char_wb 3-5-gram vocabulary with document frequencies and counts."""
     d = Tables(spark, sf_dir).documents
-    tf = tx.term_frequencies(d, "doc_id", char_ngrams("text"))
+    tf = tx.char_ngram_frequencies(d, "doc_id", F.col("text"))
     nd = tx.doc_counts(d)
     return tx.attach(tx.select_vocabulary(tf, nd, min_df=5, max_df=0.95, max_features=50000), nd, [])
 

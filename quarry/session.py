@@ -45,6 +45,7 @@ def get_session(master: str | None = None, app: str = "quarry",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -64,3 +65,28 @@ def checkpoint_dir(spark: SparkSession) -> str:
         current = tempfile.mkdtemp(prefix="quarry-ckpt-")
     sc.setCheckpointDir(current)
     return current
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``quarry`` importable in the Python workers (Arrow UDF closures
+    reference it).  The package is zipped once per driver process and added
+    with ``addPyFile``; Spark copies it to every executor."""
+    global _SHIPPED
+    sc = spark.sparkContext
+    key = id(sc)
+    if _SHIPPED == key:
+        return
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="quarry-pkg-"), "quarry.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED = key
+
+
+_SHIPPED = None
