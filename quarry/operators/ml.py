@@ -221,8 +221,11 @@ class TargetEncoder(Estimator, DefaultParamsReadable, DefaultParamsWritable):
             st = st.crossJoin(F.broadcast(prior_df))  # one-row scalar
             w = 1.0 / (1.0 + F.exp(-(F.col("n") - self.min_samples_leaf) / self.smoothing))
             val = F.when(F.col("n") == 1, F.col("prior")).otherwise(F.col("prior") * (1 - w) + F.col("m") * w)
-            tables[c] = st.select(F.col(c).alias("level"), F.col("n"), val.alias("value"))
-        return TargetEncoderModel(self.inputCols, self.suffix, tables, prior_df)
+            # Level tables are bounded by the number of categories; a reliable
+            # checkpoint (shared checkpoint folder) cuts their lineage so
+            # applying the model never re-runs the training aggregation.
+            tables[c] = st.select(F.col(c).alias("level"), F.col("n"), val.alias("value")).checkpoint()
+        return TargetEncoderModel(self.inputCols, self.suffix, tables, prior_df.checkpoint())
 
 
 class TargetEncoderModel(Model):
@@ -345,7 +348,7 @@ class MedianImputer(Estimator):
         for c in self.inputCols:
             q = exact_quantiles(df.select(c), [], c, {f"_med_{c}": 0.5}, count_col=None)
             row = q if row is None else row.crossJoin(q)  # one-row scalars
-        return MedianImputerModel(self.inputCols, self.suffix, row)
+        return MedianImputerModel(self.inputCols, self.suffix, row.checkpoint())
 
 
 class MedianImputerModel(Model):
@@ -358,3 +361,66 @@ class MedianImputerModel(Model):
         for c in self.inputCols:
             out = out.withColumn(f"{c}{self.suffix}", F.coalesce(F.col(c).cast("double"), F.col(f"_med_{c}")))
         return out.drop(*[f"_med_{c}" for c in self.inputCols])
+
+
+class VocabularyVectorizer(Estimator, HasInputCol, HasOutputCol):
+    """Count vectoriser whose vocabulary is chosen with DataFrame
+    aggregates (term totals and document frequencies, map-side combined),
+    then frozen into MLlib's ``CountVectorizerModel.from_vocabulary``.
+
+    ``min_df``/``max_df``: int = document count, float = share of documents;
+    ``vocab_size`` most frequent terms kept (ties: term order).  With
+    ``tfidf`` the counts are turned into sklearn-style TF-IDF (smooth idf,
+    optional sublinear tf, L2 rows) from the same document frequencies —
+    no second pass for an IDF fit."""
+
+    def __init__(self, inputCol="grams", outputCol="features", min_df=5, max_df=0.95, vocab_size=50000,
+                 tfidf=True, sublinear=True, drop_cols=()):
+        super().__init__()
+        self._set(inputCol=inputCol, outputCol=outputCol)
+        self.min_df, self.max_df, self.vocab_size = min_df, max_df, vocab_size
+        self.tfidf, self.sublinear, self.drop_cols = tfidf, sublinear, list(drop_cols)
+
+    def _fit(self, df: DataFrame):
+        from pyspark.ml.feature import CountVectorizerModel
+        col = F.col(self.getInputCol())
+        n_docs = df.count()
+        counts = (df.select(F.explode(col).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("cnt")))
+        dfreq = (df.select(F.explode(F.array_distinct(col)).alias("term"))
+                 .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
+        lo = self.min_df if isinstance(self.min_df, int) else math.ceil(self.min_df * n_docs)
+        hi = self.max_df if isinstance(self.max_df, int) else math.floor(self.max_df * n_docs)
+        stats = counts.join(dfreq, "term").where((F.col("df") >= lo) & (F.col("df") <= hi))
+        # The vocabulary is a model parameter bounded by vocab_size.
+        top = stats.orderBy(F.col("cnt").desc(), F.col("term")).limit(self.vocab_size).collect()
+        vocab = [r["term"] for r in top]
+        out = self.getOutputCol()
+        tf_col = f"_{out}_tf" if self.tfidf else out
+        cvm = CountVectorizerModel.from_vocabulary(vocab or [""], inputCol=self.getInputCol(), outputCol=tf_col)
+        if not self.tfidf:
+            return _ChainModel([cvm], drop=self.drop_cols)
+        dfs = np.asarray([r["df"] for r in top], dtype=np.float64)
+        idf = np.log((1.0 + n_docs) / (1.0 + dfs)) + 1.0
+        weigh = SklearnTfidfModel(tf_col, out, self.sublinear, idf)
+        # Intermediate columns are dropped before the Arrow weighting step.
+        return _ChainModel([cvm, _Dropper(self.drop_cols), weigh], drop=[tf_col])
+
+
+class _Dropper(Transformer):
+    def __init__(self, cols):
+        super().__init__()
+        self.cols = list(cols)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        return df.drop(*[c for c in self.cols if c in df.columns])
+
+
+class _ChainModel(Model):
+    def __init__(self, models, drop=()):
+        super().__init__()
+        self.models, self.drop_cols = models, list(drop)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        for m in self.models:
+            df = m.transform(df)
+        return df.drop(*[c for c in self.drop_cols if c in df.columns])

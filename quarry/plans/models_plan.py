@@ -126,13 +126,15 @@ def feat_encoder_mappings(spark, sf_dir):
 def _regression(spark, sf_dir, name):
     from pyspark.ml import Pipeline
     from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-    s = salary_split(Tables(spark, sf_dir))
+    from pyspark import StorageLevel
+    s = salary_split(Tables(spark, sf_dir)).persist(StorageLevel.MEMORY_AND_DISK)
     train, test = s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
     reg = {"linear_regression": LinearRegression(labelCol=TARGET),
            "random_forest": RandomForestRegressor(labelCol=TARGET, numTrees=100, seed=42),
            "gbt": GBTRegressor(labelCol=TARGET, maxIter=200, stepSize=0.05, seed=42)}[name]
     stages = md.tabular_stages(NUMERIC, ORDINAL, NOMINAL, TARGET, linear=(name == "linear_regression"))
-    model = Pipeline(stages=stages + [reg]).fit(train)
+    model = md.fit_persisted(stages + [reg], train)
+    s.unpersist()
     pred = model.transform(test).select(F.lit(name).alias("model"), F.col(TARGET).alias("y"),
                                         F.col("prediction").alias("yhat"))
     return model, pred
@@ -169,16 +171,27 @@ def eval_feature_importance(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Text classification
 # ---------------------------------------------------------------------------
-def text_split(t: Tables):
-    d = t.documents.select("doc_id", "text", F.col("lang").alias("category"))
-    s = split_stratified(d, "category", "doc_id", test=0.2, val=0.0, seed=42)
-    return s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
+class text_split:
+    """Stratified 80/20 document split, persisted while models are fitted
+    (context manager: unpersisted on exit; later actions recompute it)."""
+
+    def __init__(self, t: Tables):
+        from pyspark import StorageLevel
+        d = t.documents.select("doc_id", "text", F.col("lang").alias("category"))
+        self.s = split_stratified(d, "category", "doc_id", test=0.2, val=0.0, seed=42) \
+            .persist(StorageLevel.MEMORY_AND_DISK)
+
+    def __enter__(self):
+        return self.s.where(F.col("split") == "train"), self.s.where(F.col("split") == "test")
+
+    def __exit__(self, *exc):
+        self.s.unpersist()
 
 
 def _one_text_model(spark, sf_dir, name):
-    train, test = text_split(Tables(spark, sf_dir))
-    metrics, _ = md.model_set_run(train, test, {name: md.text_models()[name]}, parallelism=1)
-    return metrics
+    with text_split(Tables(spark, sf_dir)) as (train, test):
+        metrics, _ = md.model_set_run(train, test, {name: md.text_models()[name]}, parallelism=1)
+        return metrics
 
 
 for _name, _key, _tag in [("multinomial_nb", "clf_multinomial_nb", "M4 E10 E11"),
@@ -198,39 +211,41 @@ for _name, _key, _tag in [("multinomial_nb", "clf_multinomial_nb", "M4 E10 E11")
 def model_set_run(spark, sf_dir):
     """Every linear / naive-Bayes text model fitted and scored on one split
     (two concurrent fits), ranked by (macro-F1, weighted-F1)."""
-    train, test = text_split(Tables(spark, sf_dir))
     names = ["multinomial_nb", "complement_nb", "logistic_regression", "linear_svc", "ridge_classifier",
              "sgd_log_loss", "sgd_hinge", "hashing_sgd_hinge"]
     models = {n: md.text_models()[n] for n in names}
-    metrics, _ = md.model_set_run(train.cache(), test.cache(), models, parallelism=2)
+    with text_split(Tables(spark, sf_dir)) as (train, test):
+        metrics, _ = md.model_set_run(train, test, models, parallelism=2)
     return ev.leaderboard(metrics.where(F.col("status") == "ok"), "model")
 
 
 @query("clf_mlp", "M14 E15")
 def clf_mlp(spark, sf_dir):
     """128-unit MLP on 300-component LSA features (grid cell tfidf__svd_300__mlp)."""
-    train, test = text_split(Tables(spark, sf_dir))
-    return md.grid_run(train, test, ["tfidf"], ["svd_300"], ["mlp"])
+    with text_split(Tables(spark, sf_dir)) as (train, test):
+        return md.grid_run(train, test, ["tfidf"], ["svd_300"], ["mlp"])
 
 
 @query("grid_run", "M17 S9 F13 E14 T4")
 def grid_run(spark, sf_dir):
     """Feature × reducer × model grid; each feature and reducer fitted once
     and checkpointed, failed cells kept as rows."""
-    train, test = text_split(Tables(spark, sf_dir))
-    return md.grid_run(train, test, ["tfidf", "bow"], ["chi2_k20000", "svd_100"],
-                       ["logistic_regression", "linear_svc", "sgd_hinge"])
+    with text_split(Tables(spark, sf_dir)) as (train, test):
+        return md.grid_run(train, test, ["tfidf", "bow"], ["chi2_k20000", "svd_100"],
+                           ["logistic_regression", "linear_svc", "sgd_hinge"])
 
 
 @query("eval_top_class_features", "Q10")
 def eval_top_class_features(spark, sf_dir):
     """12 highest log-probability terms per class of the complement NB model."""
     from pyspark.ml.feature import CountVectorizerModel
-    train, test = text_split(Tables(spark, sf_dir))
-    _, fitted = md.model_set_run(train, test, {"complement_nb": md.text_models()["complement_nb"]}, parallelism=1)
+    with text_split(Tables(spark, sf_dir)) as (train, test):
+        _, fitted = md.model_set_run(train, test, {"complement_nb": md.text_models()["complement_nb"]},
+                                     parallelism=1)
     pm = fitted["complement_nb"]
     labels = pm.stages[0].labels
-    vocab = [s for s in pm.stages if isinstance(s, CountVectorizerModel)][0].vocabulary
+    inner = [m for st in pm.stages for m in getattr(st, "models", [st])]
+    vocab = [s for s in inner if isinstance(s, CountVectorizerModel)][0].vocabulary
     theta = pm.stages[-1].theta.toArray()   # classes × vocabulary model parameters
     rows = [(labels[c], vocab[j], float(theta[c, j])) for c in range(theta.shape[0]) for j in range(theta.shape[1])]
     coef = spark.createDataFrame(rows, "category string, term string, weight double")
