@@ -255,7 +255,7 @@ def img_metadata(spark, sf_dir):
     return counts.join(med, "type")
 
 
-@query("img_quality", "I2 E3 E4 K1 S8")
+@query("img_quality", "I2 E3 E4 K1 D1")
 def img_quality(spark, sf_dir):
     """Quality metrics per image and the composite min-max score."""
     from quarry.operators.features import composite_score

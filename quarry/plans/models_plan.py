@@ -140,7 +140,7 @@ def _regression(spark, sf_dir, name):
     return model, pred
 
 
-@query("reg_linear", "M1 E2 E8 Q8")
+@query("reg_linear", "M1 E2 E8 Q8 P14 D4")
 def reg_linear(spark, sf_dir):
     _, pred = _regression(spark, sf_dir, "linear_regression")
     return ev.regression_metrics(pred, "y", "yhat", "model")

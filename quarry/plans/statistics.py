@@ -159,3 +159,13 @@ def stat_anova(spark, sf_dir):
     t = Tables(spark, sf_dir)
     df = t.orders.join(t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment"), "o_custkey")
     return stats.anova(df, ["o_orderpriority", "o_orderstatus", "c_mktsegment"], "o_totalprice")
+
+
+@query("stat_anova_pvalue", "T3")
+def stat_anova_pvalue(spark, sf_dir):
+    """ANOVA F with its upper-tail p-value (F distribution, Arrow UDF over one
+    row per factor) and a significance flag at 0.05."""
+    t = Tables(spark, sf_dir)
+    df = t.orders.join(t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment"), "o_custkey")
+    out = stats.anova(df, ["o_orderpriority", "o_orderstatus", "c_mktsegment"], "o_totalprice", with_p=True)
+    return out.withColumn("significant", F.col("p_value") < 0.05)

@@ -32,7 +32,7 @@ LEFT JOIN cells c ON {on} AND c.outcome = d.outcome
 """
 
 
-@query("agg_crosstab_topk", "A21", oracle=_crosstab_sql(
+@query("agg_crosstab_topk", "A21 J1 K3 P8 W4", oracle=_crosstab_sql(
     ORDERS_BY_NATION_SQL, ["n_name"],
     top="SELECT *, row_number() OVER (ORDER BY label_count DESC, n_name) AS label_rank "
         "FROM w ORDER BY label_count DESC, n_name LIMIT 10"))
@@ -107,7 +107,7 @@ def agg_crosstab_topk_by_type(spark, sf_dir):
 
 
 
-@query("agg_crosstab_other", "A22", oracle=f"""
+@query("agg_crosstab_other", "A22 P15", oracle=f"""
 WITH q AS (SELECT l_orderkey AS o_orderkey, CAST(count(*) AS INTEGER) AS qty FROM lineitem GROUP BY ALL),
 base0 AS (SELECT q.qty, {OUTCOME_SQL} AS outcome FROM orders o JOIN q USING (o_orderkey)),
 topq AS (SELECT qty FROM (SELECT qty, count(*) AS c FROM base0 GROUP BY qty ORDER BY c DESC, qty LIMIT 3)),
@@ -134,7 +134,7 @@ def agg_crosstab_other(spark, sf_dir):
 SEGMENT_ORDER = ["AUTOMOBILE", "BUILDING", "FURNITURE", "MACHINERY", "HOUSEHOLD"]
 
 
-@query("agg_crosstab_by_type", "A23", oracle=_crosstab_sql(
+@query("agg_crosstab_by_type", "A23 P16", oracle=_crosstab_sql(
     f"""SELECT o.o_orderstatus, c.c_mktsegment, {OUTCOME_SQL} AS outcome,
        CASE c.c_mktsegment {' '.join(f"WHEN '{s}' THEN {i}" for i, s in enumerate(SEGMENT_ORDER))} END AS pos
        FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
@@ -187,7 +187,7 @@ def _profile_sql(table_sql: str, cols, target: str | None, blank: bool) -> str:
     return f"WITH t AS ({table_sql}) " + " UNION ALL ".join(parts)
 
 
-@query("agg_column_profile", "A1 P13 P20", oracle=_profile_sql(
+@query("agg_column_profile", "A1 P13 P20 F5", oracle=_profile_sql(
     "SELECT " + ", ".join(f"{e} AS {n}" for n, _, e in _PART_PROFILE_COLS) + " FROM part",
     _PART_PROFILE_COLS, "p_retailprice", False))
 def agg_column_profile(spark, sf_dir):
