@@ -424,3 +424,31 @@ class _ChainModel(Model):
         for m in self.models:
             df = m.transform(df)
         return df.drop(*[c for c in self.drop_cols if c in df.columns])
+
+
+class CompactFeatures(Estimator, HasInputCol, HasOutputCol):
+    """Keep only the feature indices that occur in the training vectors
+    (``VectorSlicer``).  For hashed features this shrinks 2^20-wide vectors
+    to the buckets actually used; with L2-regularised linear models the
+    weights of never-seen buckets are zero, so the fitted model is the same
+    while every optimiser pass moves far smaller gradients.  The index list
+    is bounded by the vector width."""
+
+    @keyword_only
+    def __init__(self, inputCol="features", outputCol="compact"):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def _fit(self, df: DataFrame):
+        from pyspark.ml.feature import VectorSlicer
+        inp = self.getInputCol()
+
+        def used(batches):
+            for pdf in batches:
+                idx = [np.asarray(v["indices"], dtype=np.int64) if v["type"] == 0
+                       else np.nonzero(np.asarray(v["values"]))[0] for v in pdf[inp]]
+                u = np.unique(np.concatenate(idx)) if idx else np.array([], dtype=np.int64)
+                yield pd.DataFrame({"i": u})
+        idx = df.select(inp).mapInPandas(used, "i long").distinct().orderBy("i")
+        keep = [int(r[0]) for r in idx.collect()]
+        return VectorSlicer(inputCol=inp, outputCol=self.getOutputCol(), indices=keep or [0])

@@ -102,9 +102,12 @@ def tfidf_stages(text: str = "text", out: str = "features", analyzer: str = "wor
 
 def hashing_tfidf_stages(text: str = "text", out: str = "features", num_features: int = 2 ** 20) -> list:
     """Hashed 1-2-grams (no sign flip), then sublinear smooth TF-IDF."""
+    from quarry.operators.ml import CompactFeatures
     return word_ngram_stages(text) + [HashingTF(inputCol="grams", outputCol="_htf", numFeatures=num_features),
                                       _DropColumns(_INTERMEDIATE),
-                                      SklearnTfidf(inputCol="_htf", outputCol=out, sublinear=True)]
+                                      SklearnTfidf(inputCol="_htf", outputCol="_htfidf", sublinear=True),
+                                      CompactFeatures(inputCol="_htfidf", outputCol=out),
+                                      _DropColumns(["_htf", "_htfidf"])]
 
 
 def balanced_weights(df: DataFrame, label: str = "label", out: str = "weight") -> DataFrame:
@@ -123,6 +126,8 @@ def text_models(seed: int = 42) -> dict[str, Callable[[], list]]:
     lr = lambda **kw: LogisticRegression(maxIter=300, tol=1e-4, weightCol="weight", **kw)
     svc = lambda **kw: LinearSVC(maxIter=100, tol=1e-4, weightCol="weight", **kw)
     ovr = lambda clf: OneVsRest(classifier=clf, weightCol="weight", parallelism=4)
+    # SGD-style models: L2 1e-5, 30 passes, tol 1e-3 (the reference's settings).
+    sgd = dict(regParam=1e-5, standardization=False, maxIter=30, tol=1e-3)
     return {
         "multinomial_nb": lambda: tfidf_stages() + [NaiveBayes(modelType="multinomial", smoothing=0.15)],
         "complement_nb": lambda: tfidf_stages() + [NaiveBayes(modelType="complement", smoothing=0.15)],
@@ -130,10 +135,10 @@ def text_models(seed: int = 42) -> dict[str, Callable[[], list]]:
         "linear_svc": lambda: tfidf_stages() + [ovr(svc())],
         "ridge_classifier": lambda: tfidf_stages() + [_ridge()],
         "char_linear_svc": lambda: tfidf_stages(analyzer="char") + [ovr(svc())],
-        "sgd_log_loss": lambda: tfidf_stages() + [ovr(lr(regParam=1e-5, standardization=False))],
-        "sgd_hinge": lambda: tfidf_stages() + [ovr(svc(regParam=1e-5, standardization=False))],
+        "sgd_log_loss": lambda: tfidf_stages() + [ovr(LogisticRegression(weightCol="weight", **sgd))],
+        "sgd_hinge": lambda: tfidf_stages() + [ovr(LinearSVC(weightCol="weight", **sgd))],
         "hashing_sgd_hinge": lambda: hashing_tfidf_stages() + [
-            ovr(svc(regParam=1e-5, standardization=False))],
+            ovr(LinearSVC(weightCol="weight", **sgd))],
         "boosted_lsa": lambda: tfidf_stages(out="_tfidf") + [
             TruncatedSVD(inputCol="_tfidf", outputCol="features", k=300),
             OneVsRest(classifier=GBTClassifier(maxIter=160, maxDepth=4, stepSize=0.08, subsamplingRate=0.9,
@@ -285,7 +290,7 @@ def _grid_model(name: str, n_in: int, n_classes: int, seed: int):
         return OneVsRest(classifier=LinearSVC(maxIter=100, tol=1e-4, weightCol="weight"), weightCol="weight",
                          parallelism=4, **kw)
     if name == "sgd_hinge":
-        return OneVsRest(classifier=LinearSVC(regParam=1e-5, standardization=False, maxIter=100, tol=1e-4,
+        return OneVsRest(classifier=LinearSVC(regParam=1e-5, standardization=False, maxIter=30, tol=1e-3,
                                               weightCol="weight"), weightCol="weight", parallelism=4, **kw)
     if name == "mlp":
         return MultilayerPerceptronClassifier(layers=[n_in, 128, n_classes], maxIter=200, seed=seed, **kw)

@@ -1,6 +1,6 @@
 """No streaming operators.
 
 The reproduced workload has no streams, watermarks, time windows, state or
-late data (SURVEY §2.18); every job is a batch DataFrame job.  The package
-exists so the layout matches the other engines built on this codebase.
+late data (SURVEY §2.18); every job is a batch DataFrame job, so this
+package intentionally defines nothing.
 """
