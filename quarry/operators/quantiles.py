@@ -11,9 +11,10 @@ yields the same answer):
    (``buckets`` per group) — the bucket table is small and its running
    totals give each bucket's first and last position;
 3. only the buckets that contain a wanted position (two per probability)
-   are ranked, inside (group, bucket) windows, and the values at the two
-   positions around ``p·(n-1)`` are interpolated like numpy / DuckDB
-   ``quantile_cont``.
+   are kept and bucketed again over their own range (``levels`` rounds);
+4. the surviving values are ranked inside (group, bucket) windows and the
+   values at the two positions around ``p·(n-1)`` are interpolated like
+   numpy / DuckDB ``quantile_cont``.
 """
 
 from __future__ import annotations
@@ -29,33 +30,48 @@ from quarry.operators.rank import _cols, attach
 
 def exact_quantiles(df: DataFrame, group_cols, value_col: str,
                     probs: Mapping[str, float], count_col: str | None = "n",
-                    buckets: int = 4096) -> DataFrame:
+                    buckets: int = 4096, levels: int = 2) -> DataFrame:
     """One row per group: ``count_col`` (non-null values) and one column per
-    named probability.  Groups with no non-null value are absent."""
+    named probability.  Groups with no non-null value are absent.
+
+    ``levels`` rounds of bucketing narrow the value range around the wanted
+    ranks (the second round re-buckets only the selected buckets over their
+    own min/max), so even a heavy-tailed group whose values pile into one
+    first-level bucket is split again before the final ranking window."""
     groups = _cols(group_cols)
     v = F.col(value_col).cast("double")
     vc = (df.select(*groups, v.alias("_v")).where(F.col("_v").isNotNull())
           .groupBy(*groups, "_v").agg(F.count(F.lit(1)).alias("_c")))
-    rng = vc.groupBy(*groups).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"),
-                                  F.sum("_c").alias("_n"))
-    span = F.col("_hi") - F.col("_lo")
-    bucket = F.when(span > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / span * buckets),
-                                      F.lit(buckets - 1))).otherwise(F.lit(0)).cast("int")
-    vb = attach(vc, rng, groups).withColumn("_b", bucket).drop("_lo", "_hi")
-    bc = vb.groupBy(*groups, "_b", "_n").agg(F.sum("_c").alias("_bc"))
-    gw = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))
-    bc = bc.withColumn("_bend", F.sum("_bc").over(gw.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)))
-    bc = bc.withColumn("_bstart", F.col("_bend") - F.col("_bc"))
-    wanted = F.lit(False)
+    totals = vc.groupBy(*groups).agg(F.sum("_c").alias("_n"))
+    wanted_pos = []
     for p in probs.values():
         pos = F.lit(float(p)) * (F.col("_n") - 1)
-        for k in (F.floor(pos), F.ceil(pos)):
-            wanted = wanted | ((F.col("_bstart") <= k) & (k < F.col("_bend")))
-    need = bc.where(wanted).select(*groups, "_b", "_bstart")
-    sel = vb.join(need, [*groups, "_b"])
-    sel = sel.withColumn("_cum", F.sum("_c").over(
-        Window.partitionBy(*groups, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)))
-    end = F.col("_bstart") + F.col("_cum")          # exclusive end position
+        wanted_pos += [F.floor(pos), F.ceil(pos)]
+    # cur: candidate distinct values, each tagged with its current range key
+    # (_k) and the first position of that range inside the group (_base).
+    cur = attach(vc, totals, groups).withColumn("_k", F.lit(0).cast("long")) \
+        .withColumn("_base", F.lit(0).cast("long"))
+    for _ in range(levels):
+        key = [*groups, "_k"]
+        rng = cur.groupBy(*key).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+        span = F.col("_hi") - F.col("_lo")
+        bucket = F.when(span > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / span * buckets),
+                                          F.lit(buckets - 1))).otherwise(F.lit(0)).cast("long")
+        cur = cur.join(rng, key).withColumn("_b", bucket).drop("_lo", "_hi")
+        bc = cur.groupBy(*key, "_b", "_base", "_n").agg(F.sum("_c").alias("_bc"))
+        bc = bc.withColumn("_bend", F.col("_base") + F.sum("_bc").over(
+            Window.partitionBy(*key).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)))
+        bc = bc.withColumn("_bstart", F.col("_bend") - F.col("_bc"))
+        hit = F.lit(False)
+        for k in wanted_pos:
+            hit = hit | ((F.col("_bstart") <= k) & (k < F.col("_bend")))
+        need = bc.where(hit).select(*key, "_b", "_bstart")
+        cur = (cur.drop("_base").join(need, [*key, "_b"])
+               .withColumn("_k", F.col("_k") * buckets + F.col("_b"))
+               .withColumnRenamed("_bstart", "_base").drop("_b"))
+    sel = cur.withColumn("_cum", F.sum("_c").over(
+        Window.partitionBy(*groups, "_k").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)))
+    end = F.col("_base") + F.col("_cum")            # exclusive end position
     start = end - F.col("_c")                       # first position covered
     aggs = [F.first("_n").alias("_n")]
     for i, p in enumerate(probs.values()):

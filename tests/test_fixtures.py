@@ -235,3 +235,15 @@ def test_bgr_order(spark):
     r = read_images(spark, d, "*.png").first()
     arr = im.to_array(r["data"], r["height"], r["width"], r["channels"])
     assert arr[0, 0, 2] == 200 and arr[0, 0, 0] == 0
+
+
+def test_exact_quantiles_heavy_tail(spark):
+    """One extreme value squeezes everything else into the first bucket;
+    the second bucketing level must still give the exact answer."""
+    from quarry.operators.quantiles import exact_quantiles
+    vals = [float(i % 97) + i / 1000.0 for i in range(3000)] + [1e12]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    r = exact_quantiles(df, [], "v", {"q1": 0.25, "med": 0.5, "q3": 0.75}).first()
+    x = np.array(vals)
+    assert r["med"] == pytest.approx(np.median(x)) and r["q1"] == pytest.approx(np.quantile(x, 0.25))
+    assert r["q3"] == pytest.approx(np.quantile(x, 0.75)) and r["n"] == len(vals)
