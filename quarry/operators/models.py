@@ -311,23 +311,36 @@ class _Chi2Model:
 def _chi2_reducer(train: DataFrame, k: int) -> _Chi2Model:
     """χ² of every feature index against the class (T4 on the long form of
     the sparse vectors), best k indices kept."""
-    from pyspark.ml.functions import vector_to_array  # noqa: F401
     from quarry.operators.stats import chi2_terms
-    long = (train.select(F.monotonically_increasing_id().alias("_doc"), "label",
-                         F.explode(_sparse_items("_f")).alias("_it"))
-            .select("_doc", "label", F.col("_it.i").alias("term"), F.col("_it.v").alias("value")))
-    docs = train.select(F.monotonically_increasing_id().alias("_doc"), "label")
-    scores = chi2_terms(long, "_doc", "term", "value", "label", digits=12, docs=docs)
+    docs = train.select(F.monotonically_increasing_id().alias("_doc"), "label", "_f")
+    long = _sparse_long(docs, "_doc", "label", "_f")
+    scores = chi2_terms(long, "_doc", "term", "value", "label", digits=12, docs=docs.select("_doc", "label"))
     best = scores.orderBy(F.col("chi2").desc(), F.col("term")).limit(k)
     keep = sorted(int(r[0]) for r in best.select("term").collect())  # ≤ k feature indices (model size)
     return _Chi2Model(keep)
 
 
-def _sparse_items(col: str):
-    """(index, value) pairs of a sparse vector column, JVM-side."""
-    from pyspark.ml.functions import vector_to_array
-    arr = vector_to_array(F.col(col))
-    return F.filter(F.transform(arr, lambda v, i: F.struct(i.alias("i"), v.alias("v"))), lambda s: s.v != 0)
+def _sparse_long(df: DataFrame, doc: str, label: str, vec: str) -> DataFrame:
+    """(doc, label, term index, value) for the non-zeros of a sparse vector
+    column — read from the vectors' index/value arrays per Arrow batch, so
+    the cost follows the non-zeros, not the vector width."""
+    import numpy as np
+    import pandas as pd
+
+    def run(batches):
+        for pdf in batches:
+            d, lab, idx, val = [], [], [], []
+            for dd, ll, v in zip(pdf[doc], pdf[label], pdf[vec]):
+                ii = np.asarray(v["indices"], dtype=np.int64) if v["type"] == 0 else \
+                    np.nonzero(np.asarray(v["values"]))[0]
+                vv = np.asarray(v["values"], dtype=np.float64) if v["type"] == 0 else \
+                    np.asarray(v["values"], dtype=np.float64)[ii]
+                d.append(np.full(len(ii), dd)), lab.append(np.full(len(ii), ll)), idx.append(ii), val.append(vv)
+            if d:
+                yield pd.DataFrame({doc: np.concatenate(d), label: np.concatenate(lab),
+                                    "term": np.concatenate(idx), "value": np.concatenate(val)})
+    schema = f"{doc} long, {label} double, term long, value double"
+    return df.select(doc, F.col(label).cast("double").alias(label), vec).mapInPandas(run, schema)
 
 
 # ---------------------------------------------------------------------------
