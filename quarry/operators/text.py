@@ -103,6 +103,26 @@ def char_ngram_frequencies(df: DataFrame, doc_col: str, text: Column, keys=()) -
     return grams.groupBy(*keys, doc_col, "term").agg(F.sum("_wc").alias("tf"))
 
 
+def vocabulary_from_arrays(df: DataFrame, terms: Column, min_df=1, max_df=1.0,
+                           max_features: int | None = None) -> DataFrame:
+    """E10 vocabulary straight from per-document term arrays: term totals
+    and document frequencies are two aggregates keyed by term only, both
+    map-side combined (a frequent term is summed inside every task before
+    any shuffle) — no (document, term) table is shuffled."""
+    base = df.select(terms.alias("_terms"))
+    cnt = base.select(F.explode("_terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("cnt"))
+    dfs = (base.select(F.explode(F.array_distinct("_terms")).alias("term"))
+           .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
+    nd = df.agg(F.count(F.lit(1)).alias("n_docs"))
+    stats = attach(cnt.join(dfs, "term"), nd, [])
+    lo = F.lit(min_df) if isinstance(min_df, int) else F.ceil(F.col("n_docs") * min_df)
+    hi = F.lit(max_df) if isinstance(max_df, int) else F.floor(F.col("n_docs") * max_df)
+    stats = stats.where((F.col("df") >= lo) & (F.col("df") <= hi))
+    if max_features:
+        stats = top_k(stats, [F.col("cnt").desc(), F.col("term").asc()], max_features, rank_col=None)
+    return stats
+
+
 def select_vocabulary(tf: DataFrame, doc_counts: DataFrame, keys=(), min_df: float = 1,
                       max_df: float = 1.0, max_features: int | None = None) -> DataFrame:
     """Vocabulary (keys..., term, df, cnt) after document-frequency limits and
