@@ -169,13 +169,24 @@ def doc_counts(df: DataFrame, keys=()) -> DataFrame:
 
 
 def tfidf_by_category(df: DataFrame, doc_col: str, category: str, terms: Column, k: int = 8,
-                      max_features: int = 4000, digits: int = 4) -> DataFrame:
-    """Per category, a TF-IDF fitted inside the category (vocabulary of
-    its ``max_features`` most frequent terms), the mean L2-normalised score
-    of each term over the category's documents, top k with score > 0."""
+                      max_features: int = 4000, digits: int = 4, top_categories: int | None = 6) -> DataFrame:
+    """For the ``top_categories`` largest categories, a TF-IDF fitted
+    inside each category (vocabulary of its ``max_features`` most frequent
+    terms), the mean L2-normalised score of each term over the category's
+    documents, top k with score > 0.
+
+    With a category cap the vocabularies hold at most
+    ``top_categories × max_features`` rows and are broadcast into the
+    term-frequency join."""
+    if top_categories:
+        sizes = df.groupBy(category).agg(F.count(F.lit(1)).alias("_n"))
+        top = top_k(sizes, [F.col("_n").desc(), F.col(category)], top_categories, rank_col=None).select(category)
+        df = df.join(F.broadcast(top), category, "left_semi")   # ≤ top_categories rows
     tf = term_frequencies(df, doc_col, terms, keys=[category])
     nd = doc_counts(df, [category])
     vocab = select_vocabulary(tf, nd, [category], max_features=max_features)
+    if top_categories:
+        vocab = F.broadcast(vocab)   # ≤ top_categories × max_features rows
     w = tfidf_weights(tf, vocab, nd, doc_col, keys=[category])
     mean = (w.groupBy(category, "term").agg(F.sum("weight").alias("_s")))
     mean = attach(mean, nd, [category]).select(category, "term", (F.col("_s") / F.col("n_docs")).alias("score"))

@@ -102,7 +102,8 @@ def text_terms_by_category(spark, sf_dir):
 
 
 @query("text_tfidf_by_category", "X6", oracle=f"""
-WITH d AS (SELECT doc_id, lang, {word_tokens_sql('text')} AS toks FROM documents),
+WITH d AS (SELECT doc_id, lang, {word_tokens_sql('text')} AS toks FROM documents
+           WHERE lang IN (SELECT lang FROM documents GROUP BY lang ORDER BY count(*) DESC, lang LIMIT 6)),
 nd AS (SELECT lang, count(*) AS n_docs FROM d GROUP BY ALL),
 tf AS (SELECT lang, doc_id, term, count(*) AS tf FROM (SELECT lang, doc_id, unnest(toks) AS term FROM d) GROUP BY ALL),
 st AS (SELECT lang, term, count(*) AS df, sum(tf) AS cnt FROM tf GROUP BY ALL),

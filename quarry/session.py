@@ -23,8 +23,6 @@ _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
-    "spark.ui.enabled": "false",
-    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -35,14 +33,25 @@ def get_session(master: str | None = None, app: str = "quarry",
     if active is not None:
         return active
     builder = SparkSession.builder.appName(app)
-    if master or not os.environ.get("SPARK_MASTER"):
+    # Under spark-submit (the JVM started this Python driver) the cluster's
+    # master and settings apply; a local master is only a fallback.
+    if master or "PYSPARK_GATEWAY_PORT" not in os.environ:
         builder = builder.master(master or f"local[{os.environ.get('BENCH_CPUS', '8')}]")
-    for key, value in _DEFAULTS.items():
-        builder = builder.config(key, value)
-    parts = shuffle_partitions or int(os.environ.get("QUARRY_SHUFFLE_PARTITIONS", "8"))
-    builder = builder.config("spark.sql.shuffle.partitions", str(parts))
-    builder = builder.config("spark.driver.memory", os.environ.get("QUARRY_DRIVER_MEMORY", "16g"))
+    local = master is not None or "PYSPARK_GATEWAY_PORT" not in os.environ
+    if local:
+        builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+        # Cluster jobs size shuffle partitions and memory for the data
+        # (e.g. a few thousand partitions of ~128-256 MB at 100 TB); these
+        # values are for a single-machine run.
+        parts = shuffle_partitions or int(os.environ.get("QUARRY_SHUFFLE_PARTITIONS", "8"))
+        builder = builder.config("spark.sql.shuffle.partitions", str(parts))
+        builder = builder.config("spark.driver.memory", os.environ.get("QUARRY_DRIVER_MEMORY", "16g"))
     spark = builder.getOrCreate()
+    given = spark.sparkContext.getConf()
+    for key, value in _DEFAULTS.items():
+        # Fill in only what the deployment did not set itself.
+        if key.startswith("spark.sql.") and not given.contains(key):
+            spark.conf.set(key, value)
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
     ship_package(spark)
