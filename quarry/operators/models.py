@@ -222,15 +222,28 @@ def model_set_run(train: DataFrame, test: DataFrame, models: Mapping[str, Callab
 # ---------------------------------------------------------------------------
 # Grid (M17): feature × reducer × model, shared stages fitted once per level
 # ---------------------------------------------------------------------------
+_GRID_SCHEMA = ("run string, feature string, reducer string, model string, accuracy double, macro_f1 double, "
+                "weighted_f1 double, seconds double, status string, error string")
+
+
 def grid_run(train: DataFrame, test: DataFrame, features: Sequence[str], reducers: Sequence[str],
              models: Sequence[str], label: str = "category", limit: int | None = None,
-             chi2_k: int = 20000, seed: int = 42) -> DataFrame:
+             chi2_k: int = 20000, seed: int = 42, progress_path: str | None = None) -> DataFrame:
     """Feature extraction is fitted once per feature kind and its output
     checkpointed; each reducer is fitted once per feature kind; models are
-    fitted on the cached reduced features.  Errors are recorded as rows."""
+    fitted on the cached reduced features.  Errors are recorded as rows.
+    With ``progress_path`` every finished row is appended there at once
+    (S9), so a crash keeps the cells already fitted."""
     spark = train.sparkSession
+
+    class _Rows(list):
+        def append(self, row):
+            super().append(row)
+            if progress_path:
+                from quarry.sources.sinks import append_rows
+                append_rows(spark.createDataFrame([row], _GRID_SCHEMA), progress_path)
     indexer = label_indexer(label).fit(train)
-    rows = []
+    rows = _Rows()
     done = 0
     for feat in features:
         tf_stages = (tfidf_stages(out="_f") if feat == "tfidf"
@@ -276,9 +289,7 @@ def grid_run(train: DataFrame, test: DataFrame, features: Sequence[str], reducer
                 except Exception as e:  # noqa: BLE001
                     rows.append((run, feat, red, mname, None, None, None, None, "failed", str(e)[:300]))
             trr.unpersist()
-    schema = ("run string, feature string, reducer string, model string, accuracy double, macro_f1 double, "
-              "weighted_f1 double, seconds double, status string, error string")
-    return spark.createDataFrame(rows, schema)
+    return spark.createDataFrame(list(rows), _GRID_SCHEMA)
 
 
 def _grid_model(name: str, n_in: int, n_classes: int, seed: int):

@@ -230,9 +230,11 @@ def clf_mlp(spark, sf_dir):
 def grid_run(spark, sf_dir):
     """Feature × reducer × model grid; each feature and reducer fitted once
     and checkpointed, failed cells kept as rows."""
+    from quarry.plans.files_plan import scratch
     with text_split(Tables(spark, sf_dir)) as (train, test):
         return md.grid_run(train, test, ["tfidf", "bow"], ["chi2_k20000", "svd_100"],
-                           ["logistic_regression", "linear_svc", "sgd_hinge"])
+                           ["logistic_regression", "linear_svc", "sgd_hinge"],
+                           progress_path=scratch(spark, "grid-progress"))
 
 
 @query("eval_top_class_features", "Q10")
