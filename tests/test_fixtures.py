@@ -247,3 +247,23 @@ def test_exact_quantiles_heavy_tail(spark):
     x = np.array(vals)
     assert r["med"] == pytest.approx(np.median(x)) and r["q1"] == pytest.approx(np.quantile(x, 0.25))
     assert r["q3"] == pytest.approx(np.quantile(x, 0.75)) and r["n"] == len(vals)
+
+
+def test_typed_lookup_and_first_existing(spark):
+    from quarry.sources.files import first_existing, read_typed_lookup
+    d = tempfile.mkdtemp(prefix="quarry-src-test-")
+    with open(os.path.join(d, "breeds.csv"), "w") as fh:
+        fh.write('BreedID,BreedName\n1,"""Akita"""\n0,Nothing\n')
+    got = dict(rows(read_typed_lookup(spark, os.path.join(d, "breeds.csv"), "BreedID", "BreedName"), "id", "name"))
+    assert got == {1: "Akita", 0: "Not Specified"}
+    assert first_existing(spark, [os.path.join(d, "missing"), d]) == d
+    with pytest.raises(FileNotFoundError):
+        first_existing(spark, [os.path.join(d, "missing")])
+
+
+def test_json_sink_nan_and_dates(spark):
+    from quarry.sources.sinks import json_ready
+    df = spark.createDataFrame([(float("nan"), "2024-01-02")], "x double, d string").select(
+        "x", F.to_date("d").alias("d"))
+    r = json_ready(df).first()
+    assert r["x"] is None and r["d"] == "2024-01-02"
