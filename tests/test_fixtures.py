@@ -267,3 +267,20 @@ def test_json_sink_nan_and_dates(spark):
         "x", F.to_date("d").alias("d"))
     r = json_ready(df).first()
     assert r["x"] is None and r["d"] == "2024-01-02"
+
+
+def test_vocabulary_vectorizer_matches_long_form(spark):
+    """The MLlib feature path (vocabulary + Arrow weighting) gives the same
+    sublinear, smooth-idf, L2-normalised weights as the long-form SQL path."""
+    from quarry.operators import text as tx
+    from quarry.operators.ml import VocabularyVectorizer
+    docs = [(1, ["a", "b", "a", "c"]), (2, ["b", "c", "c"]), (3, ["a", "d"])]
+    df = spark.createDataFrame(docs, "doc int, grams array<string>")
+    model = VocabularyVectorizer(inputCol="grams", outputCol="v", min_df=1, max_df=1.0, vocab_size=100).fit(df)
+    vocab = model.models[0].vocabulary
+    vec = {r["doc"]: r["v"].toArray() for r in model.transform(df).collect()}
+    tf = tx.term_frequencies(df, "doc", F.col("grams"))
+    nd = tx.doc_counts(df)
+    w = tx.tfidf_weights(tf, tx.select_vocabulary(tf, nd), nd, "doc", sublinear=True)
+    for r in w.collect():
+        assert vec[r["doc"]][vocab.index(r["term"])] == pytest.approx(r["weight"])
