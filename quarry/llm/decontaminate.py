@@ -157,5 +157,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
     """Rows of ``docs`` without any benchmark window, all columns kept."""
     hit = materialize(find_contamination(docs, benchmark, id_col, text_col).where("n_hit > 0").select(
         F.col("doc_id").alias("_hit_id"), F.col("rk").alias("_hit_key")).distinct())
-    rk = F.coalesce(F.xxhash64(docs[text_col].cast("string")), F.lit(0))
+    rk = F.xxhash64(docs[text_col].cast("string"))
     return docs.join(hit, docs[id_col].cast("long").eqNullSafe(hit["_hit_id"]) & (rk == hit["_hit_key"]), "left_anti")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quarry.session import checkpoint_dir, ship_package
 
-from . import bpe, decontaminate, exact_dedup, simhash
+from . import bpe, decontaminate, exact_dedup, langid, simhash, toxicity
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +32,11 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
     return run
 
 
+@query
+def op2_language(spark, sf_dir):
+    return langid.identify(documents(spark, sf_dir))
+
+
 @query
 def op3_decontaminate(spark, sf_dir):
     return decontaminate.decontamination_report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -76,6 +81,11 @@ WINDOW g AS (PARTITION BY t)
 """
 
 
+@query
+def op6_toxicity(spark, sf_dir):
+    return toxicity.toxicity_report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 @query
 def op8_bpe(spark, sf_dir):
     return bpe.encode_documents(documents(spark, sf_dir), _tokenizer(), ids=False)
