@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quarry.session import checkpoint_dir, ship_package
 
-from . import bpe, decontaminate, exact_dedup, langid, simhash, toxicity
+from . import bpe, decontaminate, exact_dedup, langid, line_dedup, simhash, toxicity
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,6 +86,11 @@ def op6_toxicity(spark, sf_dir):
     return toxicity.toxicity_report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+@query
+def op7_line_dedup(spark, sf_dir):
+    return line_dedup.line_report(documents(spark, sf_dir))
+
+
 @query
 def op8_bpe(spark, sf_dir):
     return bpe.encode_documents(documents(spark, sf_dir), _tokenizer(), ids=False)
