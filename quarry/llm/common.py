@@ -40,7 +40,20 @@ def materialize(df: DataFrame) -> DataFrame:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def release(*tables: DataFrame | None) -> None:
+    """Delete materialized tables that no later step reads, and have Spark drop
+    the shuffle files that only they needed."""
+    for t in tables:
+        path = getattr(t, "_written_to", None)
+        if path:
+            sc = t.sparkSession.sparkContext
+            p = sc._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def held_out(doc_id: Column | str, modulus: int, remainder: int) -> Column:

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, release
 
 
 def _signature(edges: DataFrame) -> tuple:
@@ -40,8 +40,10 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     before = _signature(e)
     if before[0]:
         for _ in range(max_rounds):
-            e = materialize(_small_star(materialize(_large_star(e))))
-            after = _signature(e)
+            far = materialize(_large_star(e))
+            near = materialize(_small_star(far))
+            release(e, far)
+            e, after = near, _signature(near)
             if after == before:
                 break
             before = after

@@ -6,13 +6,12 @@ signature put likely equals into buckets, candidates are verified by the exact
 Jaccard similarity of their shingle sets, and distributed union-find over the
 verified links gives components, of which the first line stays.
 
-Buckets are worked off in rounds.  In a round a few lines of each bucket, four
-times as many as in the round before, are compared with every line of the
-bucket that is not yet in their component.  A bucket is done when one
-component holds all of it or when at most one of its lines has not been
-compared with the others.  So a bucket full of near copies costs about as many
-comparisons as it has lines, none of its links is given up, and no bucket is
-gathered anywhere.
+Buckets are worked off in rounds: first the least line of each bucket, then
+about eight, 64, ... lines of each, are compared with every line of the bucket
+that is not yet in their component.  A bucket is done when one component holds
+all of it or when all its lines have been compared with the others.  So a
+bucket full of near copies costs about as many comparisons as it has lines,
+none of its links is given up, and no bucket is gathered anywhere.
 """
 
 from __future__ import annotations
@@ -20,13 +19,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, release
 from .components import connected_components
 
 SHINGLE_CHARS = 10
 SIMILARITY = 0.8
-#: 12 bands of 3: two lines of similarity 0.8 meet with probability 1 - (1 - 0.8^3)^12 > 0.9998.
-BANDS, ROWS = 12, 3
+#: 10 bands of 3: two lines of similarity 0.8 meet with probability 1 - (1 - 0.8^3)^10 > 0.999.
+BANDS, ROWS = 10, 3
 #: Positions of one exploded row; bounds the arrays that a very long line needs.
 STRETCH = 4096
 
@@ -61,9 +60,12 @@ def signatures(lines: DataFrame, shingle: int = SHINGLE_CHARS, n: int = BANDS *
 
 
 def _set(units: str, shingle: int) -> Column:
-    last = F.greatest(F.floor(F.octet_length(units) / 2).cast("int") - shingle, F.lit(0))
-    return F.array_distinct(F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(
-        F.substring(units, i * 2 + 1, F.lit(2 * shingle)))))
+    """Distinct shingle hashes of a line.  The line goes through a one-element
+    array so that the inner function refers to it instead of copying it."""
+    def of(u: Column) -> Column:
+        last = F.greatest(F.floor(F.octet_length(u) / 2).cast("int") - shingle, F.lit(0))
+        return F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.substring(u, i * 2 + 1, F.lit(2 * shingle))))
+    return F.array_distinct(F.flatten(F.transform(F.array(units), of)))
 
 
 def verified(pairs: DataFrame, units: DataFrame, similarity: float, shingle: int) -> DataFrame:
@@ -83,35 +85,38 @@ def near_lines(lines: DataFrame, similarity: float = SIMILARITY, shingle: int =
     sig = signatures(units, shingle, bands * rows)
     band = F.explode(F.array(*[F.xxhash64(F.lit(b), *[f"m{b * rows + r}" for r in range(rows)]) for b in range(bands)]))
     banded = materialize(sig.select("id", band.alias("bucket")))
-    sizes = materialize(banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"))
-    members = materialize(banded.join(sizes.hint("merge"), "bucket").select(
-        "bucket", "id", F.col("id").alias("comp"), F.lit(False).alias("done")))
-    links, leads, number = None, 1, 0
+    sizes = materialize(banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("lead")).where("n > 1"))
+    now = materialize(banded.join(sizes.hint("merge"), "bucket").select(
+        "bucket", "id", F.col("id").alias("comp"), F.lit(False).alias("done"), (F.col("id") == F.col("lead")).alias("is_lead"), "lead"))
+    release(banded, sizes)
+    pairs = now.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
+    links, named, leads, number = None, None, 8, 1
     while True:
-        # Buckets with two components or more and two lines or more still to compare.
+        pairs = materialize(pairs)
+        found = materialize(verified(pairs, units, similarity, shingle))
+        release(pairs)
+        if named is None or not found.isEmpty():
+            links = found if links is None else materialize(links.unionByName(found))
+            named = connected_components(links, "a", "b")
+        rest = now.select("bucket", "id", (F.col("done") | F.col("is_lead")).alias("done"))
+        members = materialize(rest.join(named.hint("merge"), rest["id"] == named["node"], "left").select(
+            "bucket", "id", F.coalesce("component", "id").alias("comp"), "done"))
+        release(now)
+        # Buckets with two components or more and a line or more still to compare.
         state = members.groupBy("bucket").agg(
-            F.count("*").alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high"),
-            F.sum(F.when(F.col("done"), 0).otherwise(1)).alias("left"),
-            F.min(F.when(~F.col("done"), F.col("id"))).alias("lead")).where("low <> high and left > 0 and n > 1")
+            F.min("comp").alias("low"), F.max("comp").alias("high"), F.sum(F.when(F.col("done"), 0).otherwise(1)).alias("left"),
+            F.min(F.when(~F.col("done"), F.col("id"))).alias("lead")).where("low <> high and left > 0")
         state = materialize(state.select("bucket", "lead", (F.lit(float(leads)) / F.col("left")).alias("share")))
         if state.isEmpty():
-            break
+            return named
         draw = F.pmod(F.xxhash64("id", "bucket", F.lit(number)), F.lit(1 << 30)) / F.lit(float(1 << 30))
         now = materialize(members.join(state.hint("merge"), "bucket").select(
             "bucket", "id", "comp", "done", (~F.col("done") & ((F.col("id") == F.col("lead")) | (draw < F.col("share")))).alias("is_lead")))
+        release(members, state)
         first = now.where("is_lead").select("bucket", F.col("id").alias("x"), F.col("comp").alias("cx"))
         cross = now.select("bucket", "id", "comp").join(first.hint("merge"), "bucket").where("comp <> cx")
         pairs = cross.select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct()
-        found = materialize(verified(materialize(pairs), units, similarity, shingle))
-        links = found if links is None else materialize(links.unionByName(found))
-        named = connected_components(links, "a", "b")
-        rest = now.select("bucket", "id", (F.col("done") | F.col("is_lead")).alias("done"))
-        members = materialize(rest.join(named.hint("merge"), rest["id"] == named["node"], "left").select(
-            "bucket", "id", F.coalesce("component", "id").alias("comp"), "done"))
-        leads, number = leads * 4, number + 1
-    if links is None:
-        return members.select(F.col("id").alias("node"), F.col("comp").alias("component")).where("false")
-    return named
+        leads, number = leads * 8, number + 1
 
 
 def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY,

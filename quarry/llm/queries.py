@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quarry.session import checkpoint_dir, ship_package
 
-from . import bpe, decontaminate, exact_dedup, langid, line_dedup, simhash, toxicity
+from . import bpe, decontaminate, exact_dedup, hpylm, langid, line_dedup, simhash, toxicity
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,6 +96,11 @@ def op8_bpe(spark, sf_dir):
     return bpe.encode_documents(documents(spark, sf_dir), _tokenizer(), ids=False)
 
 
+@query
+def op9_language_model(spark, sf_dir):
+    return hpylm.score_documents(documents(spark, sf_dir))
+
+
 @query
 def op10_simhash(spark, sf_dir):
     return simhash.near_groups(documents(spark, sf_dir))
