@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quarry.session import checkpoint_dir, ship_package
 
-from . import bpe, decontaminate, exact_dedup, hpylm, langid, line_dedup, simhash, toxicity
+from . import bpe, decontaminate, exact_dedup, hpylm, langid, line_dedup, simhash, suffix_dedup, toxicity
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,6 +81,11 @@ WINDOW g AS (PARTITION BY t)
 """
 
 
+@query
+def op5_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.repeated_passages(documents(spark, sf_dir)).drop("rk")
+
+
 @query
 def op6_toxicity(spark, sf_dir):
     return toxicity.toxicity_report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
