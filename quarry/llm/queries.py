@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quarry.session import checkpoint_dir, ship_package
 
-from . import bpe, decontaminate, exact_dedup, hpylm, langid, line_dedup, simhash, suffix_dedup, toxicity
+from . import bpe, decontaminate, exact_dedup, hpylm, langid, licences, line_dedup, simhash, suffix_dedup, toxicity
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +32,11 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
     return run
 
 
+@query
+def op1_licences(spark, sf_dir):
+    return licences.licence_report(documents(spark, sf_dir))
+
+
 @query
 def op2_language(spark, sf_dir):
     return langid.identify(documents(spark, sf_dir))
