@@ -95,11 +95,14 @@ def _log_odds(counts: list[tuple[bytes, float, float]], tested: int) -> tuple[di
     both, scores, rest1, rest0 = n1 + n0, {}, 0.0, 0.0
     clean: list[tuple[float, float]] = []
     for w, c1, c0 in counts:
+        if not w:  # the pool of all words that are not told apart
+            rest1, rest0 = rest1 + c1, rest0 + c0
+            continue
         prior = PRIOR_STRENGTH * (c1 + c0) / both
         d = (np.log((c1 + prior) / (n1 + PRIOR_STRENGTH - c1 - prior)) - np.log((c0 + prior) / (n0 + PRIOR_STRENGTH - c0 - prior)))
         e1, e0 = n1 * (c1 + c0) / both, n0 * (c1 + c0) / both
         half_g2 = (c1 * np.log(c1 / e1) if c1 else 0.0) + (c0 * np.log(c0 / e0) if c0 else 0.0)
-        if w and abs(d) >= MIN_LOG_ODDS and half_g2 >= np.log(max(tested, 1) / FALSE_WORDS):
+        if abs(d) >= MIN_LOG_ODDS and half_g2 >= np.log(max(tested, 1) / FALSE_WORDS):
             scores[w] = float(d)
             clean.append((c0 / n0, float(d)))
         else:
