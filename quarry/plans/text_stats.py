@@ -180,7 +180,7 @@ def _bow(t):
 def feat_bow(spark, sf_dir):
     """Word 1-2-gram vocabulary: English stop words, min_df 5, max_df .95, 50k terms."""
     d, tf, nd = _bow(Tables(spark, sf_dir))
-    return tx.attach(tx.select_vocabulary(tf, nd, min_df=5, max_df=0.95, max_features=50000), nd, [])
+    return tx.select_vocabulary(tf, nd, min_df=5, max_df=0.95, max_features=50000)
 
 
 @query("feat_tfidf", "E11", oracle=f"""
@@ -221,7 +221,7 @@ def feat_char_ngrams(spark, sf_dir):
     d = Tables(spark, sf_dir).documents
     tf = tx.char_ngram_frequencies(d, "doc_id", F.col("text"))
     nd = tx.doc_counts(d)
-    return tx.attach(tx.select_vocabulary(tf, nd, min_df=5, max_df=0.95, max_features=50000), nd, [])
+    return tx.select_vocabulary(tf, nd, min_df=5, max_df=0.95, max_features=50000)
 
 
 @query("stat_chi2_terms", "T4 E14", oracle=f"""

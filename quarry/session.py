@@ -62,15 +62,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder.
 
     On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared
-    file system visible to every executor).  Only when the setting is absent
-    (local tests) a fresh scratch folder is created and registered.
+    file system visible to every executor).  Only in local mode, where driver
+    and executors are one process, a fresh scratch folder is registered when
+    the setting is absent; a cluster without it is an error.
     """
     sc = spark.sparkContext
     current = sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
         registered = sc._jsc.sc().getCheckpointDir()
         current = registered.get() if registered.isDefined() else None
+        if current:
+            return current
     if not current:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         current = tempfile.mkdtemp(prefix="quarry-ckpt-")
     sc.setCheckpointDir(current)
     return current

@@ -119,6 +119,8 @@ def main(argv):
             bad += 1
             continue
         err = compare(srows, drows)
+        if sorted(df.columns) != sorted(names):
+            err = f"columns {df.columns} against {names}"
         tdiff = type_diff(df.schema, cur.description)
         if tdiff and not err:
             err = "types " + tdiff
