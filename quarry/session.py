@@ -74,7 +74,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if current:
             return current
     if not current:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         current = tempfile.mkdtemp(prefix="quarry-ckpt-")
     sc.setCheckpointDir(current)
