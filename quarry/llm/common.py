@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 
 from quarry.session import checkpoint_dir
 
+#: Spark's setting that removes a query's shuffle files when the query ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -33,10 +36,16 @@ def ascii_lower(c: Column | str) -> Column:
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet into the shared checkpoint folder and read it
     back: the lineage is cut, and the table survives lost executors.  The files
-    go when the session's JVM ends."""
+    go when the session's JVM ends; the shuffle files behind the table go as
+    soon as it is written."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/quarry-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
@@ -46,8 +55,7 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def release(*tables: DataFrame | None) -> None:
-    """Delete materialized tables that no later step reads, and have Spark drop
-    the shuffle files that only they needed."""
+    """Delete materialized tables that no later step reads."""
     for t in tables:
         path = getattr(t, "_written_to", None)
         if path:

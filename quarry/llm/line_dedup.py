@@ -6,16 +6,21 @@ signature put likely equals into buckets, candidates are verified by the exact
 Jaccard similarity of their shingle sets, and distributed union-find over the
 verified links gives components, of which the first line stays.
 
-Buckets are worked off in rounds: first the least line of each bucket, then
-about eight, 64, ... lines of each, are compared with every line of the bucket
-that is not yet in their component.  A bucket is done when one component holds
-all of it or when all its lines have been compared with the others.  So a
+Buckets are worked off in rounds.  Ids are ordered by how often a line occurs,
+so the first lead of a bucket is its most frequent line, which is likely the
+original of its variants.  It is compared with all lines of the bucket, then
+about eight, 64, ... lines that are not in the component of the least line are
+compared with every line of the bucket outside their own component.  A bucket
+is done when each of its lines is in that one component or has been compared
+with the others: two lines of different components are not both in it.  So a
 bucket full of near copies costs about as many comparisons as it has lines,
 none of its links is given up, and no bucket is gathered anywhere.
 """
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,8 +29,9 @@ from .components import connected_components
 
 SHINGLE_CHARS = 10
 SIMILARITY = 0.8
-#: 10 bands of 3: two lines of similarity 0.8 meet with probability 1 - (1 - 0.8^3)^10 > 0.999.
-BANDS, ROWS = 10, 3
+#: 4 groups of 4 minima; every 3 of a group are a band.  Two lines of similarity
+#: 0.8 meet with probability 1 - (1 - (0.8^4 + 4 * 0.8^3 * 0.2))^4 = 0.9989.
+GROUPS, GROUP, ROWS = 4, 4, 3
 #: Positions of one exploded row; bounds the arrays that a very long line needs.
 STRETCH = 4096
 
@@ -43,19 +49,19 @@ def line_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _masks(n: int) -> list[int]:
-    """Fixed 64-bit masks, evenly spread: the order of ``hash xor mask`` is one
+    """Fixed 32-bit masks, evenly spread: the order of ``hash xor mask`` is one
     random order of the shingles for each mask."""
-    golden = 0x9E3779B97F4A7C15
-    return [(m - (1 << 64)) if m >> 63 else m for m in ((k + 1) * golden % (1 << 64) for k in range(n))]
+    return [(k + 1) * 0x9E3779B9 % (1 << 32) - (1 << 31) for k in range(n)]
 
 
-def signatures(lines: DataFrame, shingle: int = SHINGLE_CHARS, n: int = BANDS * ROWS) -> DataFrame:
+def signatures(lines: DataFrame, shingle: int = SHINGLE_CHARS, n: int = GROUPS * GROUP) -> DataFrame:
     """``id, m0..`` from ``id, units`` (the line in UTF-16, two bytes a unit).
-    A line shorter than a shingle is its own only shingle."""
+    A line shorter than a shingle is its own only shingle.  32-bit hashes do
+    for candidates: a collision can only add one, which is then verified."""
     last = F.greatest(F.floor(F.octet_length("units") / 2).cast("int") - shingle, F.lit(0))
     parts = lines.select("id", "units", last.alias("last"), F.explode(F.sequence(F.lit(0), last, F.lit(STRETCH))).alias("at"))
     each = parts.select("id", "units", F.explode(F.sequence("at", F.least(F.col("at") + STRETCH - 1, F.col("last")))).alias("i"))
-    h = each.select("id", F.xxhash64(F.substring("units", F.col("i") * 2 + 1, F.lit(2 * shingle))).alias("h"))
+    h = each.select("id", F.hash(F.substring("units", F.col("i") * 2 + 1, F.lit(2 * shingle))).alias("h"))
     return h.groupBy("id").agg(*[F.min(F.col("h").bitwiseXOR(F.lit(m))).alias(f"m{k}") for k, m in enumerate(_masks(n))])
 
 
@@ -79,40 +85,49 @@ def verified(pairs: DataFrame, units: DataFrame, similarity: float, shingle: int
 
 
 def near_lines(lines: DataFrame, similarity: float = SIMILARITY, shingle: int = SHINGLE_CHARS,
-               bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+               groups: int = GROUPS, group: int = GROUP, rows: int = ROWS) -> DataFrame:
     """``node, component`` of the distinct lines ``id, norm`` that have a near line."""
     units = lines.select("id", F.encode("norm", "UTF-16BE").alias("units"))
-    sig = signatures(units, shingle, bands * rows)
-    band = F.explode(F.array(*[F.xxhash64(F.lit(b), *[f"m{b * rows + r}" for r in range(rows)]) for b in range(bands)]))
-    banded = materialize(sig.select("id", band.alias("bucket")))
+    sig = materialize(signatures(units, shingle, groups * group))
+    bands = [[g * group + i for i in some] for g in range(groups) for some in combinations(range(group), rows)]
+    band = F.explode(F.array(*[F.xxhash64(F.lit(b), *[f"m{i}" for i in some]) for b, some in enumerate(bands)]))
+    banded = sig.select("id", band.alias("bucket"))
     sizes = materialize(banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("lead")).where("n > 1"))
     now = materialize(banded.join(sizes.hint("merge"), "bucket").select(
         "bucket", "id", F.col("id").alias("comp"), F.lit(False).alias("done"), (F.col("id") == F.col("lead")).alias("is_lead"), "lead"))
-    release(banded, sizes)
+    release(sig, sizes)
+    # Only the text of lines that share a bucket goes through the rounds.
+    shared = now.select("id").distinct()
+    text = materialize(lines.join(shared.hint("merge"), "id", "left_semi").select("id", "norm"))
+    units = text.select("id", F.encode("norm", "UTF-16BE").alias("units"))
     pairs = now.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
-    links, named, leads, number = None, None, 8, 1
+    named, leads, number = None, 8, 1
     while True:
         pairs = materialize(pairs)
         found = materialize(verified(pairs, units, similarity, shingle))
         release(pairs)
         if named is None or not found.isEmpty():
-            links = found if links is None else materialize(links.unionByName(found))
+            links = found if named is None else found.unionByName(named.select(F.col("node").alias("a"), F.col("component").alias("b")))
             named = connected_components(links, "a", "b")
         rest = now.select("bucket", "id", (F.col("done") | F.col("is_lead")).alias("done"))
         members = materialize(rest.join(named.hint("merge"), rest["id"] == named["node"], "left").select(
             "bucket", "id", F.coalesce("component", "id").alias("comp"), "done"))
         release(now)
-        # Buckets with two components or more and a line or more still to compare.
-        state = members.groupBy("bucket").agg(
-            F.min("comp").alias("low"), F.max("comp").alias("high"), F.sum(F.when(F.col("done"), 0).otherwise(1)).alias("left"),
-            F.min(F.when(~F.col("done"), F.col("id"))).alias("lead")).where("low <> high and left > 0")
+        low = members.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
+        low = materialize(low.select("bucket", "low"))
+        # Lines outside the bucket's least component that have still to be compared.
+        open_lines = materialize(members.join(low.hint("merge"), "bucket").select(
+            "bucket", "id", "comp", "done", (~F.col("done") & (F.col("comp") != F.col("low"))).alias("open")))
+        release(members, low)
+        state = open_lines.where("open").groupBy("bucket").agg(F.count("*").alias("left"), F.min("id").alias("lead"))
         state = materialize(state.select("bucket", "lead", (F.lit(float(leads)) / F.col("left")).alias("share")))
         if state.isEmpty():
+            release(open_lines, state, text)
             return named
         draw = F.pmod(F.xxhash64("id", "bucket", F.lit(number)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-        now = materialize(members.join(state.hint("merge"), "bucket").select(
-            "bucket", "id", "comp", "done", (~F.col("done") & ((F.col("id") == F.col("lead")) | (draw < F.col("share")))).alias("is_lead")))
-        release(members, state)
+        now = materialize(open_lines.join(state.hint("merge"), "bucket").select(
+            "bucket", "id", "comp", "done", (F.col("open") & ((F.col("id") == F.col("lead")) | (draw < F.col("share")))).alias("is_lead")))
+        release(open_lines, state)
         first = now.where("is_lead").select("bucket", F.col("id").alias("x"), F.col("comp").alias("cx"))
         cross = now.select("bucket", "id", "comp").join(first.hint("merge"), "bucket").where("comp <> cx")
         pairs = cross.select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct()
@@ -124,8 +139,11 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """``doc_id, rk, line_no`` of every line that goes: all of a component but
     its first, in the order of (doc_id, line_no)."""
     occ = line_table(docs, id_col, text_col)
-    distinct = occ.groupBy("norm").agg(F.count("*").alias("n")).withColumn("id", F.monotonically_increasing_id())
-    distinct = materialize(distinct)
+    distinct = occ.groupBy("norm").agg(F.count("*").alias("n"))
+    # Frequent lines get small ids: 9 bits of 8 log2(n) above the running number,
+    # which stays below 2^54 up to 2^21 partitions.
+    often = F.lit(511) - F.floor(F.log2("n") * 8)
+    distinct = materialize(distinct.withColumn("id", often * F.lit(1 << 54) + F.monotonically_increasing_id()))
     named = near_lines(distinct.select("id", "norm"), similarity, shingle)
     key = [F.xxhash64("norm").alias("h1"), F.xxhash64(F.lit("line"), F.col("norm")).alias("h2")]
     multi = distinct.join(named.hint("merge"), distinct["id"] == named["node"], "left").where("n > 1 or node is not null").select(
