@@ -114,9 +114,9 @@ class TruncatedSVD(Estimator, HasInputCol, HasOutputCol):
     n_iter = Param(Params._dummy(), "n_iter", "power iterations", TypeConverters.toInt)
 
     @keyword_only
-    def __init__(self, inputCol="features", outputCol="svd", k=300, n_iter=2, oversample=10, seed=42):
+    def __init__(self, inputCol="features", outputCol="svd", k=300, n_iter=5, oversample=10, seed=42):
         super().__init__()
-        self._setDefault(k=300, n_iter=2)
+        self._setDefault(k=300, n_iter=5)
         kw = dict(self._input_kwargs)
         self.oversample = kw.pop("oversample", 10)
         self.seed = kw.pop("seed", 42)

@@ -203,7 +203,7 @@ def model_set_run(train: DataFrame, test: DataFrame, models: Mapping[str, Callab
             m = ev.classification_metrics(pred, "actual", "predicted", "model")
             return name, model, m.withColumn("train_seconds", F.lit(secs)).withColumn("status", F.lit("ok")), None
         except Exception as e:  # noqa: BLE001 - recorded as a failed run row
-            return name, None, None, f"{type(e).__name__}: {e}"[:500] + traceback.format_exc(limit=1)[-200:]
+            return name, None, None, traceback.format_exc()
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         for name, model, m, err in pool.map(one, models.items()):
@@ -268,7 +268,7 @@ def grid_run(train: DataFrame, test: DataFrame, features: Sequence[str], reducer
             except Exception as e:  # noqa: BLE001
                 for mname in models:
                     rows.append((f"{feat}__{red}__{mname}", feat, red, mname, None, None, None, None,
-                                 "failed", str(e)[:300]))
+                                 "failed", str(e)))
                 continue
             for mname in models:
                 if limit is not None and done >= limit:
@@ -287,7 +287,7 @@ def grid_run(train: DataFrame, test: DataFrame, features: Sequence[str], reducer
                     rows.append((run, feat, red, mname, met["accuracy"], met["macro_f1"], met["weighted_f1"],
                                  feat_secs + red_secs + fit_secs, "ok", None))
                 except Exception as e:  # noqa: BLE001
-                    rows.append((run, feat, red, mname, None, None, None, None, "failed", str(e)[:300]))
+                    rows.append((run, feat, red, mname, None, None, None, None, "failed", str(e)))
             trr.unpersist()
     return spark.createDataFrame(list(rows), _GRID_SCHEMA)
 

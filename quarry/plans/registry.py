@@ -40,7 +40,7 @@ def query(name: str, tag: str, oracle: str | None = None):
 def load_all() -> dict[str, Query]:
     # Importing the plan modules fills the registry.
     from quarry.plans import (  # noqa: F401
-        tabular, distributions, statistics, text_stats, sampling, features,
+        tabular, distributions, statistics, text_stats, sampling,
         evaluation, similarity, models_plan, files_plan,
     )
     return REGISTRY
