@@ -26,13 +26,17 @@ def confusion_cells(pred: DataFrame, actual: str, predicted: str, keys=()) -> Da
 
 def _per_label(cells: DataFrame, keys: list[str]) -> DataFrame:
     """tp, support and predicted count per label of the truth ∪ prediction set."""
-    tp = cells.where(F.col("actual") == F.col("predicted")).groupBy(*keys, F.col("actual").alias("label")) \
-        .agg(F.sum("cnt").alias("tp"))
-    sup = cells.groupBy(*keys, F.col("actual").alias("label")).agg(F.sum("cnt").alias("support"))
-    npred = cells.groupBy(*keys, F.col("predicted").alias("label")).agg(F.sum("cnt").alias("n_pred"))
-    lab = sup.select(*keys, "label").union(npred.select(*keys, "label")).distinct()
-    out = (lab.join(sup, [*keys, "label"], "left").join(npred, [*keys, "label"], "left")
-           .join(tp, [*keys, "label"], "left").na.fill(0, ["tp", "support", "n_pred"]))
+    known = lambda c: F.when(F.col(c).isNotNull(), F.col("cnt")).otherwise(0)
+    none = F.lit(0).cast("long")
+    # Each cell counts once for its true and once for its predicted label, so
+    # one aggregate over the cells gives all three counts.
+    roles = F.array(
+        F.struct(F.col("actual").alias("label"), known("actual").alias("support"), none.alias("n_pred"),
+                 F.when(F.col("actual") == F.col("predicted"), F.col("cnt")).otherwise(0).alias("tp")),
+        F.struct(F.col("predicted").alias("label"), none.alias("support"), known("predicted").alias("n_pred"),
+                 none.alias("tp")))
+    out = (cells.select(*keys, F.explode(roles).alias("_role")).select(*keys, "_role.*")
+           .groupBy(*keys, "label").agg(*[F.sum(c).alias(c) for c in ("support", "n_pred", "tp")]))
     p = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("n_pred")), F.lit(0.0))
     r = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("support")), F.lit(0.0))
     out = out.withColumn("precision", p).withColumn("recall", r)

@@ -34,13 +34,10 @@ FAMILY = {"keyword": "rules", "charset": "rules", "majority": "baseline"}
 
 def lang_predictions(t: Tables) -> DataFrame:
     """(doc_id, model, actual, predicted, text) for the three rule models."""
-    d = t.documents.select("doc_id", "lang", "text")
-    per_model = [d.select("doc_id", F.lit(m).alias("model"), F.col("lang").alias("actual"),
-                          F.expr(rule).alias("predicted"), "text") for m, rule in RULES_SQL.items()]
-    out = per_model[0]
-    for p in per_model[1:]:
-        out = out.unionByName(p)
-    return out
+    rules = F.array(*[F.struct(F.lit(m).alias("model"), F.expr(rule).alias("predicted"))
+                      for m, rule in RULES_SQL.items()])
+    return t.documents.select("doc_id", F.col("lang").alias("actual"), "text", F.explode(rules).alias("rule")) \
+        .select("doc_id", "rule.model", "actual", "rule.predicted", "text")
 
 
 PRED_SQL = " UNION ALL ".join(
