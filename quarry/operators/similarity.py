@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.operators.rank import _cols, topk_per_group
@@ -60,6 +60,18 @@ def mixed_clusters(assign: DataFrame, cluster: str, type_col: str) -> DataFrame:
                    F.count(F.lit(1)).alias("clusters"))
 
 
+def order_by_cluster(pairs: DataFrame, groups: DataFrame, group: str, cluster: str, keys=()) -> DataFrame:
+    """K7: a similarity matrix (``group_a, group_b, ...``) with the cluster of
+    both groups and their positions when groups are sorted by (cluster, name).
+    ``groups`` has one row per group of a key: the matrix's side, not its cells."""
+    keys = _cols(keys)
+    place = groups.select(*keys, F.col(group).alias("_g"), F.col(cluster).alias("_c"), F.row_number().over(
+        Window.partitionBy(*keys).orderBy(cluster, group)).alias("_p"))
+    side = lambda x: place.select(*keys, F.col("_g").alias(f"group_{x}"), F.col("_c").alias(f"cluster_{x}"),
+                                  F.col("_p").alias(f"pos_{x}"))
+    return pairs.join(side("a"), [*keys, "group_a"]).join(side("b"), [*keys, "group_b"])
+
+
 def cluster_groups(means: DataFrame, keys, k: int, seed: int = 42, features: str = "vec") -> DataFrame:
     """Divisive (bisecting k-means) clustering of the group mean
     vectors per key; returns the input rows with a ``cluster`` column.

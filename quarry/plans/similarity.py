@@ -154,7 +154,32 @@ def agg_mixed_clusters(spark, sf_dir):
     return sim.mixed_clusters(m, "cluster", "l_linestatus")
 
 
-@query("cluster_group_vectors", "G3 G4 K7")
+@query("sim_sorted_by_cluster", "K7", oracle=MEANS_SQL + f""",
+place AS (SELECT l_linestatus, p_brand, CAST(substr(p_brand, 7, 1) AS INTEGER) AS cluster,
+                 row_number() OVER (PARTITION BY l_linestatus ORDER BY CAST(substr(p_brand, 7, 1) AS INTEGER), p_brand) AS pos
+          FROM top)
+SELECT a.l_linestatus, a.p_brand AS group_a, b.p_brand AS group_b, pa.cluster AS cluster_a, pb.cluster AS cluster_b,
+       CAST(pa.pos AS INTEGER) AS pos_a, CAST(pb.pos AS INTEGER) AS pos_b, {_cos_sql('')} AS cosine
+FROM u a JOIN u b ON a.l_linestatus = b.l_linestatus
+JOIN place pa ON pa.l_linestatus = a.l_linestatus AND pa.p_brand = a.p_brand
+JOIN place pb ON pb.l_linestatus = b.l_linestatus AND pb.p_brand = b.p_brand""")
+def sim_sorted_by_cluster(spark, sf_dir):
+    """Similarity matrix of each line status with rows and columns in the order
+    of (cluster, brand)."""
+    m = means(Tables(spark, sf_dir))
+    pairs = sim.cosine_pairs(m, m, "p_brand", "p_brand", on="l_linestatus")
+    return sim.order_by_cluster(pairs, m.withColumn("cluster", _cluster()), "p_brand", "cluster", "l_linestatus")
+
+
+@query("cluster_by_type", "G3")
+def cluster_by_type(spark, sf_dir):
+    """Divisive clustering of the top-brand mean vectors of each status by itself, k = 5."""
+    c = sim.cluster_groups(means(Tables(spark, sf_dir)), "l_linestatus", 5)
+    return (c.groupBy("l_linestatus", "cluster")
+            .agg(F.count(F.lit(1)).alias("size"), F.array_sort(F.collect_list("p_brand")).alias("members")))
+
+
+@query("cluster_group_vectors", "G4")
 def cluster_group_vectors(spark, sf_dir):
     """Divisive clustering (bisecting k-means, k = 5) of the top-brand mean
     vectors of both statuses together, with member lists per cluster."""
