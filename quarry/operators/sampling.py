@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.operators.rank import topk_per_group
+from quarry.operators.rank import attach, topk_per_group
 
 
 def hash_key(id_col: str, seed: int) -> Column:
@@ -53,10 +53,13 @@ def _class_positions(df: DataFrame, label: str, id_col: str, seed: int, buckets_
 
 def split_train_test(df: DataFrame, id_col: str, train_frac: float = 0.8, seed: int = 42) -> DataFrame:
     """V1: seeded row split: the first floor(frac·n) rows in hash order are train."""
-    pos = _class_positions(df.withColumn("_all", F.lit(0)), "_all", id_col, seed)
-    return (pos.withColumn("split", F.when(F.col("class_pos") <= F.floor(F.col("class_n") * train_frac),
-                                           F.lit("train")).otherwise(F.lit("test")))
-            .drop("_all", "class_pos", "class_n"))
+    # Only ids are ranked; the last train row's (hash, id) then labels whole rows.
+    pos = _class_positions(df.select(id_col, F.lit(0).alias("_all")), "_all", id_col, seed)
+    cut = pos.where(F.col("class_pos") == F.floor(F.col("class_n") * train_frac)).agg(
+        F.max(F.struct(hash_key(id_col, seed).alias("h"), F.col(id_col).alias("id"))).alias("_cut"))
+    here = F.struct(hash_key(id_col, seed).alias("h"), F.col(id_col).alias("id"))
+    return attach(df, cut, []).withColumn("split", F.when(here <= F.col("_cut"), F.lit("train")).otherwise(F.lit("test"))) \
+        .drop("_cut")
 
 
 def split_stratified(df: DataFrame, label: str, id_col: str, test: float = 0.2, val: float = 0.0,
