@@ -2,8 +2,9 @@
 
 Lines that are equal after trimming and lower-casing are one line.  Distinct
 lines get MinHash signatures of their character shingles, bands of the
-signature put likely equals into buckets, candidates are verified by the exact
-Jaccard similarity of their shingle sets, and distributed union-find over the
+signature put likely equals into buckets, candidates that a bitmap of their
+shingles does not rule out are verified by the exact Jaccard similarity of their
+shingle sets, and distributed union-find over the
 verified links gives components, of which the first line stays.
 
 Buckets are worked off in rounds.  Ids are ordered by how often a line occurs,
@@ -34,6 +35,8 @@ SIMILARITY = 0.8
 GROUPS, GROUP, ROWS = 4, 4, 3
 #: Positions of one exploded row; bounds the arrays that a very long line needs.
 STRETCH = 4096
+#: 64-bit words of a line's shingle bitmap.
+SKETCH_WORDS = 16
 
 
 def _norm(line: Column) -> Column:
@@ -54,32 +57,61 @@ def _masks(n: int) -> list[int]:
     return [(k + 1) * 0x9E3779B9 % (1 << 32) - (1 << 31) for k in range(n)]
 
 
-def signatures(lines: DataFrame, shingle: int = SHINGLE_CHARS, n: int = GROUPS * GROUP) -> DataFrame:
-    """``id, m0..`` from ``id, units`` (the line in UTF-16, two bytes a unit).
-    A line shorter than a shingle is its own only shingle.  32-bit hashes do
-    for candidates: a collision can only add one, which is then verified."""
+def _shingles(lines: DataFrame, shingle: int) -> DataFrame:
+    """``id, h``: a 32-bit hash of every shingle of ``id, units`` (the line in
+    UTF-16, two bytes a unit).  A line shorter than a shingle is its own only
+    shingle."""
     last = F.greatest(F.floor(F.octet_length("units") / 2).cast("int") - shingle, F.lit(0))
     parts = lines.select("id", "units", last.alias("last"), F.explode(F.sequence(F.lit(0), last, F.lit(STRETCH))).alias("at"))
     each = parts.select("id", "units", F.explode(F.sequence("at", F.least(F.col("at") + STRETCH - 1, F.col("last")))).alias("i"))
-    h = each.select("id", F.hash(F.substring("units", F.col("i") * 2 + 1, F.lit(2 * shingle))).alias("h"))
+    return each.select("id", F.hash(F.substring("units", F.col("i") * 2 + 1, F.lit(2 * shingle))).alias("h"))
+
+
+def signatures(lines: DataFrame, shingle: int = SHINGLE_CHARS, n: int = GROUPS * GROUP) -> DataFrame:
+    """``id, m0..`` from ``id, units``.  32-bit hashes do for candidates: a
+    collision can only add one, which is then verified."""
+    h = _shingles(lines, shingle)
     return h.groupBy("id").agg(*[F.min(F.col("h").bitwiseXOR(F.lit(m))).alias(f"m{k}") for k, m in enumerate(_masks(n))])
 
 
-def _set(units: str, shingle: int) -> Column:
+def _set(text: str, shingle: int) -> Column:
     """Distinct shingle hashes of a line.  The line goes through a one-element
     array so that the inner function refers to it instead of copying it."""
     def of(u: Column) -> Column:
         last = F.greatest(F.floor(F.octet_length(u) / 2).cast("int") - shingle, F.lit(0))
         return F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.substring(u, i * 2 + 1, F.lit(2 * shingle))))
-    return F.array_distinct(F.flatten(F.transform(F.array(units), of)))
+    return F.array_distinct(F.flatten(F.transform(F.array(F.encode(text, "UTF-16BE")), of)))
+
+
+def sketches(lines: DataFrame, shingle: int = SHINGLE_CHARS, words: int = SKETCH_WORDS) -> DataFrame:
+    """``id, size, w0..``: the number of shingles of a line, repeats included,
+    and a bitmap of ``64 * words`` bits with the bit of every shingle set."""
+    each = _shingles(lines, shingle)
+    bit = F.expr("shiftleft(1L, cast(pmod(shiftright(h, 8), 64) as int))")
+    word = F.pmod("h", F.lit(words))
+    return each.groupBy("id").agg(F.count("*").alias("size"), *[
+        F.bit_or(F.when(word == k, bit).otherwise(F.lit(0).cast("long"))).alias(f"w{k}") for k in range(words)])
+
+
+def possible(pairs: DataFrame, bits: DataFrame, similarity: float, words: int = SKETCH_WORDS) -> DataFrame:
+    """The ``a, b`` pairs that their sketches leave possible.  This drops no
+    near pair: each bit that only one of two lines has stands for at least one
+    shingle that only that line has, and sets of x and y shingles that differ
+    in d have the Jaccard similarity (x + y - d) / (x + y + d)."""
+    def side(name: str) -> DataFrame:
+        return bits.select(F.col("id").alias(name), F.col("size").alias(f"size_{name}"), *[F.col(f"w{k}").alias(f"{name}{k}") for k in range(words)])
+    both = pairs.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b")
+    apart = sum((F.bit_count(F.col(f"a{k}").bitwiseXOR(F.col(f"b{k}"))) for k in range(words)), F.lit(0))
+    most = (F.col("size_a") + F.col("size_b")) * ((1 - similarity) / (1 + similarity))
+    return both.where(apart <= most + 1e-6).select("a", "b")
 
 
-def verified(pairs: DataFrame, units: DataFrame, similarity: float, shingle: int) -> DataFrame:
+def verified(pairs: DataFrame, text: DataFrame, similarity: float, shingle: int) -> DataFrame:
     """The ``a, b`` pairs whose shingle sets have at least that Jaccard similarity."""
-    a = units.select(F.col("id").alias("a"), F.col("units").alias("ua"))
-    b = units.select(F.col("id").alias("b"), F.col("units").alias("ub"))
+    a = text.select(F.col("id").alias("a"), F.col("norm").alias("ta"))
+    b = text.select(F.col("id").alias("b"), F.col("norm").alias("tb"))
     both = pairs.join(a.hint("merge"), "a").join(b.hint("merge"), "b")
-    sets = both.select("a", "b", _set("ua", shingle).alias("sa"), _set("ub", shingle).alias("sb"))
+    sets = both.select("a", "b", _set("ta", shingle).alias("sa"), _set("tb", shingle).alias("sb"))
     cut = sets.select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("k"), (F.size("sa") + F.size("sb")).alias("n"))
     return cut.where(F.col("k") >= similarity * (F.col("n") - F.col("k"))).select("a", "b")
 
@@ -99,12 +131,12 @@ def near_lines(lines: DataFrame, similarity: float = SIMILARITY, shingle: int =
     # Only the text of lines that share a bucket goes through the rounds.
     shared = now.select("id").distinct()
     text = materialize(lines.join(shared.hint("merge"), "id", "left_semi").select("id", "norm"))
-    units = text.select("id", F.encode("norm", "UTF-16BE").alias("units"))
+    bits = materialize(sketches(text.select("id", F.encode("norm", "UTF-16BE").alias("units")), shingle))
     pairs = now.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
     named, leads, number = None, 8, 1
     while True:
-        pairs = materialize(pairs)
-        found = materialize(verified(pairs, units, similarity, shingle))
+        pairs = materialize(possible(pairs, bits, similarity))
+        found = materialize(verified(pairs, text, similarity, shingle))
         release(pairs)
         if named is None or not found.isEmpty():
             links = found if named is None else found.unionByName(named.select(F.col("node").alias("a"), F.col("component").alias("b")))
@@ -122,7 +154,7 @@ def near_lines(lines: DataFrame, similarity: float = SIMILARITY, shingle: int =
         state = open_lines.where("open").groupBy("bucket").agg(F.count("*").alias("left"), F.min("id").alias("lead"))
         state = materialize(state.select("bucket", "lead", (F.lit(float(leads)) / F.col("left")).alias("share")))
         if state.isEmpty():
-            release(open_lines, state, text)
+            release(open_lines, state, text, bits)
             return named
         draw = F.pmod(F.xxhash64("id", "bucket", F.lit(number)), F.lit(1 << 30)) / F.lit(float(1 << 30))
         now = materialize(open_lines.join(state.hint("merge"), "bucket").select(
@@ -146,8 +178,10 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     distinct = materialize(distinct.withColumn("id", often * F.lit(1 << 54) + F.monotonically_increasing_id()))
     named = near_lines(distinct.select("id", "norm"), similarity, shingle)
     key = [F.xxhash64("norm").alias("h1"), F.xxhash64(F.lit("line"), F.col("norm")).alias("h2")]
-    multi = distinct.join(named.hint("merge"), distinct["id"] == named["node"], "left").where("n > 1 or node is not null").select(
-        *key, F.coalesce("component", "id").alias("comp"))
+    # The keys are made before the join, so that no text goes through it.
+    short = distinct.select("id", "n", *key)
+    multi = short.join(named.hint("merge"), short["id"] == named["node"], "left").where("n > 1 or node is not null").select(
+        "h1", "h2", F.coalesce("component", "id").alias("comp"))
     multi = materialize(multi)
     seen = occ.select("doc_id", "rk", "line_no", *key)
     hit = materialize(seen.join(multi.hint("merge"), ["h1", "h2"]).select("doc_id", "rk", "line_no", "comp"))

@@ -2,6 +2,7 @@
 accuracy, and on awkward rows: nulls, empty and long texts, repeated rows,
 empty tables, extra columns whose names clash with internal ones."""
 
+import random
 from collections import Counter
 
 import numpy as np
@@ -160,6 +161,28 @@ def test_line_dedup(spark, docs, none):
     assert line_dedup.drop_duplicate_lines(none).count() == 0
 
 
+def test_line_sketches_drop_no_near_pair(spark):
+    """Every pair of lines around the limit, very short and repetitive ones too."""
+    rng, rows = random.Random(5), []
+    for n in (1, 9, 12, 60, 400, 3000):
+        base = "".join(rng.choice("abcde é") for _ in range(n))
+        for k in range(12):
+            t = list(base)
+            for _ in range(k * n // 200 + k % 2):
+                t[rng.randrange(n)] = rng.choice("xyz")
+            rows.append("".join(t))
+    rows += ["ab" * 200, "ab" * 300, "a" * 50]
+    lines = spark.createDataFrame(list(enumerate(rows)), "id long, norm string")
+    bits = line_dedup.sketches(lines.selectExpr("id", "encode(norm, 'UTF-16BE') as units"))
+    sets = [{x[a:a + 10] for a in range(max(1, len(x) - 9))} for x in rows]
+    every = [(a, b) for a in range(len(rows)) for b in range(a + 1, len(rows))]
+    want = {(a, b) for a, b in every if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    left = line_dedup.possible(spark.createDataFrame(every, "a long, b long"), bits, 0.8)
+    kept = {tuple(r) for r in left.collect()}
+    assert want <= kept and len(kept) < len(every)
+    assert {tuple(r) for r in line_dedup.verified(left, lines, 0.8, 10).collect()} == want
+
+
 def test_suffix_dedup(docs, none):
     got = {r["doc_id"]: r for r in suffix_dedup.repeated_passages(docs).collect()}
     assert got[10]["passages"] == [[1, 61]] and got[10]["other_ids"] == [11] and got[11]["passages"] == [[1, 61]]
