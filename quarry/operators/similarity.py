@@ -81,7 +81,9 @@ def cluster_groups(means: DataFrame, keys, k: int, seed: int = 42, features: str
     from pyspark.ml.clustering import BisectingKMeans
     from pyspark.ml.functions import array_to_vector
     keys = _cols(keys)
-    data = means.withColumn("_features", array_to_vector(F.col(features)))
+    # Each bisecting step is a job of its own: the few mean rows are checkpointed
+    # so that no step aggregates the facts again.
+    data = means.withColumn("_features", array_to_vector(F.col(features))).checkpoint()
     if not keys:
         model = BisectingKMeans(k=k, seed=seed, featuresCol="_features", predictionCol="cluster").fit(data)
         return model.transform(data).drop("_features")
