@@ -253,6 +253,25 @@ def test_language_model(spark, docs, none):
     assert hpylm.score_documents(none).count() == 0
 
 
+def test_language_model_seats_every_pair(spark):
+    """A rare word has its own context restaurant, and each word its own dish there."""
+    import zlib
+    train = [i for i in range(4000) if zlib.crc32(str(i).encode()) % 5 != 1]
+    held = [i for i in range(4000) if zlib.crc32(str(i).encode()) % 5 == 1]
+    rows = [(train[k], f"left{k % 500} right{k % 500}") for k in range(1500)]
+    rows += [(held[0], "left7 right7"), (held[1], "left7 right8")]
+    got = {r["doc_id"]: r for r in hpylm.score_documents(spark.createDataFrame(rows, "doc_id long, text string"), block_bytes=5000).collect()}
+    same, other = got[held[0]], got[held[1]]
+    assert same["base_score"] == pytest.approx(other["base_score"])
+    assert same["score"] > other["score"] + 0.9
+    texts = [b"a b a b c", b"", b"b a"]
+    bucket, c, w, place, size = hpylm.block_pairs(texts, np.array([], np.int64), 3)
+    assert size.tolist() == [6, 1, 3] and (np.diff(bucket) >= 0).all()
+    words = [x for t in texts for x in [hpylm.END_HASH, *map(hpylm._hash, t.split()), hpylm.END_HASH]]
+    pairs = [p for t in texts for p in zip(*(lambda x: (x[:-1], x[1:]))([hpylm.END_HASH, *map(hpylm._hash, t.split()), hpylm.END_HASH]))]
+    assert list(zip(c[place].tolist(), w[place].tolist())) == pairs and set(c.tolist()) <= set(words)
+
+
 def test_seating_matches_the_chinese_restaurant():
     rng = np.random.default_rng(4)
     for a, c in ((0.5, 12), (3.0, 60), (20.0, 400)):
