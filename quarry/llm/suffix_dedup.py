@@ -1,10 +1,11 @@
-"""Repeated passages by a sparse suffix array.
-
-Of all word suffixes of all texts only those at content-selected minimiser
-positions are retained: in every run of ``min_words`` words at least one, the
-same one wherever the run occurs.  Suffixes whose first words occur nowhere
-else leave; the others are sorted over the whole cluster, neighbours are
-compared, and a match is extended left and right from the minimiser.
+"""Repeated passages by windows at minimisers.
+
+In every run of ``min_words`` words one content-selected position, the
+minimiser, is retained, the same one wherever the run occurs.  Runs whose
+minimiser's first words occur nowhere else leave.  The hashes of all others
+are sorted over the whole cluster with their places, so that equal runs are
+neighbours, whatever stands left or right of them; a hot run is spread over
+many tasks by its places.
 """
 
 from __future__ import annotations
@@ -45,48 +46,52 @@ def grams(h: np.ndarray, k: int) -> np.ndarray:
     return g * np.uint64(0xBF58476D1CE4E5B9)
 
 
-def minimisers(h: np.ndarray, min_words: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Retained positions of a text and the hashes of their first ``k`` words."""
+def owners(h: np.ndarray, min_words: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Minimiser position of each run of ``min_words`` words, and the hash of each run of ``k``."""
     w = min_words - k + 1
     if len(h) < min_words:
-        return np.array([], np.int64), np.array([], np.int64)
+        return np.array([], np.int64), np.array([], np.uint64)
     g = grams(h, k)
     found, low = [], np.uint64((1 << 24) - 1)
     for at in range(0, max(1, len(g) - w + 1), _STRETCH):
         part = g[at:at + _STRETCH + w - 1]
         key = (part & ~low) | np.arange(len(part), dtype=np.uint64)
-        found.append(np.unique(_window_min(key, w) & low).astype(np.int64) + at)
-    pos = np.unique(np.concatenate(found))
-    return pos, g[pos].view(np.int64)
+        found.append((_window_min(key, w) & low).astype(np.int64) + at)
+    return np.concatenate(found), g
 
 
-def _common(a: np.ndarray, b: np.ndarray) -> int:
-    """Length of the common prefix of two arrays."""
-    n = min(len(a), len(b))
-    differ = np.flatnonzero(a[:n] != b[:n])
-    return int(differ[0]) if len(differ) else n
+def minimisers(h: np.ndarray, min_words: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Retained positions of a text and the hashes of their first ``k`` words."""
+    own, g = owners(h, min_words, k)
+    pos = np.unique(own)
+    return pos, g[pos].view(np.int64)
 
 
-def _compare(rows: list[tuple], min_words: int):
-    """Matches of neighbours among sorted rows (doc_id, rk, pos, after, before)."""
-    for a, b in zip(rows, rows[1:]):
-        if a[0] == b[0] and a[1] == b[1] and a[2] == b[2]:
-            continue  # a repeated row meets itself
-        right = _common(*(np.frombuffer(x[3], ">u4") for x in (a, b)))
-        left = _common(*(np.frombuffer(x[4], ">u4") for x in (a, b)))
-        if right + left >= min_words:
-            yield a[0], a[1], a[2] - left, a[2] + right, b[0], False
-            yield b[0], b[1], b[2] - left, b[2] + right, a[0], True
+_MATCH = "doc_id long, rk long, start long, other_id long, later boolean"
+_KEY = ["run", "more", "doc_id", "rk", "start"]
 
 
-_MATCH = "doc_id long, rk long, start long, stop long, other_id long, later boolean"
+def _equal_neighbours(rows):
+    """Matches of neighbours in a sorted Arrow table of ``_KEY`` columns."""
+    import pyarrow as pa
+    n = rows.num_rows
+    run, more, rk, start = (rows.column(x).to_numpy() for x in ("run", "more", "rk", "start"))
+    ids = rows.column("doc_id")
+    doc, null = ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False)
+    agree = lambda x: x[1:] == x[:-1]
+    itself = agree(doc) & agree(null) & agree(rk) & agree(start)  # a repeated row meets itself
+    first = np.flatnonzero(agree(run) & agree(more) & ~itself) if n > 1 else np.array([], np.int64)
+    at, other = np.concatenate([first, first + 1]), np.concatenate([first + 1, first])
+    return {"doc_id": ids.take(pa.array(at)), "rk": rk[at], "start": start[at], "other_id": ids.take(pa.array(other)),
+            "later": at > other}
 
 
 def matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
             gram_words: int = GRAM_WORDS) -> DataFrame:
-    """``doc_id, rk, start, stop, other_id, later``: word ranges that a
-    neighbouring suffix repeats.  ``later`` marks the one that sorts after its
-    neighbour (equal suffixes sort by doc_id)."""
+    """``doc_id, rk, start, other_id, later``: starts of runs of ``min_words``
+    words that occur at another place too, with the id of a neighbour among the
+    equal runs.  ``later`` marks all places of a run but the first by doc_id
+    (null first), text hash and start."""
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("rk"), text.alias("text"))
 
@@ -108,50 +113,60 @@ def matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min
     texts = rows.join(wanted.hint("merge"), (rows["rk"] == wanted["w_rk"]) & rows["doc_id"].eqNullSafe(wanted["w_id"])).select(
         "doc_id", "rk", "pos", "text")
 
-    def context(cols):
-        out, seen = {"doc_id": [], "rk": [], "pos": [], "after": [], "before": []}, {}
-        for i, key, at, t in zip(cols["doc_id"].to_pylist(), cols["rk"].to_pylist(), cols["pos"].to_pylist(), texts_of(cols["text"])):
-            h = (word_hashes(t, seen) >> np.uint64(32)).astype(">u4")
-            for p in at:
-                out["doc_id"].append(i)
-                out["rk"].append(key)
-                out["pos"].append(p)
-                out["after"].append(h[p:p + min_words].tobytes())
-                out["before"].append(h[max(0, p - min_words):p][::-1].tobytes())
-        return out
-    entries = map_batches(texts, context, "doc_id long, rk long, pos long, after binary, before binary")
-    order = ["after", "doc_id", "rk", "pos"]
-    ordered = entries.repartitionByRange(*order).sortWithinPartitions(*order)
-
-    def neighbours(cols_iter):
+    def runs(cols):
         import pyarrow as pa
-        last, first, schema = None, None, pa.schema([("doc_id", pa.int64()), ("rk", pa.int64()), ("start", pa.int64()), ("stop", pa.int64()),
-                                                     ("other_id", pa.int64()), ("later", pa.bool_()), ("edge", pa.int32()),
-                                                     ("after", pa.binary()), ("before", pa.binary())])
-        for batch in cols_iter:
-            got = list(zip(*(batch.column(n).to_pylist() for n in ("doc_id", "rk", "pos", "after", "before"))))
-            if not got:
+        seen, parts, size = {}, [], []
+        for key, at, t in zip(cols["rk"].to_pylist(), cols["pos"], texts_of(cols["text"])):
+            h = word_hashes(t, seen)
+            own, _ = owners(h, min_words, gram_words)
+            start = np.flatnonzero(np.isin(own, at.values.to_numpy()))
+            run = grams(h, min_words)[start].view(np.int64)
+            more = (grams(h ^ np.uint64(0xA5A5A5A5A5A5A5A5), min_words)[start] >> np.uint64(33)).astype(np.int32)
+            parts.append((np.full(len(start), key, np.int64), start, run, more))
+            size.append(len(start))
+        if not parts:
+            return None
+        rk, start, run, more = (np.concatenate(x) for x in zip(*parts))
+        ids = cols["doc_id"].take(pa.array(np.repeat(np.arange(len(size)), size)))
+        return {"run": run, "more": more, "doc_id": ids, "rk": rk, "start": start}
+    entries = map_batches(texts, runs, "run long, more int, doc_id long, rk long, start long")
+    ordered = entries.repartitionByRange(*_KEY).sortWithinPartitions(*_KEY)
+
+    def neighbours(batches):
+        import pyarrow as pa
+        schema = pa.schema([("doc_id", pa.int64()), ("rk", pa.int64()), ("start", pa.int64()), ("other_id", pa.int64()),
+                            ("later", pa.bool_()), ("edge", pa.int32()), ("run", pa.int64()), ("more", pa.int32())])
+        last = None
+
+        def edge(row, which):
+            x = row.to_pylist()[0] | {"other_id": None, "later": None, "edge": which}
+            return pa.RecordBatch.from_pylist([x], schema=schema)
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            found = [(*m, None, None, None) for m in _compare([last, *got] if last else got, min_words)]
-            if first is None:
-                first = got[0]
-                found.append((first[0], first[1], first[2], None, None, None, 0, first[3], first[4]))
-            last = got[-1]
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found), schema)], schema=schema)
-        if last is not None:  # the first and the last suffix of a partition meet the neighbouring partitions' below
-            row = (last[0], last[1], last[2], None, None, None, 1, last[3], last[4])
-            yield pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip(row, schema)], schema=schema)
-    compared = materialize(ordered.mapInArrow(neighbours, _MATCH + ", edge int, after binary, before binary"))
-    inside = compared.where("edge is null").select("doc_id", "rk", "start", "stop", "other_id", "later")
-
-    def at_edges(cols):
-        got = list(zip(*(cols[n].to_pylist() for n in ("doc_id", "rk", "start", "after", "before"))))
-        found = list(_compare(got, min_words))
-        return {n: [m[i] for m in found] for i, n in enumerate(("doc_id", "rk", "start", "stop", "other_id", "later"))}
-    # Two suffixes of each partition, in order: as many rows as there are partitions, times two.
-    edges = compared.where("edge is not null").coalesce(1).sortWithinPartitions("after", "doc_id", "rk", "start", "edge")
-    return inside.unionByName(map_batches(edges.select("doc_id", "rk", "start", "after", "before"), at_edges, _MATCH))
+            if last is None:
+                yield edge(batch.slice(0, 1), 0)
+            table = pa.Table.from_batches([x for x in (last, batch) if x is not None]).combine_chunks().to_batches()[0]
+            found = _equal_neighbours(table)
+            last = batch.slice(batch.num_rows - 1)
+            if n := len(found["rk"]):
+                yield pa.RecordBatch.from_arrays([pa.array(found[f.name], f.type) if f.name in found else pa.nulls(n, f.type) for f in schema], schema=schema)
+        if last is not None:  # the first and the last run of a partition meet the neighbouring partitions' below
+            yield edge(last, 1)
+    compared = materialize(ordered.mapInArrow(neighbours, _MATCH + ", edge int, run long, more int"))
+    release(wanted)
+    inside = compared.where("edge is null").select("doc_id", "rk", "start", "other_id", "later")
+
+    def at_edges(batches):
+        import pyarrow as pa
+        got = [b for b in batches if b.num_rows]
+        if got:
+            found = _equal_neighbours(pa.Table.from_batches(got).combine_chunks().to_batches()[0])
+            names = ["doc_id", "rk", "start", "other_id", "later"]
+            yield pa.RecordBatch.from_arrays([pa.array(found[n], pa.bool_() if n == "later" else pa.int64()) for n in names], names)
+    # Two runs of each partition, in order: as many rows as there are partitions, times two.
+    edges = compared.where("edge is not null").select(*_KEY, "edge").coalesce(1).sortWithinPartitions(*_KEY, "edge")
+    return inside.unionByName(edges.select(*_KEY).mapInArrow(at_edges, _MATCH))
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
@@ -159,33 +174,32 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """One row per text that shares a passage of ``min_words`` words or more
     with another place: ``doc_id, rk, n_repeated`` (words inside such
     passages), ``passages`` ([start, stop) word ranges, joined where they
-    touch), ``removable`` (the ranges that an earlier sorted suffix has too, so
-    that dropping them leaves one copy of each passage) and ``other_ids`` (ids
-    of texts that share them).
+    touch), ``removable`` (the ranges of runs that a lesser doc_id, text hash and
+    start has too: the copy there is kept, or goes for a lesser one, so that
+    dropping them all leaves one copy of each word) and ``other_ids`` (ids of
+    neighbours among the texts that share them, in the order of doc_id).
 
     Words are cut at ASCII white space, with A-Z lower-cased.  Null, empty and
     shorter texts have no such passage.  A repeated row (same id and text) is
     one text.  A passage that occurs twice in one text counts.  Texts with null
     id are compared like others; their partners list no null."""
     found = matches(docs, id_col, text_col, min_words, gram_words)
-    per = found.groupBy("doc_id", "rk").agg(F.collect_list(F.struct("start", "stop", "later")).alias("m"),
+    # A run's start times two, plus one where it is removable.
+    per = found.groupBy("doc_id", "rk").agg(F.collect_list(F.col("start") * 2 + F.col("later").cast("long")).alias("m"),
                                             F.collect_set("other_id").alias("other_ids"))
 
-    def joined(ranges):
-        out: list[list[int]] = []
-        for s, e in sorted(ranges):
-            if out and s <= out[-1][1]:
-                out[-1][1] = max(out[-1][1], e)
-            else:
-                out.append([s, e])
-        return out
+    def joined(starts):
+        starts = np.unique(starts)
+        cut = np.flatnonzero(np.diff(starts) > min_words) + 1
+        return [[int(x[0]), int(x[-1]) + min_words] for x in np.split(starts, cut) if len(x)]
 
     def f(cols):
         out = {n: cols[n] for n in ("doc_id", "rk", "other_ids")} | {"n_repeated": [], "passages": [], "removable": []}
-        for m in cols["m"].to_pylist():
-            all_ = joined((x["start"], x["stop"]) for x in m)
+        for m in cols["m"]:
+            code = m.values.to_numpy()
+            all_ = joined(code >> 1)
             out["n_repeated"].append(sum(e - s for s, e in all_))
             out["passages"].append(all_)
-            out["removable"].append(joined((x["start"], x["stop"]) for x in m if x["later"]))
+            out["removable"].append(joined(code[code & 1 == 1] >> 1))
         return out
     return map_batches(per, f, "doc_id long, rk long, n_repeated long, passages array<array<long>>, removable array<array<long>>, other_ids array<long>")

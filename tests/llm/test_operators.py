@@ -191,6 +191,42 @@ def test_suffix_dedup(docs, none):
     assert suffix_dedup.repeated_passages(none).count() == 0
 
 
+def _passages_case(seed):
+    """Frequent sentences inside rare passages, passages of many lengths, repeats within a text."""
+    rng = random.Random(seed)
+    word = lambda: f"w{rng.randrange(100_000)}"
+    frequent = [[word() for _ in range(12)] for _ in range(3)]
+    rare = [[word() for _ in range(rng.randrange(15, 60))] + rng.choice(frequent) + [word() for _ in range(rng.randrange(15, 150))] for _ in range(12)]
+    texts = []
+    for i in range(90):
+        parts = [[word() for _ in range(rng.randrange(30))]]
+        for _ in range(rng.randrange(1, 4)):
+            parts += [rng.choice(rare if rng.random() < 0.4 else frequent), [word() for _ in range(rng.randrange(30))]]
+        texts.append(" ".join(x for p in parts for x in p))
+    return list(enumerate(texts))
+
+
+def test_suffix_dedup_against_brute_force(spark):
+    rows, rng = _passages_case(1), random.Random(4)
+    word = lambda: f"v{rng.randrange(10 ** 6)}"
+    often = [[word() for _ in range(12)] for _ in range(20)]
+    for k in range(100):  # rare passages that end in a frequent sentence, each in two texts; the sentence stands in others
+        p = [word() for _ in range(40)] + often[k % 20]
+        rows += [(1000 + k * 10 + j, " ".join([word(), *x, *(word() for _ in range(60))])) for j, x in enumerate((p, often[k % 20], p))]
+    places = {}
+    for i, t in rows:
+        w = t.split()
+        for s in range(len(w) - 49):
+            places.setdefault(tuple(w[s:s + 50]), []).append((i, s))
+    want = {}
+    for at in places.values():
+        for i, s in at if len(at) > 1 else []:
+            want.setdefault(i, set()).update(range(s, s + 50))
+    got = suffix_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(7)).collect()
+    assert {r["doc_id"]: {x for a, b in r["passages"] for x in range(a, b)} for r in got} == want
+    assert {r["doc_id"]: r["n_repeated"] for r in got} == {i: len(x) for i, x in want.items()}
+
+
 def test_minimisers_are_dense_and_agree():
     rng = np.random.default_rng(1)
     words = rng.integers(0, 2 ** 63, 5000).astype(np.uint64)
