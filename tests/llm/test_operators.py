@@ -227,6 +227,36 @@ def test_suffix_dedup_against_brute_force(spark):
     assert {r["doc_id"]: r["n_repeated"] for r in got} == {i: len(x) for i, x in want.items()}
 
 
+def test_suffix_dedup_leaves_one_copy_of_each_word(spark):
+    rows = [(i, t) for seed in (2, 3) for i, t in ((100 * seed + i, t) for i, t in _passages_case(seed))]
+    rng = random.Random(9)
+    for k in range(0, 40, 2):  # two copies of a long passage, with other words around them
+        p = [f"p{rng.randrange(10 ** 6)}" for _ in range(200)]
+        rows += [(1000 + k + j, " ".join([f"a{rng.randrange(10 ** 6)}", *p, f"b{rng.randrange(10 ** 6)}"])) for j in (0, 1)]
+    got = {r["doc_id"]: r["removable"] for r in suffix_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    gone = {i: {x for a, b in r for x in range(a, b)} for i, r in got.items()}
+    assert all(sum(len(gone.get(1000 + k + j, ())) for j in (0, 1)) == 200 for k in range(0, 40, 2))
+    kept = {i: [x in gone.get(i, ()) for x in range(len(t.split()))] for i, t in rows}
+    copies = {}
+    for i, t in rows:
+        w = t.split()
+        for s in range(len(w) - 49):
+            copies.setdefault(tuple(w[s:s + 50]), []).append((i, s))
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+    for at in copies.values():  # words at the same place of equal runs are copies of each other
+        for i, s in at[1:]:
+            for o in range(50):
+                a, b = find((at[0][0], at[0][1] + o)), find((i, s + o))
+                root[max(a, b)] = min(a, b)
+    left = {find((i, x)) for i, g in kept.items() for x, removed in enumerate(g) if not removed}
+    assert all(find((i, x)) in left for i, g in gone.items() for x in g) and any(gone.values())
+
+
 def test_minimisers_are_dense_and_agree():
     rng = np.random.default_rng(1)
     words = rng.integers(0, 2 ** 63, 5000).astype(np.uint64)
