@@ -39,7 +39,7 @@ TOP = 2000
 ABSORBED = 80
 SCORE_SCALE = 2_000_000
 #: Bytes of text in a shard, and of text whose counts a task holds before it hands them on.
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 24 << 20
 #: Bits of a bitmap (16 MB), of which one row holds 2^15.
 BITMAP_BITS = 1 << 27
 #: White space that ends a word, and what ends a piece.
@@ -73,33 +73,52 @@ class Shard:
 
 def chain(h: np.ndarray, word: np.ndarray) -> np.ndarray:
     """The hash of a phrase, extended by one word."""
-    x = (h * np.uint64(_MIX[0])) ^ (word + np.uint64(_MIX[1]))
+    x = h * np.uint64(_MIX[0])
+    x ^= word + np.uint64(_MIX[1])
     x ^= x >> np.uint64(29)
-    return x * np.uint64(_MIX[0]) ^ (x >> np.uint64(32))
+    x *= np.uint64(_MIX[0])
+    x ^= x >> np.uint64(32)
+    return x
 
 
-def levels(words: np.ndarray, hashes: np.ndarray, usable: np.ndarray, max_words: int, keep):
+def levels(words: np.ndarray, hashes: np.ndarray, usable: np.ndarray, max_words: int, may, keep):
     """For each length from 2: ``(first position, count, hash)`` of the
-    distinct phrases that ``keep(hash, count)`` lets stand.  A phrase is
-    extended only where it stood and its last words stood as well, for no
-    phrase is more frequent than its parts."""
-    at = np.flatnonzero(usable[words])
-    ids, h, stood = words[at].astype(np.int64), hashes[words[at]], np.zeros(len(words), bool)
-    stood[at] = True
+    distinct phrases that ``keep(count)`` lets stand.  A phrase is extended
+    only where it stood and its last words stood as well, for no phrase is
+    more frequent than its parts.  ``may(hash)`` passes over occurrences
+    before they are sorted; it may let too many through, never too few.  The
+    last word is a piece end, so every position has a next one."""
+    at = np.flatnonzero(usable[words]).astype(np.int32)
+    ids = words[at]
+    h = hashes[ids]
     for size in range(2, max_words + 1):
-        ends = at + size - 1
-        ok = ends < len(words)
-        ok[ok] = stood[at[ok] + 1]
-        at, ids, h = at[ok], ids[ok], h[ok]
-        last = words[at + size - 1]
-        h = chain(h, hashes[last])
-        _, first, ids, counts = np.unique(ids * len(hashes) + last, return_index=True, return_inverse=True, return_counts=True)
-        standing = keep(h[first], counts)
-        yield size, at[first[standing]], counts[standing], h[first[standing]]
-        ok = standing[ids]
-        at, ids, h = at[ok], ids[ok], h[ok]
         stood = np.zeros(len(words), bool)
         stood[at] = True
+        ok = stood[at + 1]
+        at, ids, h = at[ok], ids[ok], h[ok]
+        h = chain(h, hashes[words[at + (size - 1)]])
+        ok = may(h)
+        at, ids, h = at[ok], ids[ok], h[ok]
+        del stood, ok
+        base, standing = 0, np.zeros(len(at), bool)
+        # Equal phrases have equal hashes: an eighth of the hashes at a time bounds what is sorted at once.
+        for eighth in range(8):
+            some = np.flatnonzero(h >> np.uint64(61) == eighth)
+            key = ids[some].astype(np.int64) * len(hashes) + words[at[some] + (size - 1)]
+            _, first, new, counts = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+            ok, first = keep(counts), some[first]
+            yield size, at[first[ok]], counts[ok], h[first[ok]]
+            ids[some], standing[some] = new + base, ok[new]
+            base += len(first)
+        at, ids, h = at[standing], ids[standing], h[standing]
+
+
+def _bucket_counts(h: np.ndarray, t: int) -> np.ndarray:
+    """Whether a hash's bucket holds ``t`` occurrences or more."""
+    if t <= 1:
+        return np.ones(len(h), bool)
+    bucket = (h >> np.uint64(42)).astype(np.int64)
+    return (np.bincount(bucket, minlength=1 << 22) >= t)[bucket]
 
 
 class Bitmap:
@@ -149,7 +168,7 @@ def _count_words(batches):
         at = np.flatnonzero(counts)
         names = list(shard.number)
         yield pa.RecordBatch.from_pydict({
-            "lang": pa.array([lang] * len(at), pa.string()), "phrase": pa.array([names[i].decode() for i in at], pa.string()),
+            "lang": pa.repeat(lang, len(at)), "phrase": pa.array([names[i].decode() for i in at], pa.string()),
             "h": shard.hashes(lang)[at].view(np.int64), "n": counts[at]})
 
 
@@ -157,21 +176,22 @@ def _mine_shard(key, table: pa.Table, frequent, support: int, max_words: int) ->
     """``lang, h, over``: a shard's phrases at local support, count less
     (t - 1); the row without a hash holds t - 1 itself."""
     lang, whole, shard = table["lang"][0].as_py(), table["whole"][0].as_py(), Shard()
-    for column in table["text"].chunks:
-        for text in texts_of(column):
-            shard.add(text)
+    for b in table.select(["text"]).to_batches():
+        for part in slices(b):
+            for text in texts_of(part.column(0)):
+                shard.add(text)
+    del table
     t = max(1, -(-support * shard.bytes // max(whole, 1)))
     words, hashes = shard.words(), shard.hashes(lang)
     counts = np.bincount(words, minlength=len(hashes))
     usable = (counts >= t) & frequent.value.has(hashes)
     usable[0] = False
-    found, over = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-    for _, _, n, h in levels(words, hashes, usable, max_words, lambda h, n: n >= t):
+    found, over = [np.zeros(1, np.uint64)], [np.array([t - 1])]
+    for _, _, n, h in levels(words, hashes, usable, max_words, lambda h: _bucket_counts(h, t), lambda n: n >= t):
         found.append(h)
         over.append(n - (t - 1))
-    h, over = np.concatenate(found).view(np.int64), np.concatenate(over)
-    return pa.table({"lang": pa.array([lang] * (len(h) + 1), pa.string()),
-                     "h": pa.array([None, *h.tolist()], pa.int64()), "over": pa.array([t - 1, *over.tolist()], pa.int64())})
+    h = np.concatenate(found).view(np.int64)
+    return pa.table({"lang": pa.repeat(lang, len(h)), "h": pa.array(h, mask=np.arange(len(h)) == 0), "over": np.concatenate(over)})
 
 
 def _count_phrases(batches, frequent, candidates, max_words: int):
@@ -180,11 +200,11 @@ def _count_phrases(batches, frequent, candidates, max_words: int):
         words, hashes, names = shard.words(), shard.hashes(lang), list(shard.number)
         usable = frequent.value.has(hashes)
         usable[0] = False
-        for size, at, n, _ in levels(words, hashes, usable, max_words, lambda h, n: candidates.value.has(h)):
+        for size, at, n, _ in levels(words, hashes, usable, max_words, candidates.value.has, lambda n: n > 0):
             for i in range(0, len(at), 1 << 16):
                 rows = words[at[i:i + (1 << 16), None] + np.arange(size)].tolist()
                 yield pa.RecordBatch.from_pydict({
-                    "lang": pa.array([lang] * len(rows), pa.string()),
+                    "lang": pa.repeat(lang, len(rows)),
                     "phrase": pa.array([b" ".join([names[w] for w in r]).decode() for r in rows], pa.string()),
                     "n": n[i:i + (1 << 16)]})
 
