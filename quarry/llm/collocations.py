@@ -40,6 +40,8 @@ ABSORBED = 80
 SCORE_SCALE = 2_000_000
 #: Bytes of text in a shard, and of text whose counts a task holds before it hands them on.
 SHARD_BYTES = 24 << 20
+#: Bytes of a language's text for each hash range in which the shards' finds are united.
+BUCKET_BYTES = 8 << 20
 #: Bits of a bitmap (16 MB), of which one row holds 2^15.
 BITMAP_BITS = 1 << 27
 #: White space that ends a word, and what ends a piece.
@@ -172,9 +174,10 @@ def _count_words(batches):
             "h": shard.hashes(lang)[at].view(np.int64), "n": counts[at]})
 
 
-def _mine_shard(key, table: pa.Table, frequent, support: int, max_words: int) -> pa.Table:
-    """``lang, h, over``: a shard's phrases at local support, count less
-    (t - 1); the row without a hash holds t - 1 itself."""
+def _mine_shard(table: pa.Table, frequent, support: int, max_words: int, bucket_bytes: int) -> pa.Table:
+    """``lang, bucket, slack, h, over``: a shard's phrases at local support,
+    count less (t - 1), those of one hash range packed into one row; ``slack``
+    is t - 1, also in a row of bucket -1 that every shard has."""
     lang, whole, shard = table["lang"][0].as_py(), table["whole"][0].as_py(), Shard()
     for b in table.select(["text"]).to_batches():
         for part in slices(b):
@@ -186,12 +189,30 @@ def _mine_shard(key, table: pa.Table, frequent, support: int, max_words: int) ->
     counts = np.bincount(words, minlength=len(hashes))
     usable = (counts >= t) & frequent.value.has(hashes)
     usable[0] = False
-    found, over = [np.zeros(1, np.uint64)], [np.array([t - 1])]
+    found, over = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for _, _, n, h in levels(words, hashes, usable, max_words, lambda h: _bucket_counts(h, t), lambda n: n >= t):
         found.append(h)
         over.append(n - (t - 1))
-    h = np.concatenate(found).view(np.int64)
-    return pa.table({"lang": pa.repeat(lang, len(h)), "h": pa.array(h, mask=np.arange(len(h)) == 0), "over": np.concatenate(over)})
+    h, over = np.concatenate(found), np.concatenate(over)
+    order = np.argsort(h)
+    h, over = h[order], over[order]
+    buckets = np.uint64(min(-(-whole // bucket_bytes), 1 << 31))
+    bucket = ((h >> np.uint64(32)) * buckets >> np.uint64(32)).astype(np.int64)
+    cuts = np.r_[0, np.flatnonzero(np.diff(bucket)) + 1, len(h)] if len(h) else np.zeros(1, np.int64)
+    packs = list(zip(cuts[:-1].tolist(), cuts[1:].tolist()))
+    return pa.table({"lang": pa.repeat(lang, len(packs) + 1), "bucket": pa.array([-1, *bucket[cuts[:-1]].tolist()], pa.int64()),
+                     "slack": pa.repeat(t - 1, len(packs) + 1), "h": pa.array([b"", *(h[a:b].tobytes() for a, b in packs)]),
+                     "over": pa.array([b"", *(over[a:b].tobytes() for a, b in packs)])})
+
+
+def _unite(table: pa.Table, support: int) -> pa.Table:
+    """``h`` of one hash range that may reach the support in all shards."""
+    h, over = (np.concatenate([np.frombuffer(x, kind) for x in table[c].to_pylist()]) for c, kind in (("h", np.uint64), ("over", np.int64)))
+    order = np.argsort(h)
+    h = h[order]
+    first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+    total = np.add.reduceat(over[order], first)
+    return pa.table({"h": h[first[total + table["slack"][0].as_py() >= support]].view(np.int64)})
 
 
 def _count_phrases(batches, frequent, candidates, max_words: int):
@@ -210,7 +231,8 @@ def _count_phrases(batches, frequent, candidates, max_words: int):
 
 
 def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", support: int = SUPPORT,
-                     max_words: int = MAX_WORDS, shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, DataFrame]:
+                     max_words: int = MAX_WORDS, shard_bytes: int = SHARD_BYTES,
+                     bucket_bytes: int = BUCKET_BYTES) -> tuple[DataFrame, DataFrame]:
     """``(lang, phrase, size, f)`` of all phrases of 1 to ``max_words`` words
     with f at ``support`` or more, and ``(lang, n)`` of all languages that
     have words; both exact."""
@@ -227,13 +249,15 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     # Rows are dealt in turn: equal texts and repeated ids spread over all shards of their language.
     deal = F.pmod("turn", F.floor((F.col("whole") - 1) / shard_bytes) + 1)
     dealt = texts.withColumn("turn", F.monotonically_increasing_id()).join(sizes, "lang").withColumn("shard", deal).drop("turn")
-    found = dealt.groupBy("lang", "shard").applyInArrow(
-        lambda key, table: _mine_shard(key, table, frequent, support, max_words), "lang string, h long, over long")
-    summed = materialize(found.groupBy("lang", "h").agg(F.sum("over").alias("over")))
-    slack = summed.where("h is null").select("lang", F.col("over").alias("slack"))
-    union = summed.where("h is not null").join(slack, "lang").where(F.col("over") + F.col("slack") >= support)
+    found = materialize(dealt.groupBy("lang", "shard").applyInArrow(
+        lambda table: _mine_shard(table, frequent, support, max_words, bucket_bytes),
+        "lang string, bucket long, slack long, h binary, over binary"))
+    # The t - 1 of a language's shards sum to less than the support.
+    slack = found.where("bucket = -1").select("lang", "slack").groupBy("lang").agg(F.sum("slack").alias("slack"))
+    union = found.where("bucket >= 0").drop("slack").join(slack, "lang").groupBy("lang", "bucket").applyInArrow(
+        lambda table: _unite(table, support), "h long")
     candidates = spark.sparkContext.broadcast(_bitmap(union))
-    release(summed, sizes)
+    release(found, sizes)
 
     phrases = texts.mapInArrow(lambda b: _count_phrases(b, frequent, candidates, max_words), "lang string, phrase string, n long")
     phrases = phrases.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= support)
@@ -249,7 +273,7 @@ def _wide(c: Column | str, by: int) -> Column:
 
 def mine_collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", support: int = SUPPORT,
                       max_words: int = MAX_WORDS, top: int = TOP, absorbed: int = ABSORBED,
-                      shard_bytes: int = SHARD_BYTES) -> DataFrame:
+                      shard_bytes: int = SHARD_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """The first ``top`` collocations of each language: ``lang, rank, phrase,
     a, l, r, n, score``.
 
@@ -265,7 +289,7 @@ def mine_collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "
     repeated rows count as often as they stand there; a very long text is
     numbered whole, in the shard it was dealt to.  Extra columns are ignored,
     whatever their names; an empty table gives no rows."""
-    phrases, totals = frequent_phrases(docs, text_col, lang_col, support, max_words, shard_bytes)
+    phrases, totals = frequent_phrases(docs, text_col, lang_col, support, max_words, shard_bytes, bucket_bytes)
     parts = F.split("phrase", " ")
     part = phrases.select("lang", F.col("phrase").alias("part"), F.col("f").alias("part_f"))
     candidates = phrases.where("size > 1").select("lang", "phrase", F.col("f").alias("a"), "size")

@@ -178,7 +178,7 @@ def test_collocations(spark, shard_bytes, support, top):
     rows += [(None, "en"), ("", "en"), ("...", "fr"), (" ", None), ("of the new york " * 2000, "de")] + [("same text of the new york", "en")] * 40
     docs = spark.createDataFrame([(i, *r, 1, "p", 3) for i, r in enumerate(rows)],
                                  "doc_id long, text string, lang string, n int, phrase string, shard long").repartition(5)
-    got = collocations.mine_collocations(docs, support=support, top=top, shard_bytes=shard_bytes)
+    got = collocations.mine_collocations(docs, support=support, top=top, shard_bytes=shard_bytes, bucket_bytes=shard_bytes // 2)
     assert sorted(map(tuple, got.collect())) == brute_collocations(rows, support, top)
     if shard_bytes > 2000:
         assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
