@@ -40,7 +40,7 @@ ABSORBED = 80
 SCORE_SCALE = 2_000_000
 #: Bytes of text in a shard, and of text whose counts a task holds before it hands them on.
 SHARD_BYTES = 24 << 20
-#: Bytes of a language's text for each hash range in which the shards' finds are united.
+#: Bytes of text for each hash range in which finds are united and counts summed.
 BUCKET_BYTES = 8 << 20
 #: Bits of a bitmap (16 MB), of which one row holds 2^15.
 BITMAP_BITS = 1 << 27
@@ -174,7 +174,15 @@ def _count_words(batches):
             "h": shard.hashes(lang)[at].view(np.int64), "n": counts[at]})
 
 
-def _mine_shard(table: pa.Table, frequent, support: int, max_words: int, bucket_bytes: int) -> pa.Table:
+def _ranges(h: np.ndarray, buckets: int):
+    """``(bucket, order, cuts)``: the hash range of every hash in the order of
+    the hashes, and where the ranges begin and end."""
+    order = np.argsort(h)
+    bucket = ((h[order] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    return bucket, order, np.r_[0, np.flatnonzero(np.diff(bucket)) + 1, len(h)] if len(h) else np.zeros(1, np.int64)
+
+
+def _mine_shard(table: pa.Table, frequent, support: int, max_words: int, buckets: int) -> pa.Table:
     """``lang, bucket, slack, h, over``: a shard's phrases at local support,
     count less (t - 1), those of one hash range packed into one row; ``slack``
     is t - 1, also in a row of bucket -1 that every shard has."""
@@ -194,11 +202,8 @@ def _mine_shard(table: pa.Table, frequent, support: int, max_words: int, bucket_
         found.append(h)
         over.append(n - (t - 1))
     h, over = np.concatenate(found), np.concatenate(over)
-    order = np.argsort(h)
+    bucket, order, cuts = _ranges(h, buckets)
     h, over = h[order], over[order]
-    buckets = np.uint64(min(-(-whole // bucket_bytes), 1 << 31))
-    bucket = ((h >> np.uint64(32)) * buckets >> np.uint64(32)).astype(np.int64)
-    cuts = np.r_[0, np.flatnonzero(np.diff(bucket)) + 1, len(h)] if len(h) else np.zeros(1, np.int64)
     packs = list(zip(cuts[:-1].tolist(), cuts[1:].tolist()))
     return pa.table({"lang": pa.repeat(lang, len(packs) + 1), "bucket": pa.array([-1, *bucket[cuts[:-1]].tolist()], pa.int64()),
                      "slack": pa.repeat(t - 1, len(packs) + 1), "h": pa.array([b"", *(h[a:b].tobytes() for a, b in packs)]),
@@ -215,19 +220,31 @@ def _unite(table: pa.Table, support: int) -> pa.Table:
     return pa.table({"h": h[first[total + table["slack"][0].as_py() >= support]].view(np.int64)})
 
 
-def _count_phrases(batches, frequent, candidates, max_words: int):
-    """``lang, phrase, n`` of the candidates in each run of texts."""
+def _count_phrases(batches, frequent, candidates, max_words: int, buckets: int):
+    """``lang, bucket, phrases, counts`` of the candidates in each run of
+    texts, those of one hash range packed into one row."""
     for lang, shard in _shards(batches, SHARD_BYTES):
         words, hashes, names = shard.words(), shard.hashes(lang), list(shard.number)
         usable = frequent.value.has(hashes)
         usable[0] = False
-        for size, at, n, _ in levels(words, hashes, usable, max_words, candidates.value.has, lambda n: n > 0):
-            for i in range(0, len(at), 1 << 16):
-                rows = words[at[i:i + (1 << 16), None] + np.arange(size)].tolist()
-                yield pa.RecordBatch.from_pydict({
-                    "lang": pa.repeat(lang, len(rows)),
-                    "phrase": pa.array([b" ".join([names[w] for w in r]).decode() for r in rows], pa.string()),
-                    "n": n[i:i + (1 << 16)]})
+        for size, at, n, h in levels(words, hashes, usable, max_words, candidates.value.has, lambda n: n > 0):
+            bucket, order, cuts = _ranges(h, buckets)
+            rows = words[at[order, None] + np.arange(size)].tolist()
+            phrases = pa.array([b" ".join([names[w] for w in r]) for r in rows], pa.binary()).cast(pa.string())
+            yield pa.RecordBatch.from_pydict({
+                "lang": pa.repeat(lang, len(cuts) - 1), "bucket": bucket[cuts[:-1]],
+                "phrases": pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), phrases),
+                "counts": pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(n[order]))})
+
+
+def _sum_counts(table: pa.Table, support: int) -> pa.Table:
+    """``lang, phrase, f`` of one hash range's phrases that reach the support."""
+    import pyarrow.compute as pc
+    flat = {c: pa.chunked_array([x.flatten() for x in table[c].chunks]) for c in ("phrases", "counts")}
+    sums = pa.table(flat).group_by("phrases").aggregate([("counts", "sum")])
+    sums = sums.filter(pc.greater_equal(sums["counts_sum"], support))
+    return pa.table({"lang": pa.repeat(table["lang"][0].as_py(), len(sums)), "phrase": sums["phrases"].cast(pa.string()),
+                     "f": sums["counts_sum"]})
 
 
 def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", support: int = SUPPORT,
@@ -246,11 +263,13 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     frequent = spark.sparkContext.broadcast(_bitmap(common))
 
     sizes = materialize(texts.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("whole")))
+    whole = sizes.agg(F.coalesce(F.sum("whole"), F.lit(0))).first()[0]
+    buckets = min(-(-whole // bucket_bytes) or 1, 1 << 31)
     # Rows are dealt in turn: equal texts and repeated ids spread over all shards of their language.
     deal = F.pmod("turn", F.floor((F.col("whole") - 1) / shard_bytes) + 1)
     dealt = texts.withColumn("turn", F.monotonically_increasing_id()).join(sizes, "lang").withColumn("shard", deal).drop("turn")
     found = materialize(dealt.groupBy("lang", "shard").applyInArrow(
-        lambda table: _mine_shard(table, frequent, support, max_words, bucket_bytes),
+        lambda table: _mine_shard(table, frequent, support, max_words, buckets),
         "lang string, bucket long, slack long, h binary, over binary"))
     # The t - 1 of a language's shards sum to less than the support.
     slack = found.where("bucket = -1").select("lang", "slack").groupBy("lang").agg(F.sum("slack").alias("slack"))
@@ -259,8 +278,9 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     candidates = spark.sparkContext.broadcast(_bitmap(union))
     release(found, sizes)
 
-    phrases = texts.mapInArrow(lambda b: _count_phrases(b, frequent, candidates, max_words), "lang string, phrase string, n long")
-    phrases = phrases.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= support)
+    packs = texts.mapInArrow(lambda b: _count_phrases(b, frequent, candidates, max_words, buckets),
+                             "lang string, bucket long, phrases array<string>, counts array<long>")
+    phrases = packs.groupBy("lang", "bucket").applyInArrow(lambda table: _sum_counts(table, support), "lang string, phrase string, f long")
     out = materialize(phrases.unionByName(common.select("lang", "phrase", "f"))
                       .withColumn("size", F.size(F.split("phrase", " "))))
     return out, totals
