@@ -22,6 +22,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.operators.blocks import dense_vectors, sparse_blocks, with_scores
+from quarry.operators.persist import Parts, Saved
+
 
 # ---------------------------------------------------------------------------
 # Sparse vectors inside Arrow batches arrive as their SQL struct
@@ -70,13 +73,20 @@ class SklearnTfidf(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable,
                                  weights)
 
 
-class SklearnTfidfModel(Model, HasInputCol, HasOutputCol):
+class SklearnTfidfModel(Model, HasInputCol, HasOutputCol, Saved):
     def __init__(self, inputCol: str, outputCol: str, sublinear: bool, idf: np.ndarray):
         super().__init__()
         self._set(inputCol=inputCol, outputCol=outputCol)
         self.sublinear_tf = sublinear
         self.idf = idf
 
+    def _parts(self) -> Parts:
+        return Parts(plain={"names": [self.getInputCol(), self.getOutputCol()], "sublinear": self.sublinear_tf}, arrays={"idf": self.idf})
+
+    @classmethod
+    def _from_parts(cls, parts: Parts) -> "SklearnTfidfModel":
+        return cls(*parts.plain["names"], parts.plain["sublinear"], parts.arrays["idf"])
+
     def _transform(self, df: DataFrame) -> DataFrame:
         from pyspark.ml.linalg import VectorUDT
         spark = df.sparkSession
@@ -104,11 +114,11 @@ class TruncatedSVD(Estimator, HasInputCol, HasOutputCol):
     the algorithm behind the reference's default solver).  k is capped at
     n_features - 1; with at most one feature the input passes through.
 
-    Each pass over the rows computes ``Xᵀ(X·M)`` and ``(X·M)ᵀ(X·M)`` for the
-    current d × l test matrix M (l = k + oversampling) with per-partition
-    numpy partials merged by ``treeAggregate``: the data is read
+    The rows become sparse blocks that are persisted once.  Each pass over
+    them sums ``Xᵀ(X·M)`` and ``(X·M)ᵀ(X·M)`` for the current d × l matrix M
+    (l = k + oversampling), so the input is computed once and read
     ``n_iter + 1`` times, and only d × l / l × l matrices (bounded by the
-    vocabulary size and k) ever reach the driver."""
+    vocabulary size and k) reach the driver, where M gets its QR step."""
 
     k = Param(Params._dummy(), "k", "components", TypeConverters.toInt)
     n_iter = Param(Params._dummy(), "n_iter", "power iterations", TypeConverters.toInt)
@@ -123,79 +133,107 @@ class TruncatedSVD(Estimator, HasInputCol, HasOutputCol):
         self._set(**kw)
 
     def _fit(self, df: DataFrame):
-        first = df.select(self.getInputCol()).first()
-        n_features = first[0].size if first is not None else 0
-        k = min(self.getOrDefault(self.k), n_features - 1)
+        blocks = sparse_blocks(df, self.getInputCol())
+        try:
+            return self.fit_blocks(blocks)
+        finally:
+            blocks.release()
+
+    def fit_blocks(self, blocks) -> "TruncatedSVDModel":
+        d = blocks.width
+        k = min(self.getOrDefault(self.k), d - 1)
         if k < 1:
             return TruncatedSVDModel(self.getInputCol(), self.getOutputCol(), None)
-        ell = min(k + self.oversample, n_features)
-        sc = df.sparkSession.sparkContext
-        rows = df.select(self.getInputCol()).rdd.map(lambda r: r[0])
-        m = np.random.RandomState(self.seed).standard_normal((n_features, ell))
-
-        def one_pass(mat):
-            mb = sc.broadcast(mat)
-
-            def partial(it):
-                mm = mb.value
-                a = np.zeros_like(mm)
-                g = np.zeros((mm.shape[1], mm.shape[1]))
-                for vec in it:
-                    idx = np.asarray(vec.indices) if hasattr(vec, "indices") else np.nonzero(vec.toArray())[0]
-                    val = np.asarray(vec.values) if hasattr(vec, "indices") else vec.toArray()[idx]
-                    if len(idx) == 0:
-                        continue
-                    y = val @ mm[idx]
-                    a[idx] += np.outer(val, y)
-                    g += np.outer(y, y)
-                yield a, g
-
-            def merge(x, y):
-                return x[0] + y[0], x[1] + y[1]
-            res = rows.mapPartitions(partial).treeReduce(merge, depth=2)
-            mb.unpersist()
-            return res
+        ell = min(k + self.oversample, d)
+
+        def products(m, bs):
+            total = np.zeros((d + ell, ell))
+            for b in bs:
+                y = b.times(m)
+                total[:d] += b.transposed_times(y, d)
+                total[d:] += y.T @ y
+            return total
 
+        def one_pass(m):
+            t = blocks.fold(m, products, (d + ell) * ell).reshape(d + ell, ell)
+            return t[:d], t[d:]
+
+        m = np.random.RandomState(self.seed).standard_normal((d, ell))
         for _ in range(self.getOrDefault(self.n_iter)):
-            a, _g = one_pass(m)
-            m, _ = np.linalg.qr(a)
+            m, _ = np.linalg.qr(one_pass(m)[0])
         a, g = one_pass(m)
         lam, w = np.linalg.eigh(g)
         keep = lam > lam.max() * 1e-12
         z = a @ (w[:, keep] / np.sqrt(lam[keep]))     # = Xᵀ Q, Q orthonormal basis of X·M
         u, svals, _ = np.linalg.svd(z, full_matrices=False)
-        model = TruncatedSVDModel(self.getInputCol(), self.getOutputCol(), u[:, :k])
-        model.singular_values = svals[:k]
-        return model
+        return TruncatedSVDModel(self.getInputCol(), self.getOutputCol(), u[:, :k], svals[:k])
+
 
+class TruncatedSVDModel(Model, HasInputCol, HasOutputCol, Saved):
+    """Rows projected on the fitted components; without any, passed through."""
 
-class TruncatedSVDModel(Model, HasInputCol, HasOutputCol):
-    def __init__(self, inputCol: str, outputCol: str, v: np.ndarray | None):
+    def __init__(self, inputCol: str, outputCol: str, v: np.ndarray | None, singular_values=()):
         super().__init__()
         self._set(inputCol=inputCol, outputCol=outputCol)
-        self.v = v
+        self.v, self.singular_values = v, np.asarray(singular_values, np.float64)
 
     def _transform(self, df: DataFrame) -> DataFrame:
         from pyspark.ml.linalg import VectorUDT
         inp, out = self.getInputCol(), self.getOutputCol()
-        schema = _with_column_schema(df, out, VectorUDT())
-        vb = df.sparkSession.sparkContext.broadcast(self.v) if self.v is not None else None
+        if self.v is None:
+            return df.withColumn(out, F.col(inp))
+        matrix = np.concatenate([self.v, np.zeros((1, self.v.shape[1]))])
+        return with_scores(df, inp, matrix, {out: VectorUDT()}, lambda s: {out: dense_vectors(s)})
 
-        def project(batches):
-            v = vb.value if vb is not None else None
-            for pdf in batches:
-                res = []
-                for row in pdf[inp]:
-                    size, idx, val = _as_sparse(row)
-                    if v is None:
-                        dense = np.zeros(size)
-                        dense[idx] = val
-                    else:
-                        dense = val @ v[idx] if len(idx) else np.zeros(v.shape[1])
-                    res.append({"type": 1, "size": None, "indices": None, "values": dense.astype(np.float64)})
-                pdf[out] = res
-                yield pdf
-        return df.mapInPandas(project, schema)
+    def _parts(self) -> Parts:
+        arrays = {} if self.v is None else {"v": self.v, "singular_values": self.singular_values}
+        return Parts(plain={"names": [self.getInputCol(), self.getOutputCol()]}, arrays=arrays)
+
+    @classmethod
+    def _from_parts(cls, parts: Parts) -> "TruncatedSVDModel":
+        values = parts.arrays.get("singular_values", np.zeros(0)).reshape(-1)
+        return cls(*parts.plain["names"], parts.arrays.get("v"), values)
+
+
+class SelectChi2(Estimator, HasInputCol, HasOutputCol):
+    """The k features with the best χ² of their class sums against the
+    classes' shares (ties: lower index), kept by a ``VectorSlicer``.  One pass
+    sums the features by class; the scores are bounded by the vocabulary."""
+
+    k = Param(Params._dummy(), "k", "features kept", TypeConverters.toInt)
+
+    @keyword_only
+    def __init__(self, inputCol="features", outputCol="selected", labelCol="label", k=20000):
+        super().__init__()
+        kw = dict(self._input_kwargs)
+        self.labelCol = kw.pop("labelCol", "label")
+        self._set(**{"k": 20000, **kw})
+
+    def _fit(self, df: DataFrame):
+        blocks = sparse_blocks(df, self.getInputCol(), [self.labelCol])
+        try:
+            return self.fit_blocks(blocks)
+        finally:
+            blocks.release()
+
+    def fit_blocks(self, blocks):
+        from pyspark.ml.feature import VectorSlicer
+        from quarry.operators.learners import class_counts
+        counts, d = class_counts(blocks), blocks.width
+        n_classes = len(counts)
+
+        def sums(_, bs):
+            total = np.zeros((d, n_classes))
+            for b in bs:
+                total += b.transposed_times(np.eye(n_classes)[b.extra[:, 0].astype(int)], d)
+            return total
+
+        observed = blocks.fold(None, sums, d * n_classes).reshape(d, n_classes)
+        expected = np.outer(observed.sum(axis=1), counts / max(counts.sum(), 1))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            chi2 = np.where(expected > 0, (observed - expected) ** 2 / expected, 0).sum(axis=1)
+        keep = np.sort(np.argsort(-chi2, kind="stable")[:self.getOrDefault(self.k)])
+        return VectorSlicer(inputCol=self.getInputCol(), outputCol=self.getOutputCol(), indices=keep.tolist() or [0])
 
 
 class TargetEncoder(Estimator, DefaultParamsReadable, DefaultParamsWritable):
@@ -228,11 +266,20 @@ class TargetEncoder(Estimator, DefaultParamsReadable, DefaultParamsWritable):
         return TargetEncoderModel(self.inputCols, self.suffix, tables, prior_df.checkpoint())
 
 
-class TargetEncoderModel(Model):
+class TargetEncoderModel(Model, Saved):
     def __init__(self, inputCols, suffix, tables: Mapping[str, DataFrame], prior: DataFrame):
         super().__init__()
         self.inputCols, self.suffix, self.tables, self.prior = inputCols, suffix, tables, prior
 
+    def _parts(self) -> Parts:
+        levels = {f"levels_{i}": self.tables[c] for i, c in enumerate(self.inputCols)}
+        return Parts(plain={"columns": self.inputCols, "suffix": self.suffix}, tables=levels | {"prior": self.prior})
+
+    @classmethod
+    def _from_parts(cls, parts: Parts) -> "TargetEncoderModel":
+        columns = parts.plain["columns"]
+        return cls(columns, parts.plain["suffix"], {c: parts.tables[f"levels_{i}"] for i, c in enumerate(columns)}, parts.tables["prior"])
+
     def _transform(self, df: DataFrame) -> DataFrame:
         out = df.crossJoin(F.broadcast(self.prior.withColumnRenamed("prior", "_prior")))  # one-row scalar
         for c in self.inputCols:
@@ -243,13 +290,20 @@ class TargetEncoderModel(Model):
         return out.drop("_prior")
 
 
-class OrdinalEncoder(Transformer):
+class OrdinalEncoder(Transformer, Saved):
     """E5: fixed ordered mapping → int; unknown values and nulls → -1."""
 
     def __init__(self, mappings: Mapping[str, Sequence[str]], suffix: str = "_ord"):
         super().__init__()
         self.mappings, self.suffix = dict(mappings), suffix
 
+    def _parts(self) -> Parts:
+        return Parts(plain={"mappings": [[c, list(v)] for c, v in self.mappings.items()], "suffix": self.suffix})
+
+    @classmethod
+    def _from_parts(cls, parts: Parts) -> "OrdinalEncoder":
+        return cls(dict(parts.plain["mappings"]), parts.plain["suffix"])
+
     def _transform(self, df: DataFrame) -> DataFrame:
         from quarry.functions.scalar import code_labels
         for c, order in self.mappings.items():
@@ -259,50 +313,6 @@ class OrdinalEncoder(Transformer):
         return df
 
 
-class RidgeOvR(Estimator):
-    """M9: ridge classifier — one least-squares fit per class on ±1 targets
-    (optionally sample-weighted), prediction = argmax of the scores.
-
-    sklearn's ``alpha`` on the summed loss equals MLlib's ``regParam`` =
-    alpha / Σw on the mean loss."""
-
-    def __init__(self, featuresCol="features", labelCol="label", weightCol: str | None = None,
-                 alpha: float = 1.0, predictionCol="prediction"):
-        super().__init__()
-        self.featuresCol, self.labelCol, self.weightCol = featuresCol, labelCol, weightCol
-        self.alpha, self.predictionCol = alpha, predictionCol
-
-    def _fit(self, df: DataFrame):
-        from pyspark.ml.regression import LinearRegression
-        classes = [r[0] for r in df.select(self.labelCol).distinct().orderBy(self.labelCol).collect()]
-        w = F.col(self.weightCol) if self.weightCol else F.lit(1.0)
-        total_w = df.agg(F.sum(w)).first()[0]
-        models = []
-        for c in classes:   # one fit per class (k is the number of classes)
-            data = df.withColumn("_y", F.when(F.col(self.labelCol) == c, 1.0).otherwise(-1.0))
-            lr = LinearRegression(featuresCol=self.featuresCol, labelCol="_y", regParam=self.alpha / total_w,
-                                  elasticNetParam=0.0, standardization=False, fitIntercept=True,
-                                  predictionCol=f"_score_{len(models)}", solver="l-bfgs", maxIter=100)
-            if self.weightCol:
-                lr.setWeightCol(self.weightCol)
-            models.append(lr.fit(data))
-        return RidgeOvRModel(classes, models, self.predictionCol)
-
-
-class RidgeOvRModel(Model):
-    def __init__(self, classes, models, predictionCol):
-        super().__init__()
-        self.classes, self.models, self.predictionCol = classes, models, predictionCol
-
-    def _transform(self, df: DataFrame) -> DataFrame:
-        for m in self.models:
-            df = m.transform(df)
-        scores = F.array(*[F.struct(F.col(f"_score_{i}").alias("s"), F.lit(float(c)).alias("c"))
-                           for i, c in enumerate(self.classes)])
-        best = F.array_max(F.transform(scores, lambda x: F.struct(x.s, -x.c)))
-        return df.withColumn(self.predictionCol, -best["col2"]).drop(*[f"_score_{i}" for i in range(len(self.models))])
-
-
 def class_probabilities(model, df: DataFrame, out: str = "proba") -> DataFrame:
     """Class-probability array for any fitted classifier: the model's own
     ``probability`` column, or — for one-vs-rest models, which have none —
@@ -351,11 +361,18 @@ class MedianImputer(Estimator):
         return MedianImputerModel(self.inputCols, self.suffix, row.checkpoint())
 
 
-class MedianImputerModel(Model):
+class MedianImputerModel(Model, Saved):
     def __init__(self, inputCols, suffix, medians: DataFrame):
         super().__init__()
         self.inputCols, self.suffix, self.medians = inputCols, suffix, medians
 
+    def _parts(self) -> Parts:
+        return Parts(plain={"columns": self.inputCols, "suffix": self.suffix}, tables={"medians": self.medians})
+
+    @classmethod
+    def _from_parts(cls, parts: Parts) -> "MedianImputerModel":
+        return cls(parts.plain["columns"], parts.plain["suffix"], parts.tables["medians"])
+
     def _transform(self, df: DataFrame) -> DataFrame:
         out = df.crossJoin(F.broadcast(self.medians))  # one-row scalar
         for c in self.inputCols:
@@ -403,19 +420,48 @@ class VocabularyVectorizer(Estimator, HasInputCol, HasOutputCol):
         idf = np.log((1.0 + n_docs) / (1.0 + dfs)) + 1.0
         weigh = SklearnTfidfModel(tf_col, out, self.sublinear, idf)
         # Intermediate columns are dropped before the Arrow weighting step.
-        return _ChainModel([cvm, _Dropper(self.drop_cols), weigh], drop=[tf_col])
+        return _ChainModel([cvm, DropColumns(self.drop_cols), weigh], drop=[tf_col])
 
 
-class _Dropper(Transformer):
-    def __init__(self, cols):
+class DropColumns(Transformer, Saved):
+    """Drop intermediate columns (token arrays, raw text), so that only the
+    vector crosses into Python in the next stage."""
+
+    def __init__(self, cols: Sequence[str] = ()):
         super().__init__()
         self.cols = list(cols)
 
     def _transform(self, df: DataFrame) -> DataFrame:
         return df.drop(*[c for c in self.cols if c in df.columns])
 
+    def _parts(self) -> Parts:
+        return Parts(plain={"cols": self.cols})
+
+    @classmethod
+    def _from_parts(cls, parts: Parts) -> "DropColumns":
+        return cls(parts.plain["cols"])
+
+
+class CharNgrams(Transformer, HasInputCol, HasOutputCol, Saved):
+    """char_wb 3-5-grams of a text column (see functions.text.char_ngrams)."""
+
+    def __init__(self, inputCol: str = "text", outputCol: str = "grams"):
+        super().__init__()
+        self._set(inputCol=inputCol, outputCol=outputCol)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        from quarry.functions.text import char_ngrams
+        return df.withColumn(self.getOutputCol(), char_ngrams(F.col(self.getInputCol())))
+
+    def _parts(self) -> Parts:
+        return Parts()
+
+    @classmethod
+    def _from_parts(cls, parts: Parts) -> "CharNgrams":
+        return cls()
 
-class _ChainModel(Model):
+
+class _ChainModel(Model, Saved):
     def __init__(self, models, drop=()):
         super().__init__()
         self.models, self.drop_cols = models, list(drop)
@@ -425,6 +471,13 @@ class _ChainModel(Model):
             df = m.transform(df)
         return df.drop(*[c for c in self.drop_cols if c in df.columns])
 
+    def _parts(self) -> Parts:
+        return Parts(plain={"drop": self.drop_cols}, stages=self.models)
+
+    @classmethod
+    def _from_parts(cls, parts: Parts) -> "_ChainModel":
+        return cls(parts.stages, parts.plain["drop"])
+
 
 class CompactFeatures(Estimator, HasInputCol, HasOutputCol):
     """Keep only the feature indices that occur in the training vectors

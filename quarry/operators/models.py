@@ -9,24 +9,26 @@ every metric is computed by the distributed evaluation operators.
 
 from __future__ import annotations
 
+import threading
 import time
 import traceback
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
-                                       MultilayerPerceptronClassifier, NaiveBayes, OneVsRest,
+from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, NaiveBayes, OneVsRest,
                                        RandomForestClassifier)
-from pyspark.ml.feature import (CountVectorizer, HashingTF, IndexToString, NGram, RegexTokenizer,
+from pyspark.ml.feature import (HashingTF, IndexToString, NGram, RegexTokenizer,
                                 SQLTransformer, StopWordsRemover, StringIndexer, VectorAssembler)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.text import WORD_TOKEN, english_stopwords
 from quarry.operators import evaluate as ev
-from quarry.operators.ml import SklearnTfidf, TruncatedSVD, class_probabilities
-from quarry.operators.rank import attach, topk_per_group
+from quarry.operators.blocks import sparse_blocks
+from quarry.operators.learners import ROWS_PER_TASK, LinearOvR, ReluNet, SGDLinear, Voting
+from quarry.operators.ml import CharNgrams, DropColumns, SelectChi2, SklearnTfidf, TruncatedSVD, class_probabilities
+from quarry.operators.rank import attach
 
 
 # ---------------------------------------------------------------------------
@@ -50,33 +52,7 @@ def word_ngram_stages(text: str = "text", out: str = "grams") -> list:
 
 def char_ngram_stages(text: str = "text", out: str = "grams") -> list:
     """char_wb 3-5-grams (see functions.text.char_ngrams)."""
-    from quarry.functions.text import char_ngrams
-    expr = char_ngrams(F.col(text))
-    # Expressed through a column expression: the stage is a SQL projection.
-    return [_ColumnStage(out, expr)]
-
-
-class _ColumnStage(SQLTransformer):
-    """A pipeline stage that adds one native column expression."""
-
-    def __init__(self, out: str, expr):
-        super().__init__(statement="SELECT * FROM __THIS__")
-        self._out, self._expr = out, expr
-
-    def _transform(self, df):
-        return df.withColumn(self._out, self._expr)
-
-
-class _DropColumns(SQLTransformer):
-    """Drop intermediate columns (token arrays, raw text) before a stage that
-    moves rows through Arrow, so only the vector crosses into Python."""
-
-    def __init__(self, cols):
-        super().__init__(statement="SELECT * FROM __THIS__")
-        self._cols = list(cols)
-
-    def _transform(self, df):
-        return df.drop(*[c for c in self._cols if c in df.columns])
+    return [CharNgrams(text, out)]
 
 
 _INTERMEDIATE = ["_tok", "_tok_ns", "_bi", "grams", "text"]
@@ -104,78 +80,57 @@ def hashing_tfidf_stages(text: str = "text", out: str = "features", num_features
     """Hashed 1-2-grams (no sign flip), then sublinear smooth TF-IDF."""
     from quarry.operators.ml import CompactFeatures
     return word_ngram_stages(text) + [HashingTF(inputCol="grams", outputCol="_htf", numFeatures=num_features),
-                                      _DropColumns(_INTERMEDIATE),
+                                      DropColumns(_INTERMEDIATE),
                                       SklearnTfidf(inputCol="_htf", outputCol="_htfidf", sublinear=True),
                                       CompactFeatures(inputCol="_htfidf", outputCol=out),
-                                      _DropColumns(["_htf", "_htfidf"])]
-
-
-def balanced_weights(df: DataFrame, label: str = "label", out: str = "weight") -> DataFrame:
-    """class_weight='balanced': n / (k · n_c) per row."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    tot = counts.agg(F.sum("_nc").alias("_n"), F.count(F.lit(1)).alias("_k"))
-    w = attach(counts, tot, []).select(label, (F.col("_n") / (F.col("_k") * F.col("_nc"))).alias(out))
-    return df.join(w, label)
+                                      DropColumns(["_htf", "_htfidf"])]
 
 
 # ---------------------------------------------------------------------------
 # Text model set
 # ---------------------------------------------------------------------------
-def text_models(seed: int = 42) -> dict[str, Callable[[], list]]:
-    """name → factory of the pipeline stages after the label indexer."""
-    lr, svc = _logistic, _linear_svc
-    ovr = lambda clf: OneVsRest(classifier=clf, weightCol="weight", parallelism=4)
-    # SGD-style models: L2 1e-5, 30 passes, tol 1e-3 (the reference's settings).
-    sgd = dict(regParam=1e-5, standardization=False, maxIter=30, tol=1e-3)
-    return {
-        "multinomial_nb": lambda: tfidf_stages() + [NaiveBayes(modelType="multinomial", smoothing=0.15)],
-        "complement_nb": lambda: tfidf_stages() + [NaiveBayes(modelType="complement", smoothing=0.15)],
-        "logistic_regression": lambda: tfidf_stages() + [ovr(lr())],
-        "linear_svc": lambda: tfidf_stages() + [ovr(svc())],
-        "ridge_classifier": lambda: tfidf_stages() + [_ridge()],
-        "char_linear_svc": lambda: tfidf_stages(analyzer="char") + [ovr(svc())],
-        "sgd_log_loss": lambda: tfidf_stages() + [ovr(LogisticRegression(weightCol="weight", **sgd))],
-        "sgd_hinge": lambda: tfidf_stages() + [ovr(LinearSVC(weightCol="weight", **sgd))],
-        "hashing_sgd_hinge": lambda: hashing_tfidf_stages() + [
-            ovr(LinearSVC(weightCol="weight", **sgd))],
-        "boosted_lsa": lambda: tfidf_stages(out="_tfidf") + [
-            TruncatedSVD(inputCol="_tfidf", outputCol="features", k=300),
-            OneVsRest(classifier=GBTClassifier(maxIter=160, maxDepth=4, stepSize=0.08, subsamplingRate=0.9,
-                                               featureSubsetStrategy="0.9", seed=seed), parallelism=4)],
-    }
+def logistic(features: str = "features") -> LinearOvR:
+    """M6: balanced inside each one-vs-rest problem, 300 steps."""
+    return LinearOvR(featuresCol=features, loss="log", weighting="inside", maxIter=300, tol=1e-4)
 
 
-def _logistic(max_iter: int = 300) -> LogisticRegression:
-    """Penalty left open: ``with_penalty`` sets it from the training weights."""
-    return LogisticRegression(maxIter=max_iter, tol=1e-4, weightCol="weight", standardization=False)
+def linear_svc(features: str = "features") -> LinearOvR:
+    """M7: squared hinge, own rows of a class weighted, 1000 steps."""
+    return LinearOvR(featuresCol=features, loss="squared_hinge", weighting="classes", maxIter=1000, tol=1e-4)
 
 
-def _linear_svc(max_iter: int = 1000) -> LinearSVC:
-    """Penalty left open, as for ``_logistic``."""
-    return LinearSVC(maxIter=max_iter, tol=1e-4, weightCol="weight", standardization=False)
+def complement_nb(features: str = "features") -> NaiveBayes:
+    return NaiveBayes(featuresCol=features, modelType="complement", smoothing=0.15)
 
 
-def with_penalty(stage, train: DataFrame, c: float = 1.0, weight: str = "weight"):
-    """An L2 penalty of ½‖w‖² against ``c`` times the summed loss.  MLlib
-    averages the loss over the weights, so the penalty is 1 / (c · Σ weight).
-    Stages that are no one-vs-rest linear model, or state their own penalty,
-    stay as they are."""
-    clf = stage.getClassifier() if isinstance(stage, OneVsRest) else None
-    if isinstance(clf, (LogisticRegression, LinearSVC)) and not clf.isSet("regParam"):
-        total = train.agg(F.sum(weight)).first()[0]
-        if total:
-            return stage.copy().setClassifier(clf.copy().setRegParam(1.0 / (c * total)))
-    return stage
+def voting(features: str = "features") -> Voting:
+    """Logistic, SVC and complement naive Bayes on one feature table."""
+    return Voting({"lr": logistic(features), "svm": linear_svc(features), "nb": complement_nb(features)})
 
 
-def _ridge():
-    from quarry.operators.ml import RidgeOvR
-    return RidgeOvR(featuresCol="features", labelCol="label", weightCol="weight", alpha=1.0)
+def boosted(n_classes_seed: int = 42) -> OneVsRest:
+    return OneVsRest(classifier=GBTClassifier(maxIter=160, maxDepth=4, stepSize=0.08, subsamplingRate=0.9,
+                                              featureSubsetStrategy="0.9", seed=n_classes_seed), parallelism=4)
 
 
-def mlp_stage(n_in: int, n_classes: int, seed: int = 42):
-    """One 128-unit hidden layer (MLlib: sigmoid hidden units, no early stop)."""
-    return MultilayerPerceptronClassifier(layers=[n_in, 128, n_classes], maxIter=200, seed=seed)
+def text_models(seed: int = 42) -> dict[str, Callable[[], list]]:
+    """name → factory of the pipeline stages after the label indexer (M18: all twelve)."""
+    return {
+        "multinomial_nb": lambda: tfidf_stages() + [NaiveBayes(modelType="multinomial", smoothing=0.15)],
+        "complement_nb": lambda: tfidf_stages() + [complement_nb()],
+        "logistic_regression": lambda: tfidf_stages() + [logistic()],
+        "linear_svc": lambda: tfidf_stages() + [linear_svc()],
+        "passive_aggressive": lambda: tfidf_stages() + [SGDLinear(loss="hinge", passive_aggressive=True, maxIter=50)],
+        "ridge_classifier": lambda: tfidf_stages() + [
+            LinearOvR(loss="squared", weighting="rows", penalise_intercept=False, maxIter=100)],
+        "char_linear_svc": lambda: tfidf_stages(analyzer="char") + [linear_svc()],
+        "sgd_log_loss": lambda: tfidf_stages() + [SGDLinear(loss="log", alpha=1e-5, maxIter=30)],
+        "sgd_hinge": lambda: tfidf_stages() + [SGDLinear(loss="hinge", alpha=1e-5, maxIter=30)],
+        "hashing_sgd_hinge": lambda: hashing_tfidf_stages() + [SGDLinear(loss="hinge", alpha=1e-5, maxIter=30)],
+        "voting_ensemble": lambda: tfidf_stages() + [voting()],
+        "boosted_lsa": lambda: tfidf_stages(out="_tfidf") + [
+            TruncatedSVD(inputCol="_tfidf", outputCol="features", k=300), DropColumns(["_tfidf"]), boosted(seed)],
+    }
 
 
 def fit_persisted(stages: list, train: DataFrame) -> PipelineModel:
@@ -187,7 +142,7 @@ def fit_persisted(stages: list, train: DataFrame) -> PipelineModel:
     feats = Pipeline(stages=stages[:-1]).fit(train)
     data = feats.transform(train).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        last = with_penalty(stages[-1], data).fit(data)
+        last = stages[-1].fit(data)
     finally:
         data.unpersist()
     return PipelineModel(stages=list(feats.stages) + [last])
@@ -200,7 +155,7 @@ def fit_and_score(name: str, stages: list, train: DataFrame, test: DataFrame,
     indexer = label_indexer(label).fit(train)
     back = IndexToString(inputCol="prediction", outputCol="predicted", labels=indexer.labels)
     t0 = time.perf_counter()
-    model = fit_persisted([indexer] + stages, balanced_weights(indexer.transform(train)).drop("label"))
+    model = fit_persisted([indexer] + stages, train)
     secs = round(time.perf_counter() - t0, 2)
     scored = back.transform(model.transform(test))
     pred = scored.select(F.lit(name).alias("model"), F.col(label).alias("actual"), "predicted",
@@ -211,10 +166,11 @@ def fit_and_score(name: str, stages: list, train: DataFrame, test: DataFrame,
 
 
 def model_set_run(train: DataFrame, test: DataFrame, models: Mapping[str, Callable[[], list]],
-                  label: str = "category", parallelism: int = 2) -> tuple[DataFrame, dict]:
+                  label: str = "category", parallelism: int = 2, model_path: str | None = None) -> tuple[DataFrame, dict]:
     """Fit and score every named model on one split; independent fits
     run concurrently from a small driver thread pool.  Failures become rows
-    with status 'failed'.  Returns (metrics DataFrame, fitted models)."""
+    with status 'failed'.  With ``model_path`` the best model by (macro-F1,
+    weighted-F1) is saved there (S10).  Returns (metrics DataFrame, fitted models)."""
     spark = train.sparkSession
     results, fitted = [], {}
 
@@ -238,142 +194,150 @@ def model_set_run(train: DataFrame, test: DataFrame, models: Mapping[str, Callab
     out = results[0]
     for r in results[1:]:
         out = out.unionByName(r, allowMissingColumns=True)
+    if model_path and fitted:
+        from quarry.sources.sinks import save_model
+        best = out.where("status = 'ok'").orderBy(F.desc("macro_f1"), F.desc("weighted_f1"), "model").first()["model"]
+        save_model(fitted[best], model_path)
     return out, fitted
 
 
+def top_class_terms(model: PipelineModel, k: int = 12) -> list[tuple[str, str, float]]:
+    """Q10: ``(class, term, weight)`` of the k heaviest terms of every class of
+    a fitted vocabulary model: coefficients of a linear model, log
+    probabilities of naive Bayes.  Model parameters only; no row is read."""
+    import numpy as np
+    from pyspark.ml.feature import CountVectorizerModel
+    inner = [m for st in model.stages for m in getattr(st, "models", [st])]
+    vocab = np.array(next(s for s in inner if isinstance(s, CountVectorizerModel)).vocabulary)
+    last = model.stages[-1]
+    weights = last.coefficients[:-1] if hasattr(last, "coefficients") else last.theta.toArray().T
+    out = []
+    for c, name in enumerate(model.stages[0].labels[:weights.shape[1]]):
+        order = np.lexsort((vocab, -weights[:, c]))[:k]
+        out += [(name, str(vocab[j]), float(weights[j, c])) for j in order]
+    return out
+
+
 # ---------------------------------------------------------------------------
 # Grid (M17): feature × reducer × model, shared stages fitted once per level
 # ---------------------------------------------------------------------------
 _GRID_SCHEMA = ("run string, feature string, reducer string, model string, accuracy double, macro_f1 double, "
-                "weighted_f1 double, seconds double, status string, error string")
-
-
-def grid_run(train: DataFrame, test: DataFrame, features: Sequence[str], reducers: Sequence[str],
-             models: Sequence[str], label: str = "category", limit: int | None = None,
-             chi2_k: int = 20000, seed: int = 42, progress_path: str | None = None) -> DataFrame:
-    """Feature extraction is fitted once per feature kind and its output
-    checkpointed; each reducer is fitted once per feature kind; models are
-    fitted on the cached reduced features.  Errors are recorded as rows.
-    With ``progress_path`` every finished row is appended there at once
-    (S9), so a crash keeps the cells already fitted."""
+                "weighted_f1 double, macro_precision double, macro_recall double, feature_seconds double, "
+                "reduction_seconds double, train_seconds double, status string, error string")
+_METRICS = ["accuracy", "macro_f1", "weighted_f1", "macro_precision", "macro_recall"]
+GRID_FEATURES, GRID_REDUCERS = ["bow", "tfidf"], ["chi2_k20000", "svd_100", "svd_300"]
+GRID_MODELS, GRID_DENSE_MODELS = ["logistic_regression", "linear_svc", "sgd_hinge"], ["mlp"]
+
+
+def grid_cells(features=GRID_FEATURES, reducers=GRID_REDUCERS, models=GRID_MODELS, dense_models=GRID_DENSE_MODELS) -> list[tuple]:
+    """(feature, reducer, model); the dense models run on SVD features only."""
+    return [(f, r, m) for f in features for r in reducers
+            for m in [*models, *(dense_models if r.startswith("svd_") else [])]]
+
+
+def grid_stages(kind: str, name: str, seed: int = 42) -> list:
+    """The pipeline stages behind a name of the grid."""
+    if kind == "feature":
+        return tfidf_stages(out="_f") if name == "tfidf" else word_ngram_stages() + bow_stages(out="_f")
+    if kind == "reducer":
+        k = int(name.split("_")[1].lstrip("k"))
+        return [SelectChi2(inputCol="_f", outputCol="_r", k=k) if name.startswith("chi2") else
+                TruncatedSVD(inputCol="_f", outputCol="_r", k=k, seed=seed)]
+    return {"logistic_regression": lambda: [logistic("_r")], "linear_svc": lambda: [linear_svc("_r")],
+            "sgd_hinge": lambda: [SGDLinear(featuresCol="_r", loss="hinge", alpha=1e-5, maxIter=30)],
+            "mlp": lambda: [ReluNet(featuresCol="_r", seed=seed)]}[name]()
+
+
+def grid_run(train: DataFrame, test: DataFrame, cells: Sequence[tuple] | None = None, label: str = "category",
+             limit: int | None = None, seed: int = 42, progress_path: str | None = None, model_path: str | None = None,
+             parallelism: int = 2) -> DataFrame:
+    """Run the grid cells and return their rows, best (macro-F1, weighted-F1)
+    first.
+
+    A feature step is fitted once and its vectors persisted for all its
+    reducers; a reducer is fitted once and its rows persisted, as blocks for
+    the learners, for all its models; ``parallelism`` models are fitted at a
+    time.  Errors become rows.  With ``progress_path`` every finished row is
+    appended there at once (S9), and a run that finds rows there goes on with
+    the cells that have none, fitting only the steps they need.  With
+    ``model_path`` the whole best pipeline is fitted again on the training
+    rows and saved (S10)."""
+    from quarry.sources.sinks import append_rows, save_model
     spark = train.sparkSession
-
-    class _Rows(list):
-        def append(self, row):
-            super().append(row)
+    cells = list(cells or grid_cells())[:limit]
+    names = [c.split()[0] for c in _GRID_SCHEMA.split(", ")]
+    rows = _finished(spark, progress_path, cells)
+    lock = threading.Lock()
+
+    def finish(cell, secs, metrics=None, error=None):
+        row = (f"{cell[0]}__{cell[1]}__{cell[2]}", *cell, *[metrics[m] if metrics else None for m in _METRICS], *secs,
+               "failed" if error else "ok", error)
+        with lock:
+            rows[cell] = dict(zip(names, row))
             if progress_path:
-                from quarry.sources.sinks import append_rows
                 append_rows(spark.createDataFrame([row], _GRID_SCHEMA), progress_path)
+
     indexer = label_indexer(label).fit(train)
-    rows = _Rows()
-    done = 0
-    for feat in features:
-        tf_stages = (tfidf_stages(out="_f") if feat == "tfidf"
-                     else word_ngram_stages() + bow_stages(out="_f"))
+    for feature in dict.fromkeys(f for f, _, _ in cells):
+        left = [c for c in cells if c[0] == feature and c not in rows]
+        if not left:
+            continue
         t0 = time.perf_counter()
-        fmodel = Pipeline(stages=tf_stages).fit(train)
-        feat_secs = round(time.perf_counter() - t0, 2)
-        tr = balanced_weights(indexer.transform(fmodel.transform(train))).select("label", "weight", "_f").checkpoint()
-        te = indexer.transform(fmodel.transform(test)).select("label", "_f").checkpoint()
-        for red in reducers:
-            t1 = time.perf_counter()
+        vectors = Pipeline(stages=grid_stages("feature", feature)).fit(train)
+        tr, te = (indexer.transform(vectors.transform(d)).select("label", "_f").persist() for d in (train, test))
+        feature_blocks = sparse_blocks(tr, "_f", ["label"])
+        secs = [round(time.perf_counter() - t0, 2)]
+        for reducer in dict.fromkeys(r for _, r, _ in left):
+            t1, todo = time.perf_counter(), [c for c in left if c[1] == reducer]
             try:
-                if red.startswith("chi2"):
-                    from pyspark.ml.feature import ChiSqSelector  # noqa: F401 (MLlib variant differs, see SURVEY)
-                    rmodel = _chi2_reducer(tr, chi2_k)
-                else:
-                    k = int(red.split("_")[1])
-                    rmodel = TruncatedSVD(inputCol="_f", outputCol="_r", k=k).fit(tr)
-                red_secs = round(time.perf_counter() - t1, 2)
-                trr = rmodel.transform(tr).checkpoint()
-                ter = rmodel.transform(te)
-            except Exception as e:  # noqa: BLE001
-                for mname in models:
-                    rows.append((f"{feat}__{red}__{mname}", feat, red, mname, None, None, None, None,
-                                 "failed", str(e)))
+                reduced = grid_stages("reducer", reducer, seed)[0].fit_blocks(feature_blocks)
+                small = reduced.transform(tr).select("label", "_r")
+                dealt = sparse_blocks(small, "_r", ["label"], rows_per_task=ROWS_PER_TASK)
+                scored = reduced.transform(te).select("label", "_r").persist()
+            except Exception:  # noqa: BLE001 - recorded as failed rows
+                for cell in todo:
+                    finish(cell, [*secs, round(time.perf_counter() - t1, 2), None], error=traceback.format_exc())
                 continue
-            for mname in models:
-                if limit is not None and done >= limit:
-                    break
-                done += 1
-                run = f"{feat}__{red}__{mname}"
+            took = [*secs, round(time.perf_counter() - t1, 2)]
+
+            def run(cell):
+                t2 = time.perf_counter()
                 try:
-                    n_in = len(trr.select("_r").first()[0])
-                    n_cls = len(indexer.labels)
-                    clf = with_penalty(_grid_model(mname, n_in, n_cls, seed), trr)
-                    t2 = time.perf_counter()
-                    m = clf.fit(trr)
-                    fit_secs = round(time.perf_counter() - t2, 2)
-                    pred = m.transform(ter).select(F.col("label").alias("actual"), F.col("prediction").alias("predicted"))
-                    met = ev.classification_metrics(pred, "actual", "predicted").first()
-                    rows.append((run, feat, red, mname, met["accuracy"], met["macro_f1"], met["weighted_f1"],
-                                 feat_secs + red_secs + fit_secs, "ok", None))
-                except Exception as e:  # noqa: BLE001
-                    rows.append((run, feat, red, mname, None, None, None, None, "failed", str(e)))
-            trr.unpersist()
-    return spark.createDataFrame(list(rows), _GRID_SCHEMA)
-
-
-def _grid_model(name: str, n_in: int, n_classes: int, seed: int):
-    kw = dict(featuresCol="_r", labelCol="label")
-    if name == "logistic_regression":
-        return OneVsRest(classifier=_logistic(),
-                         weightCol="weight", parallelism=4, **kw)
-    if name == "linear_svc":
-        return OneVsRest(classifier=_linear_svc(), weightCol="weight",
-                         parallelism=4, **kw)
-    if name == "sgd_hinge":
-        return OneVsRest(classifier=LinearSVC(regParam=1e-5, standardization=False, maxIter=30, tol=1e-3,
-                                              weightCol="weight"), weightCol="weight", parallelism=4, **kw)
-    if name == "mlp":
-        return MultilayerPerceptronClassifier(layers=[n_in, 128, n_classes], maxIter=200, seed=seed, **kw)
-    raise ValueError(f"unknown grid model {name}")
-
-
-class _Chi2Model:
-    """E14 reducer: keep the k features with the best χ² on summed values."""
-
-    def __init__(self, keep):
-        self.keep = keep
-
-    def transform(self, df):
-        from pyspark.ml.feature import VectorSlicer
-        return VectorSlicer(inputCol="_f", outputCol="_r", indices=self.keep).transform(df)
-
-
-def _chi2_reducer(train: DataFrame, k: int) -> _Chi2Model:
-    """χ² of every feature index against the class (T4 on the long form of
-    the sparse vectors), best k indices kept."""
-    from quarry.operators.stats import chi2_terms
-    docs = train.select(F.monotonically_increasing_id().alias("_doc"), "label", "_f")
-    long = _sparse_long(docs, "_doc", "label", "_f")
-    scores = chi2_terms(long, "_doc", "term", "value", "label", digits=12, docs=docs.select("_doc", "label"))
-    best = scores.orderBy(F.col("chi2").desc(), F.col("term")).limit(k)
-    keep = sorted(int(r[0]) for r in best.select("term").collect())  # ≤ k feature indices (model size)
-    return _Chi2Model(keep)
-
-
-def _sparse_long(df: DataFrame, doc: str, label: str, vec: str) -> DataFrame:
-    """(doc, label, term index, value) for the non-zeros of a sparse vector
-    column — read from the vectors' index/value arrays per Arrow batch, so
-    the cost follows the non-zeros, not the vector width."""
-    import numpy as np
-    import pandas as pd
-
-    def run(batches):
-        for pdf in batches:
-            d, lab, idx, val = [], [], [], []
-            for dd, ll, v in zip(pdf[doc], pdf[label], pdf[vec]):
-                ii = np.asarray(v["indices"], dtype=np.int64) if v["type"] == 0 else \
-                    np.nonzero(np.asarray(v["values"]))[0]
-                vv = np.asarray(v["values"], dtype=np.float64) if v["type"] == 0 else \
-                    np.asarray(v["values"], dtype=np.float64)[ii]
-                d.append(np.full(len(ii), dd)), lab.append(np.full(len(ii), ll)), idx.append(ii), val.append(vv)
-            if d:
-                yield pd.DataFrame({doc: np.concatenate(d), label: np.concatenate(lab),
-                                    "term": np.concatenate(idx), "value": np.concatenate(val)})
-    schema = f"{doc} long, {label} double, term long, value double"
-    return df.select(doc, F.col(label).cast("double").alias(label), vec).mapInPandas(run, schema)
+                    model = grid_stages("model", cell[2], seed)[0].fit_blocks(dealt)
+                    fitted = round(time.perf_counter() - t2, 2)
+                    pred = model.transform(scored).select(F.col("label").alias("actual"), F.col("prediction").alias("predicted"))
+                    finish(cell, [*took, fitted], ev.classification_metrics(pred, "actual", "predicted").first())
+                except Exception:  # noqa: BLE001 - recorded as a failed row
+                    finish(cell, [*took, round(time.perf_counter() - t2, 2)], error=traceback.format_exc())
+
+            with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+                list(pool.map(run, todo))
+            dealt.release()
+            scored.unpersist()
+        feature_blocks.release()
+        tr.unpersist()
+        te.unpersist()
+    ranked = sorted((rows[c] for c in cells if rows[c]["status"] == "ok"), key=lambda r: (-r["macro_f1"], -r["weighted_f1"]))
+    if model_path and ranked:
+        best = ranked[0]
+        stages = [indexer, *grid_stages("feature", best["feature"]), *grid_stages("reducer", best["reducer"], seed),
+                  *grid_stages("model", best["model"], seed)]
+        save_model(fit_persisted(stages, train), model_path)
+    out = spark.createDataFrame([tuple(rows[c][n] for n in names) for c in cells], _GRID_SCHEMA)
+    return out.orderBy(F.col("macro_f1").desc_nulls_last(), F.col("weighted_f1").desc_nulls_last(), "run")
+
+
+def _finished(spark, path: str | None, cells: Sequence[tuple]) -> dict[tuple, dict]:
+    """The cells with an ``ok`` row under ``path`` (at most one row per cell is read back)."""
+    from pyspark.errors import AnalysisException
+    if not path:
+        return {}
+    try:
+        kept = spark.read.schema(_GRID_SCHEMA).json(path).where("status = 'ok'")
+        kept = kept.dropDuplicates(["run"]).where(F.col("run").isin(["__".join(c) for c in cells])).collect()
+    except AnalysisException:  # no row was written yet
+        return {}
+    return {(r["feature"], r["reducer"], r["model"]): r.asDict() for r in kept}
 
 
 # ---------------------------------------------------------------------------

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from quarry.operators import evaluate as ev
 from quarry.operators import models as md
 from quarry.operators.ml import MedianImputer, OrdinalEncoder, TargetEncoder
-from quarry.operators.rank import attach, feature_subsets, top_k, topk_per_group
+from quarry.operators.rank import feature_subsets, top_k
 from quarry.operators.sampling import split_stratified, split_train_test
 from quarry.plans.registry import query
 from quarry.sources.tables import Tables
@@ -199,6 +199,8 @@ for _name, _key, _tag in [("multinomial_nb", "clf_multinomial_nb", "M4 E10 E11")
                           ("logistic_regression", "clf_logistic_ovr", "M6"),
                           ("linear_svc", "clf_linear_svc", "M7"),
                           ("char_linear_svc", "clf_char_linear_svc", "M8 E12"),
+                          ("passive_aggressive", "clf_passive_aggressive", "M10"),
+                          ("voting_ensemble", "clf_voting_fitted", "M12"),
                           ("ridge_classifier", "clf_ridge", "M9"),
                           ("sgd_log_loss", "clf_sgd_log", "M10"),
                           ("sgd_hinge", "clf_sgd_hinge", "M10"),
@@ -209,50 +211,57 @@ for _name, _key, _tag in [("multinomial_nb", "clf_multinomial_nb", "M4 E10 E11")
 
 @query("model_set_run", "M18 K5 Q12")
 def model_set_run(spark, sf_dir):
-    """Every linear / naive-Bayes text model fitted and scored on one split
-    (two concurrent fits), ranked by (macro-F1, weighted-F1)."""
-    names = ["multinomial_nb", "complement_nb", "logistic_regression", "linear_svc", "ridge_classifier",
-             "sgd_log_loss", "sgd_hinge", "hashing_sgd_hinge"]
-    models = {n: md.text_models()[n] for n in names}
+    """All twelve text models fitted and scored on one split (two concurrent
+    fits), ranked by (macro-F1, weighted-F1)."""
     with text_split(Tables(spark, sf_dir)) as (train, test):
-        metrics, _ = md.model_set_run(train, test, models, parallelism=2)
+        metrics, _ = md.model_set_run(train, test, md.text_models(), parallelism=2)
     return ev.leaderboard(metrics.where(F.col("status") == "ok"), "model")
 
 
+@query("sink_best_model", "S10 D4 M12")
+def sink_best_model(spark, sf_dir):
+    """The best of a model set (own and built-in stages) saved, loaded again
+    and compared with the model in memory, row by row."""
+    from quarry.plans.files_plan import scratch
+    from quarry.sources.sinks import load_model
+    path, names = scratch(spark, "best-model"), ["complement_nb", "linear_svc", "voting_ensemble"]
+    with text_split(Tables(spark, sf_dir)) as (train, test):
+        metrics, fitted = md.model_set_run(train, test, {n: md.text_models()[n] for n in names}, model_path=path)
+        best = metrics.orderBy(F.desc("macro_f1"), F.desc("weighted_f1"), "model").first()["model"]
+        was = fitted[best].transform(test).select("doc_id", "category", F.col("prediction").alias("was"))
+        now = load_model(path).transform(test).select("doc_id", F.col("prediction").alias("now"))
+        both = was.join(now, "doc_id").checkpoint()
+    return both.groupBy("category").agg(F.count(F.lit(1)).alias("docs"),
+                                        F.sum((F.col("was") == F.col("now")).cast("long")).alias("same"))
+
+
 @query("clf_mlp", "M14 E15")
 def clf_mlp(spark, sf_dir):
-    """128-unit MLP on 300-component LSA features (grid cell tfidf__svd_300__mlp)."""
+    """128-unit ReLU network on 300-component LSA features (grid cell tfidf__svd_300__mlp)."""
     with text_split(Tables(spark, sf_dir)) as (train, test):
-        return md.grid_run(train, test, ["tfidf"], ["svd_300"], ["mlp"])
+        return md.grid_run(train, test, [("tfidf", "svd_300", "mlp")])
 
 
-@query("grid_run", "M17 S9 F13 E14 T4")
+@query("grid_run", "M17 S9 S10 F13 E14 T4 M14")
 def grid_run(spark, sf_dir):
-    """Feature × reducer × model grid; each feature and reducer fitted once
-    and checkpointed, failed cells kept as rows."""
+    """All 22 cells of the feature × reducer × model grid, rows kept as they
+    finish, the best pipeline fitted again and saved."""
     from quarry.plans.files_plan import scratch
     with text_split(Tables(spark, sf_dir)) as (train, test):
-        return md.grid_run(train, test, ["tfidf", "bow"], ["chi2_k20000", "svd_100"],
-                           ["logistic_regression", "linear_svc", "sgd_hinge"],
-                           progress_path=scratch(spark, "grid-progress"))
+        return md.grid_run(train, test, progress_path=scratch(spark, "grid-progress"), model_path=scratch(spark, "grid-best"))
 
 
 @query("eval_top_class_features", "Q10")
 def eval_top_class_features(spark, sf_dir):
-    """12 highest log-probability terms per class of the complement NB model."""
-    from pyspark.ml.feature import CountVectorizerModel
+    """12 heaviest terms per class: log probabilities of the complement NB
+    model and coefficients of the linear SVC."""
+    names, rows = ["complement_nb", "linear_svc"], []
     with text_split(Tables(spark, sf_dir)) as (train, test):
-        _, fitted = md.model_set_run(train, test, {"complement_nb": md.text_models()["complement_nb"]},
-                                     parallelism=1)
-    pm = fitted["complement_nb"]
-    labels = pm.stages[0].labels
-    inner = [m for st in pm.stages for m in getattr(st, "models", [st])]
-    vocab = [s for s in inner if isinstance(s, CountVectorizerModel)][0].vocabulary
-    theta = pm.stages[-1].theta.toArray()   # classes × vocabulary model parameters
-    rows = [(labels[c], vocab[j], float(theta[c, j])) for c in range(theta.shape[0]) for j in range(theta.shape[1])]
-    coef = spark.createDataFrame(rows, "category string, term string, weight double")
-    return topk_per_group(coef, "category", [F.col("weight").desc(), F.col("term")], 12, slice_cols=["term"]) \
-        .withColumn("weight", F.round("weight", 4))
+        _, fitted = md.model_set_run(train, test, {n: md.text_models()[n] for n in names})
+    for n in names:
+        rows += [(n, *r) for r in md.top_class_terms(fitted[n], 12)]
+    out = spark.createDataFrame(rows, "model string, category string, term string, weight double")
+    return out.withColumn("weight", F.round("weight", 4))
 
 
 # ---------------------------------------------------------------------------

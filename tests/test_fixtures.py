@@ -297,19 +297,16 @@ def test_metrics_scan_the_predictions_once(spark):
 def test_linear_models_have_the_penalty_of_c_one(spark):
     """Coefficients of each one-vs-rest logistic model against a Newton solver."""
     import numpy as np
-    from pyspark.ml.classification import OneVsRest
     from pyspark.ml.linalg import Vectors
-    from quarry.operators.models import _logistic, with_penalty
+    from quarry.operators.learners import LinearOvR
     rng = np.random.default_rng(3)
     x = rng.normal(size=(60, 2)) * [1.0, 5.0]
     y = (x[:, 0] + 0.1 * x[:, 1] + rng.normal(size=60) > 0).astype(float)
-    df = spark.createDataFrame([(Vectors.dense(a), float(b), 1.0) for a, b in zip(x, y)], ["features", "label", "weight"])
-    stage = with_penalty(OneVsRest(classifier=_logistic(), weightCol="weight"), df)
-    assert stage.getClassifier().getRegParam() == 1.0 / 60
-    got = stage.fit(df).models[1]
+    df = spark.createDataFrame([(Vectors.dense(a), float(b)) for a, b in zip(x, y)], ["features", "label"])
+    got = LinearOvR(loss="log", weighting="none", penalise_intercept=False, tol=1e-8).fit(df).coefficients[:, 1]
     a, w = np.c_[x, np.ones(60)], np.zeros(3)
     for _ in range(50):
         p = 1 / (1 + np.exp(-a @ w))
         grad = a.T @ (p - y) + np.r_[w[:2], 0]
         w -= np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + np.diag([1, 1, 0.0]), grad)
-    assert np.allclose(got.coefficients.toArray(), w[:2], atol=2e-2) and abs(got.intercept - w[2]) < 2e-2
+    assert np.allclose(got, w, atol=1e-4)
