@@ -5,7 +5,7 @@ thousand vectors (compressed rows in binary columns) that is persisted once
 and read by every pass of a learner.  ``fold`` sends a state to the tasks,
 folds each task's blocks into one array and adds the arrays up by chunks: the
 sum of a chunk is a grouped job, in several levels when there are many tasks,
-so neither a task nor the driver ever holds more than a few partial arrays.
+until few partial arrays (bounded in number and bytes) are left for the driver.
 """
 
 from __future__ import annotations
@@ -21,6 +21,10 @@ from pyspark.sql.types import DataType, StructField, StructType
 
 #: Numbers in a chunk of a partial array, and partial arrays added up in one group.
 CHUNK, FAN_IN = 1 << 15, 32
+#: Bytes of partial arrays that the driver adds up itself.
+DRIVER_BYTES = 64 << 20
+#: Rows that a task of a pass over all rows has.
+ROWS_PER_PASS = 5_000
 _SCHEMA = "n long, width long, indptr binary, indices binary, data binary, extra binary"
 
 
@@ -104,7 +108,7 @@ class Blocks:
     def __init__(self, table: DataFrame):
         self.table = table.persist(StorageLevel.MEMORY_AND_DISK)
         n, width = self.table.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("width"), F.lit(0))).first()
-        self.n, self.width = int(n), int(width)
+        self.n, self.width, self.tasks = int(n), int(width), self.table.rdd.getNumPartitions()
 
     def release(self) -> None:
         self.table.unpersist()
@@ -135,15 +139,14 @@ class Blocks:
             total = sum(np.frombuffer(x, np.float64) for x in table["part"].to_pylist())
             return pa.table({"at": table["at"][:1], "part": pa.array([total.tobytes()])})
 
-        parts, many = self.table.mapInArrow(run, "at long, part binary"), self.table.rdd.getNumPartitions()
-        while many > FAN_IN:
+        parts, many = self.table.mapInArrow(run, "at long, part binary"), self.tasks
+        at_driver = max(1, min(FAN_IN, DRIVER_BYTES // (8 * max(size, 1))))
+        while many > at_driver:
             many = -(-many // FAN_IN)
             parts = parts.groupBy("at", (F.spark_partition_id() % many).alias("slice")).applyInArrow(add, "at long, part binary")
-        if many > 1:
-            parts = parts.groupBy("at").applyInArrow(add, "at long, part binary")
-        out = np.zeros(size)
-        for at, part in parts.collect():
-            out[at:at + len(part) // 8] = np.frombuffer(part, np.float64)
+        out, got = np.zeros(size), parts.select("at", "part").toArrow()
+        for at, part in zip(got["at"].to_pylist(), got["part"].to_pylist()):
+            out[at:at + len(part) // 8] += np.frombuffer(part, np.float64)
         sent.destroy()
         return out
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from quarry.operators.blocks import Block, Blocks, sparse_blocks, with_scores
+from quarry.operators.blocks import ROWS_PER_PASS, Block, Blocks, sparse_blocks, with_scores
 from quarry.operators.persist import Parts, Saved
 
 
@@ -112,7 +112,7 @@ class LinearOvR(Estimator, _Base):
                             c=1.0, maxIter=300, tol=1e-4, penalise_intercept=True), **self._input_kwargs})
 
     def _fit(self, df: DataFrame) -> LinearModel:
-        blocks = sparse_blocks(df, self.getFeaturesCol(), [self.getLabelCol()])
+        blocks = sparse_blocks(df, self.getFeaturesCol(), [self.getLabelCol()], rows_per_task=ROWS_PER_PASS)
         try:
             return self.fit_blocks(blocks)
         finally:

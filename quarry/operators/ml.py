@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.operators.blocks import dense_vectors, sparse_blocks, with_scores
+from quarry.operators.blocks import ROWS_PER_PASS, dense_vectors, sparse_blocks, with_scores
 from quarry.operators.persist import Parts, Saved
 
 
@@ -133,7 +133,7 @@ class TruncatedSVD(Estimator, HasInputCol, HasOutputCol):
         self._set(**kw)
 
     def _fit(self, df: DataFrame):
-        blocks = sparse_blocks(df, self.getInputCol())
+        blocks = sparse_blocks(df, self.getInputCol(), rows_per_task=ROWS_PER_PASS)
         try:
             return self.fit_blocks(blocks)
         finally:
@@ -210,7 +210,7 @@ class SelectChi2(Estimator, HasInputCol, HasOutputCol):
         self._set(**{"k": 20000, **kw})
 
     def _fit(self, df: DataFrame):
-        blocks = sparse_blocks(df, self.getInputCol(), [self.labelCol])
+        blocks = sparse_blocks(df, self.getInputCol(), [self.labelCol], rows_per_task=ROWS_PER_PASS)
         try:
             return self.fit_blocks(blocks)
         finally:

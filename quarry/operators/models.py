@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.text import WORD_TOKEN, english_stopwords
 from quarry.operators import evaluate as ev
-from quarry.operators.blocks import sparse_blocks
+from quarry.operators.blocks import ROWS_PER_PASS, sparse_blocks
 from quarry.operators.learners import ROWS_PER_TASK, LinearOvR, ReluNet, SGDLinear, Voting
 from quarry.operators.ml import CharNgrams, DropColumns, SelectChi2, SklearnTfidf, TruncatedSVD, class_probabilities
 from quarry.operators.rank import attach
@@ -285,7 +285,7 @@ def grid_run(train: DataFrame, test: DataFrame, cells: Sequence[tuple] | None =
         t0 = time.perf_counter()
         vectors = Pipeline(stages=grid_stages("feature", feature)).fit(train)
         tr, te = (indexer.transform(vectors.transform(d)).select("label", "_f").persist() for d in (train, test))
-        feature_blocks = sparse_blocks(tr, "_f", ["label"])
+        feature_blocks = sparse_blocks(tr, "_f", ["label"], rows_per_task=ROWS_PER_PASS)
         secs = [round(time.perf_counter() - t0, 2)]
         for reducer in dict.fromkeys(r for _, r, _ in left):
             t1, todo = time.perf_counter(), [c for c in left if c[1] == reducer]
