@@ -225,9 +225,9 @@ def kde(df: DataFrame, value: str, grid: int = 200, cut: float = 3.0, group=None
         digits: int = 6) -> DataFrame:
     """Gaussian kernel density on a grid, Scott bandwidth ``std·n^(-1/5)``.
 
-    Every row adds its kernel to each of the ``grid`` points of its group
-    (an ``explode`` of a fixed-size sequence), summed by a map-side-combined
-    aggregate — the data is never collected.
+    Equal values are counted first; one combinable aggregate then holds a
+    kernel sum for each of the ``grid`` points of a group, so no row is
+    multiplied and a hot group is summed by many tasks.
     """
     groups = _cols(group)
     v = F.col(value).cast("double")
@@ -237,14 +237,19 @@ def kde(df: DataFrame, value: str, grid: int = 200, cut: float = 3.0, group=None
     st = st.withColumn("_h", F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2))) \
            .where(F.col("_h") > 0)
     st = st.withColumn("_lo", F.col("_min") - cut * F.col("_h")) \
-           .withColumn("_step", (F.col("_max") - F.col("_min") + 2 * cut * F.col("_h")) / (grid - 1))
-    pts = attach(base, st, groups).select(*groups, "_v", "_n", "_h", "_lo", "_step",
-                                       F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("point"))
-    x = F.col("_lo") + F.col("point") * F.col("_step")
-    z = (x - F.col("_v")) / F.col("_h")
-    k = F.exp(-0.5 * z * z) / (F.col("_n") * F.col("_h") * math.sqrt(2 * math.pi))
-    return (pts.groupBy(*groups, "point")
-            .agg(F.round(F.first(x), digits).alias("x"), F.round(F.sum(k), digits).alias("density")))
+           .withColumn("_step", (F.col("_max") - F.col("_min") + 2 * cut * F.col("_h")) / (grid - 1)) \
+           .select(*groups, "_n", "_h", "_lo", "_step")
+    values = attach(base.groupBy(*groups, "_v").agg(F.count(F.lit(1)).alias("_c")), st, groups)
+
+    def kernel(i):
+        z = (F.col("_lo") + i * F.col("_step") - F.col("_v")) / F.col("_h")
+        return F.sum(F.col("_c") * F.exp(-0.5 * z * z)).alias(f"_k{i}")
+
+    sums = values.groupBy(*groups).agg(*[F.max(c).alias(c) for c in ("_n", "_h", "_lo", "_step")], *[kernel(i) for i in range(grid)])
+    out = sums.where(F.col("_n").isNotNull()).select(
+        *groups, "_n", "_h", "_lo", "_step", F.posexplode(F.array(*[F.col(f"_k{i}") for i in range(grid)])).alias("point", "_k"))
+    return out.select(*groups, "point", F.round(F.col("_lo") + F.col("point") * F.col("_step"), digits).alias("x"),
+                      F.round(F.col("_k") / (F.col("_n") * F.col("_h") * math.sqrt(2 * math.pi)), digits).alias("density"))
 
 
 def scatter_grid(df: DataFrame, x: str, y: str, x_width: float, y_width: float, group=None) -> DataFrame:

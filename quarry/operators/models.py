@@ -20,7 +20,7 @@ from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, Li
                                        RandomForestClassifier)
 from pyspark.ml.feature import (HashingTF, IndexToString, NGram, RegexTokenizer,
                                 SQLTransformer, StopWordsRemover, StringIndexer, VectorAssembler)
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.text import WORD_TOKEN, english_stopwords
@@ -368,18 +368,27 @@ def feature_names(numeric, ordinal, nominal) -> list[str]:
 # ---------------------------------------------------------------------------
 # Two-stage model (M15, M16, E18), ablation (Q13, Q14), attribution (Q15)
 # ---------------------------------------------------------------------------
-def build_classifier(name: str, seed: int = 42, n_classes: int = 2):
-    """Named classifier; the three boosted-tree names map to MLlib
-    gradient-boosted trees (one-vs-rest when multi-class)."""
-    if name in ("lightgbm", "xgboost", "catboost"):
-        gbt = GBTClassifier(maxIter=100, maxDepth=5, stepSize=0.1, seed=seed)
+#: Trees, step and depth of the boosted families, in the first stage and in the second.
+BOOSTED = {"lightgbm": (100, 0.1, 5), "xgboost": (100, 0.3, 6), "catboost": (100, 0.1, 6)}
+BOOSTED_STAGE2 = (200, 0.05, 5)
+TREE_DEPTH, TREE_DEPTH_STAGE2 = 10, 15
+CLASSIFIERS = [*BOOSTED, "decision_tree", "random_forest", "svm"]
+
+
+def build_classifier(name: str, seed: int = 42, n_classes: int = 2, stage: int = 1):
+    """Named classifier with the defaults of its stage; the three
+    boosted-tree names map to MLlib gradient-boosted trees (one-vs-rest when
+    multi-class), the SVM to the linear one."""
+    if name in BOOSTED:
+        trees, step, depth = BOOSTED[name] if stage == 1 else BOOSTED_STAGE2
+        gbt = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=step, seed=seed)
         return gbt if n_classes <= 2 else OneVsRest(classifier=gbt)
     if name == "decision_tree":
-        return DecisionTreeClassifier(seed=seed)
+        return DecisionTreeClassifier(maxDepth=TREE_DEPTH if stage == 1 else TREE_DEPTH_STAGE2, seed=seed)
     if name == "random_forest":
         return RandomForestClassifier(numTrees=100, seed=seed)
     if name == "svm":
-        return OneVsRest(classifier=LinearSVC(maxIter=100))
+        return OneVsRest(classifier=LinearSVC(maxIter=1000))
     raise ValueError(f"unsupported classifier {name}")
 
 
@@ -412,12 +421,12 @@ def two_stage(train: DataFrame, test: DataFrame, vec: str, attributes: Sequence[
     tr2 = cur_tr.withColumn("features", array_to_vector(concat))
     te2 = cur_te.withColumn("features", array_to_vector(concat))
     n_out = train.select(outcome).distinct().count()
-    final = build_classifier(stage2, seed, n_out).setLabelCol(outcome).fit(tr2)
+    final = build_classifier(stage2, seed, n_out, stage=2).setLabelCol(outcome).fit(tr2)
     return {"stage1": stage1_models, "final": final, "train": tr2, "test": te2, "slices": slices}
 
 
 def ablate(model, test: DataFrame, outcome: str, slices: Mapping[str, tuple[int, int]], subsets: DataFrame,
-           features: str = "features") -> DataFrame:
+           features: str = "features", baseline: bool = False) -> DataFrame:
     """Q13/Q14: for every subset of feature groups, zero those slices and
     re-score; one ``transform`` over rows × subsets (the subset table is a
     small broadcast list), then grouped accuracy / QWK and deltas to the
@@ -440,10 +449,28 @@ def ablate(model, test: DataFrame, outcome: str, slices: Mapping[str, tuple[int,
     qwk = ev.quadratic_kappa(pred, "actual", "predicted", "subset_name", digits=12)
     res = acc.join(qwk, "subset_name")
     b = res.where(F.col("subset_name") == "<none>").select(F.col("accuracy").alias("_ba"), F.col("qwk").alias("_bq"))
-    out = attach(res.where(F.col("subset_name") != "<none>"), b, [])
+    out = attach(res, b, [])
     return out.select("subset_name", F.round("accuracy", 4).alias("accuracy"), F.round("qwk", 4).alias("qwk"),
                       F.round(F.col("accuracy") - F.col("_ba"), 4).alias("delta_accuracy"),
-                      F.round(F.col("qwk") - F.col("_bq"), 4).alias("delta_qwk"))
+                      F.round(F.col("qwk") - F.col("_bq"), 4).alias("delta_qwk")) \
+        .where(F.lit(baseline) | (F.col("subset_name") != "<none>"))
+
+
+def ablation_report(scored: DataFrame, k: int = 5) -> DataFrame:
+    """Q14: the ``baseline`` row, all ``combination`` rows and, once more, the
+    k ``worst`` (largest loss of kappa) and k ``best`` of them, each in order."""
+    order = [F.col("delta_qwk"), F.col("subset_name")]
+    last = [F.col("delta_qwk").desc(), F.col("subset_name").desc()]
+    subsets = scored.where("subset_name <> '<none>'")
+
+    def ranked(kind, rows, by, limit=None):
+        # a handful of rows: the subsets of the feature groups
+        rows = rows.withColumn("place", F.row_number().over(Window.partitionBy(F.lit(kind)).orderBy(*by)).cast("long"))
+        return (rows.where(F.col("place") <= limit) if limit else rows).select(F.lit(kind).alias("kind"), "place", *scored.columns)
+
+    return ranked("baseline", scored.where("subset_name = '<none>'"), order).unionByName(
+        ranked("combination", subsets, order)).unionByName(ranked("worst", subsets, order, k)).unionByName(
+        ranked("best", subsets, last, k))
 
 
 def linear_attribution(coef_rows: DataFrame, x: DataFrame, vec: str, names: DataFrame, k: int = 20) -> DataFrame:

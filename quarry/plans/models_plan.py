@@ -319,12 +319,86 @@ def eval_ablation_single(spark, sf_dir):
 @query("eval_ablation_subsets", "Q14 U4")
 def eval_ablation_subsets(spark, sf_dir):
     res = _two_stage(spark, sf_dir)
-    subs = feature_subsets(_groups_table(res, spark), "g", 3)
-    return md.ablate(res["final"], res["test"], "outcome", res["slices"], subs)
+    subs = feature_subsets(_groups_table(res, spark), "g", len(res["slices"]))
+    return md.ablation_report(md.ablate(res["final"], res["test"], "outcome", res["slices"], subs, baseline=True))
+
+
+class VectorRule:
+    """A fixed scorer in the place of a fitted model: a class from sums of the vector."""
+
+    def transform(self, df):
+        from pyspark.ml.functions import vector_to_array
+        x = vector_to_array("features")
+        total = F.aggregate(F.slice(x, 1, 8), F.lit(0.0), lambda a, v: a + v) + 2 * x[8] - x[9] + x[10]
+        return df.withColumn("prediction", F.pmod(F.floor(total * 4), F.lit(10)).cast("double"))
+
+
+@query("eval_ablation_fixed", "Q13 Q14 U4 Q6", oracle="""
+WITH e AS (SELECT list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS v, CAST(label AS INTEGER) AS actual FROM embeddings),
+x AS (SELECT actual, list_sum(v[1:4]) AS a, list_sum(v[5:8]) AS b, 2 * v[9] - v[10] AS c, v[11] AS d FROM e),
+m AS (SELECT * FROM (VALUES ('<none>', 1, 1, 1, 1), ('a', 0, 1, 1, 1), ('b', 1, 0, 1, 1), ('c', 1, 1, 0, 1), ('a+b', 0, 0, 1, 1),
+  ('a+c', 0, 1, 0, 1), ('b+c', 1, 0, 0, 1), ('a+b+c', 0, 0, 0, 1), ('d', 1, 1, 1, 0), ('a+d', 0, 1, 1, 0), ('b+d', 1, 0, 1, 0),
+  ('c+d', 1, 1, 0, 0), ('a+b+d', 0, 0, 1, 0), ('a+c+d', 0, 1, 0, 0), ('b+c+d', 1, 0, 0, 0), ('a+b+c+d', 0, 0, 0, 0)) t(subset_name, ka, kb, kc, kd)),
+p AS (SELECT subset_name, actual, CAST(((CAST(floor((a * ka + b * kb + c * kc + d * kd) * 4) AS BIGINT) % 10) + 10) % 10 AS INTEGER) AS predicted FROM x, m),
+o AS (SELECT subset_name, avg(CASE WHEN actual = predicted THEN 1.0 ELSE 0.0 END) AS acc,
+             sum((actual - predicted) * (actual - predicted)) AS obs, count(*) AS n, sum(actual) AS sa, sum(predicted) AS sp,
+             sum(actual * actual) AS saa, sum(predicted * predicted) AS spp FROM p GROUP BY 1),
+q AS (SELECT subset_name, acc, 1 - CAST(obs AS DOUBLE) / (saa + spp - 2.0 * sa * sp / n) AS qwk FROM o),
+r AS (SELECT q.subset_name, round(q.acc, 4) AS accuracy, round(q.qwk, 4) AS qwk, round(q.acc - b.acc, 4) AS delta_accuracy,
+             round(q.qwk - b.qwk, 4) AS delta_qwk FROM q, (SELECT * FROM q WHERE subset_name = '<none>') b),
+s AS (SELECT * FROM r WHERE subset_name <> '<none>')
+SELECT 'baseline' AS kind, CAST(1 AS BIGINT) AS place, * FROM r WHERE subset_name = '<none>'
+UNION ALL SELECT 'combination', row_number() OVER (ORDER BY delta_qwk, subset_name), * FROM s
+UNION ALL (SELECT 'worst', row_number() OVER (ORDER BY delta_qwk, subset_name) AS place, * FROM s QUALIFY place <= 5)
+UNION ALL (SELECT 'best', row_number() OVER (ORDER BY delta_qwk DESC, subset_name DESC) AS place, * FROM s QUALIFY place <= 5)""")
+def eval_ablation_fixed(spark, sf_dir):
+    """The ablation report of a fixed scorer over four slices of the embeddings."""
+    from pyspark.ml.functions import array_to_vector
+    e = Tables(spark, sf_dir).embeddings.select(F.col("label").alias("outcome"),
+                                                array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
+    slices = {"a": (0, 4), "b": (4, 8), "c": (8, 10), "d": (10, 11)}
+    subs = feature_subsets(spark.createDataFrame([(g,) for g in slices], "g string"), "g", 4)
+    return md.ablation_report(md.ablate(VectorRule(), e, "outcome", slices, subs, baseline=True))
+
+
+@query("clf_factory", "M15")
+def clf_factory(spark, sf_dir):
+    """Every named classifier with its first-stage defaults: accuracy on the
+    test rows for the two-valued attribute of the embeddings."""
+    from pyspark.ml.functions import array_to_vector
+    e = embedding_table(Tables(spark, sf_dir)).withColumn("features", array_to_vector(F.col("embedding")))
+    s = split_train_test(e, "vec_id", 0.8, seed=42).select("vec_id", "features", "attr_type", "split").checkpoint()
+    train, test, out = s.where("split = 'train'"), s.where("split = 'test'"), None
+    for name in md.CLASSIFIERS:
+        model = md.build_classifier(name).setLabelCol("attr_type").fit(train)
+        hit = (F.col("attr_type") == F.col("prediction")).cast("double")
+        row = model.transform(test).agg(F.lit(name).alias("model"), F.round(F.avg(hit), 4).alias("accuracy"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def _attribution_report(mean_abs, spark, slices):
+    """The 20 features of largest mean |attribution| and the sums of the feature groups."""
+    rows = [(f"{g}_{j - s}", g, float(mean_abs[j]), j) for g, (s, e) in slices.items() for j in range(s, e)]
+    contrib = spark.createDataFrame(rows, "feature string, group string, mean_abs double, pos int")
+    per_group = contrib.groupBy("group").agg(F.round(F.sum("mean_abs"), 6).alias("mean_abs")) \
+        .select(F.lit("group").alias("level"), F.col("group").alias("name"), "mean_abs")
+    top = top_k(contrib, [F.col("mean_abs").desc(), F.col("pos")], 20, rank_col=None) \
+        .select(F.lit("feature").alias("level"), F.col("feature").alias("name"), F.round("mean_abs", 6).alias("mean_abs"))
+    return top.unionByName(per_group)
 
 
 @query("eval_attribution", "Q15")
 def eval_attribution(spark, sf_dir):
+    """Path-dependent Shapley values of the stage-2 forest: mean |value| per
+    feature over test rows and classes, summed per feature group, top 20."""
+    from quarry.operators.attribution import mean_absolute
+    res = _two_stage(spark, sf_dir)
+    return _attribution_report(mean_absolute(res["final"], res["test"]), spark, res["slices"])
+
+
+@query("eval_attribution_linear", "Q15")
+def eval_attribution_linear(spark, sf_dir):
     """Linear attributions of a multinomial logistic model on the stage-2
     features: mean |w·(x - x̄)| per feature, summed per feature group, top 20."""
     from pyspark.ml.classification import LogisticRegression
@@ -345,6 +419,36 @@ def eval_attribution(spark, sf_dir):
     return top.unionByName(per_group)
 
 
+@query("feat_assemble", "E8 P14 E1 E5 E6", oracle=_TE_SQL + """,
+m AS (SELECT median(n_lines) AS med_lines, median(qty) AS med_qty FROM sp WHERE split = 'train'),
+one AS (SELECT sp.*, coalesce(n_lines, med_lines) AS lines_imp, coalesce(qty, med_qty) AS qty_imp FROM sp, m)
+SELECT o_orderkey, split, round(lines_imp, 4) AS f0, round(qty_imp, 4) AS f1,
+       CAST(CASE o_orderpriority """ + " ".join(f"WHEN '{v}' THEN {i}" for i, v in enumerate(PRIORITY_ORDER)) + """ ELSE -1 END AS DOUBLE) AS f2,
+       CAST(CASE c_mktsegment """ + " ".join(f"WHEN '{v}' THEN {i}" for i, v in enumerate(SEGMENT_ORDER)) + """ ELSE -1 END AS DOUBLE) AS f3,
+       round(coalesce(te.value, prior), 4) AS f4
+FROM one LEFT JOIN te USING (n_name), pr""")
+def feat_assemble(spark, sf_dir):
+    """The assembled feature vector of every order (two imputed numbers, two
+    ordinal codes, one target-encoded nation), the target left out."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+    s = salary_split(Tables(spark, sf_dir))
+    stages = md.tabular_stages(NUMERIC, ORDINAL, ["n_name"], TARGET, linear=False)
+    x = vector_to_array("features")
+    out = Pipeline(stages=stages).fit(s.where("split = 'train'")).transform(s)
+    return out.select("o_orderkey", "split", *[F.round(x[i], 4).alias(f"f{i}") for i in range(5)])
+
+
+@query("win_cumulative", "W3", oracle="""
+WITH m AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS orders FROM orders GROUP BY 1)
+SELECT year, orders, CAST(sum(orders) OVER (ORDER BY year) AS BIGINT) AS cumulative FROM m""")
+def win_cumulative(spark, sf_dir):
+    """Orders per year and their running total (one row per year)."""
+    from quarry.operators.rank import cumulative
+    years = Tables(spark, sf_dir).orders.groupBy(F.year("o_orderdate").alias("year")).agg(F.count(F.lit(1)).alias("orders"))
+    return cumulative(years, "orders", "year")
+
+
 @query("feat_pca", "E16 E2 W3")
 def feat_pca(spark, sf_dir):
     """Standardised five-metric PCA: explained-variance ratios and their running total."""

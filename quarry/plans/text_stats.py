@@ -52,6 +52,17 @@ def text_keyword_counts(spark, sf_dir):
     return tx.term_counts(d, tokenize("text", remove_stopwords=True), 20)
 
 
+@query("udtf_tokens", "D3", oracle=_top_sql(f"SELECT {tokens_sql('text')} AS t FROM documents", "term", 20))
+def udtf_tokens(spark, sf_dir):
+    """The keyword counts again, by a registered table function in SQL."""
+    from quarry.functions.udtf import register_tokens
+    from quarry.operators.rank import top_k
+    register_tokens(spark)
+    counts = spark.sql("SELECT term, count(*) AS cnt FROM {docs} d, LATERAL report_tokens(d.text) GROUP BY term",
+                       docs=Tables(spark, sf_dir).documents)
+    return top_k(counts, [F.col("cnt").desc(), F.col("term")], 20)
+
+
 @query("text_stopword_counts", "X2", oracle=f"""
 WITH c AS (SELECT word, count(*) AS cnt FROM (
              SELECT unnest(list_filter({tokens_sql('text', False, 1)}, lambda x: list_contains({STOPS_SQL}, x))) AS word

@@ -240,3 +240,68 @@ def test_top_class_terms_of_coefficients_and_log_probabilities(spark, texts):
         assert [c for c, _, _ in top] == ["a", "a", "b", "b", "c", "c"]
         if name == "linear_svc":
             assert set(t for c, t, _ in top if c == "b") <= {"goal", "team", "ball", "score"}
+
+
+@pytest.mark.parametrize("kind", ["classifier", "regressor"])
+def test_tree_attributions_sum_to_the_prediction(spark, kind):
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.ml.regression import RandomForestRegressor
+    from quarry.operators import attribution as at
+    x, y = sample(d=5)
+    df = table(spark, x, y)
+    est = RandomForestClassifier if kind == "classifier" else RandomForestRegressor
+    model = est(numTrees=6, maxDepth=4, seed=3).fit(df)
+    out = model.transform(df).orderBy("id")
+    got = out.select(vector_to_array("probability")) if kind == "classifier" else out.select(F.array("prediction"))
+    pred = np.array([r[0] for r in got.collect()])
+    leaves = at.forest_leaves(model)
+    phi = at.attributions(leaves, x)
+    assert np.allclose(phi.sum(axis=1) + at.base_value(leaves), pred)
+    assert np.allclose(at.mean_absolute(model, df), np.abs(phi).mean(axis=(0, 2)))
+
+
+def test_tree_attributions_are_shapley_values():
+    from itertools import combinations
+    from math import factorial
+    from quarry.operators import attribution as at
+    leaves = [at._leaf(p, np.array([v])) for p, v in [
+        ([(0, -np.inf, 0.5, 0.3), (1, -np.inf, 0.0, 0.4)], 5.0), ([(0, -np.inf, 0.5, 0.3), (1, 0.0, np.inf, 0.6)], -2.0),
+        ([(0, 0.5, np.inf, 0.7), (2, -np.inf, 1.0, 0.2)], 1.0),
+        ([(0, 0.5, np.inf, 0.7), (2, 1.0, np.inf, 0.8), (0, -np.inf, 2.0, 0.5)], 7.0),
+        ([(0, 0.5, np.inf, 0.7), (2, 1.0, np.inf, 0.8), (0, 2.0, np.inf, 0.5)], 3.0)]]
+    x = np.array([[0.0, 1.0, 2.0], [1.0, -1.0, 2.0], [3.0, 0.0, 0.0]])
+
+    def pays(row, known):
+        return sum(leaf.value[0] * np.prod([float(lo < row[f] <= hi) if f in known else r for f, lo, hi, r in
+                                            zip(leaf.features, leaf.low, leaf.high, leaf.share)]) for leaf in leaves)
+    want = [[sum(factorial(len(s)) * factorial(2 - len(s)) / 6 * (pays(row, {*s, j}) - pays(row, set(s)))
+                 for n in range(3) for s in combinations([i for i in range(3) if i != j], n)) for j in range(3)] for row in x]
+    assert np.allclose(at.attributions(leaves, x)[:, :, 0], want)
+
+
+def test_kernel_density_of_groups(spark):
+    from quarry.operators.dist import kde
+    rng = np.random.default_rng(5)
+    rows = [("a", float(v)) for v in rng.normal(size=50).round(1)] + [("b", float(v)) for v in rng.normal(3, 2, 40).round(0)]
+    rows += [("c", 1.0), ("d", None), ("e", 2.0), ("e", 2.0)]  # no spread, no curve
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = kde(df, "v", grid=9, group="g").collect()
+    assert {r["g"] for r in got} == {"a", "b"} and len(got) == 18
+    for g in "ab":
+        v = np.array([x for k, x in rows if k == g])
+        h = v.std(ddof=1) * len(v) ** -0.2
+        xs = np.linspace(v.min() - 3 * h, v.max() + 3 * h, 9)
+        want = np.exp(-0.5 * ((xs[:, None] - v) / h) ** 2).sum(axis=1) / (len(v) * h * np.sqrt(2 * np.pi))
+        mine = sorted((r["point"], r["x"], r["density"]) for r in got if r["g"] == g)
+        assert np.allclose([m[1] for m in mine], xs, atol=1e-5) and np.allclose([m[2] for m in mine], want, atol=1e-5)
+    assert kde(df.where("false"), "v", grid=9).count() == 0
+
+
+def test_classifier_defaults_of_both_stages():
+    assert set(md.CLASSIFIERS) == {"lightgbm", "xgboost", "catboost", "decision_tree", "random_forest", "svm"}
+    assert [md.build_classifier("decision_tree", stage=s).getMaxDepth() for s in (1, 2)] == [10, 15]
+    for name in md.BOOSTED:
+        late = md.build_classifier(name, stage=2)
+        assert (late.getMaxIter(), late.getStepSize(), late.getMaxDepth()) == (200, 0.05, 5)
+        assert md.build_classifier(name).getMaxIter() == 100
