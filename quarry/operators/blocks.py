@@ -151,6 +151,19 @@ class Blocks:
         return out
 
 
+def compact(df: DataFrame, rows_per_task: int = ROWS_PER_PASS) -> DataFrame:
+    """``df`` persisted in no more tasks than its rows need, without a
+    shuffle: iterative learners pay for every task in every step."""
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    tasks = max(1, -(-held.count() // rows_per_task))
+    if tasks >= held.rdd.getNumPartitions():
+        return held
+    out = held.coalesce(tasks).persist(StorageLevel.MEMORY_AND_DISK)
+    out.count()
+    held.unpersist()
+    return out
+
+
 def sparse_blocks(df: DataFrame, features: str, extra: list[Column | str] = (), rows_per_task: int | None = None) -> Blocks:
     """Blocks of the vectors in ``features`` with ``extra`` number columns
     (label, weight).  ``rows_per_task`` deals the rows anew by a hash, so that

@@ -242,8 +242,7 @@ def kde(df: DataFrame, value: str, grid: int = 200, cut: float = 3.0, group=None
     values = attach(base.groupBy(*groups, "_v").agg(F.count(F.lit(1)).alias("_c")), st, groups)
 
     def kernel(i):
-        z = (F.col("_lo") + i * F.col("_step") - F.col("_v")) / F.col("_h")
-        return F.sum(F.col("_c") * F.exp(-0.5 * z * z)).alias(f"_k{i}")
+        return F.expr(f"sum(_c * exp(-0.5 * pow((_lo + {i} * _step - _v) / _h, 2))) AS _k{i}")
 
     sums = values.groupBy(*groups).agg(*[F.max(c).alias(c) for c in ("_n", "_h", "_lo", "_step")], *[kernel(i) for i in range(grid)])
     out = sums.where(F.col("_n").isNotNull()).select(

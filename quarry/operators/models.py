@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.text import WORD_TOKEN, english_stopwords
 from quarry.operators import evaluate as ev
-from quarry.operators.blocks import ROWS_PER_PASS, sparse_blocks
+from quarry.operators.blocks import ROWS_PER_PASS, compact, sparse_blocks
 from quarry.operators.learners import ROWS_PER_TASK, LinearOvR, ReluNet, SGDLinear, Voting
 from quarry.operators.ml import CharNgrams, DropColumns, SelectChi2, SklearnTfidf, TruncatedSVD, class_probabilities
 from quarry.operators.rank import attach
@@ -138,9 +138,8 @@ def fit_persisted(stages: list, train: DataFrame) -> PipelineModel:
     stages are fitted first and their output is persisted (memory, spilling
     to disk; recomputable from lineage if an executor is lost) so that the
     learner's passes do not recompute tokenisation and weighting."""
-    from pyspark import StorageLevel
     feats = Pipeline(stages=stages[:-1]).fit(train)
-    data = feats.transform(train).persist(StorageLevel.MEMORY_AND_DISK)
+    data = compact(feats.transform(train))
     try:
         last = stages[-1].fit(data)
     finally:

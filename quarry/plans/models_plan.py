@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators import evaluate as ev
 from quarry.operators import models as md
+from quarry.operators.blocks import compact
 from quarry.operators.ml import MedianImputer, OrdinalEncoder, TargetEncoder
 from quarry.operators.rank import feature_subsets, top_k
 from quarry.operators.sampling import split_stratified, split_train_test
@@ -279,7 +280,7 @@ def embedding_table(t: Tables):
 
 def _two_stage(spark, sf_dir):
     s = split_train_test(embedding_table(Tables(spark, sf_dir)), "vec_id", 0.8, seed=42)
-    train, test = s.where(F.col("split") == "train").cache(), s.where(F.col("split") == "test").cache()
+    train, test = compact(s.where(F.col("split") == "train")), compact(s.where(F.col("split") == "test"))
     return md.two_stage(train, test, "embedding", ATTRIBUTES, "outcome", "photo_count")
 
 
@@ -368,12 +369,13 @@ def clf_factory(spark, sf_dir):
     from pyspark.ml.functions import array_to_vector
     e = embedding_table(Tables(spark, sf_dir)).withColumn("features", array_to_vector(F.col("embedding")))
     s = split_train_test(e, "vec_id", 0.8, seed=42).select("vec_id", "features", "attr_type", "split").checkpoint()
-    train, test, out = s.where("split = 'train'"), s.where("split = 'test'"), None
+    train, test, out = compact(s.where("split = 'train'")), s.where("split = 'test'"), None
     for name in md.CLASSIFIERS:
         model = md.build_classifier(name).setLabelCol("attr_type").fit(train)
         hit = (F.col("attr_type") == F.col("prediction")).cast("double")
         row = model.transform(test).agg(F.lit(name).alias("model"), F.round(F.avg(hit), 4).alias("accuracy"))
         out = row if out is None else out.unionByName(row)
+    train.unpersist()
     return out
 
 
