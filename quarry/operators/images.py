@@ -74,11 +74,8 @@ def quality_metrics(img: np.ndarray, size: int = 256) -> dict:
             "g_mean": round(float(r[:, :, 1].mean()), 1), "b_mean": round(float(r[:, :, 0].mean()), 1)}
 
 
-def dominant_colors(img: np.ndarray, k: int = 3, size: int = 64, iters: int = 20, seed: int = 42) -> list:
-    """K-means (Lloyd, k-means++ start) on the RGB pixels of a size ×
-    size resize; centres ordered by cluster size."""
-    px = resize_bilinear(img, size, size)[:, :, ::-1].reshape(-1, 3)
-    rng = np.random.RandomState(seed)
+def _lloyd(px: np.ndarray, k: int, iters: int, rng) -> tuple[float, np.ndarray, np.ndarray]:
+    """One start of k-means: (inertia, centres, cluster sizes)."""
     centres = [px[rng.randint(len(px))]]
     for _ in range(1, k):
         d = np.min(((px[:, None, :] - np.array(centres)[None]) ** 2).sum(-1), axis=1)
@@ -91,8 +88,16 @@ def dominant_colors(img: np.ndarray, k: int = 3, size: int = 64, iters: int = 20
         if np.allclose(new, c):
             break
         c = new
-    lab = np.argmin(((px[:, None, :] - c[None]) ** 2).sum(-1), axis=1)
-    counts = np.bincount(lab, minlength=k)
+    d = ((px[:, None, :] - c[None]) ** 2).sum(-1)
+    return float(d.min(axis=1).sum()), c, np.bincount(np.argmin(d, axis=1), minlength=k)
+
+
+def dominant_colors(img: np.ndarray, k: int = 3, size: int = 64, iters: int = 300, seed: int = 42, starts: int = 5) -> list:
+    """K-means (Lloyd, k-means++ starts, the one of least inertia) on the
+    RGB pixels of a size × size resize; centres ordered by cluster size."""
+    px = resize_bilinear(img, size, size)[:, :, ::-1].reshape(-1, 3)
+    rng = np.random.RandomState(seed)
+    _, c, counts = min((_lloyd(px, k, iters, rng) for _ in range(starts)), key=lambda x: x[0])
     return [[int(v) for v in c[j]] for j in np.argsort(-counts, kind="stable")]
 
 

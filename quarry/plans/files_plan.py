@@ -270,13 +270,19 @@ def img_quality(spark, sf_dir):
 
 @query("img_dominant_colors", "I3 V3")
 def img_dominant_colors(spark, sf_dir):
-    """Three dominant colours of at most 20 images per label."""
+    """Three dominant colours of at most 20 images per outcome, and of at
+    most 20 per type."""
     from quarry.operators.sampling import sample_cap_per_group
     path = rendered_images(spark, sf_dir)
-    files = src.file_listing(spark, path, "*.png").select("stem", "key")
-    picked = sample_cap_per_group(files.join(_listing_types(spark, sf_dir), "key"), "label", "key", 20)
-    imgs = src.read_images(spark, path, "*.png").join(picked.select("stem", "label"), "stem")
-    return im.image_dominant_colors(imgs, ("stem", "label"))
+    files = src.file_listing(spark, path, "*.png").select("stem", "key").join(_listing_types(spark, sf_dir), "key")
+    picked = None
+    for grouping, group in (("by_outcome", F.col("label")), ("by_type", F.col("label") % 2)):
+        rows = sample_cap_per_group(files.select("stem", "key", group.alias("group")), "group", "key", 20)
+        rows = rows.select("stem", F.lit(grouping).alias("grouping"), F.col("group").cast("int").alias("group"))
+        picked = rows if picked is None else picked.unionByName(rows)
+    # An image drawn for both groupings is read and clustered once.
+    images = src.read_images(spark, path, "*.png").join(picked.select("stem").distinct(), "stem", "left_semi")
+    return im.image_dominant_colors(images, ("stem",)).join(picked, "stem")
 
 
 def _annotations(spark, sf_dir):

@@ -305,3 +305,17 @@ def test_classifier_defaults_of_both_stages():
         late = md.build_classifier(name, stage=2)
         assert (late.getMaxIter(), late.getStepSize(), late.getMaxDepth()) == (200, 0.05, 5)
         assert md.build_classifier(name).getMaxIter() == 100
+
+
+def test_dominant_colours_are_those_of_the_best_start():
+    from quarry.operators import images as im
+    rng = np.random.RandomState(1)
+    blocks = np.array([[250, 10, 10], [10, 250, 10], [10, 10, 250], [240, 240, 20]], float)
+    img = blocks[rng.choice(4, (64, 64), p=[0.5, 0.3, 0.15, 0.05])] + rng.normal(0, 2, (64, 64, 3))
+    px = im.resize_bilinear(img, 64, 64)[:, :, ::-1].reshape(-1, 3)
+
+    def inertia(colours):
+        return ((px[:, None] - np.array(colours, float)) ** 2).sum(-1).min(axis=1).sum()
+    many, one = im.dominant_colors(img, 4), im.dominant_colors(img, 4, starts=1)
+    assert inertia(many) <= inertia(one) * 1.001
+    assert np.abs(np.array(many) - blocks[:, ::-1]).max() < 4  # RGB, largest cluster first
