@@ -108,9 +108,9 @@ def voting(features: str = "features") -> Voting:
     return Voting({"lr": logistic(features), "svm": linear_svc(features), "nb": complement_nb(features)})
 
 
-def boosted(n_classes_seed: int = 42) -> OneVsRest:
+def boosted(seed: int = 42) -> OneVsRest:
     return OneVsRest(classifier=GBTClassifier(maxIter=160, maxDepth=4, stepSize=0.08, subsamplingRate=0.9,
-                                              featureSubsetStrategy="0.9", seed=n_classes_seed), parallelism=4)
+                                              featureSubsetStrategy="0.9", seed=seed), parallelism=4)
 
 
 def text_models(seed: int = 42) -> dict[str, Callable[[], list]]:
