@@ -64,6 +64,14 @@ def release(*tables: DataFrame | None) -> None:
             p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name += "_"
+    return name
+
+
 def held_out(doc_id: Column | str, modulus: int, remainder: int) -> Column:
     """crc32 of the doc_id as text, modulo ``modulus``; a null doc_id is text ''."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id

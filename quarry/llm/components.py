@@ -49,4 +49,6 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     else:
         raise RuntimeError(f"components did not converge in {max_rounds} rounds")
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
+    out = e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
+    out._written_to = e._written_to
+    return out

@@ -9,30 +9,32 @@ verified links gives components, of which the first line stays.
 
 Buckets are worked off in rounds.  Ids are ordered by how often a line occurs,
 so the first lead of a bucket is its most frequent line, which is likely the
-original of its variants.  It is compared with all lines of the bucket, then
-about eight, 64, ... lines that are not in the component of the least line are
-compared with every line of the bucket outside their own component.  A bucket
-is done when each of its lines is in that one component or has been compared
-with the others: two lines of different components are not both in it.  So a
-bucket full of near copies costs about as many comparisons as it has lines,
-none of its links is given up, and no bucket is gathered anywhere.
+original of its variants.  It is compared with all lines of the bucket.  Lines
+of buckets that this leaves open carry their size and bitmap from then on: about
+eight, 128, ... lines that are not in the component of the least line meet every
+line of the bucket outside their own component, and the join itself refuses the
+pairs that size and bitmap rule out.  A bucket is done when each of its lines is
+in that one component or has been compared with the others: two lines of
+different components are not both in it.  So a bucket full of near copies costs
+about as many comparisons as it has lines, none of its links is given up, and no
+bucket is gathered anywhere.
 """
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, release
+from .common import fresh, materialize, release
 from .components import connected_components
 
-SHINGLE_CHARS = 10
+SHINGLE_CHARS = 6
 SIMILARITY = 0.8
-#: 4 groups of 4 minima; every 3 of a group are a band.  Two lines of similarity
-#: 0.8 meet with probability 1 - (1 - (0.8^4 + 4 * 0.8^3 * 0.2))^4 = 0.9989.
-GROUPS, GROUP, ROWS = 4, 4, 3
+#: Bands of that many minima each.  Two lines of similarity 0.8 share a band with
+#: probability 1 - (1 - 0.8^5)^17 = 0.9988, two of 0.1 with 0.0002.
+BANDS, ROWS = 17, 5
+#: Leads of a bucket grow by this factor a round.
+GROWTH = 16
 #: Positions of one exploded row; bounds the arrays that a very long line needs.
 STRETCH = 4096
 #: 64-bit words of a line's shingle bitmap.
@@ -51,10 +53,11 @@ def line_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return lines.select("doc_id", "rk", "line_no", _norm(F.col("line")).alias("norm")).where("norm <> ''")
 
 
-def _masks(n: int) -> list[int]:
-    """Fixed 32-bit masks, evenly spread: the order of ``hash xor mask`` is one
-    random order of the shingles for each mask."""
-    return [(k + 1) * 0x9E3779B9 % (1 << 32) - (1 << 31) for k in range(n)]
+def _order(h: Column, k: int) -> Column:
+    """The ``k``-th order of 32-bit hashes: a rotation, then a fixed mask."""
+    turn, mask = k * 11 % 32, (k + 1) * 0x9E3779B9 % (1 << 32) - (1 << 31)
+    turned = F.shiftleft(h, turn).bitwiseOR(F.shiftrightunsigned(h, 32 - turn)) if turn else h
+    return turned.bitwiseXOR(F.lit(mask))
 
 
 def _shingles(lines: DataFrame, shingle: int) -> DataFrame:
@@ -67,11 +70,13 @@ def _shingles(lines: DataFrame, shingle: int) -> DataFrame:
     return each.select("id", F.hash(F.substring("units", F.col("i") * 2 + 1, F.lit(2 * shingle))).alias("h"))
 
 
-def signatures(lines: DataFrame, shingle: int = SHINGLE_CHARS, n: int = GROUPS * GROUP) -> DataFrame:
-    """``id, m0..`` from ``id, units``.  32-bit hashes do for candidates: a
-    collision can only add one, which is then verified."""
+def band_keys(lines: DataFrame, shingle: int = SHINGLE_CHARS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """``id, keys`` from ``id, units``: a key for each band of minima.  32-bit
+    hashes do for candidates: a collision can only add one, which is then verified."""
     h = _shingles(lines, shingle)
-    return h.groupBy("id").agg(*[F.min(F.col("h").bitwiseXOR(F.lit(m))).alias(f"m{k}") for k, m in enumerate(_masks(n))])
+    least = h.groupBy("id").agg(*[F.min(_order(F.col("h"), k)).alias(f"m{k}") for k in range(bands * rows)])
+    return least.select("id", F.array(*[
+        F.xxhash64(F.lit(b), *[f"m{b * rows + i}" for i in range(rows)]) for b in range(bands)]).alias("keys"))
 
 
 def _set(text: str, shingle: int) -> Column:
@@ -93,17 +98,25 @@ def sketches(lines: DataFrame, shingle: int = SHINGLE_CHARS, words: int = SKETCH
         F.bit_or(F.when(word == k, bit).otherwise(F.lit(0).cast("long"))).alias(f"w{k}") for k in range(words)])
 
 
-def possible(pairs: DataFrame, bits: DataFrame, similarity: float, words: int = SKETCH_WORDS) -> DataFrame:
-    """The ``a, b`` pairs that their sketches leave possible.  This drops no
-    near pair: each bit that only one of two lines has stands for at least one
-    shingle that only that line has, and sets of x and y shingles that differ
-    in d have the Jaccard similarity (x + y - d) / (x + y + d)."""
-    def side(name: str) -> DataFrame:
-        return bits.select(F.col("id").alias(name), F.col("size").alias(f"size_{name}"), *[F.col(f"w{k}").alias(f"{name}{k}") for k in range(words)])
-    both = pairs.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b")
+def _side(table: DataFrame, name: str, words: int, *more: Column) -> DataFrame:
+    return table.select(*more, F.col("id").alias(name), F.col("size").alias(f"size_{name}"),
+                        *[F.col(f"w{k}").alias(f"{name}{k}") for k in range(words)])
+
+
+def _possible(similarity: float, words: int) -> Column:
+    """Whether the sketches of ``a`` and ``b`` leave the pair possible.  This
+    drops no near pair: each bit that only one of two lines has stands for at
+    least one shingle that only that line has, and sets of x and y shingles that
+    differ in d have the Jaccard similarity (x + y - d) / (x + y + d).  ``size``
+    counts repeats, so it is at least x."""
     apart = sum((F.bit_count(F.col(f"a{k}").bitwiseXOR(F.col(f"b{k}"))) for k in range(words)), F.lit(0))
-    most = (F.col("size_a") + F.col("size_b")) * ((1 - similarity) / (1 + similarity))
-    return both.where(apart <= most + 1e-6).select("a", "b")
+    return apart <= (F.col("size_a") + F.col("size_b")) * ((1 - similarity) / (1 + similarity)) + 1e-6
+
+
+def possible(pairs: DataFrame, bits: DataFrame, similarity: float, words: int = SKETCH_WORDS) -> DataFrame:
+    """The ``a, b`` pairs that their sketches leave possible."""
+    both = pairs.join(_side(bits, "a", words).hint("merge"), "a").join(_side(bits, "b", words).hint("merge"), "b")
+    return both.where(_possible(similarity, words)).select("a", "b")
 
 
 def verified(pairs: DataFrame, text: DataFrame, similarity: float, shingle: int) -> DataFrame:
@@ -117,53 +130,63 @@ def verified(pairs: DataFrame, text: DataFrame, similarity: float, shingle: int)
 
 
 def near_lines(lines: DataFrame, similarity: float = SIMILARITY, shingle: int = SHINGLE_CHARS,
-               groups: int = GROUPS, group: int = GROUP, rows: int = ROWS) -> DataFrame:
+               bands: int = BANDS, rows: int = ROWS, words: int = SKETCH_WORDS) -> DataFrame:
     """``node, component`` of the distinct lines ``id, norm`` that have a near line."""
     units = lines.select("id", F.encode("norm", "UTF-16BE").alias("units"))
-    sig = materialize(signatures(units, shingle, groups * group))
-    bands = [[g * group + i for i in some] for g in range(groups) for some in combinations(range(group), rows)]
-    band = F.explode(F.array(*[F.xxhash64(F.lit(b), *[f"m{i}" for i in some]) for b, some in enumerate(bands)]))
-    banded = sig.select("id", band.alias("bucket"))
+    keys = materialize(band_keys(units, shingle, bands, rows))
+    banded = keys.select("id", F.explode("keys").alias("bucket"))
     sizes = materialize(banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("lead")).where("n > 1"))
-    now = materialize(banded.join(sizes.hint("merge"), "bucket").select(
-        "bucket", "id", F.col("id").alias("comp"), F.lit(False).alias("done"), (F.col("id") == F.col("lead")).alias("is_lead"), "lead"))
-    release(sig, sizes)
+    now = materialize(banded.join(sizes.hint("merge"), "bucket").select("bucket", "id", "lead", "n"))
+    release(keys, sizes)
     # Only the text of lines that share a bucket goes through the rounds.
     shared = now.select("id").distinct()
     text = materialize(lines.join(shared.hint("merge"), "id", "left_semi").select("id", "norm"))
-    bits = materialize(sketches(text.select("id", F.encode("norm", "UTF-16BE").alias("units")), shingle))
+    bits = materialize(sketches(text.select("id", F.encode("norm", "UTF-16BE").alias("units")), shingle, words))
     pairs = now.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
-    named, leads, number = None, 8, 1
+    pairs = materialize(possible(pairs, bits, similarity, words))
+    found = materialize(verified(pairs, text, similarity, shingle))
+    release(pairs)
+    named = connected_components(found, "a", "b")
+    release(found)
+    # Buckets of two lines are done; the lead of a larger one has met the others.
+    met = now.where("n > 2").select("bucket", "id", (F.col("id") == F.col("lead")).alias("done"))
+    sketch, leads, number = ["size", *[f"w{k}" for k in range(words)]], 8, 1
     while True:
-        pairs = materialize(possible(pairs, bits, similarity))
-        found = materialize(verified(pairs, text, similarity, shingle))
-        release(pairs)
-        if named is None or not found.isEmpty():
-            links = found if named is None else found.unionByName(named.select(F.col("node").alias("a"), F.col("component").alias("b")))
-            named = connected_components(links, "a", "b")
-        rest = now.select("bucket", "id", (F.col("done") | F.col("is_lead")).alias("done"))
-        members = materialize(rest.join(named.hint("merge"), rest["id"] == named["node"], "left").select(
-            "bucket", "id", F.coalesce("component", "id").alias("comp"), "done"))
+        members = met.join(named.hint("merge"), met["id"] == named["node"], "left").select(
+            *met.columns, F.coalesce("component", "id").alias("comp"))
+        members = materialize(members)
         release(now)
         low = members.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
-        low = materialize(low.select("bucket", "low"))
         # Lines outside the bucket's least component that have still to be compared.
-        open_lines = materialize(members.join(low.hint("merge"), "bucket").select(
-            "bucket", "id", "comp", "done", (~F.col("done") & (F.col("comp") != F.col("low"))).alias("open")))
-        release(members, low)
-        state = open_lines.where("open").groupBy("bucket").agg(F.count("*").alias("left"), F.min("id").alias("lead"))
-        state = materialize(state.select("bucket", "lead", (F.lit(float(leads)) / F.col("left")).alias("share")))
+        ready = members.join(low.select("bucket", "low").hint("merge"), "bucket").withColumn(
+            "open", ~F.col("done") & (F.col("comp") != F.col("low"))).drop("low")
+        left = ready.groupBy("bucket").agg(F.sum(F.col("open").cast("long")).alias("left"),
+                                           F.min(F.when(F.col("open"), F.col("id"))).alias("first")).where("left > 0")
+        state = materialize(left.select("bucket", "first", (F.lit(float(leads)) / F.col("left")).alias("share")))
         if state.isEmpty():
-            release(open_lines, state, text, bits)
+            release(members, state, text, bits)
             return named
         draw = F.pmod(F.xxhash64("id", "bucket", F.lit(number)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-        now = materialize(open_lines.join(state.hint("merge"), "bucket").select(
-            "bucket", "id", "comp", "done", (F.col("open") & ((F.col("id") == F.col("lead")) | (draw < F.col("share")))).alias("is_lead")))
-        release(open_lines, state)
-        first = now.where("is_lead").select("bucket", F.col("id").alias("x"), F.col("comp").alias("cx"))
-        cross = now.select("bucket", "id", "comp").join(first.hint("merge"), "bucket").where("comp <> cx")
-        pairs = cross.select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct()
-        leads, number = leads * 8, number + 1
+        now = ready.join(state.hint("merge"), "bucket").withColumn(
+            "leads", F.col("open") & ((F.col("id") == F.col("first")) | (draw < F.col("share")))).drop("open", "first", "share")
+        # The sketches join the open buckets once and stay with them.
+        now = materialize(now if "size" in now.columns else now.join(bits.hint("merge"), "id"))
+        release(members, state)
+        first = _side(now.where("leads"), "a", words, F.col("bucket"), F.col("comp").alias("of_a"))
+        other = _side(now, "b", words, F.col("bucket").alias("at"), F.col("comp").alias("of_b"))
+        cross = other.join(first.hint("merge"), (F.col("at") == F.col("bucket")) & (F.col("of_a") != F.col("of_b"))
+                           & _possible(similarity, words))
+        pairs = materialize(cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        found = materialize(verified(pairs, text, similarity, shingle))
+        release(pairs)
+        if not found.isEmpty():
+            last = named
+            links = found.unionByName(named.select(F.col("node").alias("a"), F.col("component").alias("b")))
+            named = connected_components(links, "a", "b")
+            release(last)
+        release(found)
+        met = now.select("bucket", "id", (F.col("done") | F.col("leads")).alias("done"), *sketch)
+        leads, number = leads * GROWTH, number + 1
 
 
 def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY,
@@ -184,10 +207,14 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "h1", "h2", F.coalesce("component", "id").alias("comp"))
     multi = materialize(multi)
     seen = occ.select("doc_id", "rk", "line_no", *key)
+    release(distinct, named)
     hit = materialize(seen.join(multi.hint("merge"), ["h1", "h2"]).select("doc_id", "rk", "line_no", "comp"))
     first = materialize(hit.groupBy("comp").agg(F.min(F.struct("doc_id", "line_no", "rk")).alias("first")))
     here = F.struct("doc_id", "line_no", "rk")
-    return hit.join(first.hint("merge"), "comp").where(~here.eqNullSafe(F.col("first"))).select("doc_id", "rk", "line_no").distinct()
+    out = hit.join(first.hint("merge"), "comp").where(~here.eqNullSafe(F.col("first"))).select("doc_id", "rk", "line_no").distinct()
+    out = materialize(out)
+    release(multi, hit, first)
+    return out
 
 
 def drop_duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
@@ -197,24 +224,26 @@ def drop_duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Blank lines are not compared and stay.  Null texts stay null and have no
     lines; an empty text has one blank line.  Repeated rows (same id and text)
     are one document and lose the same lines.  Null ids come first in the
-    order.  Ties cannot occur: two lines of a document differ in number."""
-    gone = materialize(duplicate_lines(docs, id_col, text_col, **kw))
-    gone = gone.groupBy(F.col("doc_id").alias("_gone_id"), F.col("rk").alias("_gone_key")).agg(
-        F.collect_set("line_no").alias("_gone"))
-    gone = materialize(gone)
-    text = docs[text_col].cast("string")
-    out = docs.withColumn("_gone_text", F.xxhash64(text)).join(
-        gone.hint("merge"), docs[id_col].cast("long").eqNullSafe(gone["_gone_id"]) & (F.col("_gone_text") == gone["_gone_key"]), "left")
-    out = out.withColumn("_gone_lines", F.split(F.col(text_col).cast("string"), "\n"))
-    n = F.size("_gone_lines")
-    stay = F.array_except(F.sequence(F.lit(0), n - 1), F.col("_gone"))
-    lines = F.col("_gone_lines")
-    kept = F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")
-    out = out.withColumn("_gone_kept", F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(kept))
-    old = [c for c in docs.columns]
-    return out.select(*[F.col("_gone_kept").alias(c) if c == text_col else F.col(c) for c in old],
+    order.  Ties cannot occur: two lines of a document differ in number.  Very
+    long lines are cut into stretches of shingles, never shortened.  An empty
+    table gives none.  Other columns stay; those named ``n_lines`` or
+    ``n_dropped`` are replaced."""
+    found = duplicate_lines(docs, id_col, text_col, **kw)
+    i, k, gone, lines, kept, h = (fresh(docs, x) for x in ("gone_id", "gone_key", "gone", "gone_lines", "gone_kept", "gone_hash"))
+    taken = materialize(found.groupBy(F.col("doc_id").alias(i), F.col("rk").alias(k)).agg(F.collect_set("line_no").alias(gone)))
+    release(found)
+    text = F.col(text_col).cast("string")
+    out = docs.withColumn(h, F.xxhash64(text))
+    out = out.join(taken.hint("merge"), F.col(id_col).cast("long").eqNullSafe(F.col(i)) & (F.col(h) == F.col(k)), "left")
+    out = out.withColumn(lines, F.split(text, "\n"))
+    n = F.size(lines)
+    stay = F.array_except(F.sequence(F.lit(0), n - 1), F.col(gone))
+    parts = F.col(lines)
+    rest = F.array_join(F.transform(stay, lambda at: F.get(parts, at)), "\n")
+    out = out.withColumn(kept, F.when(F.col(gone).isNull(), F.col(text_col)).otherwise(rest))
+    return out.select(*[F.col(kept).alias(c) if c == text_col else F.col(c) for c in docs.columns if c not in ("n_lines", "n_dropped")],
                       F.when(n > 0, n).otherwise(0).alias("n_lines"),
-                      F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).alias("n_dropped"))
+                      F.when(F.col(gone).isNull(), 0).otherwise(F.size(gone)).alias("n_dropped"))
 
 
 def line_report(docs: DataFrame) -> DataFrame:

@@ -146,7 +146,8 @@ def test_line_dedup(spark, docs, none):
     got = {r["doc_id"]: r for r in line_dedup.line_report(table).collect()}
     occ = [(i, k, x.strip(" ").lower()) for i, t in sorted(table.collect()) for k, x in enumerate(t.split("\n")) if x.strip(" ")]
     names = list(dict.fromkeys(x for *_, x in occ))
-    sets = [{x[a:a + 10] for a in range(max(1, len(x) - 9))} for x in names]
+    k = line_dedup.SHINGLE_CHARS
+    sets = [{x[a:a + k] for a in range(max(1, len(x) - k + 1))} for x in names]
     near = [(a, b) for a in range(len(sets)) for b in range(a) if len(sets[a]) * 1.3 > len(sets[b]) > len(sets[a]) / 1.3
             and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
     part, seen, drops = dict(zip(names, _components(len(names), near))), set(), Counter()
@@ -161,6 +162,39 @@ def test_line_dedup(spark, docs, none):
     assert line_dedup.drop_duplicate_lines(none).count() == 0
 
 
+def test_line_dedup_of_a_bucket_without_one_original(spark):
+    """Variants of a line, near to few others each, are compared over several
+    rounds; the components are those of all near pairs."""
+    rng, rows = random.Random(11), []
+    base = [rng.choice(["thon", "ring", "sel", "oum", "ba", "tio"]) + str(rng.randrange(100)) for _ in range(60)]
+    for _ in range(250):
+        words = list(base)
+        for at in rng.sample(range(60), rng.randrange(1, 9)):
+            words[at] = f"w{rng.randrange(10**6)}"
+        rows.append(" ".join(words[:rng.choice([60, 60, 60, 30])]))
+    k = line_dedup.SHINGLE_CHARS
+    sets = [{x[a:a + k] for a in range(max(1, len(x) - k + 1))} for x in rows]
+    near = [(a, b) for a in range(len(sets)) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    part = _components(len(rows), near)
+    want = {frozenset(i for i in range(len(rows)) if part[i] == p) for p in set(part) if part.count(p) > 1}
+    named = line_dedup.near_lines(spark.createDataFrame(list(enumerate(rows)), "id long, norm string"))
+    groups = {}
+    for r in named.collect():
+        groups.setdefault(r["component"], set()).add(r["node"])
+    assert {frozenset(g) for g in groups.values()} == want
+
+
+def test_line_dedup_columns_of_clashing_names(spark):
+    names = ["_gone", "gone", "gone_lines", "gone_kept", "n_lines", "rk", "line_no"]
+    docs = spark.createDataFrame([(1, "a line\nother", *names), (2, "A line \nthird", *names)],
+                                 "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    got = line_dedup.drop_duplicate_lines(docs)
+    assert got.columns == [*(c for c in docs.columns if c != "n_lines"), "n_lines", "n_dropped"]
+    rows = {r["doc_id"]: r for r in got.collect()}
+    assert rows[2]["text"] == "third" and rows[1]["text"] == "a line\nother" and rows[2]["gone_lines"] == "gone_lines"
+    assert (rows[2]["n_lines"], rows[2]["n_dropped"]) == (2, 1)
+
+
 def test_line_sketches_drop_no_near_pair(spark):
     """Every pair of lines around the limit, very short and repetitive ones too."""
     rng, rows = random.Random(5), []
@@ -174,13 +208,14 @@ def test_line_sketches_drop_no_near_pair(spark):
     rows += ["ab" * 200, "ab" * 300, "a" * 50]
     lines = spark.createDataFrame(list(enumerate(rows)), "id long, norm string")
     bits = line_dedup.sketches(lines.selectExpr("id", "encode(norm, 'UTF-16BE') as units"))
-    sets = [{x[a:a + 10] for a in range(max(1, len(x) - 9))} for x in rows]
+    k = line_dedup.SHINGLE_CHARS
+    sets = [{x[a:a + k] for a in range(max(1, len(x) - k + 1))} for x in rows]
     every = [(a, b) for a in range(len(rows)) for b in range(a + 1, len(rows))]
     want = {(a, b) for a, b in every if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
     left = line_dedup.possible(spark.createDataFrame(every, "a long, b long"), bits, 0.8)
     kept = {tuple(r) for r in left.collect()}
     assert want <= kept and len(kept) < len(every)
-    assert {tuple(r) for r in line_dedup.verified(left, lines, 0.8, 10).collect()} == want
+    assert {tuple(r) for r in line_dedup.verified(left, lines, 0.8, k).collect()} == want
 
 
 def test_suffix_dedup(docs, none):
