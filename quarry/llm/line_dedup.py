@@ -22,6 +22,9 @@ bucket is gathered anywhere.
 
 from __future__ import annotations
 
+from functools import reduce
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,15 +33,15 @@ from .components import connected_components
 
 SHINGLE_CHARS = 6
 SIMILARITY = 0.8
-#: Bands of that many minima each.  Two lines of similarity 0.8 share a band with
-#: probability 1 - (1 - 0.8^5)^17 = 0.9988, two of 0.1 with 0.0002.
-BANDS, ROWS = 17, 5
+#: 6 groups of 6 minima; every 5 of a group are a band.  Two lines of similarity
+#: 0.8 share a band with probability 1 - (1 - (0.8^6 + 6 * 0.8^5 * 0.2))^6 = 0.9983.
+GROUPS, GROUP, ROWS = 6, 6, 5
 #: Leads of a bucket grow by this factor a round.
 GROWTH = 16
 #: Positions of one exploded row; bounds the arrays that a very long line needs.
 STRETCH = 4096
 #: 64-bit words of a line's shingle bitmap.
-SKETCH_WORDS = 16
+SKETCH_WORDS = 32
 
 
 def _norm(line: Column) -> Column:
@@ -70,13 +73,23 @@ def _shingles(lines: DataFrame, shingle: int) -> DataFrame:
     return each.select("id", F.hash(F.substring("units", F.col("i") * 2 + 1, F.lit(2 * shingle))).alias("h"))
 
 
-def band_keys(lines: DataFrame, shingle: int = SHINGLE_CHARS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``id, keys`` from ``id, units``: a key for each band of minima.  32-bit
-    hashes do for candidates: a collision can only add one, which is then verified."""
+def signatures(lines: DataFrame, shingle: int = SHINGLE_CHARS, n: int = GROUPS * GROUP) -> DataFrame:
+    """``id, m0..`` from ``id, units``.  32-bit hashes do for candidates: a
+    collision can only add one, which is then verified."""
     h = _shingles(lines, shingle)
-    least = h.groupBy("id").agg(*[F.min(_order(F.col("h"), k)).alias(f"m{k}") for k in range(bands * rows)])
-    return least.select("id", F.array(*[
-        F.xxhash64(F.lit(b), *[f"m{b * rows + i}" for i in range(rows)]) for b in range(bands)]).alias("keys"))
+    return h.groupBy("id").agg(*[F.min(_order(F.col("h"), k)).alias(f"m{k}") for k in range(n)])
+
+
+def buckets(sig: DataFrame, g: int, group: int = GROUP, rows: int = ROWS) -> DataFrame:
+    """``bucket, id, lead, n``: lines that share a band of group ``g``, the
+    least of them and their number."""
+    bands = combinations(range(g * group, (g + 1) * group), rows)
+    key = F.explode(F.array(*[F.xxhash64(F.lit(g), F.lit(b), *[f"m{i}" for i in some]) for b, some in enumerate(bands)]))
+    banded = sig.select("id", key.alias("bucket"))
+    sizes = materialize(banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("lead")).where("n > 1"))
+    out = materialize(banded.join(sizes.hint("merge"), "bucket").select("bucket", "id", "lead", "n"))
+    release(sizes)
+    return out
 
 
 def _set(text: str, shingle: int) -> Column:
@@ -124,20 +137,24 @@ def verified(pairs: DataFrame, text: DataFrame, similarity: float, shingle: int)
     a = text.select(F.col("id").alias("a"), F.col("norm").alias("ta"))
     b = text.select(F.col("id").alias("b"), F.col("norm").alias("tb"))
     both = pairs.join(a.hint("merge"), "a").join(b.hint("merge"), "b")
-    sets = both.select("a", "b", _set("ta", shingle).alias("sa"), _set("tb", shingle).alias("sb"))
-    cut = sets.select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("k"), (F.size("sa") + F.size("sb")).alias("n"))
-    return cut.where(F.col("k") >= similarity * (F.col("n") - F.col("k"))).select("a", "b")
+    # Both sets go into one value that a lambda refers to, so that each is made
+    # once; the limit is in whole numbers: k / (n - k) >= part / 10^6.
+    part = round(similarity * 10**6)
+    sets = F.array(F.struct(_set("ta", shingle).alias("x"), _set("tb", shingle).alias("y")))
+    near = F.exists(sets, lambda p: F.size(F.array_intersect(p["x"], p["y"])).cast("long") * (10**6 + part)
+                    >= (F.size(p["x"]) + F.size(p["y"])).cast("long") * part)
+    return both.where(near).select("a", "b")
 
 
 def near_lines(lines: DataFrame, similarity: float = SIMILARITY, shingle: int = SHINGLE_CHARS,
-               bands: int = BANDS, rows: int = ROWS, words: int = SKETCH_WORDS) -> DataFrame:
+               groups: int = GROUPS, group: int = GROUP, rows: int = ROWS, words: int = SKETCH_WORDS) -> DataFrame:
     """``node, component`` of the distinct lines ``id, norm`` that have a near line."""
     units = lines.select("id", F.encode("norm", "UTF-16BE").alias("units"))
-    keys = materialize(band_keys(units, shingle, bands, rows))
-    banded = keys.select("id", F.explode("keys").alias("bucket"))
-    sizes = materialize(banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("lead")).where("n > 1"))
-    now = materialize(banded.join(sizes.hint("merge"), "bucket").select("bucket", "id", "lead", "n"))
-    release(keys, sizes)
+    sig = materialize(signatures(units, shingle, groups * group))
+    # A group after another, so that the keys of one only are on disk at a time.
+    parts = [buckets(sig, g, group, rows) for g in range(groups)]
+    now = reduce(DataFrame.unionByName, parts)
+    release(sig)
     # Only the text of lines that share a bucket goes through the rounds.
     shared = now.select("id").distinct()
     text = materialize(lines.join(shared.hint("merge"), "id", "left_semi").select("id", "norm"))
@@ -155,7 +172,8 @@ def near_lines(lines: DataFrame, similarity: float = SIMILARITY, shingle: int =
         members = met.join(named.hint("merge"), met["id"] == named["node"], "left").select(
             *met.columns, F.coalesce("component", "id").alias("comp"))
         members = materialize(members)
-        release(now)
+        release(now, *parts)
+        parts = []
         low = members.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
         # Lines outside the bucket's least component that have still to be compared.
         ready = members.join(low.select("bucket", "low").hint("merge"), "bucket").withColumn(
