@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, materialize, texts_of
+from .common import fresh, map_batches, materialize, release, texts_of
 from .components import connected_components
 
 SHINGLE_WORDS = 3
@@ -97,6 +97,26 @@ def near_links(codes: DataFrame, max_distance: int = MAX_DISTANCE, segments: int
     return pairs.where(_distance(F.col("src"), F.col("dst")) <= max_distance).distinct()
 
 
+def _named(docs: DataFrame, id_col: str, text_col: str, words_per_shingle: int = SHINGLE_WORDS,
+           max_distance: int = MAX_DISTANCE, segments: int = SEGMENTS) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, fp`` of every row, and ``code, component_id`` of every fingerprint."""
+    fps = materialize(fingerprints(docs, id_col, text_col, words_per_shingle))
+    codes = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    labels = connected_components(near_links(codes, max_distance, segments))
+    least = materialize(codes.join(labels, codes["fp"] == labels["node"], "left").select(
+        "fp", "least", F.coalesce("component", "fp").alias("label")))
+    release(codes, labels)
+    ids = materialize(least.groupBy("label").agg(F.min("least").alias("component_id")))
+    named = materialize(least.join(ids.hint("merge"), "label").select(F.col("fp").alias("code"), "component_id"))
+    release(least, ids)
+    return fps, named
+
+
+def _carried(fps: DataFrame, named: DataFrame) -> DataFrame:
+    return fps.join(named.hint("merge"), F.col("fp") == F.col("code")).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_per_shingle: int = SHINGLE_WORDS,
                 max_distance: int = MAX_DISTANCE, segments: int = SEGMENTS) -> DataFrame:
     """One row per input row: ``doc_id, fingerprint`` (16 hex digits),
@@ -108,21 +128,15 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     repeated ids among them, share a component; a null doc_id is never a
     component_id unless the component has no other (then it is null).  Very
     long texts are hashed in blocks.  An empty table gives no rows."""
-    fps = materialize(fingerprints(docs, id_col, text_col, words_per_shingle))
-    codes = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    labels = connected_components(near_links(codes, max_distance, segments))
-    named = codes.join(labels, codes["fp"] == labels["node"], "left").select(
-        "fp", "least", F.coalesce("component", "fp").alias("label"))
-    named = materialize(named)
-    ids = materialize(named.groupBy("label").agg(F.min("least").alias("component_id")))
-    named = materialize(named.join(ids.hint("merge"), "label").select(F.col("fp").alias("code"), "component_id"))
-    return fps.join(named.hint("merge"), F.col("fp") == F.col("code")).select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return _carried(*_named(docs, id_col, text_col, words_per_shingle, max_distance, segments))
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
     """Rows of ``docs`` whose doc_id is its component's id, all columns kept:
     one document of each group stays."""
-    stay = near_groups(docs, id_col, text_col, **kw).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    stay = materialize(stay.select(F.col("doc_id").alias("_stay_id")).distinct())
-    return docs.join(stay, docs[id_col].cast("long").eqNullSafe(stay["_stay_id"]), "left_semi")
+    fps, named = _named(docs, id_col, text_col, **kw)
+    name = fresh(docs, "stay_id")
+    stay = _carried(fps, named).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    stay = materialize(stay.select(F.col("doc_id").alias(name)).distinct())
+    release(fps, named)
+    return docs.join(stay, F.col(id_col).cast("long").eqNullSafe(F.col(name)), "left_semi")
