@@ -118,6 +118,38 @@ def test_simhash_links_every_near_pair(spark):
         assert _components(len(codes), [(at[r["src"]], at[r["dst"]]) for r in links]) == _components(len(codes), near)
 
 
+def test_simhash_segments_and_crowded_values(spark):
+    """Any number of segments, and values that more fingerprints share than an
+    entry may hold, give the components of the brute force."""
+    rng = np.random.default_rng(5)
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    codes = {int(x) for x in rng.integers(0, 1 << 64, 30, np.uint64)}
+    for c in list(codes)[:8]:  # fingerprints around these share whole segments
+        codes |= {c ^ sum(1 << int(b) for b in rng.integers(0, 64, k)) for k in (1, 1, 2, 2, 3, 4)}
+    crowd = next(iter(codes))
+    codes |= {crowd ^ (int(x) << 40) for x in rng.integers(0, 1 << 10, 60)}
+    codes = sorted(codes)
+    table = spark.createDataFrame([(signed(c),) for c in codes], "fp long")
+    at = {signed(c): i for i, c in enumerate(codes)}
+    for distance, segments, most in ((2, 2, 64), (2, 2, 5), (2, 3, 0), (2, 4, 8), (3, 2, 4), (4, 4, 64), (1, 1, 64)):
+        near = [(a, b) for a in range(len(codes)) for b in range(a) if (codes[a] ^ codes[b]).bit_count() <= distance]
+        links = [(at[r["src"]], at[r["dst"]]) for r in simhash.near_links(table, distance, segments, most).collect()]
+        assert {(max(x), min(x)) for x in links} <= set(near)
+        assert _components(len(codes), links) == _components(len(codes), near), (distance, segments, most)
+
+
+def test_simhash_keeps_one_row_of_each_group(spark, docs, none):
+    kept = simhash.drop_near_copies(docs)
+    assert kept.columns == docs.columns and simhash.drop_near_copies(none).count() == 0
+    groups = {r["component_id"] for r in simhash.near_groups(docs).collect()}
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(map(str, groups))
+    far = "an entirely different text of its own " * 3
+    rows = [(1, "one text that is here three times", 1), (None, "one text that is here three times", 2),
+            (None, far, 3), (None, far, 4), (None, "and a third one " * 4, 5), (2, "one text that is here three times", 6)]
+    small = spark.createDataFrame(rows, "doc_id long, text string, stay_id int")
+    assert sorted(r["stay_id"] for r in simhash.drop_near_copies(small).collect()) == [1, 3, 5]
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (3, 4), (4, 5), (9, 8), (8, 7), (6, 6), (None, 3), (20, 5), (2, 1)]
     got = dict(connected_components(spark.createDataFrame(edges, "src long, dst long")).collect())
@@ -352,6 +384,11 @@ def test_language_model(spark, docs, none):
         assert got[i]["base_score"] == pytest.approx(sum(np.log10((train[w] + 0.5) / (n + 0.5 * (v + 1))) for w in words))
         assert np.isfinite(got[i]["score"]) and got[i]["score"] < 0
     assert hpylm.score_documents(none).count() == 0
+    # Ids beyond 2^53 beside a null id come back as they are.
+    ids = [2 ** 60 + 1, 2 ** 60 + 3, None]
+    far = hpylm.score_documents(spark.createDataFrame([(i, "a few words") for i in ids], "doc_id long, text string"))
+    assert {r["doc_id"]: r["held_out"] for r in far.collect()} == {
+        i: zlib.crc32(str("" if i is None else i).encode()) % 5 == 1 for i in ids}
 
 
 def test_language_model_seats_every_pair(spark):
