@@ -9,7 +9,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.quantiles import exact_quantiles
+from quarry.operators.quantiles import exact_quantiles, exact_quantiles_of, quantiles_of_counts, sorted_counts
 from quarry.operators.rank import _cols, attach, top_k
 
 
@@ -43,25 +43,23 @@ def five_number(df: DataFrame, group, value: str, digits: int = 4) -> DataFrame:
 def box_stats(df: DataFrame, group, value: str, whisker: float = 1.5, digits: int = 4) -> DataFrame:
     """Box-plot statistics per group.
 
-    Pass 1 computes exact quartiles; pass 2 joins the (one row per group)
-    fences back and finds the whiskers (extreme values inside the fences)
-    and the outlier count with one more map-side-combined aggregate.
+    The rows are read once, into the sorted table of distinct values and their
+    counts: it gives the exact quartiles, and joined with the one row of
+    fences per group the whiskers (extreme values inside the fences) and the
+    outlier count.
     """
     groups = _cols(group)
-    q = exact_quantiles(df, groups, value, {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    counts = sorted_counts(df, groups, value)
+    q = quantiles_of_counts(counts, groups, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     iqr = F.col("q3") - F.col("q1")
-    fences = q.select(*groups, "n", "q1", "median", "q3",
-                      (F.col("q1") - whisker * iqr).alias("lower_fence"),
-                      (F.col("q3") + whisker * iqr).alias("upper_fence"))
-    v = F.col(value).cast("double")
-    rows = df.select(*groups, v.alias("_v")).where(F.col("_v").isNotNull())
-    joined = attach(rows, fences.select(*groups, "lower_fence", "upper_fence"), groups)
+    fences = q.withColumn("lower_fence", F.col("q1") - whisker * iqr).withColumn("upper_fence", F.col("q3") + whisker * iqr)
+    of_group = ("n", "q1", "median", "q3", "lower_fence", "upper_fence")
     inside = (F.col("_v") >= F.col("lower_fence")) & (F.col("_v") <= F.col("upper_fence"))
-    ends = joined.groupBy(*groups).agg(
+    out = attach(counts, fences, groups).groupBy(*groups).agg(
+        *[F.first(c).alias(c) for c in of_group],
         F.min(F.when(inside, F.col("_v"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("_v"))).alias("whisker_high"),
-        F.count_if(~inside).alias("outliers"))
-    out = attach(fences, ends, groups)
+        F.sum(F.when(inside, 0).otherwise(F.col("_c"))).alias("outliers"))
     r = [F.round(c, digits).alias(c) for c in
          ("q1", "median", "q3", "lower_fence", "upper_fence", "whisker_low", "whisker_high")]
     return out.select(*groups, "n", *r, F.col("outliers").cast("long").alias("outliers"))
@@ -193,11 +191,8 @@ def metric_medians(df: DataFrame, group: str, metrics: Sequence[str], domain: Se
                    digits: int = 4) -> DataFrame:
     """Median of several metrics per group, long form (one quantile
     pass over the unpivoted metrics); with a domain, absent groups get 0."""
-    long = df.select(group, F.explode(F.array(*[F.struct(F.lit(m).alias("metric"),
-                                                         F.col(m).cast("double").alias("_v"))
-                                                for m in metrics])).alias("_m")).select(group, "_m.*")
-    out = exact_quantiles(long, [group, "metric"], "_v", {"median": 0.5}, count_col=None) \
-        .select(group, "metric", F.round("median", digits).alias("median"))
+    out = exact_quantiles_of(df, group, metrics, {"median": 0.5}, count_col=None) \
+        .select(group, F.col("measure").alias("metric"), F.round("median", digits).alias("median"))
     if domain is not None:
         spark = df.sparkSession
         dom = spark.createDataFrame([(d, m) for d in domain for m in metrics],

@@ -345,19 +345,17 @@ def class_probabilities(model, df: DataFrame, out: str = "proba") -> DataFrame:
 class MedianImputer(Estimator):
     """Median imputation fitted on the training rows, with the exact
     linear-interpolated median (numpy rule) — MLlib's ``Imputer`` returns
-    an order statistic instead.  Medians come from the skew-safe
-    ``exact_quantiles`` operator; applying them is a one-row attach."""
+    an order statistic instead.  The medians of all columns come from one pass
+    of ``exact_quantiles_of``; applying them is a one-row attach."""
 
     def __init__(self, inputCols: Sequence[str], suffix: str = "_imp"):
         super().__init__()
         self.inputCols, self.suffix = list(inputCols), suffix
 
     def _fit(self, df: DataFrame):
-        from quarry.operators.quantiles import exact_quantiles
-        row = None
-        for c in self.inputCols:
-            q = exact_quantiles(df.select(c), [], c, {f"_med_{c}": 0.5}, count_col=None)
-            row = q if row is None else row.crossJoin(q)  # one-row scalars
+        from quarry.operators.quantiles import exact_quantiles_of
+        q = exact_quantiles_of(df, [], self.inputCols, {"median": 0.5}, count_col=None)
+        row = q.agg(*[F.max(F.when(F.col("measure") == c, F.col("median"))).alias(f"_med_{c}") for c in self.inputCols])
         return MedianImputerModel(self.inputCols, self.suffix, row.checkpoint())
 
 

@@ -241,18 +241,15 @@ def src_images(spark, sf_dir):
 @query("img_metadata", "I1 J7 A11")
 def img_metadata(spark, sf_dir):
     """Per type: image and listing counts, median width / height / size."""
-    from quarry.operators.quantiles import exact_quantiles
+    from quarry.operators.quantiles import exact_quantiles_of
     path = rendered_images(spark, sf_dir)
     files = src.file_listing(spark, path, "*.png")
     imgs = src.read_images(spark, path, "*.png").select("stem", "width", "height")
     meta = files.join(imgs, "stem").join(_listing_types(spark, sf_dir), "key")
     counts = meta.groupBy("type").agg(F.count(F.lit(1)).alias("images"), F.count_distinct("key").alias("listings"),
                                       F.round(F.avg("size_kb"), 1).alias("avg_kb"))
-    # The three measures are unpivoted so one quantile pass serves them all.
-    long = meta.select("type", F.explode(F.array(*[F.struct(F.lit(c).alias("m"), F.col(c).cast("double").alias("v"))
-                                                    for c in ("width", "height", "size_kb")])).alias("x"))
-    q = exact_quantiles(long.select("type", "x.m", "x.v"), ["type", "m"], "v", {"median": 0.5}, count_col=None)
-    med = q.groupBy("type").pivot("m", ["width", "height", "size_kb"]).agg(F.first("median"))
+    q = exact_quantiles_of(meta, "type", ["width", "height", "size_kb"], {"median": 0.5}, count_col=None)
+    med = q.groupBy("type").pivot("measure", ["width", "height", "size_kb"]).agg(F.first("median"))
     med = med.select("type", *[F.col(c).alias(f"median_{c}") for c in ("width", "height", "size_kb")])
     return counts.join(med, "type")
 

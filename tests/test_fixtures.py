@@ -238,8 +238,7 @@ def test_bgr_order(spark):
 
 
 def test_exact_quantiles_heavy_tail(spark):
-    """One extreme value squeezes everything else into the first bucket;
-    the second bucketing level must still give the exact answer."""
+    """One extreme value, far beyond all others, changes no other position."""
     from quarry.operators.quantiles import exact_quantiles
     vals = [float(i % 97) + i / 1000.0 for i in range(3000)] + [1e12]
     df = spark.createDataFrame([(v,) for v in vals], "v double")
@@ -249,6 +248,35 @@ def test_exact_quantiles_heavy_tail(spark):
     assert r["q3"] == pytest.approx(np.quantile(x, 0.75)) and r["n"] == len(vals)
 
 
+def test_exact_quantiles_at_two_scales(spark):
+    """Values at scales from 1e-12 to 1e12, a hot group with a null key, no
+    piece to rank larger than a partition, and box statistics from the counts."""
+    from quarry.operators.dist import box_stats
+    from quarry.operators.quantiles import exact_quantiles, exact_quantiles_of, quantiles_of_counts, sorted_counts
+    rng = np.random.RandomState(9)
+    vals = np.concatenate([rng.rand(4000) * 1e-12, rng.rand(3000), rng.rand(2000) * 1e12, np.full(1500, 0.5)])
+    rng.shuffle(vals)
+    rows = [(None if i % 3 else "small", float(v)) for i, v in enumerate(vals)] + [("empty", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    probs = {"p01": 0.01, "q1": 0.25, "med": 0.5, "p99": 0.99}
+    counts = sorted_counts(df, "g", "v", 16)
+    assert counts.groupBy("_part").count().agg({"count": "max"}).first()[0] < counts.count() / 4
+    got = {r["g"]: r for r in quantiles_of_counts(counts, "g", probs).collect()}
+    assert set(got) == {None, "small"}
+    for g, r in got.items():
+        x = np.array([v for k, v in rows if k == g])
+        assert r["n"] == len(x) and [r[p] for p in probs] == pytest.approx([np.quantile(x, q) for q in probs.values()], rel=1e-9)
+    many = {r["measure"]: r for r in exact_quantiles_of(df.withColumn("w", F.col("v") * 2), [], ["v", "w"], {"m": 0.5}).collect()}
+    assert many["v"]["m"] == pytest.approx(np.median(vals)) and many["w"]["m"] == pytest.approx(2 * np.median(vals))
+    assert exact_quantiles(df.where("false"), [], "v", {"m": 0.5}).collect()[0]["m"] is None
+    assert exact_quantiles(df.where("false"), "g", "v", {"m": 0.5}).count() == 0
+    box = box_stats(df.where("g = 'small'"), "g", "v").first()
+    x = np.array([v for k, v in rows if k == "small"])
+    q1, q3 = np.quantile(x, [0.25, 0.75])
+    out = (x < q1 - 1.5 * (q3 - q1)) | (x > q3 + 1.5 * (q3 - q1))
+    assert box["outliers"] == out.sum() and box["whisker_high"] == pytest.approx(x[~out].max(), abs=1e-4)
+
+
 def test_typed_lookup_and_first_existing(spark):
     from quarry.sources.files import first_existing, read_typed_lookup
     d = tempfile.mkdtemp(prefix="quarry-src-test-")
