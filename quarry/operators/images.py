@@ -6,18 +6,16 @@ Pixel data is BGR, row-major (Spark image source layout)."""
 
 from __future__ import annotations
 
-import struct
-import zlib
-
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 # ---------------------------------------------------------------------------
-# numpy kernels (one image at a time, called inside mapInPandas)
+# numpy kernels (one image at a time, called inside mapInArrow)
 # ---------------------------------------------------------------------------
 def to_array(data: bytes, height: int, width: int, channels: int) -> np.ndarray:
     a = np.frombuffer(data, dtype=np.uint8).reshape(height, width, channels)
@@ -108,38 +106,41 @@ QUALITY_FIELDS = ["brightness", "sharpness", "contrast", "colorfulness", "satura
                   "b_mean"]
 
 
-def image_quality(images: DataFrame, key_cols=("path",)) -> DataFrame:
-    """Quality metrics per image (Arrow batches, numpy per image)."""
+def _per_image(images: DataFrame, key_cols, fields: list[T.StructField], rows_of) -> DataFrame:
+    """``rows_of(image)``'s rows of ``fields`` for every image, behind its key
+    columns; the keys stay Arrow columns."""
     keys = list(key_cols)
-    schema = T.StructType([images.schema[k] for k in keys] +
-                          [T.StructField(f, T.DoubleType()) for f in QUALITY_FIELDS])
+    schema = T.StructType([images.schema[k] for k in keys] + fields)
+    types = [pa.float64() if isinstance(f.dataType, T.DoubleType) else pa.int32() for f in fields]
 
     def run(batches):
-        for pdf in batches:
-            rows = []
-            for _, r in pdf.iterrows():
-                m = quality_metrics(to_array(r["data"], r["height"], r["width"], r["channels"]))
-                rows.append({**{k: r[k] for k in keys}, **m})
-            yield pd.DataFrame(rows, columns=keys + QUALITY_FIELDS)
-    return images.select(*keys, "data", "height", "width", "channels").mapInPandas(run, schema)
+        for b in batches:
+            at, found = [], []
+            pixels = zip(b.column("data"), *(b.column(c).to_pylist() for c in ("height", "width", "channels")))
+            for i, (data, h, w, c) in enumerate(pixels):
+                rows = rows_of(to_array(data.as_py(), h, w, c))
+                at += [i] * len(rows)
+                found += rows
+            values = list(zip(*found)) or [()] * len(fields)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(k).take(pa.array(at, pa.int64())) for k in keys] + [pa.array(v, t) for v, t in zip(values, types)],
+                names=keys + [f.name for f in fields])
+    return images.select(*keys, "data", "height", "width", "channels").mapInArrow(run, schema)
+
+
+def image_quality(images: DataFrame, key_cols=("path",)) -> DataFrame:
+    """Quality metrics per image (Arrow batches, numpy per image)."""
+    def rows_of(img):
+        m = quality_metrics(img)
+        return [[m[f] for f in QUALITY_FIELDS]]
+    return _per_image(images, key_cols, [T.StructField(f, T.DoubleType()) for f in QUALITY_FIELDS], rows_of)
 
 
 def image_dominant_colors(images: DataFrame, key_cols=("path",), k: int = 3) -> DataFrame:
     """Dominant colours per image as (rank, r, g, b) rows."""
-    keys = list(key_cols)
-    schema = T.StructType([images.schema[c] for c in keys] +
-                          [T.StructField("rank", T.IntegerType()), T.StructField("r", T.IntegerType()),
-                           T.StructField("g", T.IntegerType()), T.StructField("b", T.IntegerType())])
-
-    def run(batches):
-        for pdf in batches:
-            rows = []
-            for _, r in pdf.iterrows():
-                cols = dominant_colors(to_array(r["data"], r["height"], r["width"], r["channels"]), k)
-                for i, (cr, cg, cb) in enumerate(cols):
-                    rows.append({**{c: r[c] for c in keys}, "rank": i, "r": cr, "g": cg, "b": cb})
-            yield pd.DataFrame(rows, columns=keys + ["rank", "r", "g", "b"])
-    return images.select(*keys, "data", "height", "width", "channels").mapInPandas(run, schema)
+    def rows_of(img):
+        return [(i, *colour) for i, colour in enumerate(dominant_colors(img, k))]
+    return _per_image(images, key_cols, [T.StructField(f, T.IntegerType()) for f in ("rank", "r", "g", "b")], rows_of)
 
 
 def embed_images(images: DataFrame, make_model, out: str = "embedding", dim: int = 8,
@@ -168,44 +169,3 @@ def projection_model(in_dim: int, out_dim: int = 8, seed: int = 7):
             return x @ w
         return predict
     return make
-
-
-# ---------------------------------------------------------------------------
-# PNG writer (standard library only) for images rendered from tables
-# ---------------------------------------------------------------------------
-def png_bytes(rgb: np.ndarray) -> bytes:
-    h, w, _ = rgb.shape
-    raw = b"".join(b"\x00" + rgb[y].astype(np.uint8).tobytes() for y in range(h))
-
-    def chunk(tag, data):
-        return struct.pack(">I", len(data)) + tag + data + struct.pack(">I", zlib.crc32(tag + data) & 0xFFFFFFFF)
-    return (b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, 2, 0, 0, 0)) +
-            chunk(b"IDAT", zlib.compress(raw)) + chunk(b"IEND", b""))
-
-
-def render_vector_image(vec, scale: int = 4) -> np.ndarray:
-    """An RGB picture of a feature vector: values laid out on a square grid,
-    scaled to 0-255 per channel with shifted orderings, upsampled."""
-    v = np.asarray(vec, dtype=np.float64)
-    n = int(np.ceil(np.sqrt(len(v))))
-    grid = np.zeros(n * n)
-    grid[:len(v)] = v
-    lo, hi = grid.min(), grid.max()
-    norm = (grid - lo) / (hi - lo) if hi > lo else np.zeros_like(grid)
-    chans = [norm, np.roll(norm, n), norm[::-1]]
-    img = np.stack([(c.reshape(n, n) * 255).round() for c in chans], axis=2)
-    return np.kron(img, np.ones((scale, scale, 1)))
-
-
-def write_vector_images(df: DataFrame, key_col: str, vec_col: str, out_dir: str) -> int:
-    """Render each row's vector to ``<out_dir>/<key>-1.png`` from the
-    executors (no image passes through the driver); returns the count."""
-    def run(batches):
-        import os
-        os.makedirs(out_dir, exist_ok=True)
-        for pdf in batches:
-            for key, vec in zip(pdf[key_col], pdf[vec_col]):
-                with open(os.path.join(out_dir, f"{key}-1.png"), "wb") as fh:
-                    fh.write(png_bytes(render_vector_image(vec)))
-            yield pd.DataFrame({"n": [len(pdf)]})
-    return df.select(key_col, vec_col).mapInPandas(run, "n long").agg(F.sum("n")).first()[0] or 0

@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import uuid
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +20,7 @@ from quarry.operators import images as im
 from quarry.plans.registry import query
 from quarry.session import checkpoint_dir
 from quarry.sources import files as src
+from quarry.sources import images as img
 from quarry.sources import sinks
 from quarry.sources.tables import Tables
 
@@ -202,22 +204,60 @@ def sink_model(spark, sf_dir):
 
 
 # ---------------------------------------------------------------------------
-# Images rendered from the embeddings table
+# Images: the embeddings table as a table of bitmaps
 # ---------------------------------------------------------------------------
-_RENDERED: dict[str, str] = {}
+_IMAGE_TABLES: dict[str, str] = {}
 
 
-def rendered_images(spark, sf_dir) -> str:
-    """Render every embedding as ``<vec_id>-1.png`` (plus one unreadable
-    file) once per session and scale factor."""
+def _little_endian(c) -> Column:
+    """Hex digits of a 32-bit number, lowest byte first."""
+    h = F.lpad(F.hex(c.cast("long")), 8, "0")
+    return F.concat(*[F.substring(h, at, 2) for at in (7, 5, 3, 1)])
+
+
+def vector_bitmap(vec) -> Column:
+    """A 24-bit bitmap of a vector, built by column functions: the values,
+    scaled to 0-255, in rows of a multiple of four pixels; the channels are
+    the vector, the vector one row on, and the vector backwards."""
+    n = F.size(vec)
+    w = F.ceil(F.ceil(F.sqrt(n)) / 4) * 4
+    h = F.ceil(n / w)
+    lo, span = F.array_min(vec), F.array_max(vec) - F.array_min(vec)
+
+    def level(j):
+        scaled = F.when((j < n) & (span > 0), (F.get(vec, j.cast("int")) - lo) / span * 255).otherwise(0)
+        return F.lpad(F.hex(F.floor(scaled).cast("long")), 2, "0")
+
+    def pixel(i):  # rows are stored from the bottom up
+        j = (h - 1 - F.floor(i / w)) * w + i % w
+        return F.concat(level(j), level((j + w) % (w * h)), level(w * h - 1 - j))
+    body = F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), w * h - 1), pixel), "")
+    head = F.concat(F.lit("424D"), _little_endian(w * h * 3 + 54), F.lit("000000003600000028000000"),
+                    _little_endian(w), _little_endian(h), F.lit("01001800"), F.lit("00" * 24))
+    return F.when(n > 0, F.unhex(F.concat(head, body)))
+
+
+def image_table(spark, sf_dir) -> str:
+    """Every embedding as ``<vec_id>-1.bmp``, plus one unreadable row, written
+    as an image table once per session and scale factor."""
     key = f"{id(spark.sparkContext)}:{sf_dir}"
-    if key not in _RENDERED:
+    if key not in _IMAGE_TABLES:
         out = scratch(spark, "images")
-        im.write_vector_images(Tables(spark, sf_dir).embeddings, "vec_id", "embedding", out)
-        with open(os.path.join(out, "junk-1.png"), "wb") as fh:
-            fh.write(b"not an image at all")
-        _RENDERED[key] = out
-    return _RENDERED[key]
+        e = Tables(spark, sf_dir).embeddings
+        rows = e.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "vec_id").select(
+            F.concat(F.col("vec_id").cast("string"), F.lit("-1.bmp")).alias("path"), vector_bitmap(F.col("embedding")).alias("content"))
+        junk = spark.range(1).select(F.lit("junk-1.bmp").alias("path"), F.lit("not an image at all").cast("binary").alias("content"))
+        img.write_image_table(rows.unionByName(junk), out)
+        _IMAGE_TABLES[key] = out
+    return _IMAGE_TABLES[key]
+
+
+# The size of an embedding's bitmap in SQL, for the oracles.
+_BITMAPS = """
+g AS (SELECT vec_id, label, CAST(4 * ceil(ceil(sqrt(len(embedding))) / 4) AS BIGINT) AS w, len(embedding) AS n FROM embeddings),
+f AS (SELECT CAST(vec_id AS VARCHAR) AS key, CASE WHEN label % 2 = 0 THEN 'Dog' ELSE 'Cat' END AS type,
+             CAST(w AS INTEGER) AS width, CAST(ceil(n * 1.0 / w) AS INTEGER) AS height,
+             CAST(54 + 3 * w * ceil(n * 1.0 / w) AS BIGINT) AS length FROM g)"""
 
 
 def _listing_types(spark, sf_dir):
@@ -226,25 +266,32 @@ def _listing_types(spark, sf_dir):
     return e
 
 
-@query("src_file_listing", "S5 P7")
+@query("src_file_listing", "S5 P7", oracle=f"""WITH {_BITMAPS}, a AS (
+  SELECT key, length FROM f UNION ALL SELECT 'junk', 19)
+SELECT key || '-1.bmp' AS path, key || '-1.bmp' AS file_name, key || '-1' AS stem, key,
+       CAST(round(length / 1024.0, 1) AS DOUBLE) AS size_kb, CAST(length AS BIGINT) AS length FROM a""")
 def src_file_listing(spark, sf_dir):
-    path = rendered_images(spark, sf_dir)
-    return src.file_listing(spark, path, "*.png")
+    path = image_table(spark, sf_dir)
+    return img.table_listing(spark, path)
 
 
-@query("src_images", "S6")
+@query("src_images", "S6", oracle=f"""WITH {_BITMAPS}
+SELECT key || '-1.bmp' AS path, height, width, 3 AS channels, 16 AS mode FROM f""")
 def src_images(spark, sf_dir):
-    path = rendered_images(spark, sf_dir)
-    return src.read_images(spark, path, "*.png").select("path", "height", "width", "channels", "mode")
+    path = image_table(spark, sf_dir)
+    return img.read_image_table(spark, path, pixels=False).select("path", "height", "width", "channels", "mode")
 
 
-@query("img_metadata", "I1 J7 A11")
+@query("img_metadata", "I1 J7 A11", oracle=f"""WITH {_BITMAPS}
+SELECT type, count(*) AS images, count(DISTINCT key) AS listings, round(avg(round(length / 1024.0, 1)), 1) AS avg_kb,
+       quantile_cont(CAST(width AS DOUBLE), 0.5) AS median_width, quantile_cont(CAST(height AS DOUBLE), 0.5) AS median_height,
+       quantile_cont(CAST(round(length / 1024.0, 1) AS DOUBLE), 0.5) AS median_size_kb FROM f GROUP BY type""")
 def img_metadata(spark, sf_dir):
     """Per type: image and listing counts, median width / height / size."""
     from quarry.operators.quantiles import exact_quantiles_of
-    path = rendered_images(spark, sf_dir)
-    files = src.file_listing(spark, path, "*.png")
-    imgs = src.read_images(spark, path, "*.png").select("stem", "width", "height")
+    path = image_table(spark, sf_dir)
+    files = img.table_listing(spark, path)
+    imgs = img.read_image_table(spark, path, pixels=False).select("stem", "width", "height")
     meta = files.join(imgs, "stem").join(_listing_types(spark, sf_dir), "key")
     counts = meta.groupBy("type").agg(F.count(F.lit(1)).alias("images"), F.count_distinct("key").alias("listings"),
                                       F.round(F.avg("size_kb"), 1).alias("avg_kb"))
@@ -258,8 +305,8 @@ def img_metadata(spark, sf_dir):
 def img_quality(spark, sf_dir):
     """Quality metrics per image and the composite min-max score."""
     from quarry.operators.features import composite_score
-    path = rendered_images(spark, sf_dir)
-    imgs = src.read_images(spark, path, "*.png")
+    path = image_table(spark, sf_dir)
+    imgs = img.read_image_table(spark, path)
     q = im.image_quality(imgs)
     return composite_score(q, ["brightness", "sharpness", "contrast", "colorfulness", "saturation"],
                            "quality_score")
@@ -270,36 +317,47 @@ def img_dominant_colors(spark, sf_dir):
     """Three dominant colours of at most 20 images per outcome, and of at
     most 20 per type."""
     from quarry.operators.sampling import sample_cap_per_group
-    path = rendered_images(spark, sf_dir)
-    files = src.file_listing(spark, path, "*.png").select("stem", "key").join(_listing_types(spark, sf_dir), "key")
+    path = image_table(spark, sf_dir)
+    files = img.table_listing(spark, path).select("stem", "key").join(_listing_types(spark, sf_dir), "key")
     picked = None
     for grouping, group in (("by_outcome", F.col("label")), ("by_type", F.col("label") % 2)):
         rows = sample_cap_per_group(files.select("stem", "key", group.alias("group")), "group", "key", 20)
         rows = rows.select("stem", F.lit(grouping).alias("grouping"), F.col("group").cast("int").alias("group"))
         picked = rows if picked is None else picked.unionByName(rows)
     # An image drawn for both groupings is read and clustered once.
-    images = src.read_images(spark, path, "*.png").join(picked.select("stem").distinct(), "stem", "left_semi")
+    images = img.read_image_table(spark, path).join(picked.select("stem").distinct(), "stem", "left_semi")
     return im.image_dominant_colors(images, ("stem",)).join(picked, "stem")
 
 
 def _annotations(spark, sf_dir):
     """Images ⟕ their metadata by file stem (J11), boxes with positive area."""
-    path = rendered_images(spark, sf_dir)
-    files = src.file_listing(spark, path, "*.png").select("stem", "key")
-    imgs = src.read_images(spark, path, "*.png").select("stem", "width", "height")
+    path = image_table(spark, sf_dir)
+    files = img.table_listing(spark, path).select("stem", "key")
+    imgs = img.read_image_table(spark, path, pixels=False).select("stem", "width", "height")
     meta = _metadata_roundtrip(spark, sf_dir)
     j = files.join(imgs, "stem").join(meta, "stem", "left")
     boxes = j.select("stem", "key", "width", "height",
                      fsc.top_labels(F.col("labelAnnotations"), 3).alias("labels"),
+                     fsc.colors(F.col("imagePropertiesAnnotation.dominantColors.colors")).alias("colors"),
                      F.posexplode_outer("cropHintsAnnotation.cropHints").alias("box_idx", "hint"))
     boxes = boxes.withColumn("bbox", fsc.bbox_from_vertices(F.col("hint.boundingPoly.vertices"))).drop("hint")
     return boxes.where((F.col("bbox.w") > 0) & (F.col("bbox.h") > 0)).withColumn(
-        "annotation_id", F.xxhash64("stem", "box_idx")).withColumn("area", F.col("bbox.w") * F.col("bbox.h"))
+        "annotation_id", F.xxhash64("stem", "box_idx")).withColumn("image_id", F.xxhash64("stem")).withColumn("area", F.col("bbox.w") * F.col("bbox.h"))
 
 
 @query("img_annotations", "I4 J11")
 def img_annotations(spark, sf_dir):
-    return _annotations(spark, sf_dir).select("annotation_id", "stem", "width", "height", "bbox", "area", "labels")
+    """One row per box: ids of the box and its image, box, area, labels and colours."""
+    return _annotations(spark, sf_dir).select("annotation_id", "image_id", "stem", "width", "height", "bbox", "area",
+                                              "labels", "colors")
+
+
+@query("img_annotation_images", "I4")
+def img_annotation_images(spark, sf_dir):
+    """The bundle's image list: every readable image, with or without boxes."""
+    path = image_table(spark, sf_dir)
+    sizes = img.read_image_table(spark, path, pixels=False)
+    return sizes.select(F.xxhash64("stem").alias("image_id"), F.col("path").alias("file_name"), "width", "height")
 
 
 @query("img_gallery", "I5 J6 P21")
@@ -320,7 +378,7 @@ def img_gallery(spark, sf_dir):
 @query("img_embedding_scoring", "I6")
 def img_embedding_scoring(spark, sf_dir):
     """Batch feature extraction over the images with a given model function."""
-    path = rendered_images(spark, sf_dir)
-    imgs = src.read_images(spark, path, "*.png")
+    path = image_table(spark, sf_dir)
+    imgs = img.read_image_table(spark, path)
     out = im.embed_images(imgs, im.projection_model(32 * 32 * 3, 8), dim=8, size=32)
     return out.select("path", "embedding")

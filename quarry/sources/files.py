@@ -85,13 +85,17 @@ def file_listing(spark: SparkSession, path: str, glob: str = "*.jpg") -> DataFra
     """Files matching ``glob`` with size in KB, stem and parent key
     (text before the last '-').  The ``content`` column is never selected,
     so no file body is read."""
+    return describe_files(spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path))
+
+
+def describe_files(files: DataFrame) -> DataFrame:
+    """Name, stem, parent key and size in KB of rows with ``path, length``."""
     from quarry.functions.scalar import key_from_filename
-    df = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
     name = F.regexp_extract("path", r"([^/]+)$", 1)
     stem = F.regexp_extract("path", r"([^/]+)\.[^./]+$", 1)
-    return df.select("path", name.alias("file_name"), stem.alias("stem"),
-                     key_from_filename(stem).alias("key"),
-                     F.round(F.col("length") / 1024.0, 1).alias("size_kb"), "length")
+    return files.select("path", name.alias("file_name"), stem.alias("stem"),
+                        key_from_filename(stem).alias("key"),
+                        F.round(F.col("length") / 1024.0, 1).alias("size_kb"), "length")
 
 
 def read_images(spark: SparkSession, path: str, glob: str = "*.jpg") -> DataFrame:

@@ -210,12 +210,25 @@ def test_randomized_svd_matches_numpy(spark):
     assert np.allclose(m.singular_values, np.linalg.svd(x, compute_uv=False)[:3], rtol=1e-3)
 
 
+def _png(rgb):
+    """An uncompressed-filter PNG, for the tests of the file source."""
+    import struct
+    import zlib
+    h, w, _ = rgb.shape
+
+    def chunk(tag, data):
+        return struct.pack(">I", len(data)) + tag + data + struct.pack(">I", zlib.crc32(tag + data))
+    raw = b"".join(b"\x00" + row.tobytes() for row in rgb.astype(np.uint8))
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, 2, 0, 0, 0)) + \
+        chunk(b"IDAT", zlib.compress(raw)) + chunk(b"IEND", b"")
+
+
 def test_images_solid_colour_and_invalid(spark):
     from quarry.operators import images as im
     from quarry.sources.files import read_images
     d = tempfile.mkdtemp(prefix="quarry-img-test-")
     with open(os.path.join(d, "solid-1.png"), "wb") as fh:
-        fh.write(im.png_bytes(np.full((20, 30, 3), 120, dtype=np.uint8)))
+        fh.write(_png(np.full((20, 30, 3), 120, dtype=np.uint8)))
     with open(os.path.join(d, "junk-1.png"), "wb") as fh:
         fh.write(b"\x00junk")
     imgs = read_images(spark, d, "*.png")
@@ -231,12 +244,52 @@ def test_bgr_order(spark):
     rgb = np.zeros((4, 4, 3), dtype=np.uint8)
     rgb[:, :, 0] = 200  # red
     with open(os.path.join(d, "red-1.png"), "wb") as fh:
-        fh.write(im.png_bytes(rgb))
+        fh.write(_png(rgb))
     r = read_images(spark, d, "*.png").first()
     arr = im.to_array(r["data"], r["height"], r["width"], r["channels"])
     assert arr[0, 0, 2] == 200 and arr[0, 0, 0] == 0
 
 
+def test_image_table(spark):
+    """Bitmaps in a table decode like the same bitmaps as files; bytes that are
+    no image, cut bitmaps, empty and null content are listed but not read."""
+    import struct
+    from quarry.operators import images as im
+    from quarry.plans.files_plan import vector_bitmap
+    from quarry.sources import images as src
+    from quarry.sources.files import read_images
+    vecs = [(1, [float(i * i % 37) for i in range(64)]), (2, [1.0, -2.0, 0.5, 9.0, 3.0]), (3, [4.0]), (4, []), (5, None)]
+    rows = spark.createDataFrame(vecs, "id int, v array<float>").select(
+        F.concat(F.col("id").cast("string"), F.lit("-1.bmp")).alias("path"), vector_bitmap(F.col("v")).alias("content")).collect()
+    content = dict(rows)
+    top_down = b"BM" + struct.pack("<IIIIiiHHIIiiII", 54 + 16, 0, 54, 40, 3, -1, 1, 32, 0, 16, 0, 0, 0, 0) + bytes(range(12)) + b"...."
+    more = [("cut-1.bmp", content["1-1.bmp"][:-1]), ("junk-1.bmp", b"junk"), ("none-1.bmp", None), ("empty-1.bmp", b""), ("bgra-1.bmp", top_down)]
+    base = tempfile.mkdtemp(prefix="quarry-img-test-")
+    files = os.path.join(base, "files")
+    os.makedirs(files)
+    for path, b in [*content.items(), *more[:2]]:
+        if b is not None:
+            with open(os.path.join(files, path), "wb") as fh:
+                fh.write(b)
+    table = os.path.join(base, "table")
+    src.write_image_table(spark.createDataFrame([*content.items(), *more], "path string, content binary"), table)
+    got = {r["stem"]: r for r in src.read_image_table(spark, table).collect()}
+    want = {r["stem"]: r for r in read_images(spark, files, "*.bmp").collect()}
+    assert set(got) == {"1-1", "2-1", "3-1", "bgra-1"} and {"1-1", "2-1", "3-1"} <= set(want)
+    for k in ("1-1", "2-1", "3-1"):
+        assert all(got[k][c] == want[k][c] for c in ("height", "width", "channels", "mode")) and bytes(got[k]["data"]) == bytes(want[k]["data"])
+    assert (got["bgra-1"]["height"], got["bgra-1"]["width"], bytes(got["bgra-1"]["data"])) == (1, 3, bytes([0, 1, 2, 4, 5, 6, 8, 9, 10]))
+    first = im.to_array(got["1-1"]["data"], 8, 8, 3)[0]
+    v = np.array(vecs[0][1], np.float32)
+    assert first[:, 0].tolist() == [int(x) for x in np.floor((v[:8] - v.min()) / (v.max() - v.min()) * 255)]
+    assert src.read_image_table(spark, table, pixels=False).where("data is null").count() == 4
+    listed = {r["stem"]: r["length"] for r in src.table_listing(spark, table).collect()}
+    assert len(listed) == 10 and listed["1-1"] == 54 + 192 and listed["none-1"] == 0 and listed["5-1"] == 0
+    plan = src.table_listing(spark, table)._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan
+    assert im.image_dominant_colors(src.read_image_table(spark, table), ("stem",)).count() == 12
+
+
 def test_exact_quantiles_heavy_tail(spark):
     """One extreme value, far beyond all others, changes no other position."""
     from quarry.operators.quantiles import exact_quantiles
