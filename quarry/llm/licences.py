@@ -10,6 +10,8 @@ the paragraph.
 
 from __future__ import annotations
 
+import math
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,8 +26,10 @@ UNKNOWN_ROWS = 1500
 COPIES = 14
 MIN_PROBABILITY = 0.5
 MIN_OVERLAP = 0.5
-#: Lines of a block (between blank lines) that is read as one hard-wrapped paragraph too.
-WRAPPED_LINES = 40
+#: A word of ``words_of`` before lower-casing.
+WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
+#: Words of the smallest window that slides over a block of lines.
+SMALLEST_WINDOW = 16
 
 # Public notices and first paragraphs of common licences.
 TEMPLATES = {
@@ -64,6 +68,18 @@ def _grams(words: list[bytes]) -> list[tuple]:
     return [*zip(words, words[1:]), *zip(words, words[1:], words[2:])]
 
 
+def window_sizes() -> list[tuple[int, int]]:
+    """Window sizes in words, doubling until half a window holds the longest
+    template, each with the fewest n-grams that confirm a template meant for it
+    (one that no smaller window's half holds)."""
+    templates = [words_of(t.encode()) for ts in TEMPLATES.values() for t in ts]
+    sizes = [SMALLEST_WINDOW]
+    while sizes[-1] < 2 * max(map(len, templates)):
+        sizes.append(2 * sizes[-1])
+    meant = [(s, [len(set(_grams(t))) for t in templates if len(t) <= s // 2 and (s == SMALLEST_WINDOW or len(t) > s // 4)]) for s in sizes]
+    return [(s, math.ceil(MIN_OVERLAP * min(n))) for s, n in meant if n]
+
+
 @dataclass
 class Model:
     families: list[str]  # the last class is unknown
@@ -81,6 +97,31 @@ class Model:
             known |= {i for g in zip(words, words[1:], words[2:]) if (i := get(g)) is not None}
         return sorted(known), float(np.sqrt(max(2 * len(words) - 3, 1)))
 
+    def windows(self, words: list[bytes], sizes: list[tuple[int, int]]) -> list[tuple[int, int, tuple[list[int], float]]]:
+        """Overlapping windows [a, b) of a block's words with their features.
+        Every run of half a window's words stands whole in one window; windows
+        with too few known n-grams to confirm a template of their size are
+        left out, since no result could come from them."""
+        get = self.index.get
+        known = [(k, i, 2) for k, g in enumerate(zip(words, words[1:])) if (i := get(g)) is not None]
+        if not known:
+            return []
+        known += [(k, i, 3) for k, g in enumerate(zip(words, words[1:], words[2:])) if (i := get(g)) is not None]
+        known.sort()
+        at = np.array([k for k, _, _ in known])
+        out = []
+        for size, fewest in sizes:
+            first = np.arange(0, max(len(words) - size // 2, 1), size // 2)
+            lo, hi = np.searchsorted(at, first), np.searchsorted(at, first + size)
+            for j in np.flatnonzero(hi - lo >= fewest):
+                a, b = int(first[j]), min(int(first[j]) + size, len(words))
+                ids = {i for k, i, n in known[lo[j]:hi[j]] if k + n <= b}
+                if len(ids) >= fewest:
+                    out.append((a, b, (sorted(ids), math.sqrt(max(2 * (b - a) - 3, 1)))))
+            if len(words) <= size:
+                break
+        return out
+
     def probabilities(self, rows: list[tuple[list[int], float]]) -> np.ndarray:
         n = np.array([len(f) for f, _ in rows])
         at, row = np.array([i for f, _ in rows for i in f], np.int64), np.repeat(np.arange(len(rows)), n)
@@ -161,54 +202,78 @@ def fit(docs: DataFrame, text_col: str = "text", rows: int = UNKNOWN_ROWS) -> Mo
     return train([r["line"].encode() for r in lines.distinct().collect()])
 
 
-def paragraphs(text: bytes) -> list[tuple[int, int]]:
-    """[start, end) byte ranges: every line that is not blank, and every block
-    of lines between blank ones that looks hard-wrapped."""
-    out, block, at = [], [], 0
+def paragraphs(text: bytes) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    """[start, end) byte ranges of all lines that are not blank, and of all
+    blocks of lines between blank ones, whatever their size."""
+    lines, blocks, block, at = [], [], [], 0
     for line in [*text.split(b"\n"), b""]:
         if line.strip():
-            out.append((at, at + len(line)))
             block.append((at, at + len(line)))
-        else:
-            if 1 < len(block) <= WRAPPED_LINES and block[-1][1] - block[0][0] <= 100 * len(block):
-                out.append((block[0][0], block[-1][1]))
+        elif block:
+            lines += block
+            blocks.append((block[0][0], block[-1][1]))
             block = []
         at += len(line) + 1
-    return out
+    return lines, blocks
 
 
 def scan_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``doc_id, n_paragraphs, licence`` (the family of
     the likeliest confirmed paragraph, null without one) and ``found``: every
-    paragraph whose likeliest class is a family with a probability of at least
-    0.5, as struct(family, probability, confirmed, start, end) in characters.
+    line whose likeliest class is a family with a probability of at least 0.5,
+    and every confirmed window over a block of lines of which that holds and
+    that meets no confirmed span of its family that is likelier, as
+    struct(family, probability, confirmed, start, end) in characters.
+    ``n_paragraphs`` counts lines and blocks of several lines.
 
-    Null and empty texts have no paragraphs.  Each row is judged alone, so
-    repeats need no rule; of equal probabilities the first paragraph counts."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    Windows of several sizes slide over every block, so a hard-wrapped notice
+    is read whole wherever it stands, in very long texts too.  Null and empty
+    texts have no paragraphs; an empty table gives no rows; other columns are
+    not read, whatever their names.  Each row is judged alone, so repeats need
+    no rule; of equal probabilities the first counts, lines before windows."""
+    sent, sizes = docs.sparkSession.sparkContext.broadcast(model), window_sizes()
 
     def f(cols):
         m, texts = sent.value, texts_of(cols["text"])
-        spans = [paragraphs(t) for t in texts]
-        rows, owner = [], []
-        for i, (t, ps) in enumerate(zip(texts, spans)):
-            for k, (a, b) in enumerate(ps):
+        rows, owner, counts = [], [], []
+        for i, t in enumerate(texts):
+            lines, blocks = paragraphs(t)
+            counts.append(len(lines) + len(set(blocks) - set(lines)))
+            for a, b in lines:
                 feats = m.features(words_of(t[a:b]))
                 if feats[0]:  # without any known n-gram a paragraph is unknown
                     rows.append(feats)
-                    owner.append((i, k))
+                    owner.append((i, a, b, False))
+            for a, b in blocks:
+                for first, last, feats in m.windows(words_of(t[a:b]), sizes):
+                    rows.append(feats)
+                    owner.append((i, (a, b), (first, last), True))
         found: list[list[dict]] = [[] for _ in texts]
+        wide: list[list[dict]] = [[] for _ in texts]
+        spans: dict[tuple[int, int], list[tuple[int, int]]] = {}
         if rows:
             p = m.probabilities(rows)
             for r in np.flatnonzero((p.argmax(1) < len(m.families)) & (p.max(1) >= MIN_PROBABILITY)):
-                i, k = owner[r]
-                a, b = spans[i][k]
+                i, a, b, window = owner[r]
+                if window:  # word numbers of a block to bytes
+                    (at, stop), (first, last) = a, b
+                    if (i, at) not in spans:
+                        spans[i, at] = [x.span() for x in WORD.finditer(texts[i], at, stop)]
+                    a, b = spans[i, at][first][0], spans[i, at][last - 1][1]
                 family = m.families[int(p[r].argmax())]
                 ok = m.overlap(family, words_of(texts[i][a:b])) >= MIN_OVERLAP
+                if window and not ok:
+                    continue
                 chars = len(texts[i][:a].decode()), len(texts[i][:b].decode())
-                found[i].append({"family": family, "probability": float(p[r].max()), "confirmed": bool(ok), "start": chars[0], "end": chars[1]})
+                (wide if window else found)[i].append({"family": family, "probability": float(p[r].max()), "confirmed": bool(ok),
+                                                       "start": chars[0], "end": chars[1]})
+        for kept, more in zip(found, wide):
+            for x in sorted(more, key=lambda x: -x["probability"]):
+                if not any(y["confirmed"] and y["family"] == x["family"] and y["start"] < x["end"] and x["start"] < y["end"]
+                           and y["probability"] >= x["probability"] for y in kept):
+                    kept.append(x)
         best = [max((x for x in fs if x["confirmed"]), key=lambda x: x["probability"], default=None) for fs in found]
-        return {"doc_id": cols["doc_id"], "n_paragraphs": [len(x) for x in spans], "licence": [x and x["family"] for x in best], "found": found}
+        return {"doc_id": cols["doc_id"], "n_paragraphs": counts, "licence": [x and x["family"] for x in best], "found": found}
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return map_batches(rows, f, "doc_id long, n_paragraphs long, licence string, "
                        "found array<struct<family:string,probability:double,confirmed:boolean,start:int,end:int>>")

@@ -432,6 +432,24 @@ def test_licences(docs, none, spark):
     assert [got[i]["licence"] for i in range(1, 6)] == ["Apache-2.0", None, None, "MIT", None]
     x = next(f for f in got[1]["found"] if f["confirmed"])
     assert rows[0][1][x["start"]:x["end"]] == "Licensed under the Apache License, Version 2.0."
+    # A wrapped notice inside a block of 300 lines, between wide lines, and at a block's end.
+    notice = licences.TEMPLATES["MIT"][2].split()
+    wrapped = "\n".join(" ".join(notice[k:k + 7]) for k in range(0, len(notice), 7))
+    filler = [f"some plain words {k} of a source file that say nothing at all" for k in range(300)]
+    wide = " ".join(filler[:20])
+    texts = ["\n".join([*filler[:140], wrapped, *filler[140:]]), f"{wide}\n{wrapped}\n{wide}", "\n".join([*filler, wrapped]),
+             "\n".join(filler), "Ärger\n" * 50 + wrapped + "\n" + wide]
+    got = {r["doc_id"]: r for r in licences.scan_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()}
+    assert [got[i]["licence"] for i in range(5)] == ["MIT", "MIT", "MIT", None, "MIT"]
+    for i in (0, 1, 2, 4):
+        x = max((f for f in got[i]["found"] if f["confirmed"]), key=lambda f: f["probability"])
+        assert "copies of" in texts[i][x["start"]:x["end"]] or "free of" in texts[i][x["start"]:x["end"]]
+    # Every run of half a window's words stands whole in some window of that size.
+    grams = sorted(model.index)
+    words = [w for k in range(200) for w in grams[k % 40][:2]]
+    for size, _ in licences.window_sizes():
+        spans = [(a, b) for a, b, _ in model.windows(words, [(size, 0)])]
+        assert all(any(a <= k and k + size // 2 <= b for a, b in spans) for k in range(len(words) - size // 2 + 1))
     assert licences.licence_report(docs).count() == len(ROWS) and licences.licence_report(none).count() == 0
 
 
