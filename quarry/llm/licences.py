@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from .common import map_batches, texts_of
 from .decontaminate import words_of
 
-#: Corpus paragraphs of the unknown class, at most in expectation.
+#: Different lines of the corpus in the unknown class, at most in expectation.
 UNKNOWN_ROWS = 1500
 COPIES = 14
 MIN_PROBABILITY = 0.5
@@ -190,16 +190,13 @@ def train(unknown: list[bytes], seed: int = 5) -> Model:
 
 
 def fit(docs: DataFrame, text_col: str = "text", rows: int = UNKNOWN_ROWS) -> Model:
-    """Train with a bounded sample of whole lines of the corpus, drawn by a
-    hash of the text."""
-    text = F.col(text_col).cast("string")
-    count = docs.count()
+    """Train with a bounded sample of whole lines of the corpus: in expectation
+    at most ``rows`` different ones, however many lines a text has, drawn by a
+    hash of the line, so that the copies of a line are drawn together."""
+    lines = docs.select(F.explode(F.split(F.col(text_col).cast("string"), "\n")).alias("line")).where(F.length("line") > 20)
+    rate = rows / max(lines.count(), 1)
     draw = F.pmod(F.xxhash64("line", F.lit("line")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    near = F.pmod(F.xxhash64("t", F.lit("text")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    rate = min(1.0, (rows / max(count, 1)) ** 0.5)
-    lines = docs.select(text.alias("t")).where(near < rate).select(F.explode(F.split("t", "\n")).alias("line")).where(
-        (draw < rate / 8) & (F.length("line") > 20))
-    return train([r["line"].encode() for r in lines.distinct().collect()])
+    return train([r["line"].encode() for r in lines.where(draw < rate).distinct().sort("line").collect()])
 
 
 def paragraphs(text: bytes) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
