@@ -62,31 +62,50 @@ def split_train_test(df: DataFrame, id_col: str, train_frac: float = 0.8, seed:
         .drop("_cut")
 
 
+def _order_key(id_col: str, seed: int) -> Column:
+    return F.struct(hash_key(id_col, seed).alias("h"), F.col(id_col).alias("id"))
+
+
+def _class_cuts(ranked: DataFrame, label: str, id_col: str, seed: int, ends: dict[str, Column]) -> DataFrame:
+    """One row per class: the order key of the class's row at each end position.
+    Only those rows are kept of the ranked ids, at most one per end and class."""
+    at_an_end = F.lit(False)
+    for end in ends.values():
+        at_an_end = at_an_end | (F.col("class_pos") == end)
+    return ranked.where(at_an_end).groupBy(label).agg(*[
+        F.max(F.when(F.col("class_pos") == end, _order_key(id_col, seed))).alias(name) for name, end in ends.items()])
+
+
 def split_stratified(df: DataFrame, label: str, id_col: str, test: float = 0.2, val: float = 0.0,
                      seed: int = 42) -> DataFrame:
     """V4: per class, the first ceil(test·n_c) rows in hash order are test,
-    then (of the rest) ceil(val/(1-test)·rest) are validation, the others train."""
-    pos = _class_positions(df, label, id_col, seed)
+    then (of the rest) ceil(val/(1-test)·rest) are validation, the others train.
+
+    Only labels and ids are ranked.  Whole rows then meet one row of cuts per
+    class (broadcast by AQE while that table is small; beyond it no class is
+    large), so no class's rows are brought together.  Rows of one id and class
+    come into the same part; rows without a class into none."""
     n = F.col("class_n")
     n_test = F.ceil(n * test)
     rest = n - n_test
     n_val = F.ceil(rest * (val / (1 - test))) if val > 0 else F.lit(0)
-    p = F.col("class_pos")
-    return (pos.withColumn("split", F.when(p <= n_test, F.lit("test"))
-                           .when(p <= n_test + n_val, F.lit("val")).otherwise(F.lit("train")))
-            .drop("class_pos", "class_n"))
+    ranked = _class_positions(df.select(label, id_col), label, id_col, seed)
+    cuts = _class_cuts(ranked, label, id_col, seed, {"_test": n_test, "_val": n_test + n_val})
+    here = _order_key(id_col, seed)
+    split = F.when(here <= F.col("_test"), F.lit("test")).when(here <= F.col("_val"), F.lit("val")).otherwise(F.lit("train"))
+    return df.join(cuts, label).select(*df.columns, split.alias("split"))
 
 
 def sample_stratified_proportional(df: DataFrame, label: str, id_col: str, size: int,
                                    seed: int = 42, min_per_class: int = 2) -> DataFrame:
     """V5: per class ``max(2, round_half_even(n_c / N · size))`` rows, capped by
-    the class size; classes left with fewer than 2 rows are dropped."""
-    pos = _class_positions(df, label, id_col, seed)
+    the class size; classes left with fewer than 2 rows are dropped.  Rows are
+    picked by their class's cut, as in ``split_stratified``."""
+    ranked = _class_positions(df.select(label, id_col), label, id_col, seed)
     total = df.agg(F.count(F.lit(1)).alias("_N"))
     want = F.least(F.greatest(F.lit(min_per_class),
                               F.bround(F.col("class_n") * size / F.col("_N"), 0).cast("long")),
                    F.col("class_n"))
-    picked = (pos.crossJoin(F.broadcast(total))  # one-row scalar
-              .withColumn("_want", want).where(F.col("class_pos") <= F.col("_want")))
-    return (picked.where(F.col("_want") >= min_per_class)
-            .drop("class_pos", "class_n", "_N", "_want"))
+    ranked = ranked.crossJoin(F.broadcast(total)).where(want >= min_per_class)  # one-row scalar
+    cuts = _class_cuts(ranked, label, id_col, seed, {"_last": want})
+    return df.join(cuts, label).where(_order_key(id_col, seed) <= F.col("_last")).select(*df.columns)

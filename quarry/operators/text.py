@@ -169,8 +169,8 @@ def doc_counts(df: DataFrame, keys=()) -> DataFrame:
 
 
 def tfidf_by_category(df: DataFrame, doc_col: str, category: str, terms: Column, k: int = 8,
-                      max_features: int = 4000, digits: int = 4, top_categories: int | None = 6) -> DataFrame:
-    """For the ``top_categories`` largest categories, a TF-IDF fitted
+                      max_features: int = 4000, digits: int = 4, top_categories: int | None = None) -> DataFrame:
+    """For every category, or the ``top_categories`` largest, a TF-IDF fitted
     inside each category (vocabulary of its ``max_features`` most frequent
     terms), the mean L2-normalised score of each term over the category's
     documents, top k with score > 0.

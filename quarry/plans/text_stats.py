@@ -131,7 +131,7 @@ SELECT lang, term, round(score, 4) AS score, rank FROM top WHERE rank <= 8""")
 def text_tfidf_by_category(spark, sf_dir):
     d = Tables(spark, sf_dir).documents
     toks = without_english_stopwords(word_tokens("text"))
-    return tx.tfidf_by_category(d, "doc_id", "lang", toks)
+    return tx.tfidf_by_category(d, "doc_id", "lang", toks, top_categories=6)
 
 
 @query("text_length_by_category", "X7 A8", oracle=r"""

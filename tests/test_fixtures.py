@@ -290,6 +290,25 @@ def test_image_table(spark):
     assert im.image_dominant_colors(src.read_image_table(spark, table), ("stem",)).count() == 12
 
 
+def test_stratified_parts_of_skewed_classes(spark):
+    """A hot class, a class of one row, rows without a class and repeated ids;
+    wide rows meet no shuffle on their class."""
+    from quarry.operators.sampling import sample_stratified_proportional, split_stratified
+    df = spark.range(0, 3000).select(F.col("id"), F.when(F.col("id") < 2500, "hot").when(F.col("id") < 2990, "mid")
+                                     .when(F.col("id") == 2990, "one").alias("c"), F.repeat(F.lit("x"), 50).alias("wide"))
+    out = split_stratified(df, "c", "id", test=0.2, val=0.1)
+    assert out.columns == ["id", "c", "wide", "split"]
+    n = {(r["c"], r["split"]): r["count"] for r in out.groupBy("c", "split").count().collect()}
+    assert n == {("hot", "test"): 500, ("hot", "val"): 250, ("hot", "train"): 1750, ("mid", "test"): 98,
+                 ("mid", "val"): 49, ("mid", "train"): 343, ("one", "test"): 1}
+    twice = split_stratified(df.unionByName(df), "c", "id", test=0.2, val=0.1)
+    assert twice.groupBy("id").agg(F.count_distinct("split").alias("k")).where("k > 1").count() == 0
+    picked = sample_stratified_proportional(df, "c", "id", 100)
+    assert {r["c"]: r["count"] for r in picked.groupBy("c").count().collect()} == {"hot": 83, "mid": 16}
+    assert picked.columns == df.columns
+    assert split_stratified(df.where("false"), "c", "id").count() == 0
+
+
 def test_exact_quantiles_heavy_tail(spark):
     """One extreme value, far beyond all others, changes no other position."""
     from quarry.operators.quantiles import exact_quantiles
