@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry.functions.text import (STOPWORDS, english_stopwords, tokenize, without_english_stopwords,
+from quarry.functions.text import (STOPWORDS, english_stopwords, text_words, tokenize, without_english_stopwords,
                                    word_count, word_tokens)
 from quarry.operators import text as tx
 from quarry.operators import profile as prof
@@ -181,17 +181,17 @@ SELECT term, df, CAST(cnt AS BIGINT) AS cnt, n.n_docs FROM f, n ORDER BY cnt DES
 
 
 def _bow(t):
-    d = t.documents
-    tf = tx.term_frequencies(d, "doc_id", without_english_stopwords(word_tokens("text")), bigrams=True)
+    """Documents, their tokens, their number and the 1-2-gram vocabulary."""
+    d, toks = t.documents, without_english_stopwords(word_tokens("text"))
     nd = tx.doc_counts(d)
-    return d, tf, nd
+    stats = tx.term_statistics(d, "doc_id", toks, kind="bigrams")
+    return d, toks, nd, tx.limit_vocabulary(stats, nd, min_df=5, max_df=0.95, max_features=50000)
 
 
 @query("feat_bow", "E10", oracle=_vocab_sql(_BOW_TOKENS_SQL, 5, 0.95, 50000))
 def feat_bow(spark, sf_dir):
     """Word 1-2-gram vocabulary: English stop words, min_df 5, max_df .95, 50k terms."""
-    d, tf, nd = _bow(Tables(spark, sf_dir))
-    return tx.select_vocabulary(tf, nd, min_df=5, max_df=0.95, max_features=50000)
+    return _bow(Tables(spark, sf_dir))[3]
 
 
 @query("feat_tfidf", "E11", oracle=f"""
@@ -205,9 +205,8 @@ FROM w JOIN nrm USING (doc_id) GROUP BY doc_id""")
 def feat_tfidf(spark, sf_dir):
     """Sublinear TF-IDF (smooth idf, L2 rows) on the E10 vocabulary; reported
     per document as term count, weight sum and max weight."""
-    d, tf, nd = _bow(Tables(spark, sf_dir))
-    vocab = tx.select_vocabulary(tf, nd, min_df=5, max_df=0.95, max_features=50000)
-    w = tx.tfidf_weights(tf, F.broadcast(vocab), nd, "doc_id", sublinear=True)  # ≤ 50k terms
+    d, toks, nd, vocab = _bow(Tables(spark, sf_dir))
+    w = tx.tfidf_rows(d, "doc_id", toks, vocab, nd, sublinear=True, kind="bigrams")  # ≤ 50k terms
     return w.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_terms"),
                                    F.round(F.sum("weight"), 6).alias("weight_sum"),
                                    F.round(F.max("weight"), 6).alias("weight_max"))
@@ -230,9 +229,8 @@ def _char_grams_sql() -> str:
 def feat_char_ngrams(spark, sf_dir):
     """char_wb 3-5-gram vocabulary with document frequencies and counts."""
     d = Tables(spark, sf_dir).documents
-    tf = tx.char_ngram_frequencies(d, "doc_id", F.col("text"))
-    nd = tx.doc_counts(d)
-    return tx.select_vocabulary(tf, nd, min_df=5, max_df=0.95, max_features=50000)
+    stats = tx.term_statistics(d, "doc_id", text_words("text"), kind="chars")
+    return tx.limit_vocabulary(stats, tx.doc_counts(d), min_df=5, max_df=0.95, max_features=50000)
 
 
 @query("stat_chi2_terms", "T4 E14", oracle=f"""

@@ -410,3 +410,51 @@ def test_linear_models_have_the_penalty_of_c_one(spark):
         grad = a.T @ (p - y) + np.r_[w[:2], 0]
         w -= np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + np.diag([1, 1, 0.0]), grad)
     assert np.allclose(got, w, atol=1e-4)
+
+
+def test_term_statistics_and_row_weights_without_a_document_shuffle(spark):
+    """Documents are counted and weighted in their own task; rows that share an id count as one document."""
+    from quarry.functions.text import text_words
+    from quarry.operators import text as tx
+    rows = [(1, "x", "the cat the cat a"), (2, "x", "cat dog"), (2, "x", "dog the"), (None, "x", "cat ab"), (3, None, "dog"),
+            (4, "y", ""), (5, "y", None), (6, "y", "the dog the dog \u00e9\U0001f600n")]
+    df = spark.createDataFrame(rows, "doc int, lang string, text string")
+    words = text_words("text")
+    for keys in ([], ["lang"]):
+        for kind, old in (("", tx.term_frequencies(df, "doc", words, keys)),
+                          ("bigrams", tx.term_frequencies(df, "doc", words, keys, bigrams=True)),
+                          ("chars", tx.char_ngram_frequencies(df, "doc", F.col("text"), keys))):
+            want = old.groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cnt"))
+            got = tx.term_statistics(df, "doc", words, keys, kind)
+            assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+            nd = tx.doc_counts(df, keys)
+            weights = [w.withColumn("weight", F.round("weight", 9)).collect() for w in (
+                tx.tfidf_weights(old, want, nd, "doc", keys, sublinear=True),
+                tx.tfidf_rows(df, "doc", words, want, nd, keys, sublinear=True, kind=kind))]
+            assert weights[0] and sorted(map(str, weights[0])) == sorted(map(str, weights[1]))
+    alone = tx.term_statistics(df.where("doc is not null and doc <> 2"), "doc", words, kind="bigrams")
+    assert alone._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 1
+
+
+def test_character_ngrams_in_small_pieces(spark, monkeypatch):
+    from quarry.functions.text import text_words
+    from quarry.operators import text as tx
+    df = spark.createDataFrame([(i, "some words " * (i % 3 + 1) + "w" * (i % 7 + 1)) for i in range(40)], "doc int, text string").coalesce(1)
+    got = [sorted(map(tuple, tx.row_statistics(df, text_words("text"), (), "chars").collect()))]
+    monkeypatch.setattr(tx, "_PAIRS", 50)
+    pieces = list(tx._row_counts(__import__("pyarrow").array([r["text"].split() for r in df.collect()]), "chars"))
+    total = {}
+    for terms, row, code, tf in pieces:
+        for c, n in zip(code.tolist(), tf.tolist()):
+            d, k = total.get(terms[c].as_py(), (0, 0))
+            total[terms[c].as_py()] = (d + 1, k + n)
+    assert len(pieces) > 5 and sorted((t, d, n) for t, (d, n) in total.items()) == got[0]
+
+
+def test_stratified_split_does_not_shuffle_rows_by_class(spark):
+    from quarry.operators.sampling import split_stratified
+    df = spark.createDataFrame([(i, "abc"[i % 3], "text") for i in range(60)], "id int, label string, text string")
+    out = split_stratified(df, "label", "id")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert out.where("split = 'test'").count() == 12
