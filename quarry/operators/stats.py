@@ -234,9 +234,9 @@ def chi2_terms(tf: DataFrame, doc_col: str, term_col: str, value_col: str, class
     ndocs = docs.agg(F.count(F.lit(1)).alias("_nd"))
     class_share = attach(class_share, ndocs, []).select(class_col, (F.col("_nc") / F.col("_nd")).alias("_p"))
     obs = tf.groupBy(class_col, term_col).agg(F.sum(value_col).alias("_o"))
-    term_tot = obs.groupBy(term_col).agg(F.sum("_o").alias("_t"))
-    cell = attach(attach(obs, class_share, [class_col]), term_tot, [term_col])
-    cell = cell.withColumn("_e", F.col("_p") * F.col("_t"))
-    agg = cell.groupBy(term_col).agg(F.sum(F.pow(F.col("_o") - F.col("_e"), 2) / F.col("_e")).alias("_s"),
-                                     F.sum("_e").alias("_se"), F.first("_t").alias("_t"))
-    return agg.select(term_col, F.round(F.col("_s") + F.col("_t") - F.col("_se"), digits).alias("chi2"))
+    # Σ (o - e)²/e + t - Σ e = Σ o²/p / t - 2 Σ o + t with e = p t: one grouping by term.
+    cell = obs.join(F.broadcast(class_share), class_col, "left")   # one row per class
+    agg = cell.groupBy(term_col).agg(F.sum(F.col("_o") * F.col("_o") / F.col("_p")).alias("_s"), F.sum("_o").alias("_t"),
+                                     F.sum(F.when(F.col("_p").isNotNull(), F.col("_o"))).alias("_known"))
+    agg = agg.where(F.col("_known").isNotNull())   # terms of rows without a class have no cell
+    return agg.select(term_col, F.round(F.col("_s") / F.col("_t") - 2 * F.col("_known") + F.col("_t"), digits).alias("chi2"))

@@ -245,14 +245,10 @@ SELECT term, round(chi2, 6) AS chi2, CAST(row_number() OVER (ORDER BY round(chi2
 FROM chi ORDER BY round(chi2, 6) DESC, term LIMIT 20""")
 def stat_chi2_terms(spark, sf_dir):
     """χ² of 1-2-gram counts against the language; best 20 terms kept."""
-    from quarry.functions.text import adjacent_pairs
     from quarry.operators.stats import chi2_terms
     d = Tables(spark, sf_dir).documents
-    toks = d.select("doc_id", "lang", without_english_stopwords(word_tokens("text")).alias("_t"))
-    # One row per term occurrence, value 1: the (class, term) sums are
-    # combined map-side; no (document, term) table and no join back to the
-    # documents for their class.
-    occ = toks.select("doc_id", "lang", F.explode(F.concat(F.col("_t"), adjacent_pairs(F.col("_t")))).alias("term"),
-                      F.lit(1).alias("tf"))
-    scores = chi2_terms(occ, "doc_id", "term", "tf", "lang", docs=d.select("doc_id", "lang"))
+    # (class, term) sums are made where the rows are; no (document, term)
+    # table and no join back to the documents for their class.
+    occ = tx.row_statistics(d, without_english_stopwords(word_tokens("text")), ["lang"], "bigrams")
+    scores = chi2_terms(occ, "doc_id", "term", "cnt", "lang", docs=d.select("doc_id", "lang"))
     return top_k(scores, [F.col("chi2").desc(), F.col("term").asc()], 20)
