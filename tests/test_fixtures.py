@@ -458,3 +458,38 @@ def test_stratified_split_does_not_shuffle_rows_by_class(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert out.where("split = 'test'").count() == 12
+
+
+def test_ablation_scores_the_rows_once(spark):
+    from pyspark.ml.functions import array_to_vector
+    from quarry.operators import models as md
+    from quarry.plans.models_plan import VectorRule
+    from quarry.operators.rank import feature_subsets
+    rows = [(i % 3, [float(i * j % 7) for j in range(11)]) for i in range(30)]
+    df = spark.createDataFrame(rows, "outcome int, x array<double>").select("outcome", array_to_vector("x").alias("features"))
+    slices = {"a": (0, 4), "b": (4, 11)}
+    subs = feature_subsets(spark.createDataFrame([("a",), ("b",)], "g string"), "g", 2)
+    out = md.ablate(VectorRule(), df, "outcome", slices, subs, baseline=True)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "_x" not in plan and "features" not in plan
+    assert {r["subset_name"] for r in out.collect()} == {"<none>", "a", "b", "a+b"}
+
+
+def test_chi2_scores_by_hand_with_rows_of_no_class(spark):
+    from quarry.operators.stats import chi2_terms
+    rows = [(1, "a", "t", 4), (2, "b", "t", 1), (3, "b", "u", 2), (4, None, "t", 3), (5, None, "v", 2)]
+    tf = spark.createDataFrame(rows, "doc int, cls string, term string, n long")
+    got = {r["term"]: r["chi2"] for r in chi2_terms(tf, "doc", "term", "n", "cls").collect()}
+    share, seen = {"a": 0.2, "b": 0.4}, {"t": {"a": 4, "b": 1}, "u": {"b": 2}}
+    total, want = {"t": 8, "u": 2}, {}
+    for term, cells in seen.items():
+        e = {c: share[c] * total[term] for c in cells}
+        want[term] = round(sum((o - e[c]) ** 2 / e[c] for c, o in cells.items()) + total[term] - sum(e.values()), 6)
+    assert got == want
+
+
+def test_chi2_terms_are_grouped_by_term_once(spark):
+    from quarry.operators.stats import chi2_terms
+    tf = spark.createDataFrame([(1, "a", "t", 4), (2, "b", "u", 1)], "doc int, cls string, term string, n long")
+    plan = chi2_terms(tf, "doc", "term", "n", "cls", docs=tf)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan
