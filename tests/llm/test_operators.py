@@ -250,6 +250,48 @@ def test_line_sketches_drop_no_near_pair(spark):
     assert {tuple(r) for r in line_dedup.verified(left, lines, 0.8, k).collect()} == want
 
 
+def test_line_bucket_join_refuses_pairs_below_the_limit(spark):
+    """Variants just below the limit pass the bitmaps of long lines; the 16-bit
+    hashes keep every near pair and hardly another."""
+    rng, rows = random.Random(3), []
+    base = [rng.choice(["thon", "ring", "sel", "oum", "ba", "tio"]) + str(rng.randrange(100)) for _ in range(90)]
+    for k in range(40):
+        words = list(base)
+        for at in rng.sample(range(90), 4 + k % 4):
+            words[at] = f"w{rng.randrange(10**6)}"
+        rows.append(" ".join(words))
+    rows += ["ab" * 200, "ab" * 300, "abc", "abc d", "abc"]
+    lines = spark.createDataFrame(list(enumerate(rows)), "id long, norm string")
+    k = line_dedup.SHINGLE_CHARS
+    sets = [{x[a:a + k] for a in range(max(1, len(x) - k + 1))} for x in rows]
+    every = [(a, b) for a in range(len(rows)) for b in range(a + 1, len(rows))]
+    want = {(a, b) for a, b in every if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    bits = line_dedup.sketches(lines.selectExpr("id", "encode(norm, 'UTF-16BE') as units"))
+    passed = {tuple(r) for r in line_dedup.possible(spark.createDataFrame(every, "a long, b long"), bits, 0.8).collect()}
+    full = bits.join(line_dedup.short_sets(lines), "id")
+    sides = [line_dedup._side(full, x, line_dedup.SKETCH_WORDS) for x in "ab"]
+    left = sides[0].join(sides[1], line_dedup._near_enough(0.8)).where("a < b")
+    kept = {(r["a"], r["b"]) for r in left.select("a", "b").collect()}
+    assert want <= kept <= passed and len(kept) - len(want) < (len(passed) - len(want)) / 4
+
+
+def test_line_buckets_of_shared_parts_are_those_of_all_bands(spark):
+    from itertools import combinations
+    rng = random.Random(8)
+    minima = [[rng.randrange(2) for _ in range(6)] for _ in range(40)] + [[i * 6 + j + 9 for j in range(6)] for i in range(40)]
+    sig = spark.createDataFrame([(i, *m) for i, m in enumerate(minima)], "id long, " + ", ".join(f"m{i} int" for i in range(6)))
+    for rows in (5, 4):
+        got = {}
+        for r in line_dedup.buckets(sig, 0, 6, rows).collect():
+            got.setdefault(r["bucket"], []).append((r["id"], r["lead"], r["n"]))
+        want = {}
+        for some in combinations(range(6), rows):
+            for i, m in enumerate(minima):
+                want.setdefault((some, *[m[x] for x in some]), []).append(i)
+        want = [sorted((i, min(g), len(g)) for i in g) for g in want.values() if len(g) > 1]
+        assert sorted(map(sorted, got.values())) == sorted(want)
+
+
 def test_suffix_dedup(docs, none):
     got = {r["doc_id"]: r for r in suffix_dedup.repeated_passages(docs).collect()}
     assert got[10]["passages"] == [[1, 61]] and got[10]["other_ids"] == [11] and got[11]["passages"] == [[1, 61]]
