@@ -319,3 +319,38 @@ def test_dominant_colours_are_those_of_the_best_start():
     many, one = im.dominant_colors(img, 4), im.dominant_colors(img, 4, starts=1)
     assert inertia(many) <= inertia(one) * 1.001
     assert np.abs(np.array(many) - blocks[:, ::-1]).max() < 4  # RGB, largest cluster first
+
+
+@pytest.mark.parametrize("kind", ["bigrams", "chars"])
+def test_vectors_of_words_are_those_of_their_terms(spark, kind):
+    """Pairs and n-grams made beside the counting give the vectors of the written-out
+    terms, words that hold blanks and rows without words too, after saving as well."""
+    from quarry.functions.text import with_bigrams, word_char_ngrams
+    from quarry.operators.ml import TermVectors, VocabularyVectorizer
+    words = [["a b", "c", "a"], ["a", "b c", "c", "a"], ["abc", "abcdef", "abc", "c", "a"], [], ["c", "a", "c", "a"]]
+    df = spark.createDataFrame(list(enumerate(words)), "doc int, words array<string>")
+    grams = with_bigrams(F.col("words")) if kind == "bigrams" else F.flatten(F.transform("words", lambda w: word_char_ngrams(w)))
+    for rows, tfidf in ((df, False), (df, True), (df.where("doc > 1"), True)):
+        made = VocabularyVectorizer("words", "v", 1, 1.0, 100, tfidf, kind=kind).fit(rows)
+        told = rows.withColumn("grams", grams)
+        want = VocabularyVectorizer("grams", "v", 1, 1.0, 100, tfidf).fit(told)
+        assert made.models[0].vocabulary == want.models[0].vocabulary
+        got, expected = ({r["doc"]: r["v"] for r in x.collect()} for x in (made.transform(rows), want.transform(told)))
+        assert got == expected
+        again = TermVectors._from_parts(made.models[0]._parts())
+        assert {r["doc"]: r["v"] for r in again.transform(rows).collect()} == expected
+
+
+def test_products_of_few_columns(monkeypatch):
+    """Runs of non-zeros, empty rows and a row longer than a run give the plain products."""
+    from quarry.operators import blocks
+    monkeypatch.setattr(blocks, "RUN", 3)
+    rng = np.random.RandomState(0)
+    size = np.array([0, 2, 7, 0, 1, 3, 0])
+    at = np.r_[0, np.cumsum(size)]
+    index = np.concatenate([np.sort(rng.choice(4 if n < 5 else 9, n, replace=False)) for n in size]).astype(np.int32)
+    block = blocks.Block(at, index, rng.rand(len(index)), np.zeros((len(size), 0)))
+    dense = np.zeros((len(size), 9))
+    dense[block.rows(), index] = block.data
+    m, y = rng.rand(9, 3), rng.rand(len(size), 3)
+    assert np.allclose(block.times(m), dense @ m) and np.allclose(block.transposed_times(y, 9), dense.T @ y)
