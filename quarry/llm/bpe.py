@@ -20,6 +20,8 @@ from .common import map_batches, texts_of
 
 #: Words whose pieces a Python worker remembers before it starts afresh.
 CACHE_WORDS = 400_000
+#: Bytes of text coded at a time; their chunks, ids and tokens take some forty times as much.
+RUN_BYTES = 1 << 20
 #: Characters of the Unicode property White_Space (fixed by Unicode).
 WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 
@@ -218,11 +220,11 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
                 out["ids_sha256"].append(hashlib.sha256(text.encode()).hexdigest())
                 out["decoded_sha256"].append(hashlib.sha256(tokens.encode()).hexdigest())
                 if ids:
-                    out["token_ids"].append(list(map(int, text.split())))
+                    out["token_ids"].append(np.array(text.split(), np.int32))
             return out
         return f
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", token_ids array<int>" * ids
-    return map_batches(_rows(docs, id_col, text_col), None, schema, start)
+    return map_batches(_rows(docs, id_col, text_col), None, schema, start, most=RUN_BYTES)
 
 
 def decode_documents(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "token_ids") -> DataFrame:

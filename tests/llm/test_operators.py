@@ -505,3 +505,20 @@ def test_pipeline(spark):
     all_ = spark.read.parquet(f"{SF}/documents.parquet")
     got = p.run(spark, SF)
     assert 0 < got.count() < all_.count() and "token_ids" in got.columns
+
+
+def test_bpe_codes_a_small_run_of_text_at_a_time(monkeypatch):
+    """What a Python worker holds beside its cache is bounded by a megabyte of text, ids as numbers of four bytes."""
+    import numpy as np
+    import pyarrow as pa
+    import public_tokenizers
+    from types import SimpleNamespace as Named
+    from quarry.llm import bpe
+    seen = {}
+    monkeypatch.setattr(bpe, "_rows", lambda *a: None)
+    monkeypatch.setattr(bpe, "map_batches", lambda df, fn, schema, start, most=8 << 20: seen.update(start=start, most=most))
+    docs = Named(sparkSession=Named(sparkContext=Named(broadcast=lambda v: Named(value=v))))
+    bpe.encode_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    got = seen["start"]()({"doc_id": pa.array([1, 2]), "text": pa.array(["two words", None])})
+    assert seen["most"] <= 1 << 20 and all(x.dtype == np.int32 for x in got["token_ids"])
+    assert [len(x) for x in got["token_ids"]] == got["n_tokens"] and got["n_tokens"][1] == 0
