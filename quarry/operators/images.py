@@ -7,7 +7,6 @@ Pixel data is BGR, row-major (Spark image source layout)."""
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,11 +30,13 @@ def resize_bilinear(img: np.ndarray, h: int, w: int) -> np.ndarray:
     xs = np.clip((np.arange(w) + 0.5) * src_w / w - 0.5, 0, src_w - 1)
     y0, x0 = np.floor(ys).astype(int), np.floor(xs).astype(int)
     y1, x1 = np.minimum(y0 + 1, src_h - 1), np.minimum(x0 + 1, src_w - 1)
-    wy, wx = (ys - y0)[:, None, None], (xs - x0)[None, :, None]
-    f = img.astype(np.float64)
-    top = f[y0][:, x0] * (1 - wx) + f[y0][:, x1] * wx
-    bot = f[y1][:, x0] * (1 - wx) + f[y1][:, x1] * wx
-    return top * (1 - wy) + bot * wy
+    wy, wx = (ys - y0)[None, None, :], (xs - x0)[None, :, None]
+    # Each channel lies by itself, column by column, and only the rows that are needed
+    # are interpolated along x, once.
+    rows, at = np.unique(np.concatenate([y0, y1]), return_inverse=True)
+    f = np.ascontiguousarray(img[rows].transpose(2, 1, 0), dtype=np.float64)
+    f = f.take(x0, axis=1) * (1 - wx) + f.take(x1, axis=1) * wx
+    return (f.take(at[:h], axis=2) * (1 - wy) + f.take(at[h:], axis=2) * wy).transpose(2, 1, 0)
 
 
 def gray(bgr: np.ndarray) -> np.ndarray:
@@ -57,7 +58,8 @@ def colorfulness(bgr: np.ndarray) -> float:
 
 
 def saturation(bgr: np.ndarray) -> float:
-    mx, mn = bgr.max(axis=2), bgr.min(axis=2)
+    b, g, r = bgr[:, :, 0], bgr[:, :, 1], bgr[:, :, 2]
+    mx, mn = np.maximum(np.maximum(b, g), r), np.minimum(np.minimum(b, g), r)
     s = np.where(mx > 0, (mx - mn) / np.where(mx > 0, mx, 1) * 255.0, 0.0)
     return float(s.mean())
 
@@ -145,19 +147,25 @@ def image_dominant_colors(images: DataFrame, key_cols=("path",), k: int = 3) ->
 
 def embed_images(images: DataFrame, make_model, out: str = "embedding", dim: int = 8,
                  size: int = 32, batch_size: int = 64) -> DataFrame:
-    """Batch feature extraction with a *given* model function through
-    ``predict_batch_udf`` (one model per Python worker, batched inputs)."""
-    from pyspark.ml.functions import predict_batch_udf
-
-    @F.pandas_udf(T.ArrayType(T.FloatType()))
-    def prep(data: pd.Series, h: pd.Series, w: pd.Series, c: pd.Series) -> pd.Series:
-        return pd.Series([(resize_bilinear(to_array(d, hh, ww, cc), size, size) / 255.0).astype(np.float32)
-                          .ravel() for d, hh, ww, cc in zip(data, h, w, c)])
-
-    udf = predict_batch_udf(make_model, return_type=T.ArrayType(T.FloatType()), batch_size=batch_size,
-                            input_tensor_shapes=[[size * size * 3]])
-    return images.withColumn("_px", prep("data", "height", "width", "channels")) \
-        .withColumn(out, udf("_px")).drop("_px")
+    """Batch feature extraction with a *given* model function (made once a
+    task); ``batch_size`` images at a time are resized, scored and sent on, so
+    that a task's memory does not grow with its rows."""
+    fields = [f for f in images.schema if f.name != out]
+    schema = T.StructType(fields + [T.StructField(out, T.ArrayType(T.FloatType()))])
+    names = [f.name for f in schema]
+
+    def run(batches):
+        predict = make_model()
+        for whole in batches:
+            for at in range(0, whole.num_rows, batch_size):
+                b = whole.slice(at, batch_size)
+                pixels = zip(b.column("data"), *(b.column(c).to_pylist() for c in ("height", "width", "channels")))
+                x = np.stack([(resize_bilinear(to_array(d.as_py(), h, w, c), size, size) / 255.0).astype(np.float32).ravel()
+                              for d, h, w, c in pixels])
+                y = np.asarray(predict(x), np.float32).reshape(b.num_rows, -1)
+                got = pa.ListArray.from_arrays(pa.array(np.arange(len(y) + 1) * y.shape[1], pa.int32()), pa.array(y.reshape(-1)))
+                yield pa.RecordBatch.from_arrays([got if n == out else b.column(n) for n in names], names=names)
+    return images.mapInArrow(run, schema)
 
 
 def projection_model(in_dim: int, out_dim: int = 8, seed: int = 7):

@@ -18,6 +18,8 @@ from quarry.sources.files import describe_files
 
 #: OpenCV's type code of three unsigned bytes a pixel, as Spark's image source gives it.
 MODE_BGR = 16
+#: Bytes of pixels after which decoded images are sent on.
+BATCH_BYTES = 8 << 20
 
 
 def write_image_table(images: DataFrame, path: str) -> None:
@@ -45,17 +47,25 @@ def decode_images(rows: DataFrame, pixels: bool = True) -> DataFrame:
     """``path, height, width, channels, mode, data`` from ``path, content``."""
     names = ["path", "height", "width", "channels", "mode", "data"]
 
+    types = [pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+
+    def sent(found):
+        cols = list(zip(*found)) or [()] * 4
+        values = [*cols[:3], [3] * len(found), [MODE_BGR] * len(found), cols[3]]
+        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, types)], names=names)
+
     def run(batches):
         for b in batches:
-            found = []
-            for path, content in zip(b.column(0).to_pylist(), b.column(1)):
+            found, held = [], 0
+            for path, content in zip(b.column(0), b.column(1)):
                 img = decode(content.as_py(), pixels)
                 if img is not None:
-                    found.append((path, *img))
-            cols = list(zip(*found)) or [()] * 5
-            types = [pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
-            values = [*cols[:3], [3] * len(found), [MODE_BGR] * len(found), cols[3]]
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, types)], names=names)
+                    found.append((path.as_py(), *img))
+                    held += len(img[2] or b"")
+                    if held > BATCH_BYTES:
+                        yield sent(found)
+                        found, held = [], 0
+            yield sent(found)
     return rows.select("path", "content").mapInArrow(
         run, "path string, height int, width int, channels int, mode int, data binary")
 

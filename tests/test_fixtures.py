@@ -493,3 +493,49 @@ def test_chi2_terms_are_grouped_by_term_once(spark):
     tf = spark.createDataFrame([(1, "a", "t", 4), (2, "b", "u", 1)], "doc int, cls string, term string, n long")
     plan = chi2_terms(tf, "doc", "term", "n", "cls", docs=tf)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan
+
+
+def test_images_are_scored_a_bounded_run_at_a_time(spark, tmp_path):
+    """The model sees at most ``batch_size`` images at once, in one Python pass; values by the plain formula."""
+    import numpy as np
+    from quarry.operators import images as im
+    data = [(f"{i}.bmp", 4, 5, 3, bytes((np.arange(60) * (i + 1) % 251).astype(np.uint8))) for i in range(23)]
+    df = spark.createDataFrame(data, "path string, height int, width int, channels int, data binary").coalesce(1)
+
+    def make():
+        return lambda x: np.stack([x.sum(axis=1), np.full(len(x), len(x), np.float32)], axis=1)
+    out = im.embed_images(df, make, dim=2, size=6, batch_size=5)
+    assert "ArrowEvalPython" not in out._jdf.queryExecution().toString()
+    got = {r["path"]: r["embedding"] for r in out.collect()}
+    assert len(got) == 23 and max(v[1] for v in got.values()) == 5
+    for path, h, w, c, pixels in data:
+        want = im.resize_bilinear(im.to_array(pixels, h, w, c), 6, 6).sum() / 255
+        assert got[path][0] == pytest.approx(want, rel=1e-5)
+
+
+def test_resize_interpolates_rows_and_columns():
+    import numpy as np
+    from quarry.operators.images import resize_bilinear, saturation
+    img = np.random.RandomState(3).randint(0, 256, (7, 5, 3)).astype(np.uint8)
+    got = resize_bilinear(img, 9, 4)
+    for y in range(9):
+        for x in range(4):
+            at = [min(max((p + 0.5) * n / m - 0.5, 0), n - 1) for p, n, m in ((y, 7, 9), (x, 5, 4))]
+            (a, b), (c, d) = ((int(v), min(int(v) + 1, n - 1)) for v, n in zip(at, (7, 5)))
+            s, t = at[0] - a, at[1] - c
+            want = (img[a, c] * (1 - t) + img[a, d] * t) * (1 - s) + (img[b, c] * (1 - t) + img[b, d] * t) * s
+            assert np.allclose(got[y, x], want)
+    assert got[:, :, 0].T.flags.c_contiguous   # a channel lies by itself
+    assert saturation(np.array([[[0.0, 5, 10], [0, 0, 0]]])) == pytest.approx(127.5)
+
+
+def test_count_vectorizer_has_the_vocabulary_of_mllib(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
+    from quarry.operators import models as md
+    texts = ["red green blue", "red green", "red blue blue", "red red yellow", "green blue"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc int, text string")
+    grams = Pipeline(stages=md.word_ngram_stages()).fit(df).transform(df)
+    made = md.count_vectorizer(df, "grams", "tf", 2, 0.95, 100)
+    want = CountVectorizer(inputCol="grams", outputCol="tf", minDF=2.0, maxDF=0.95, vocabSize=100).fit(grams)
+    assert isinstance(made, CountVectorizerModel) and sorted(made.vocabulary) == sorted(want.vocabulary)
