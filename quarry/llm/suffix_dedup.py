@@ -38,12 +38,19 @@ def _window_min(x: np.ndarray, w: int) -> np.ndarray:
 
 
 def grams(h: np.ndarray, k: int) -> np.ndarray:
-    """Hash of each run of ``k`` word hashes."""
-    g = np.zeros(len(h) - k + 1, np.uint64)
-    for j in range(k):
-        g = g * np.uint64(0x9E3779B97F4A7C15) + h[j:len(h) - k + 1 + j]
-    g ^= g >> np.uint64(29)
-    return g * np.uint64(0xBF58476D1CE4E5B9)
+    """Hash of each run of ``k`` word hashes.  It is a polynomial, so that of a
+    run comes from those of its two halves."""
+    size, power = 1, 0x9E3779B97F4A7C15
+    g = h
+    for bit in f"{k:b}"[1:]:
+        g = g[:len(g) - size] * np.uint64(power) + g[size:]
+        size, power = 2 * size, power * power % (1 << 64)
+        if bit == "1":
+            g = g[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[size:]
+            size, power = size + 1, power * 0x9E3779B97F4A7C15 % (1 << 64)
+    g = g ^ (g >> np.uint64(29))
+    g *= np.uint64(0xBF58476D1CE4E5B9)
+    return g
 
 
 def owners(h: np.ndarray, min_words: int, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -96,14 +103,15 @@ def matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("rk"), text.alias("text"))
 
     def retained(cols):
-        out, seen = {"doc_id": [], "rk": [], "pos": [], "g": []}, {}
-        for i, key, t in zip(cols["doc_id"].to_pylist(), cols["rk"].to_pylist(), texts_of(cols["text"])):
-            pos, g = minimisers(word_hashes(t, seen), min_words, gram_words)
-            out["doc_id"].extend([i] * len(pos))
-            out["rk"].extend([key] * len(pos))
-            out["pos"].extend(pos.tolist())
-            out["g"].extend(g.tolist())
-        return out
+        seen, parts, size = {}, [], []
+        for t in texts_of(cols["text"]):
+            parts.append(minimisers(word_hashes(t, seen), min_words, gram_words))
+            size.append(len(parts[-1][0]))
+        if not parts:
+            return None
+        pos, g = (np.concatenate(x) for x in zip(*parts))
+        at = np.repeat(np.arange(len(size)), size)
+        return {"doc_id": cols["doc_id"].take(at), "rk": cols["rk"].to_numpy()[at], "pos": pos, "g": g}
     suffixes = materialize(map_batches(rows, retained, "doc_id long, rk long, pos long, g long"))
     shared = materialize(suffixes.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g"))
     wanted = suffixes.join(shared.hint("merge"), "g").groupBy(F.col("doc_id").alias("w_id"), F.col("rk").alias("w_rk")).agg(

@@ -375,6 +375,29 @@ def test_minimisers_are_dense_and_agree():
     assert {(p + 1000, x) for p, x in zip(*part)} <= set(zip(pos, g)) and len(part[0])
 
 
+def test_run_hashes_come_from_their_halves():
+    class Counted(np.ndarray):
+        products = 0
+
+        def __array_ufunc__(self, ufunc, method, *inputs, out=None, **kw):
+            Counted.products += ufunc is np.multiply
+            plain = [x.view(np.ndarray) if isinstance(x, Counted) else x for x in inputs]
+            if out:
+                kw["out"] = tuple(x.view(np.ndarray) for x in out)
+            return getattr(ufunc, method)(*plain, **kw).view(Counted)
+
+    h = np.random.default_rng(3).integers(0, 2 ** 63, 300).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+    for k in (1, 2, 3, 8, 13, 50, 300):
+        Counted.products = 0
+        got = suffix_dedup.grams(h.view(Counted), k)
+        assert Counted.products <= 2 * k.bit_length()  # not a product a word
+        for at in (0, len(h) - k):
+            g = 0
+            for x in h[at:at + k].tolist():
+                g = (g * 0x9E3779B97F4A7C15 + x) % 2 ** 64
+            assert got[at] == (g ^ g >> 29) * 0xBF58476D1CE4E5B9 % 2 ** 64
+
+
 def test_language(spark, docs, none):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = langid.identify(table, fit_rows=400, landmarks=60).join(table.select("doc_id", "lang"), "doc_id").where("held_out").toPandas()
