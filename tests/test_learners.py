@@ -354,3 +354,21 @@ def test_products_of_few_columns(monkeypatch):
     dense[block.rows(), index] = block.data
     m, y = rng.rand(9, 3), rng.rand(len(size), 3)
     assert np.allclose(block.times(m), dense @ m) and np.allclose(block.transposed_times(y, 9), dense.T @ y)
+
+
+def test_text_rows_of_one_row_group_go_over_the_cluster(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from quarry.operators.blocks import spread
+    from quarry.plans.models_plan import text_split
+    from quarry.sources.tables import Tables
+    ids = [None, 7, 7, *range(10, 207)]
+    rows = {"doc_id": pa.array(ids, pa.int64()), "text": [f"text {i}" for i in ids], "lang": ["a" if (i or 0) % 2 else "b" for i in ids]}
+    pq.write_table(pa.table(rows), tmp_path / "documents.parquet")
+    with text_split(Tables(spark, str(tmp_path))) as (train, test):
+        tasks = train.groupBy(F.spark_partition_id()).count().collect()
+        assert len(tasks) > 1 and max(r["count"] for r in tasks) < 80
+        assert train.count() + test.count() == 200 and train.where("doc_id = 7").count() in (0, 2)
+    even = spark.range(0, 1000, 1, 2 * spark.sparkContext.defaultParallelism)
+    assert spread(even) is even and spread(even.limit(0)).count() == 0
+    assert sorted(r["id"] for r in spread(even.coalesce(1)).collect()) == list(range(1000))
