@@ -233,6 +233,16 @@ def test_grid_keeps_failed_cells_as_rows(spark, texts):
     assert [r["status"] for r in rows] == ["ok", "failed"] and "no_such_model" in rows[1]["error"]
 
 
+def test_model_set_with_a_failed_model_is_no_result(spark, texts):
+    def broken():
+        raise ValueError("no such stage")
+    models = {"broken": broken, "sgd_hinge": md.text_models()["sgd_hinge"]}
+    with pytest.raises(RuntimeError, match="(?s)1 of 2 models failed: broken.*no such stage"):
+        md.model_set_run(texts, texts, models, parallelism=1)
+    metrics, fitted = md.model_set_run(texts, texts, {"sgd_hinge": models["sgd_hinge"]})
+    assert [r["status"] for r in metrics.collect()] == ["ok"] and list(fitted) == ["sgd_hinge"]
+
+
 def test_top_class_terms_of_coefficients_and_log_probabilities(spark, texts):
     for name in ("linear_svc", "complement_nb"):
         model, _, _ = md.fit_and_score(name, md.text_models()[name](), texts, texts)
