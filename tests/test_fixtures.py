@@ -539,3 +539,22 @@ def test_count_vectorizer_has_the_vocabulary_of_mllib(spark):
     made = md.count_vectorizer(df, "grams", "tf", 2, 0.95, 100)
     want = CountVectorizer(inputCol="grams", outputCol="tf", minDF=2.0, maxDF=0.95, vocabSize=100).fit(grams)
     assert isinstance(made, CountVectorizerModel) and sorted(made.vocabulary) == sorted(want.vocabulary)
+
+
+def test_tfidf_covers_every_category(spark, monkeypatch):
+    import duckdb
+    from quarry.operators import text as tx
+    from quarry.plans.registry import load_all
+    words = ["apple", "pear", "plum", "fig"]
+    data = [(c * 10 + i, f"l{c}", f"{words[(c + i) % 4]} {words[i % 3]} own{c}") for c in range(9) for i in range(c + 1)]
+    docs = spark.createDataFrame([*data, (500, None, "apple"), (501, "l3", None)], "doc_id long, lang string, text string")
+    folder = tempfile.mkdtemp()
+    docs.write.parquet(f"{folder}/documents.parquet")
+    query, cols = load_all()["text_tfidf_by_category"], ("lang", "term", "score")   # equal scores may differ in their last bits
+    sent = sorted(rows(query.build(spark, folder), *cols))
+    assert {r[0] for r in sent} == {f"l{c}" for c in range(9)}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{folder}/documents.parquet/*.parquet')")
+    assert sent == sorted(con.execute(f"SELECT lang, term, score FROM ({query.oracle})").fetchall())
+    monkeypatch.setattr(tx, "SENT_TERMS", 0)
+    assert sorted(rows(query.build(spark, folder), *cols)) == sent
