@@ -135,14 +135,15 @@ def near_links(codes: DataFrame, max_distance: int = MAX_DISTANCE, segments: int
     big = materialize(values.groupBy(*key).count().where(F.col("count") > most).select(*key))
     # Values within the ball of a big one, itself included.
     beside = materialize(_around(big, segments, radius).select("seg", F.col("near").alias("value")).distinct())
-    table = values.join(big, key, "left_anti")
+    # All joins are merged: Spark sizes a side behind an explode by what goes into it, so it would broadcast far more.
+    table = values.join(big.hint("merge"), key, "left_anti")
     # Of two different values the greater one probes; equal ones meet once, by the order of the fingerprints.
     probes = _around(table, segments, radius).where("near <= value").select(
         "seg", F.col("near").alias("value"), F.col("fp").alias("src"), (F.col("near") == F.col("value")).alias("same"))
-    met = probes.join(table, key).where((~F.col("same") | (F.col("src") < F.col("fp"))) &
+    met = probes.join(table.hint("merge"), key).where((~F.col("same") | (F.col("src") < F.col("fp"))) &
                                         (_distance(F.col("src"), F.col("fp")) <= max_distance))
     met = met.select(F.least("src", "fp").alias("src"), F.greatest("src", "fp").alias("dst"))
-    crowded = values.join(beside, key, "left_semi").select("fp").distinct()
+    crowded = values.join(beside.hint("merge"), key, "left_semi").select("fp").distinct()
     links = materialize(met.unionByName(_half_way_links(crowded, max_distance)).distinct())
     release(big, beside)
     return links
@@ -157,7 +158,7 @@ def _named(docs: DataFrame, id_col: str, text_col: str, words_per_shingle: int =
     links = near_links(codes, max_distance, segments)
     labels = connected_components(links)
     release(links)
-    least = materialize(codes.join(labels, codes["fp"] == labels["node"], "left").select(
+    least = materialize(codes.join(labels.hint("merge"), codes["fp"] == labels["node"], "left").select(
         "fp", "least", F.coalesce("component", "fp").alias("label")))
     release(codes, labels)
     ids = materialize(least.groupBy("label").agg(F.min("least").alias("component_id")))

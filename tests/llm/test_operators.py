@@ -138,6 +138,14 @@ def test_simhash_segments_and_crowded_values(spark):
         assert _components(len(codes), links) == _components(len(codes), near), (distance, segments, most)
 
 
+def test_simhash_joins_broadcast_nothing(spark, monkeypatch):
+    plans, was = [], simhash.materialize
+    monkeypatch.setattr(simhash, "materialize", lambda df: (plans.append(df._jdf.queryExecution().executedPlan().toString()), was(df))[1])
+    codes = spark.range(500).selectExpr("xxhash64(id) as fp")
+    simhash.near_links(codes).count()
+    assert plans and not [p for p in plans if "BroadcastExchange" in p]
+
+
 def test_simhash_keeps_one_row_of_each_group(spark, docs, none):
     kept = simhash.drop_near_copies(docs)
     assert kept.columns == docs.columns and simhash.drop_near_copies(none).count() == 0
