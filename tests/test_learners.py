@@ -382,3 +382,43 @@ def test_text_rows_of_one_row_group_go_over_the_cluster(spark, tmp_path):
     even = spark.range(0, 1000, 1, 2 * spark.sparkContext.defaultParallelism)
     assert spread(even) is even and spread(even.limit(0)).count() == 0
     assert sorted(r["id"] for r in spread(even.coalesce(1)).collect()) == list(range(1000))
+
+
+@pytest.mark.parametrize("kind", ["", "bigrams", "chars"])
+def test_batches_are_counted_in_pieces(spark, texts, monkeypatch, kind):
+    from quarry.operators import text as tx
+    import pyarrow as pa
+    lists = pa.array([["a"] * 5, None, [], ["b", "c"], ["d"] * 9, ["e"]], pa.list_(pa.string()))
+    batch = pa.RecordBatch.from_arrays([lists], names=["w"])
+    cut = list(tx.pieces(batch.slice(1), "w", 4))
+    assert [p.num_rows for p in cut] == [3, 1, 1] and pa.Table.from_batches(cut).to_pylist() == batch.slice(1).to_pylist()
+    assert [p.num_rows for p in tx.pieces(batch.slice(0, 0), "w", 4)] == [0]
+    df = texts.select("doc_id", "category", F.split("text", " ").alias("w")).coalesce(1)
+    whole = sorted(tx.row_statistics(df, F.col("w"), ["category"], kind).collect())
+    sizes, was = [], tx._row_counts
+
+    def counted(lists, kind):
+        sizes.append(len(lists.flatten()))
+        return was(lists, kind)
+    batch = pa.Table.from_pandas(df.toPandas()).to_batches()[0]
+    held = []
+
+    class Table:   # gives the task's function instead of running it
+        schema = df.schema
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, f, _):
+            held.append(f)
+            raise StopIteration
+    monkeypatch.setattr(tx, "_row_counts", counted)
+    monkeypatch.setattr(tx, "_WORDS", 60)
+    with pytest.raises(StopIteration):
+        tx.row_statistics(Table(), F.col("w"), ["category"], kind)
+    got = {}
+    for b in held[0](iter([batch.rename_columns(["doc_id", "category", "_terms"])])):
+        for r in b.to_pylist():
+            n = got.setdefault((r["category"], r["term"]), [0, 0])
+            n[0], n[1] = n[0] + r["df"], n[1] + r["cnt"]
+    assert max(sizes) <= 60 and sorted((*k, *v) for k, v in got.items()) == [tuple(r) for r in whole]
