@@ -422,3 +422,50 @@ def test_batches_are_counted_in_pieces(spark, texts, monkeypatch, kind):
             n = got.setdefault((r["category"], r["term"]), [0, 0])
             n[0], n[1] = n[0] + r["df"], n[1] + r["cnt"]
     assert max(sizes) <= 60 and sorted((*k, *v) for k, v in got.items()) == [tuple(r) for r in whole]
+
+
+def test_sums_leave_no_shuffle_files_and_few_partial_arrays(spark, monkeypatch):
+    import time
+    from quarry.operators import blocks as bl
+    monkeypatch.setattr(bl, "FAN_IN", 2)
+    x, y = sample()
+    b = sparse_blocks(table(spark, x, y, 9), "features", ["label"])
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        return {f.getName() for f in (lambda all_: [all_.apply(i) for i in range(all_.size())])(disk.getAllFiles()) if "shuffle" in f.getName()}
+
+    def step(_, bs):
+        total, at_all = np.zeros((13, 1)), False
+        for c in bs:
+            at_all = True
+            c.transposed_times(np.ones((len(c), 1)), 12, out=total[:12])
+        total[12] = at_all
+        return total
+    before = files()
+    got = b.fold(None, step, 13, sums=True)
+    assert np.allclose(got[:12], x.sum(axis=0)) and got[12] <= max(2, spark.sparkContext.defaultParallelism) < b.tasks
+    assert b.fold(None, step, 13)[12] == b.tasks
+    for _ in range(50):
+        if files() <= before:
+            break
+        time.sleep(0.1)
+    assert files() <= before
+    b.release()
+
+
+def test_blocks_of_full_rows_hold_no_indices(spark):
+    x = np.random.default_rng(3).normal(size=(30, 4))
+    rows = spark.createDataFrame([(vector(r, i % 2 == 0), float(i)) for i, r in enumerate(x)], ["features", "label"])
+    held = rows.persist()
+    b = sparse_blocks(held, "features", ["label"], rows_per_task=10)
+    assert b.n == 30 and {len(r["indices"]) for r in b.table.where("n > 0").collect()} == {0}
+
+    def step(_, bs):
+        total = np.zeros((4, 1))
+        for c in bs:
+            assert c.indices.tolist() == list(range(4)) * len(c)
+            total += c.transposed_times(c.extra, 4)
+        return total
+    assert np.allclose(b.fold(None, step, 4), x.T @ np.arange(30.0))
+    assert sparse_blocks(rows, "features", ["label"], rows_per_task=10, n=30).n == 30
