@@ -469,3 +469,22 @@ def test_blocks_of_full_rows_hold_no_indices(spark):
         return total
     assert np.allclose(b.fold(None, step, 4), x.T @ np.arange(30.0))
     assert sparse_blocks(rows, "features", ["label"], rows_per_task=10, n=30).n == 30
+
+
+def test_sliced_features_are_those_of_mllib(spark, tmp_path):
+    from pyspark.ml.feature import VectorSlicer
+    from quarry.operators.ml import CompactFeatures, SliceFeatures
+    x, y = sample()
+    x[:, [2, 7]] = 0
+    df = table(spark, x, y)
+    model = CompactFeatures(inputCol="features", outputCol="out").fit(df)
+    assert isinstance(model, SliceFeatures) and model.getIndices() == [i for i in range(12) if i not in (2, 7)]
+    model.save(f"file://{tmp_path}/m")
+    model = SliceFeatures.load(f"file://{tmp_path}/m")
+    want = VectorSlicer(inputCol="features", outputCol="want", indices=model.getIndices())
+    for r in want.transform(model.transform(df)).collect():
+        assert r["out"].size == 10 and (r["out"].toArray() == r["want"].toArray()).all()
+    few = SliceFeatures("features", "out", np.array([0, 3])).transform(df).collect()
+    assert all((r["out"].toArray() == r["features"].toArray()[[0, 3]]).all() for r in few)
+    none = CompactFeatures(inputCol="features", outputCol="out").fit(df.where("false"))
+    assert none.getIndices() == [0] and none.transform(df).first()["out"].size == 1
