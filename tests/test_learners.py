@@ -243,6 +243,28 @@ def test_model_set_with_a_failed_model_is_no_result(spark, texts):
     assert [r["status"] for r in metrics.collect()] == ["ok"] and list(fitted) == ["sgd_hinge"]
 
 
+def test_models_of_a_set_share_their_feature_steps(spark, texts, monkeypatch):
+    from quarry.operators import ml
+    fits, was = [], ml.VocabularyVectorizer._fit
+    monkeypatch.setattr(ml.VocabularyVectorizer, "_fit", lambda self, df: (fits.append(self.kind), was(self, df))[1])
+    train, test = texts.where("doc_id % 5 <> 0"), texts.where("doc_id % 5 = 0")
+    names = ["complement_nb", "sgd_hinge", "char_linear_svc", "voting_ensemble"]
+    held = spark.sparkContext._jsc.getPersistentRDDs().size()
+    out, fitted = md.model_set_run(train, test, {n: md.text_models()[n] for n in names})
+    assert sorted(fits) == ["bigrams", "chars"]
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == held
+    rows = {r["model"]: r for r in out.collect()}
+    assert list(rows) == names and rows["char_linear_svc"]["macro_f1"] > 0.9
+    for n in names:
+        model, alone, _ = md.fit_and_score(n, md.text_models()[n](), train, test)
+        both = [sorted(m.transform(test).select("doc_id", "prediction").collect()) for m in (model, fitted[n])]
+        assert both[0] == both[1]
+        hit = alone.agg(F.avg((F.col("actual") == F.col("predicted")).cast("double"))).first()[0]
+        assert abs(hit - rows[n]["accuracy"]) < 1e-3
+    same, other = (md.SharedFeatures._key(md.tfidf_stages(vocab=v)) for v in (10, 11))
+    assert same == md.SharedFeatures._key(md.tfidf_stages(vocab=10)) != other
+
+
 def test_top_class_terms_of_coefficients_and_log_probabilities(spark, texts):
     for name in ("linear_svc", "complement_nb"):
         model, _, _ = md.fit_and_score(name, md.text_models()[name](), texts, texts)
