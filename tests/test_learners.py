@@ -243,6 +243,17 @@ def test_model_set_with_a_failed_model_is_no_result(spark, texts):
     assert [r["status"] for r in metrics.collect()] == ["ok"] and list(fitted) == ["sgd_hinge"]
 
 
+def test_documents_without_text_are_classified(spark, texts, tmp_path):
+    from quarry.plans.models_plan import text_split
+    from quarry.sources.tables import Tables
+    docs = texts.select("doc_id", F.when(F.col("doc_id") % 11 > 0, F.col("text")).alias("text"), F.col("category").alias("lang"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    with text_split(Tables(spark, str(tmp_path))) as (train, test):
+        out, _ = md.model_set_run(train, test, {"sgd_hinge": md.text_models()["sgd_hinge"]})
+        row = out.first()
+        assert row["n"] == test.count() and row["accuracy"] > 0.8
+
+
 def test_models_of_a_set_share_their_feature_steps(spark, texts, monkeypatch):
     from quarry.operators import ml
     fits, was = [], ml.VocabularyVectorizer._fit
